@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .metric_search import top_k
+from .packing import pack_documents
 from .sharding import shuffle_shards
 from .url_filter import filter_urls, url_host
 
@@ -16,6 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns)
 
 
+def tokenizer() -> tuple[str, str]:
+    """Path and pattern of the public byte-level BPE that the packing query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    packed = pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer(), ids=False)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every vector whose id is divisible by 20, over all others."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts for every page; a page's outcome is the label of the document of the same id, bad where it is toxic or of low quality."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
@@ -34,6 +55,15 @@ def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+OP7_SQL = """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+    where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+    from v q, v c where q.vec_id % 20 = 0 and q.vec_id <> c.vec_id)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s
+qualify rank <= 20
+"""
+
 OP6_SQL = r"""
 with p as (select page_id, url,
     coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
@@ -68,5 +98,5 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
     when a/(a+b) - 1.645 * sqrt(a/(a+b) * (1 - a/(a+b)) / (a+b+1)) > 0.25 then 'block' else 'allow' end as verdict from v
 """
 
-QUERIES = {"op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards}
-ORACLE_SQL = {"op6_url_reputation": OP6_SQL}
+QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards}
+ORACLE_SQL = {"op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
