@@ -9,6 +9,7 @@ from .metric_search import top_k
 from .packing import pack_documents
 from .sharding import shuffle_shards
 from .url_filter import filter_urls, url_host
+from .warc import round_trip
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
@@ -31,6 +32,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through archives and back."""
+    return round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op7_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every vector whose id is divisible by 20, over all others."""
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -55,6 +61,13 @@ def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+OP3_SQL = """
+with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+m as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as last from p)
+select page_id, payload_bytes, payload_digest, case when last is not null and page_id is distinct from last then 'revisit' else 'response' end as record_type,
+    case when page_id is distinct from last then last end as refers_to from m
+"""
+
 OP7_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
     where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
@@ -98,5 +111,5 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
     when a/(a+b) - 1.645 * sqrt(a/(a+b) * (1 - a/(a+b)) / (a+b+1)) > 0.25 then 'block' else 'allow' end as verdict from v
 """
 
-QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards}
-ORACLE_SQL = {"op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
+QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards}
+ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
