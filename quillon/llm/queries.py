@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .jaccard import jaccard_components
 from .metric_search import top_k
 from .packing import pack_documents
 from .sharding import shuffle_shards
@@ -37,6 +38,11 @@ def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle sets and components of all documents."""
+    return jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every vector whose id is divisible by 20, over all others."""
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -111,5 +117,5 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
     when a/(a+b) - 1.645 * sqrt(a/(a+b) * (1 - a/(a+b)) / (a+b+1)) > 0.25 then 'block' else 'allow' end as verdict from v
 """
 
-QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards}
+QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards}
 ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
