@@ -9,6 +9,7 @@ from .jaccard import jaccard_components
 from .metric_search import top_k
 from .packing import pack_documents
 from .sharding import shuffle_shards
+from .toxicity import score_documents
 from .url_filter import filter_urls, url_host
 from .warc import round_trip
 
@@ -67,6 +68,11 @@ def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 OP3_SQL = """
 with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
 m as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as last from p)
@@ -117,5 +123,5 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
     when a/(a+b) - 1.645 * sqrt(a/(a+b) * (1 - a/(a+b)) / (a+b+1)) > 0.25 then 'block' else 'allow' end as verdict from v
 """
 
-QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards}
+QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity}
 ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
