@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard import jaccard_components
+from .language_id import identify
 from .metric_search import top_k
 from .packing import pack_documents
 from .sharding import shuffle_shards
@@ -68,6 +69,11 @@ def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents."""
+    return identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
@@ -123,5 +129,5 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
     when a/(a+b) - 1.645 * sqrt(a/(a+b) * (1 - a/(a+b)) / (a+b+1)) > 0.25 then 'block' else 'allow' end as verdict from v
 """
 
-QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity}
+QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op5_language_id": op5_language_id, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity}
 ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
