@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contaminated
 from .jaccard import jaccard_components
 from .language_id import identify
 from .metric_search import top_k
 from .packing import pack_documents
 from .sharding import shuffle_shards
+from .substrings import dedup_substrings
 from .toxicity import score_documents
 from .url_filter import filter_urls, url_host
 from .warc import round_trip
@@ -29,6 +31,11 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold benchmark items, with the items and how much of them."""
+    return contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     packed = pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer(), ids=False)
@@ -79,6 +86,14 @@ def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their repeated passages: what is left, and what was cut."""
+    kept = dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text"))
+    cut = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"]), F.lit(0).cast("long"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return kept.select("doc_id", "text", F.coalesce(F.size("spans"), F.lit(0)).alias("n_spans"), cut.alias("removed_bytes"), F.crc32(text.cast("binary")).alias("text_crc32"))
+
+
 OP3_SQL = """
 with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
 m as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as last from p)
@@ -129,5 +144,5 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
     when a/(a+b) - 1.645 * sqrt(a/(a+b) * (1 - a/(a+b)) / (a+b+1)) > 0.25 then 'block' else 'allow' end as verdict from v
 """
 
-QUERIES = {"op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op5_language_id": op5_language_id, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op5_language_id": op5_language_id, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity, "op10_substring_dedup": op10_substring_dedup}
 ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}

@@ -17,11 +17,12 @@ SLICE_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint64)
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: For comparing by letters and digits alone: all other ASCII separates words.
+PUNCTUATION = np.array([chr(b).isascii() and not chr(b).isalnum() for b in range(256)])
+_LOWER = np.arange(1, 257, dtype=np.uint64)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_LOWER = np.where(_SPACE, np.uint64(0), _LOWER + np.uint64(1))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -62,12 +63,12 @@ class Words(NamedTuple):
     rows: int
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> Words:
+def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = SPACE) -> Words:
     rows = len(bounds) - 1
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(none, none, none, none.astype(np.uint64), rows)
-    space = _SPACE[data]
+    space = between[data]
     first, last = ~space, ~space
     edges = bounds[1:-1]
     inner = edges[(edges > 0) & (edges < len(data))]
@@ -81,11 +82,11 @@ def words(data: np.ndarray, bounds: np.ndarray) -> Words:
         return Words(row, start, end, np.zeros(0, np.uint64), rows)
     up, down = power_tables(len(data))
     with np.errstate(over="ignore"):
-        h = np.add.reduceat(_LOWER[data] * up[: len(data)], start) * down[start]
+        h = np.add.reduceat(np.where(space, np.uint64(0), _LOWER[data]) * up[: len(data)], start) * down[start]
         return Words(row, start, end, mixed(h + BASE * (end - start).astype(np.uint64)), rows)
 
 
-def slices(column: pa.Array, at_most: int = SLICE_BYTES) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, at_most: int = SLICE_BYTES, between: np.ndarray = SPACE) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
     """(first row, words, bytes, bounds) of consecutive rows that together have about ``at_most`` bytes."""
     data, bounds = utf8(column)
     first = 0
@@ -93,7 +94,7 @@ def slices(column: pa.Array, at_most: int = SLICE_BYTES) -> Iterator[tuple[int,
         end = max(first + 1, int(np.searchsorted(bounds, bounds[first] + at_most, side="right")) - 1)
         part = data[bounds[first] : bounds[end]]
         at = bounds[first : end + 1] - bounds[first]
-        yield first, words(part, at), part, at
+        yield first, words(part, at, between), part, at
         first = end
 
 
