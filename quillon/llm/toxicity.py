@@ -137,25 +137,27 @@ def fit_curve(x: np.ndarray, y: np.ndarray, prior: float, ridge: float = 1.0) ->
     return mean, scale, w
 
 
-def train(labelled: DataFrame, toxic_rows: int = 2000, ordinary_rows: int = 6000, ordinary_bytes: int = 1 << 15, toxic_bytes: int = 6000, window: int = 64) -> Model:
-    """A model from ``labelled`` (text, toxic: 0 or 1; rows with null labels take no part).
-
-    About ``toxic_rows`` toxic and ``ordinary_rows`` other rows are drawn by a
-    hash of their texts, equal texts once; half of
-    them make the dictionaries, half the curve.  Only segments, features and
-    counts come to the driver.  With labels of one kind, or none, scores are
-    constant.
+def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = 2000, ordinary_rows: int = 6000, ordinary_bytes: int = 1 << 15, toxic_bytes: int = 6000, window: int = 64) -> Model:
+    """A model from the texts of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic: 0 or 1; null: no part) has.
+
+    About ``toxic_rows`` toxic and ``ordinary_rows`` other labels are drawn by
+    a hash of their ids; equal texts count once; half of the texts make the
+    dictionaries, half the curve.  Only the drawn ids, of that bound, go to
+    all tasks; only segments, features and counts come to the driver.  With
+    labels of one kind, or none, scores are constant.
     """
-    rows = labelled.where(F.col("toxic").isin(0, 1)).select("text", F.col("toxic").cast("int").alias("toxic"))
+    rows = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     have = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, ordinary = have.get(1, 0), have.get(0, 0)
     prior = toxic / (toxic + ordinary) if toxic + ordinary else 0.0
     if not toxic or not ordinary:
         return Model(b"", b"", np.zeros(0), np.zeros(0), np.zeros(0), prior)
     span = 1 << 20
-    at = F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(span))
+    at = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(span))
     share = F.when(F.col("toxic") == 1, F.lit(int(span * min(1.0, toxic_rows / toxic)))).otherwise(F.lit(int(span * min(1.0, ordinary_rows / ordinary))))
-    drawn = written(rows.where(at < share).withColumn("half", F.pmod(F.xxhash64(F.lit(12), "text"), F.lit(2))).dropDuplicates(["text", "toxic"]), "labelled")
+    ids = F.broadcast(rows.where(at < share).dropDuplicates(["doc_id"]))
+    drawn = docs.join(ids, "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"])
+    drawn = written(drawn.withColumn("half", F.pmod(F.xxhash64(F.lit(12), "text"), F.lit(2))), "labelled")
     sizes = {(r["half"], r["toxic"]): r["n"] for r in drawn.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if any(not sizes.get((h, t)) for h in (0, 1) for t in (0, 1)):
         return Model(b"", b"", np.zeros(0), np.zeros(0), np.zeros(0), prior)
@@ -192,10 +194,9 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs`` (doc_id, text).
 
-    ``labels`` (doc_id, toxic) of ids that aren't held out are learned from; a
-    repeated label row counts as often as it stands there.
+    ``labels`` (doc_id, toxic) of ids that aren't held out are learned from.
     """
     out = held_out(F.col("doc_id"), 4, 2)
-    learn = docs.where(~out).join(labels.select("doc_id", "toxic"), "doc_id").select("text", "toxic")
-    scored = docs.select("doc_id", out.alias("held_out"), toxicity(train(learn), F.col("text")).alias("score"))
+    model = train(docs.select("doc_id", "text"), labels.select("doc_id", "toxic").where(~out))
+    scored = docs.select("doc_id", out.alias("held_out"), toxicity(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
