@@ -33,3 +33,13 @@ def bit_test(table: np.ndarray, key: Column) -> Column:
         return pd.Series(tested(table, at.to_numpy()))
 
     return test(position(key, len(table) * 8))
+
+
+def without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``rows`` (a table that can be read twice) whose ``key`` isn't in ``keys``; null keys stay.
+
+    Only rows that the bit table can't clear are shuffled.
+    """
+    keys = keys.select(key).distinct()
+    hit = bit_test(bit_table(keys, key), F.col(key))
+    return rows.where(~hit).unionByName(rows.where(hit).join(keys, key, "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns]))
