@@ -46,22 +46,21 @@ def capture_key(url: Column, page_id: Column) -> Column:
     return F.concat_ws(" ", F.regexp_replace(F.coalesce(plain, F.lit("")), r"[\x00-\x20\x7f]", "%20"), shifted)
 
 
-def record_types(pages: DataFrame, least: int) -> DataFrame:
-    """Columns page_id, url, key, payload (null for revisits), digest, bytes, refers_to and refers_key (null for responses).
+def captures(pages: DataFrame, least: int) -> DataFrame:
+    """Captures (page_id, url, key, payload, digest, bytes) and, before a capture that is to be a revisit, a marker row of its key.
 
     The referred capture of a group of equal payloads is that with the largest
-    id, then the largest key.  Groups are reduced before they move.
+    id, then the largest key.  Groups are reduced before they move, and markers
+    have no payload, so payloads move once: to their place in the archives.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", capture_key(F.col("url"), F.col("page_id")).alias("key"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.octet_length("payload").cast("long"))
-    last = rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.max(F.struct("page_id", "key")).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "last")
-    revisit = (F.col("bytes") >= least) & F.coalesce(F.col("last.page_id") != F.col("page_id"), F.col("last.page_id").isNotNull())
-    joined = rows.join(last, "digest", "left").withColumn("revisit", F.coalesce(revisit, F.lit(False)))
-    return joined.select(
-        "page_id", "url", "key", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "digest", "bytes",
-        F.when(F.col("revisit"), F.col("last.page_id")).alias("refers_to"), F.when(F.col("revisit"), F.col("last.key")).alias("refers_key"),
-    )
+    narrow = rows.where(F.col("bytes") >= least).select("page_id", "key", "digest")
+    last = narrow.groupBy("digest").agg(F.max(F.struct("page_id", "key")).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "last")
+    marked = narrow.join(last, "digest").where(F.coalesce(F.col("last.page_id") != F.col("page_id"), F.col("last.page_id").isNotNull()))
+    markers = marked.select("key", "digest", F.col("last.page_id").alias("refers_to"), F.col("last.key").alias("refers_key"), F.lit(0).alias("kind"))
+    return rows.withColumn("kind", F.lit(1)).unionByName(markers, allowMissingColumns=True)
 
 
 def header_value(text: str | None) -> str:
@@ -122,7 +121,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, archive_byt
     Null html is an empty payload, a null URL an empty header.  Repeated rows
     are captures of their own.  An empty table gives an empty directory.
     """
-    typed = record_types(pages, least)
+    typed = captures(pages, least)
     total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
     archives = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // archive_bytes))
 
@@ -133,6 +132,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, archive_byt
         rows: list[tuple] = []
         lines: list[str] = []
         at = start = offset = 0
+        current, marks = None, {}
         with files.open_output_stream(f"{path}/{name}.warc.gz", compression=None) as out, files.open_output_stream(f"{path}/{name}.cdx.gz", compression=None) as index:
 
             def close() -> None:
@@ -147,6 +147,12 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, archive_byt
                 columns = {n: batch.column(n) for n in batch.schema.names}
                 for k in range(batch.num_rows):
                     row = {n: c[k].as_py() for n, c in columns.items()}
+                    if row["key"] != current:
+                        current, marks = row["key"], {}
+                    if row["kind"] == 0:
+                        marks[row["digest"]] = row["refers_to"], row["refers_key"]
+                        continue
+                    row["refers_to"], row["refers_key"] = marks.get(row["digest"], (None, None))
                     member = record(row, date)
                     out.write(member)
                     lines.append(f"{row['key']} {{{at},{len(member)}}}")
@@ -161,7 +167,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, archive_byt
             files.delete_file(f"{path}/{name}.warc.gz")
             files.delete_file(f"{path}/{name}.cdx.gz")
 
-    ranged = typed.repartitionByRange(archives, "key", "page_id").sortWithinPartitions("key", "page_id")
+    ranged = typed.repartitionByRange(archives, "key").sortWithinPartitions("key", "kind")
     return written(ranged.mapInArrow(write, DIRECTORY), "directory")
 
 
@@ -195,7 +201,8 @@ def read_archives(directory: DataFrame, folder: str) -> DataFrame:
                     out.append((got.number, key.decode(), fields["WARC-Type"], None if got.payload is None else len(got.payload), fields["WARC-Payload-Digest"].removeprefix("sha1:"), to and int(to), fields.get("X-Refers-To-Key")))
                 yield pd.DataFrame(out, columns=CAPTURES.replace(",", "").split()[::2]).astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
 
-    return directory.withColumnRenamed("index", "index_file").repartition("archive", "block").mapInPandas(read, CAPTURES)
+    tasks = int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return directory.withColumnRenamed("index", "index_file").repartition(tasks, "archive", "block").mapInPandas(read, CAPTURES)
 
 
 def look_up(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
@@ -249,11 +256,11 @@ def round_trip(pages: DataFrame, least: int = 1000) -> DataFrame:
     """
     folder = new_path(pages.sparkSession, "warc")
     directory = write_archives(pages, folder, least)
-    captures = written(read_archives(directory, folder), "captures")
-    revisits = captures.where("record_type = 'revisit'")
+    read = written(read_archives(directory, folder), "captures")
+    revisits = read.where("record_type = 'revisit'")
     wanted = revisits.select(F.col("refers_key").alias("key")).distinct()
     found = look_up(wanted, directory, folder).select(F.col("key").alias("refers_key"), F.octet_length("payload").cast("long").alias("found_bytes"), F.col("payload_digest").alias("found_digest"))
     resolved = revisits.join(found, "refers_key", "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     checked = F.when(F.col("found_digest") == F.col("payload_digest"), F.col("found_bytes")).otherwise(F.raise_error(F.concat(F.lit("no response for "), F.col("refers_key"))).cast("long"))
-    return captures.where("record_type = 'response'").select(*columns).unionByName(resolved.withColumn("payload_bytes", checked).select(*columns))
+    return read.where("record_type = 'response'").select(*columns).unionByName(resolved.withColumn("payload_bytes", checked).select(*columns))
