@@ -42,7 +42,7 @@ def shuffle_shards(df: DataFrame, shards: int, seed: int = 7, size: str | None =
     drawn = counts.repartition("__q_bucket").sortWithinPartitions("__q_bucket").withColumn("__q_order", fisher_yates(F.col("__q_n"), block, seed))
     inner = F.col("__q_no") % F.lit(block)
     place = F.col("__q_before") + (F.col("__q_no") - inner) + F.element_at(F.element_at("__q_order", (F.floor(F.col("__q_no") / F.lit(block)) + 1).cast("int")), (inner + 1).cast("int"))
-    joined = numbered.join(drawn, "__q_bucket").withColumn("__q_place", place)
+    joined = numbered.join(drawn.hint("merge"), "__q_bucket").withColumn("__q_place", place)
     return joined.select(*columns, (F.col("__q_place") % shards).cast("int").alias("shard"), F.floor(F.col("__q_place") / F.lit(shards)).cast("long").alias("slot"))
 
 
