@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import written
+
 # Suffixes of two labels under which names are registered.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "ne.jp", "or.jp", "org.au", "org.uk")
 
@@ -71,14 +73,15 @@ def host_reputation(outcomes: DataFrame, base_strength: float = 2.0) -> tuple[Da
     """
     hosts = outcomes.where(F.col("bad").isNotNull()).groupBy(F.col("host").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
     hosts = hosts.withColumn("domain", domain_of(F.col("name"))).withColumn("suffix", suffix_of(F.col("name")))
+    hosts = written(hosts, "hosts")
     up = lambda df, to, *keep: df.groupBy(F.col(to).alias("name"), *keep).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = up(hosts, "domain", "suffix")
     suffixes = up(domains, "suffix").withColumn("all", F.lit(""))
     top = suffixes.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     half = F.lit(base_strength / 2)
     top = top.select(F.lit("").alias("name"), (F.col("bad") + half).alias("a"), (F.col("n") - F.col("bad") + half).alias("b"))
-    by_suffix = _level(suffixes, top, "all")
-    by_domain = _level(domains, by_suffix, "suffix")
+    by_suffix = written(_level(suffixes, top, "all"), "suffixes")
+    by_domain = written(_level(domains, by_suffix, "suffix"), "domains")
     by_host = _level(hosts, by_domain, "domain")
     return by_host, by_domain, by_suffix, top
 
