@@ -89,3 +89,69 @@ def compile_reason(proposals: DataFrame) -> DataFrame:
         .when(~field("route").eqNullSafe(F.col("expected_route")), "uncheckable_condition")
     )
     return proposals.withColumn("reason", reason)
+
+
+# The message tasks (kind, action, constraint), and the workspace tasks (kind, action, route, target kind, whether any item may stand in, target index).
+MESSAGE_SPECS = (
+    ("search-direct", "search", None), ("search-directory", "search", None), ("search-recovery", "search", None), ("reminder-direct", "reminder", None), ("reminder-directory", "reminder", None), ("reminder-recovery", "reminder", None),
+    ("reminder-verified", "reminder", None), ("draft-direct", "draft", "open"), ("draft-directory", "draft", "open"), ("draft-recovery", "draft", "open"), ("draft-exact", "draft", "exact"), ("draft-verified", "draft", "open"),
+)
+WORKSPACE_SPECS = (
+    ("search-direct", "direct", "document", True, 0), ("search-directory", "directory", "project", False, 0), ("search-recovery", "recovery", "task", True, 0), ("search-missing", "missing", None, False, 0), ("task-direct", "direct", "project", False, 0),
+    ("task-verified", "verify", "project", False, 1), ("comment-direct", "direct", "task", False, 0), ("comment-recovery", "recovery", "task", False, 2), ("comment-verified", "verify", "task", False, 1),
+)
+
+
+def message_query(body):
+    """DM-10: the phrase that stands for a message."""
+    low = F.lower(body)
+    return F.when(low.contains("launch checklist"), "launch checklist").when(low.contains("invoice"), "invoice").otherwise(body)
+
+
+def message_slots(messages: DataFrame, reminders: DataFrame, drafts: DataFrame, gram: int = 7) -> DataFrame:
+    """PRD-24, PRD-25, DM-1, DM-2 for messages: the tasks of messages whose query one body alone holds, without those that would overwrite state.
+
+    Queries shorter than ``gram`` characters are compared by all their characters.
+    """
+    from ..functions.text import reply_allowed
+
+    asked = messages.withColumn("query", message_query(F.col("body")))
+    short = asked.where(F.length("query") < gram).select("message_id", "query")
+    counts = containment_counts(messages, asked.where(F.length("query") >= gram).select("message_id", "query"), gram)
+    for size in range(1, gram):
+        counts = counts.unionByName(containment_counts(messages, short.where(F.length("query") == size), size))
+    once = counts.where("bodies = 1").select(F.col("query_id").alias("message_id"))
+    specs = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(kind).alias("kind"), F.lit(action).alias("action"), F.lit(rule).cast("string").alias("rule")) for k, (kind, action, rule) in enumerate(MESSAGE_SPECS)])
+    at = asked.join(once, "message_id", "left_semi").join(reminders.select("message_id", F.lit(True).alias("reminded")), "message_id", "left").join(drafts.select("message_id", F.lit(True).alias("drafted")), "message_id", "left")
+    at = at.withColumn("spec", F.explode(specs))
+    exact = F.concat(F.lit("Thanks, I will review the "), "query", F.lit("."))
+    keep = ~((F.col("spec.action") == "reminder") & F.col("reminded").isNotNull()) & ~((F.col("spec.action") == "draft") & F.col("drafted").isNotNull()) & ~(F.coalesce(F.col("spec.rule") == "exact", F.lit(False)) & ~reply_allowed(exact))
+    slot = F.concat(F.lit("mobile-"), F.col("spec.kind"), F.lit("-message-"), F.substring(F.sha2("message_id", 256), 1, 24))
+    return at.where(keep).select("message_id", F.col("spec.position").alias("position"), F.col("spec.kind").alias("kind"), slot.alias("slot_id"))
+
+
+def workspace_slots(items: DataFrame, every: bool) -> DataFrame:
+    """JN-18 to JN-20, DM-1 for workspace items (item_id, kind, query): kind of task, its position, target and target index.
+
+    ``every`` takes all targets, dealt round-robin over the specs; otherwise
+    each spec has one.  A spec whose kind has no item at all may fall back to
+    any item: documents first, then projects, tasks and comments.
+    """
+    once = items.groupBy("kind", "query").agg(F.count(F.lit(1)).alias("same")).where("same = 1").select("kind", "query")
+    unique = items.join(once, ["kind", "query"], "left_semi")
+    kinds = {r["kind"] for r in items.select("kind").distinct().collect()}
+    preference = F.array_position(F.array(*[F.lit(k) for k in ("document", "project", "task", "comment")]), F.col("kind"))
+    out = items.sparkSession.createDataFrame([("search-missing", 3, None, 0)], "spec string, position int, item_id string, target_index int")
+    for position, (spec, route, kind, fallback, index) in enumerate(WORKSPACE_SPECS):
+        if route == "missing" or (kind not in kinds and not fallback):
+            continue
+        held = unique.where(F.col("kind") == kind) if kind in kinds else unique
+        order = [F.lit(0) if kind in kinds else preference, F.col("item_id")]
+        if every:
+            by = Window.orderBy(*order)
+            numbered = held.withColumn("target_index", F.row_number().over(by) - 1)
+        else:
+            numbered = held.withColumn("__at", F.row_number().over(Window.orderBy(*order)) - 1).where(F.col("__at") <= index)
+            numbered = numbered.orderBy(F.desc("__at")).limit(1).withColumn("target_index", F.lit(0))
+        out = out.unionByName(numbered.select(F.lit(spec).alias("spec"), F.lit(position).alias("position"), "item_id", "target_index"))
+    return out.orderBy("target_index", "position") if every else out.orderBy("position")
