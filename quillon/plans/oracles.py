@@ -29,6 +29,27 @@ slots as (select name, position, kind, 'contacts-' || kind || '-' || slug || cas
     from slugged cross join specs where not changes or name not in (select name from followups_v))"""
 _UNSAFE = r"""(regexp_matches(body, '^(/|~)|^[A-Za-z]:[\\/]') or regexp_matches(body, '(^|[^:/A-Za-z0-9_.-])/([^/]|$)|(^|[^A-Za-z0-9_.-])[A-Za-z]:[\\/]|(^|\s)~[\\/]')
     or regexp_matches(lower(body), '/users/|/private/|/tmp/|file://|authorization:|api_key|credential|passwd|password|secret|access_token') or starts_with(lower(body), 'sk-') or starts_with(lower(body), 'bearer '))"""
+_SCOPES = "scopes(domain_id) as (values ('en'), ('de'), ('fr'), ('es'))"
+_DEVELOPMENT = f"""with {_SCOPES}, dev as (select *, human_verdict is not null or judge_verdict <> 'pass' as member from evidence_v where cohort = 0)
+select 0 as position, 'development_campaign_purpose_invalid' as reason, false as found
+union all select 1, 'development_evidence_unavailable', true
+union all select 2, 'development_cohort_membership_invalid', false
+union all select 3, 'development_review_quota_not_met', (select count(*) < 100 from dev where member)
+union all select 4, 'development_human_labels_incomplete', exists (select 1 from dev where member and human_verdict is null)
+union all select 5, 'development_nonpass_or_unavailable_not_fully_reviewed', exists (select 1 from dev where judge_verdict <> 'pass' and not member)
+union all select 6, 'development_passes_not_stratified', exists (select 1 from dev where member and judge_verdict = 'pass' and source_group is null)
+union all select 7, 'development_domain_review_quota_not_met', exists (select 1 from scopes s where (select count(*) from dev where member and dev.domain_id = s.domain_id) < 30)"""
+_EVALUATION = f"""with {_SCOPES}, ev as (select * from evidence_v where cohort = 1), dev as (select * from evidence_v where cohort = 0)
+select 0 as position, 'evaluation_campaign_purpose_invalid' as reason, false as found
+union all select 1, 'evaluation_evidence_unavailable', false
+union all select 2, 'evaluation_cohort_membership_invalid', false
+union all select 3, 'evaluation_review_quota_not_met', (select count(*) < 100 from ev where eligible)
+union all select 4, 'evaluation_human_labels_incomplete', exists (select 1 from ev where eligible and human_verdict is null)
+union all select 5, 'evaluation_selection_not_deterministically_complete', false
+union all select 6, 'evaluation_reuses_development_evidence', exists (select 1 from ev where source_group is null or source_group in (select source_group from dev) or evidence_id in (select evidence_id from dev))
+union all select 7, 'evaluation_domain_review_quota_not_met', exists (select 1 from scopes s where (select count(*) from ev where eligible and ev.domain_id = s.domain_id) < 30)
+union all select 8, 'evaluation_domain_scope_mismatch', (select count(distinct domain_id) from ev where eligible) <> 4
+union all select 9, 'evaluation_contains_noneligible_episode', false"""
 
 _SQL = {
     "usage_total": f"select {_USAGE} from requests_v",
@@ -105,6 +126,8 @@ select cohort_id, episode_id, case when cohort_id not in (select cohort_id from
     ),
     "heldout_completeness": "select evidence_id, case when human_verdict is null then 'not_reviewed' else 'not_eligible' end as side from evidence_v where eligible <> (human_verdict is not null)",
     "evidence_join": f"with {_VERDICTS} select evidence_id, domain_id, coalesce(verdict, 'unavailable') as verdict, critical from evidence_v left join verdicts on episode_id = evidence_id",
+    "development_reasons": _DEVELOPMENT,
+    "evaluation_reasons": _EVALUATION,
     "contact_slots": f"with {_SLOTS} select name, position, kind, slot_id from slots",
     "contact_capacity": f"with {_SLOTS} select count(*) as capacity, least(count(*), 10000) as emitted, 10000 >= count(*) as exhausted from slots",
     "contact_semantic_keys": f"""with {_SLOTS} select slot_id, 'contacts:semantic:sha256:' || sha256('{{"kind":"' || kind || '","name":"' || name || '"}}') as semantic_key from slots""",

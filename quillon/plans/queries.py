@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import admission, calibration, review, sequence, tasks, usage
+from ..operators import admission, calibration, eligibility, review, sequence, tasks, usage
 from .views import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +305,26 @@ def evidence_join(s, d):
     return view(s, d, "evidence_v").join(verdicts, "evidence_id", "left").select("evidence_id", "domain_id", F.coalesce("verdict", F.lit("unavailable")).alias("verdict"), "critical")
 
 
+def campaigns(s, d):
+    evidence = view(s, d, "evidence_v").withColumn("task_type", F.lit("t")).withColumnRenamed("source_group", "structural_family")
+    scopes = s.createDataFrame([("en",), ("de",), ("fr",), ("es",)], "domain_id string")
+    return evidence.where("cohort = 0"), evidence.where("cohort = 1"), scopes
+
+
+@query
+def development_reasons(s, d):
+    development, _, scopes = campaigns(s, d)
+    members = development.where("human_verdict is not null or judge_verdict <> 'pass'").select("evidence_id")
+    return eligibility.development_reasons(members, development, scopes, "diagnostic-development", 1, eligibility.STRATIFIED)
+
+
+@query
+def evaluation_reasons(s, d):
+    development, evaluation, scopes = campaigns(s, d)
+    members = evaluation.where("eligible").select("evidence_id")
+    return eligibility.evaluation_reasons(members, evaluation, development, scopes, "held-out-evaluation", 0, ["evidence_id", "structural_family"])
+
+
 # --- tasks
 
 
