@@ -29,12 +29,12 @@ def _star(links: DataFrame, both: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(links: DataFrame, name: str = "components", rounds: int = 100) -> DataFrame:
-    """node, component (the smallest node of its component) for every node of ``links`` (a, b: comparable ids; nulls and loops no part)."""
-    now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+def components(links: DataFrame, name: str = "components", rows: int | None = None, rounds: int = 100) -> DataFrame:
+    """node, component (the smallest node of its component) for every node of ``links`` (a, b: comparable ids; nulls and loops no part); ``rows``: how many links there are at most, if known."""
+    now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name, rows)
     state = None
     for _ in range(rounds):
-        now = written(_star(_star(now, True), False), name)
+        now = written(_star(_star(now, True), False), name, rows if state is None else state[0])
         total = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if tuple(total) == state:
             break

@@ -7,16 +7,18 @@ shares at least ceil(t n) with it.  So
 
 1. documents with equal sets are one class;
 2. of any order of shingles, two linked sets share at least l of the first
-   n - ceil(t n) + l of each: a first pass over the smallest hashes drops the
-   classes that share too few with anyone, before most shingles are moved;
-3. of the classes left, those with fewer than ceil(t n) shingles that occur
-   again are dropped; the rarest n - ceil(t n) + 1 of each are its prefix;
+   n - ceil(t n) + l of each.  In the order of hashes these are a quarter of all
+   shingles; they are sorted by shingle once, and only those that another class
+   has too go on;
+3. classes with fewer than l of these left are dropped; of the others the
+   rarest, all but l - 1, are the prefix;
 4. every class is multiplied with the hubs (smallest classes) of its prefix
-   columns, and classes that share a hub column form a cluster;
-5. in each cluster the rows that didn't link to its main hub are multiplied,
-   in blocks of bounded size, with all its rows, accumulating overlap counts
-   shingle by shingle and skipping pairs beyond the size bounds or already
-   connected.
+   columns; what links is a component so far, and classes that share a hub
+   column form a cluster, which no link leaves;
+5. in clusters of several components the rows are dealt into size bands; only
+   neighbouring bands can link.  Blocks of bands are multiplied, accumulating
+   overlap counts shingle by shingle and skipping pairs beyond the size bounds
+   or in one component already.
 
 Linked copies so cost one product each, not one for each pair, and no pair of
 texts in different components is left out.
@@ -24,6 +26,7 @@ texts in different components is left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +35,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from .bits import bit_table, position, tested
 from .components import components
-from .storage import written
+from .storage import scratch, written
 from .words import distinct, mixed, shingles, slices
 
 
@@ -43,13 +48,18 @@ def needed(n, percent: int):
     return F.floor((n * percent + 99) / F.lit(100)).cast("long") if not isinstance(n, int) else -(-n * percent // 100)
 
 
-def shingle_sets(docs: DataFrame, size: int, doc_id: str, text: str, spare: int | None, percent: int) -> DataFrame:
-    """row (a number of its own), doc_id, n (distinct shingles), s1 and s2 (a 128-bit signature of the set) and grams: all hashes, or with ``spare`` the smallest n - needed + floor(n / spare) + 1."""
+def shingle_sets(docs: DataFrame, size: int, doc_id: str, text: str, spare: int | None, percent: int, only: np.ndarray | None = None) -> DataFrame:
+    """row (a number of its own), doc_id, n (distinct shingles), s1 and s2 (a 128-bit signature of the set) and grams: all hashes, or with ``spare`` the smallest n - needed + floor(n / spare) + 1.
+
+    ``only``, a bit table by hash of the id, leaves out rows whose bit isn't set.
+    """
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
+            if only is not None:
+                batch = batch.filter(pa.array(tested(only, batch.column(2).to_numpy())))
             for first, w, _, bounds in slices(batch.column(1)):
                 rows = len(bounds) - 1
                 row, h = distinct(*shingles(w, size))
@@ -65,31 +75,48 @@ def shingle_sets(docs: DataFrame, size: int, doc_id: str, text: str, spare: int
                 number += rows
                 yield pa.RecordBatch.from_arrays([pa.array(numbers), batch.column(0).slice(first, rows), pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), lists], names=["row", "doc_id", "n", "s1", "s2", "grams"])
 
-    return docs.select(doc_id, text).mapInArrow(make, f"row long, doc_id {id_type}, n long, s1 long, s2 long, grams array<long>")
-
-
-class Forest:
-    """Disjoint sets of the numbers 0 to n - 1."""
+    wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    if only is not None:
+        wanted = wanted.withColumn("bit", position(F.col("doc_id"), len(only) * 8))
+    return wanted.mapInArrow(make, f"row long, doc_id {id_type}, n long, s1 long, s2 long, grams array<long>")
 
-    def __init__(self, n: int) -> None:
-        self.up = np.arange(n)
 
-    def top(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = x = self.up[self.up[x]]
-        return int(x)
+def repeated(rows: DataFrame) -> DataFrame:
+    """Distinct rows (gram, cid, n) whose gram more than one cid has.
 
-    def tops(self) -> np.ndarray:
-        while not np.array_equal(higher := self.up[self.up], self.up):
-            self.up = higher
-        return self.up
-
-
-def block_links(ids: np.ndarray, sets: list[np.ndarray], linked: np.ndarray, open_rows: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what rows in ``open_rows`` have to do with any row, none between rows that are connected already.
+    Sorted partitions are read as a stream, so a gram of any number of rows
+    takes no memory but its first row's.
+    """
 
-    ``linked`` marks rows known to be connected with each other.  The product
-    of one row with all others is accumulated from the columns of its shingles.
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[int, int, int] | None = None
+        told = False  # whether the last row is out already
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gram, cid, n = (batch.column(k).to_numpy() for k in range(3))
+            if last is not None:
+                gram, cid, n = (np.concatenate([[x], y]) for x, y in zip(last, (gram, cid, n), strict=True))
+            fresh = np.ones(len(gram), dtype=bool)
+            fresh[1:] = (gram[1:] != gram[:-1]) | (cid[1:] != cid[:-1])
+            gram, cid, n = gram[fresh], cid[fresh], n[fresh]
+            emit = np.zeros(len(gram), dtype=bool)
+            emit[1:] = gram[1:] == gram[:-1]
+            emit[:-1] |= emit[1:].copy()
+            ends_shared = bool(emit[-1]) or (told and len(gram) == 1)
+            if told and last is not None:
+                emit[0] = False
+            told, last = ends_shared, (gram[-1], cid[-1], n[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[emit]) for x in (gram, cid, n)], names=["gram", "cid", "n"])
+
+    return rows.select("gram", "cid", "n").repartition("gram").sortWithinPartitions("gram", "cid").mapInArrow(keep, "gram long, cid long, n long")
+
+
+def block_links(ids: np.ndarray, sets: list[np.ndarray], component: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between rows marked ``left`` and ``right`` that connect all of these that link, none within a ``component`` or found twice.
+
+    The product of one row with all others is accumulated from the columns of
+    its shingles.
     """
     n = np.array([len(s) for s in sets])
     columns, at = np.unique(np.concatenate(sets), return_inverse=True)
@@ -97,73 +124,91 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], linked: np.ndarray, ope
     starts = np.concatenate([[0], np.cumsum(n)])
     order = np.argsort(at, kind="stable")
     held, ends = owner[order], np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(columns)))])
-    forest, out = Forest(len(sets)), []
-    if linked.any():
-        forest.up[linked] = np.flatnonzero(linked)[0]
-    for row in open_rows:
-        mine = at[starts[row] : starts[row + 1]]
-        tops = forest.tops()
-        fits = (tops != tops[row]) & (100 * np.minimum(n, n[row]) >= percent * np.maximum(n, n[row]))
+    tops, out = np.unique(component, return_inverse=True)[1], []
+    rows, others = np.flatnonzero(left), right
+    if right.sum() < left.sum():
+        rows, others = np.flatnonzero(right), left
+    for row in rows:
+        fits = others & (tops != tops[row]) & (100 * np.minimum(n, n[row]) >= percent * np.maximum(n, n[row]))
         if not fits.any():
             continue
+        mine = at[starts[row] : starts[row + 1]]
         overlap = np.bincount(np.concatenate([held[ends[c] : ends[c + 1]] for c in mine]), minlength=len(sets))
-        hits = np.flatnonzero(fits & (100 * overlap >= percent * (n + n[row] - overlap)))
-        for hit in hits:
-            a, b = forest.top(int(hit)), forest.top(int(row))
-            if a != b:
-                forest.up[a] = b
+        for hit in np.flatnonzero(fits & (100 * overlap >= percent * (n + n[row] - overlap))):
+            if tops[hit] != tops[row]:
+                tops[tops == tops[hit]] = tops[row]
                 out.append((int(ids[row]), int(ids[hit])))
     return out
 
 
-def residual_links(clusters: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (a, b) in each cluster that its main hub leaves open; ``clusters``: node, n, cluster, linked (with the main hub).
+def residual_links(nodes: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (a, b) between components of a cluster; ``nodes``: node, n, cluster, component.
 
-    A cluster is dealt into parts of at most about ``block`` rows and 512 x
-    ``block`` shingles; each pair of parts with an open row is a task.
+    A band of sizes is dealt into parts of at most about ``block`` rows and
+    512 x ``block`` shingles; each pair of parts of a band, or of a band and
+    the next, is a task.
     """
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("held"), F.count_if(~F.col("linked")).alias("open")).where("open > 0")
-    parts = F.greatest(F.floor((F.col("m") + block - 1) / F.lit(block)), F.floor(F.col("held") / F.lit(512 * block)) + 1)
-    rows = clusters.join(sizes, "cluster").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
-    beside = F.transform(every, lambda p: F.struct(p.alias("left"), F.col("part").alias("right")))
-    opened = F.transform(every, lambda p: F.struct(F.col("part").alias("left"), p.alias("right")))
-    tasks = F.array_distinct(F.when(F.col("linked"), beside).otherwise(F.concat(beside, opened)))
-    dealt = rows.withColumn("task", F.explode(tasks)).select("cluster", "task.left", "task.right", "part", "node", "linked")
+    several = nodes.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("cluster")
+    width = math.log(101 / percent)
+    rows = nodes.join(several, "cluster").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)))
+    sizes = rows.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("held"))
+    sizes = sizes.withColumn("parts", F.greatest(F.floor((F.col("m") + block - 1) / F.lit(block)), F.floor(F.col("held") / F.lit(512 * block)) + 1)).select("cluster", "band", "parts")
+    bands = Window.partitionBy("cluster").orderBy("band").rangeBetween(1, 1)
+    below = Window.partitionBy("cluster").orderBy("band").rangeBetween(-1, -1)
+    sizes = sizes.withColumn("above_parts", F.coalesce(F.max("parts").over(bands), F.lit(0))).withColumn("below_parts", F.coalesce(F.max("parts").over(below), F.lit(0)))
+    rows = rows.join(sizes, ["cluster", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+
+    def upto(n):
+        return F.when(n > 0, F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def task(band, left, right_band, right, as_left, as_right):
+        return F.struct(band.alias("band"), left.alias("left"), right_band.alias("right_band"), right.alias("right"), as_left.alias("as_left"), as_right.alias("as_right"))
+
+    band, part, yes, no = F.col("band"), F.col("part"), F.lit(True), F.lit(False)
+    tasks = F.concat(
+        F.transform(upto(F.col("parts")), lambda p: task(band, F.least(p, part), band, F.greatest(p, part), p >= part, p <= part)),
+        F.transform(upto(F.col("above_parts")), lambda p: task(band, part, band + 1, p, yes, no)),
+        F.transform(upto(F.col("below_parts")), lambda p: task(band - 1, p, band, part, no, yes)),
+    )
+    dealt = rows.withColumn("task", F.explode(tasks)).select("cluster", "node", "component", "task.*")
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        linked = pdf["linked"].to_numpy(bool)
-        mine = np.flatnonzero(~linked & (pdf["part"] == pdf["left"]).to_numpy())
-        got = block_links(pdf["node"].to_numpy(), [np.asarray(g) for g in pdf["grams"]], linked, mine, percent) if len(mine) else []
+        got = []
+        if pdf["component"].nunique() > 1:
+            got = block_links(pdf["node"].to_numpy(), [np.asarray(g) for g in pdf["grams"]], pdf["component"].to_numpy(), pdf["as_left"].to_numpy(bool), pdf["as_right"].to_numpy(bool), percent)
         return pd.DataFrame(got, columns=["a", "b"]).astype("int64")
 
-    return dealt.join(sets.select(F.col("cid").alias("node"), "grams"), "node").groupBy("cluster", "left", "right").applyInPandas(multiply, "a long, b long")
+    joined = dealt.join(sets.select(F.col("cid").alias("node"), "grams"), "node")
+    return joined.groupBy("cluster", "band", "left", "right_band", "right").applyInPandas(multiply, "a long, b long")
 
 
-def class_links(sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (a, b) between classes that have the same components as all links; ``sets``: cid, n, grams."""
-    cells = sets.select("cid", "n", F.explode("grams").alias("gram"))
+def candidates(shared: DataFrame, share, spare: int) -> DataFrame:
+    """Distinct pairs (cid, n, hub) of a class and the smallest one of a column of its prefix; ``shared``: gram, cid, n."""
+    alive = shared.groupBy("cid").agg(F.count(F.lit(1)).alias("held"), F.first("n").alias("n")).where(F.col("held") >= share).select("cid")
+    rows = shared.count()
+    cells = written(shared.join(alive, "cid", "left_semi"), "cells", rows)
     again = cells.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    least = needed(F.col("n"), percent)
-    ranked = cells.join(again, "gram").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("columns")).where(F.size("columns") >= least)
-    prefix = written(ranked.select("cid", "n", F.explode(F.slice("columns", F.lit(1), (F.size("columns") - least + 1).cast("int"))).alias("c")).select("cid", "n", "c.gram"), "rare")
+    ranked = cells.join(again, "gram").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("columns")).where(F.size("columns") >= share)
+    prefix = written(ranked.select("cid", "n", F.explode(F.slice("columns", F.lit(1), (F.size("columns") - share + 1).cast("int"))).alias("c")).select("cid", "n", "c.gram"), "rare", rows)
     hubs = prefix.groupBy("gram").agg(F.min("cid").alias("hub"))
-    pairs = written(prefix.join(hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs")
-    clusters = written(components(pairs.select(F.col("cid").alias("a"), F.col("hub").alias("b"))), "clusters")
-    counts = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("of")).join(clusters, F.col("hub") == F.col("node"))
-    main = counts.groupBy(F.col("component").alias("cluster")).agg(F.max_by("hub", F.struct("of", "hub")).alias("hub"))
-    hub = main.join(sets, F.col("hub") == F.col("cid")).select("hub", F.col("n").alias("hub_n"), F.col("grams").alias("hub_grams"))
-    near = pairs.join(main.select("hub"), "hub", "left_semi").join(sets.select("cid", "grams"), "cid").join(hub, "hub")
-    near = near.where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+    return written(prefix.join(hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs", rows)
+
+
+def class_links(pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (a, b) between classes that have the same components as all links; ``pairs`` as from candidates(), ``sets``: cid, n, grams."""
+    rows = pairs.count()
+    hubs = sets.select(F.col("cid").alias("hub"), F.col("n").alias("hub_n"), F.col("grams").alias("hub_grams"))
+    sized = pairs.join(hubs.select("hub", "hub_n"), "hub").where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")).select("cid", "n", "hub")
+    near = sized.join(sets.select("cid", "grams"), "cid").join(hubs, "hub")
     overlap = F.size(F.array_intersect("grams", "hub_grams"))
-    starred = written(near.where(100 * overlap >= percent * (F.col("n") + F.col("hub_n") - overlap)).select(F.col("cid").alias("a"), F.col("hub").alias("b")), "starred")
-    linked = starred.select(F.col("a").alias("node")).unionByName(main.select(F.col("hub").alias("node"))).distinct().withColumn("linked", F.lit(True))
-    marked = clusters.join(sets.select(F.col("cid").alias("node"), "n"), "node").join(linked, "node", "left")
-    marked = written(marked.select("node", "n", F.col("component").alias("cluster"), F.coalesce("linked", F.lit(False)).alias("linked")), "marked")
-    return starred.unionByName(residual_links(marked, sets, percent, block))
+    linked = written(near.where(100 * overlap >= percent * (F.col("n") + F.col("hub_n") - overlap)).select(F.col("cid").alias("a"), F.col("hub").alias("b")), "linked", rows)
+    clusters = components(pairs.select(F.col("cid").alias("a"), F.col("hub").alias("b")), "clusters", rows).withColumnRenamed("component", "cluster")
+    nodes = sets.select(F.col("cid").alias("node"), "n").join(clusters, "node").join(components(linked, "linked", rows), "node", "left")
+    nodes = written(nodes.withColumn("component", F.coalesce("component", "node")), "nodes", rows)
+    return linked.unionByName(residual_links(nodes, sets, percent, block))
 
 
-def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block: int = 1024, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs``.
 
     Two documents link where 100 x overlap >= ``percent`` x union of their sets
@@ -173,19 +218,25 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block:
     component's id only where there is no other.  Shingles are 64-bit hashes,
     sets are equal if their 128-bit signatures and sizes are.
     """
+    with scratch(docs.sparkSession):
+        return written(_components(docs, percent, size, block, doc_id, text), "found", keep=True)
+
+
+def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: str, text: str) -> DataFrame:
     spare = 20
     cid = F.xxhash64("n", "s1", "s2").alias("cid")
     sets = written(shingle_sets(docs, size, doc_id, text, spare, percent), "sets")
     some = sets.where("n > 0").select(cid, "n", "row", "doc_id", "grams")
-    classes = written(some.groupBy("cid", "n").agg(F.min("row").alias("row"), F.min("doc_id").alias("doc_id")), "classes")
-    prefix = some.join(classes.select("row"), "row", "left_semi").select("cid", "n", F.explode("grams").alias("gram"))
-    again = prefix.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("gram")
+    classes = written(some.groupBy("cid").agg(F.min("doc_id").alias("doc_id")), "classes")
+    shared = written(repeated(some.select("cid", "n", F.explode("grams").alias("gram"))), "shared")
     share = F.floor(needed(F.col("n"), percent) / F.lit(spare)) + 1
-    alive = prefix.join(again, "gram", "left_semi").groupBy("cid", "n").agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= share)
-    alive = written(alive.join(classes.select("cid", "doc_id"), "cid").select("cid", "doc_id"), "alive")
-    again_read = docs.select(doc_id, text).join(alive.select(F.col("doc_id").alias("__q_id")).distinct(), F.col(doc_id).eqNullSafe(F.col("__q_id")), "left_semi")
-    full = shingle_sets(again_read, size, doc_id, text, None, percent).select(cid, "n", "grams").join(alive.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
-    joined = components(class_links(written(full, "full"), percent, block))
+    pairs = candidates(shared, share, spare)
+    asked = pairs.select("cid").unionByName(pairs.select(F.col("hub").alias("cid"))).distinct()
+    n_pairs = pairs.count()
+    asked = written(asked.join(classes, "cid"), "asked", 2 * n_pairs)
+    full = shingle_sets(docs, size, doc_id, text, None, percent, bit_table(asked, "doc_id")).where("n > 0").select(cid, "n", "grams")
+    full = written(full.join(asked.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "full")
+    joined = components(class_links(pairs, full, percent, block), rows=2 * n_pairs)
     roots = joined.join(classes.select(F.col("cid").alias("node"), "doc_id"), "node")
     least = roots.groupBy("component").agg(F.min("doc_id").alias("root"))
     placed = classes.join(roots.join(least, "component").select(F.col("node").alias("cid"), "root"), "cid", "left").select("cid", F.coalesce("root", "doc_id").alias("root"))

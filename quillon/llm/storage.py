@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _OWN: dict[str, str] = {}
+_SCRATCH: ContextVar[tuple[str, ...]] = ContextVar("scratch", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,14 +31,36 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[app]
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str, within: str | None = None) -> str:
+    return f"{within or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written inside, other than those to ``keep``, are deleted at the end."""
+    outer = _SCRATCH.get()
+    path = new_path(spark, "scratch", outer[-1] if outer else None)
+    token = _SCRATCH.set((*outer, path))
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def written(df: DataFrame, name: str, rows: int | None = None, keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Where about how many ``rows`` it has is known, it becomes no more files
+    than they need.  ``keep`` lets it outlive the innermost scratch().
+    """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    within = _SCRATCH.get()
+    within = within[: len(within) - keep]
+    if rows is not None:
+        df = df.coalesce(max(8, rows // 100_000))
+    path = new_path(spark, name, within[-1] if within else None)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
