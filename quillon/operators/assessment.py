@@ -45,3 +45,63 @@ def assess_contacts(episodes: DataFrame) -> DataFrame:
         *episodes.columns, "checks", F.coalesce(F.forall("checks", lambda c: c["passed"]), F.lit(False)).alias("passed"), F.coalesce(failed, F.array(F.lit("incomplete"))).alias("reason_codes"),
         F.when(F.col("checks").isNull(), "incomplete").otherwise(F.concat_ws(".", F.lit("contacts"), family, F.when(F.coalesce(F.col("verified"), F.lit(False)), "verified").otherwise(F.col("route")))).alias("structural_key"),
     )
+
+
+# By action, the tool that finds the target, its check, and for changes the tools that record and read back with their checks.
+ACTIONS = {
+    "search_messages": ("search_messages", "requested_message_observed", None, None, None, None),
+    "create_reminder": ("search_messages", "message_condition_observed", "create_reminder", "requested_reminder_recorded", "get_reminder", "saved_reminder_observed"),
+    "create_draft_reply": ("search_messages", "message_condition_observed", "create_draft_reply", "requested_draft_recorded", "get_draft_reply", "saved_draft_observed"),
+    "search_workspace_items": ("search_workspace_items", "requested_item_observed", None, None, None, None),
+    "create_workspace_task": ("search_workspace_items", "project_condition_observed", "create_workspace_task", "requested_task_created", "get_workspace_task", "saved_task_observed"),
+    "add_workspace_comment": ("search_workspace_items", "task_condition_observed", "add_workspace_comment", "requested_comment_added", "get_workspace_comment", "saved_comment_observed"),
+}
+MISSING = ("not found", "unavailable", "no matching")
+
+
+def assess_targets(episodes: DataFrame) -> DataFrame:
+    """SQ-3 to SQ-9: checks, passed and reason_codes of message and workspace episodes.
+
+    An episode has action (of ACTIONS), missing (a search whose item isn't
+    there), verified, authorized, target (an id, for missing items a query),
+    required (a map that the one change must carry), grounding (texts that the
+    last final response must hold) and events (event_type, tool_name, target,
+    details, content, error_code), in order.  Unknown actions are incomplete.
+    """
+    events = F.coalesce(F.col("events"), F.array().cast(episodes.schema["events"].dataType))
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    changes = F.filter(events, lambda e: e["event_type"] == "state_change")
+    final = _last_response(events)
+    grounded = yes(F.forall(F.coalesce(F.col("grounding"), F.array().cast("array<string>")), lambda value: _holds(final, value))) & final.isNotNull()
+
+    def observed(tool: str) -> Column:
+        return F.exists(events, lambda e: yes((e["event_type"] == "observation") & (e["tool_name"] == tool) & (e["target"] == F.col("target"))))
+
+    def changed_by(tool: str) -> Column:
+        return F.exists(changes, lambda e: yes(e["tool_name"] == tool))
+
+    def check(name: str, passed: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), yes(passed).alias("passed"))
+
+    required = F.coalesce(F.col("required"), F.create_map().cast("map<string,string>"))
+    carries = F.exists(changes, lambda e: yes(e["target"] == F.col("target")) & F.forall(F.map_entries(required), lambda r: yes(F.try_element_at(e["details"], r["key"]) == r["value"])))
+    asked = F.array_position(F.transform(events, lambda e: yes((e["event_type"] == "action") & (e["target"] == F.col("target")))), F.lit(True))
+    absent = F.array_position(F.transform(events, lambda e: yes((e["event_type"] == "error") & (e["error_code"] == "item_not_found"))), F.lit(True))
+    later = F.exists(F.transform(events, lambda e, k: yes((e["event_type"] == "error") & (e["error_code"] == "item_not_found")) & (k + 1 > asked)), lambda hit: hit)
+    said = F.lit(False)
+    for phrase in MISSING:
+        said = said | _holds(final, F.lit(phrase))
+    none = F.array(check("missing_item_observed", (asked > 0) & (absent > 0) & later), check("no_unintended_state_changes", F.size(changes) == 0), check("final_response_grounded", grounded & said))
+    checks = F.when((F.col("action") == "search_workspace_items") & yes(F.col("missing")), none)
+    for action, (find, found, record, recorded, read, saved) in ACTIONS.items():
+        if record is None:
+            rows = F.array(check(found, observed(find)), check("no_unintended_state_changes", F.size(changes) == 0), check("final_response_grounded", grounded))
+        else:
+            rows = F.array(
+                check(found, observed(find)), check("authorized_mutation", F.col("authorized")), check(recorded, carries & changed_by(record)), check("no_unintended_state_changes", F.size(changes) == 1),
+                check(saved, observed(read) | ~yes(F.col("verified"))), check("final_response_grounded", grounded),
+            )
+        checks = checks.when(F.col("action") == action, rows)
+    out = episodes.withColumn("checks", checks)
+    failed = F.transform(F.filter("checks", lambda c: ~c["passed"]), lambda c: F.concat(c["name"], F.lit("_failed")))
+    return out.withColumn("passed", yes(F.forall("checks", lambda c: c["passed"]))).withColumn("reason_codes", F.coalesce(failed, F.array(F.lit("incomplete"))))

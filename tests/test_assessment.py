@@ -28,3 +28,27 @@ def test_contact_episodes(spark):
     assert got[3]["passed"] and got[3]["structural_key"] == "contacts.followup.direct"
     assert got[4]["reason_codes"] == ["no_unintended_state_changes_failed", "saved_followup_observed_failed"] and got[4]["structural_key"] == "contacts.followup.verified"
     assert not got[5]["passed"] and got[5]["structural_key"] == "incomplete" and got[5]["reason_codes"] == ["incomplete"]
+
+
+def test_message_and_workspace_episodes(spark):
+    from quillon.operators.assessment import assess_targets
+
+    def e(kind, tool=None, target=None, details=None, content=None, error=None):
+        return (kind, tool, target, details, content, error)
+
+    seen, response = e("observation", "search_messages", "m1"), e("final_response", content="Reminder for invoice set")
+    change = e("state_change", "create_reminder", "m1", {"text": "x", "at": "t"})
+    looked, lost = e("action", "search_workspace_items", "roadmap"), e("error", "search_workspace_items", error="item_not_found")
+    rows = [
+        (1, "create_reminder", False, False, True, "m1", {"text": "x"}, ["invoice"], [seen, change, response]),
+        (2, "create_reminder", False, True, False, "m1", {"text": "y"}, ["other"], [seen, change, change, response]),
+        (3, "search_messages", False, False, False, "m1", None, ["INVOICE"], [seen, response]),
+        (4, "search_workspace_items", True, False, False, "roadmap", None, [], [looked, lost, e("final_response", content="It is not found.")]),
+        (5, "search_workspace_items", True, False, False, "roadmap", None, [], [lost, looked, e("final_response", content="done")]),
+        (6, "dance", False, False, False, None, None, None, None),
+    ]
+    schema = "id int, action string, missing boolean, verified boolean, authorized boolean, target string, required map<string,string>, grounding array<string>, events array<struct<event_type:string,tool_name:string,target:string,details:map<string,string>,content:string,error_code:string>>"
+    got = {r["id"]: r["reason_codes"] for r in assess_targets(spark.createDataFrame(rows, schema)).collect()}
+    assert got[1] == [] and got[3] == [] and got[4] == [] and got[6] == ["incomplete"]
+    assert got[2] == ["authorized_mutation_failed", "requested_reminder_recorded_failed", "no_unintended_state_changes_failed", "saved_reminder_observed_failed", "final_response_grounded_failed"]
+    assert got[5] == ["missing_item_observed_failed", "final_response_grounded_failed"]
