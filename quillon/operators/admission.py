@@ -98,3 +98,17 @@ def recovered_state(work: DataFrame) -> DataFrame:
     """SF-2: work in flight goes back to compiled where a case exists, else to pending."""
     flying = F.col("status").isin("generating", "running")
     return work.withColumn("recovered", F.when(flying, F.when(F.col("has_case"), "compiled").otherwise("pending")).otherwise(F.col("status")))
+
+
+def enforced(admitted: DataFrame, judgments: DataFrame) -> DataFrame:
+    """PRD-27: what passed every gate is admitted only where its judgment (sequence, judge_verdict) passed; a missing one is unavailable.
+
+    Everything else keeps its outcome.
+    """
+    at = admitted.join(judgments.select("sequence", "judge_verdict"), "sequence", "left")
+    verdict = F.coalesce("judge_verdict", F.lit("unavailable"))
+    refused = F.col("admitted") & (verdict != "pass")
+    return at.select(
+        *[c for c in admitted.columns if c not in ("admitted", "collection", "reason_code")], (F.col("admitted") & ~refused).alias("admitted"),
+        F.when(refused, "negatives").otherwise(F.col("collection")).alias("collection"), F.when(refused, F.concat(F.lit("semantic_judge_"), verdict)).otherwise(F.col("reason_code")).alias("reason_code"),
+    )

@@ -75,6 +75,9 @@ select domain_id, sequence, admitted from c where before < 40""",
     "largest_family_share": f"with {_ADMITTED}, f as (select domain_id, structural_key, count(*) as n from adm where admitted group by all) select domain_id, count(*) as family_count, max(n) as largest_family, cast(sum(n) as bigint) as admitted_count from f group by domain_id",
     "rejection_causes": f"with {_ADMITTED} select domain_id, coalesce(reason_code, 'unspecified') as reason_code, count(*) as n from adm where not admitted group by all",
     "quality_report": f"with {_ADMITTED} select domain_id, collection, reason_code, count(*) as n, count(distinct structural_key) as families from adm group by all",
+    "enforced_admission": f"""with {_ADMITTED}, j as (select adm.*, coalesce(e.judge_verdict, 'unavailable') as v from adm left join evidence_v e on e.evidence_id * 3 = adm.sequence),
+k as (select admitted and v = 'pass' as a, case when admitted and v <> 'pass' then 'negatives' else collection end as collection, case when admitted and v <> 'pass' then 'semantic_judge_' || v else reason_code end as reason_code from j)
+select collection, reason_code, count(*) as n, count(*) filter (a) as admitted from k group by all""",
     "generation_batches": "select cast(floor((sequence - 1) / 8) as bigint) as batch, min(sequence) as first_sequence, max(sequence) as last_sequence, count(*) as slots from episodes_v group by all",
     "run_status_case": f"""with {_ADMITTED}, r as (select domain_id, count(*) as t, count(*) filter (admitted) as accepted_count from adm group by domain_id)
 select domain_id, accepted_count, case when accepted_count >= 300 then 'completed' else 'partial' end as status,

@@ -138,6 +138,12 @@ def quality_report(s, d):
     return admitted(s, d).groupBy("domain_id", "collection", "reason_code").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("structural_key").alias("families"))
 
 
+@query
+def enforced_admission(s, d):
+    judgments = view(s, d, "evidence_v").select((F.col("evidence_id") * 3).alias("sequence"), "judge_verdict")
+    return admission.enforced(admitted(s, d), judgments).groupBy("collection", "reason_code").agg(F.count(F.lit(1)).alias("n"), F.count_if("admitted").alias("admitted"))
+
+
 @query
 def generation_batches(s, d):
     return admission.generation_batches(view(s, d, "episodes_v"), BATCH)
