@@ -12,7 +12,12 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Add this package to the files of ``spark``'s application, once; what ``--py-files`` does on submission."""
+    """Add this package to the files of ``spark``'s application, once; what ``--py-files`` does on submission.
+
+    Batches to and from Python are held to 4 MB, so long texts don't fill the
+    workers.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         top = Path(__file__).resolve().parent
