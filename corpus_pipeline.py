@@ -41,7 +41,6 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     ship(spark)
     found = jaccard_components(docs.select("doc_id", "text"))
-    found = written(found, "found")
     others = found.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select("doc_id")
     repeats = found.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     kept = without_keys(docs, others.unionByName(repeats), "doc_id")

@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 1 << 24
+from .storage import written
+
+BITS = 1 << 22
 
 
 def position(key: Column, bits: int = BITS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(bits))
 
 
-def bit_table(keys: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
-    """The bits of all ``keys`` set in a table of ``bits``: 2 MB for any number of keys; the fuller, the more others pass."""
+def _words(keys: DataFrame, key: str, bits: int) -> DataFrame:
     at = keys.select(position(F.col(key), bits).alias("at"))
-    words = at.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 as int))")).alias("held")).toPandas()
+    return at.groupBy(F.shiftright("at", 5).alias("__q_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 32 as int))")).alias("__q_held"))
+
+
+def bit_table(keys: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
+    """The bits of all ``keys`` set in a table of ``bits``: 0.5 MB for any number of keys; the fuller, the more others pass."""
+    words = _words(keys, key, bits).toPandas()
     out = np.zeros(bits // 32, dtype="<u4")
-    out[words["word"].to_numpy(np.int64)] = words["held"].to_numpy(np.int64).astype("<u4")
+    out[words["__q_word"].to_numpy(np.int64)] = words["__q_held"].to_numpy(np.int64).astype("<u4")
     return out.view(np.uint8)
 
 
@@ -27,12 +32,18 @@ def tested(table: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
-def bit_test(table: np.ndarray, key: Column) -> Column:
-    @F.pandas_udf("boolean")
-    def test(at: pd.Series) -> pd.Series:
-        return pd.Series(tested(table, at.to_numpy()))
+def divided(rows: DataFrame, keys: DataFrame, key: str, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those that may have one of ``keys``, and those that have none.
 
-    return test(position(key, len(table) * 8))
+    The table is broadcast as at most ``bits`` / 32 rows of 16 bytes (2 MB),
+    whatever the number of keys.
+    """
+    words = written(_words(keys, key, bits), "bits", 0)
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    at = rows.withColumn("__q_at", position(F.col(key), bits)).withColumn("__q_word", F.shiftright("__q_at", 5))
+    hit = F.coalesce(F.expr("shiftright(__q_held, cast(__q_at % 32 as int)) & 1") == 1, F.lit(False))
+    joined = at.join(F.broadcast(words), "__q_word", "left").withColumn("__q_hit", hit)
+    return joined.where("__q_hit").select(*names), joined.where("not __q_hit").select(*names)
 
 
 def without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -41,5 +52,5 @@ def without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     Only rows that the bit table can't clear are shuffled.
     """
     keys = keys.select(key).distinct()
-    hit = bit_test(bit_table(keys, key), F.col(key))
-    return rows.where(~hit).unionByName(rows.where(hit).join(keys, key, "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns]))
+    hit, clear = divided(rows, keys, key)
+    return clear.unionByName(hit.join(keys.hint("merge"), key, "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns]))

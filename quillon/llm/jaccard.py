@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,9 +43,9 @@ from .storage import scratch, written
 from .words import distinct, mixed, shingles, slices
 
 
-def needed(n, percent: int):
-    """ceil(percent * n / 100), for columns and numbers."""
-    return F.floor((n * percent + 99) / F.lit(100)).cast("long") if not isinstance(n, int) else -(-n * percent // 100)
+def needed(n: Column, percent: int) -> Column:
+    """ceil(percent * n / 100)."""
+    return F.floor((n * percent + 99) / F.lit(100)).cast("long")
 
 
 def shingle_sets(docs: DataFrame, size: int, doc_id: str, text: str, spare: int | None, percent: int, only: np.ndarray | None = None) -> DataFrame:

@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bits import bit_table, bit_test
-from .storage import written
+from .bits import divided
+from .storage import scratch, written
 from .words import mixed
 
 GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
@@ -52,8 +52,8 @@ def chunk_ends(data: np.ndarray, bits: int = 2) -> np.ndarray:
     return np.flatnonzero(cut) + 1
 
 
-def chunked(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """A written copy of ``docs`` with a number ``__q_row`` for each row, and its chunks: __q_row, __q_id, digests, bytes, words."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """A written copy of ``docs`` with a number ``__q_row`` for each row."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
@@ -62,7 +62,11 @@ def chunked(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFra
             first += batch.num_rows
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    copy = written(docs.mapInArrow(number, f"__q_row long, {types}"), "copy")
+    return written(docs.mapInArrow(number, f"__q_row long, {types}"), "copy")
+
+
+def chunked(copy: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The chunks of a numbered copy's texts: __q_row, __q_id, digests, bytes, words."""
 
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,9 +86,9 @@ def chunked(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFra
             flat = lambda parts: np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)] + [pa.ListArray.from_arrays(at, pa.array(x)) for x in (np.array(digests, np.uint64).view(np.int64), flat(sizes), flat(words))], names=["__q_row", "__q_id", "digests", "bytes", "words"])
 
-    id_type = docs.schema[doc_id].dataType.simpleString()
+    id_type = copy.schema[doc_id].dataType.simpleString()
     chunks = copy.select("__q_row", F.col(f"`{text}`"), F.col(f"`{doc_id}`")).mapInArrow(chunk, f"__q_row long, __q_id {id_type}, digests array<long>, bytes array<int>, words array<int>")
-    return copy, written(chunks, "chunks")
+    return written(chunks, "chunks")
 
 
 def later(occurrences: DataFrame) -> DataFrame:
@@ -135,8 +139,7 @@ def dedup_substrings(docs: DataFrame, least_words: int = 24, least_bytes: int =
     one named ``spans`` is replaced.
     """
     columns = [c for c in docs.columns if c != "spans"]
-    copy, chunks = chunked(docs.select(*[F.col(f"`{c}`") for c in columns]), doc_id, text)
-    again = later(chunks.select("__q_row", "__q_id", F.posexplode("digests").alias("no", "digest")))
+    copy = numbered(docs.select(*[F.col(f"`{c}`") for c in columns]))
 
     @F.pandas_udf("array<struct<start:int,length:int>>")
     def spans(numbers: pd.Series, sizes: pd.Series, words: pd.Series) -> pd.Series:
@@ -146,10 +149,14 @@ def dedup_substrings(docs: DataFrame, least_words: int = 24, least_bytes: int =
     def kept(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         return pd.Series([without(t, [(c["start"], c["length"]) for c in cut]) for t, cut in zip(texts, cuts, strict=True)])
 
-    found = again.groupBy("__q_row").agg(F.collect_list("no").alias("numbers")).join(chunks.select("__q_row", "bytes", "words"), "__q_row")
-    cut = written(found.select("__q_row", spans("numbers", "bytes", "words").alias("spans")).where(F.size("spans") > 0), "spans")
-    touched = bit_test(bit_table(cut, "__q_row"), F.col("__q_row"))
-    changed = copy.where(touched).join(cut, "__q_row", "left")
+    with scratch(docs.sparkSession):
+        chunks = chunked(copy, doc_id, text)
+        again = later(chunks.select("__q_row", "__q_id", F.posexplode("digests").alias("no", "digest")))
+        numbers = again.groupBy("__q_row").agg(F.collect_list("no").alias("numbers"))
+        found = numbers.hint("merge").join(chunks.select("__q_row", "bytes", "words"), "__q_row")
+        cut = written(found.select("__q_row", spans("numbers", "bytes", "words").alias("spans")).where(F.size("spans") > 0), "spans", keep=True)
+    touched, rest = divided(copy, cut, "__q_row")
+    changed = touched.join(cut.hint("merge"), "__q_row", "left")
     changed = changed.withColumn(text, F.when(F.col("spans").isNotNull(), kept(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.coalesce("spans", F.array().cast("array<struct<start:int,length:int>>")))).otherwise(F.col(f"`{text}`")))
-    same = copy.where(~touched).withColumn("spans", F.lit(None).cast("array<struct<start:int,length:int>>"))
+    same = rest.withColumn("spans", F.lit(None).cast("array<struct<start:int,length:int>>"))
     return changed.select(*[F.col(f"`{c}`") for c in columns], "spans").unionByName(same.select(*[F.col(f"`{c}`") for c in columns], "spans"))
