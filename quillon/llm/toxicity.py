@@ -13,9 +13,9 @@ haven't seen, turns them into a probability.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from .storage import written
 
-WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+#: All ASCII but letters becomes a space.
+LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 MOST = 12.0
+FEATURES = list("abcdef")
 
 
 class Model(NamedTuple):
@@ -40,10 +42,15 @@ class Model(NamedTuple):
     prior: float
 
 
+def plain(text: str | None) -> bytes:
+    """The words of a text, lower-cased, with one space between them."""
+    return b" ".join((text or "").lower().encode().translate(LETTERS).split())
+
+
 def segments(text: bytes, stems: tuple[int, ...] = (5, 6, 7)) -> set[bytes]:
-    """The words of a lower-cased text, with a space on either side, and their runs of ``stems`` bytes."""
+    """The words of a plain text, with a space on either side, and their runs of ``stems`` bytes."""
     out = set()
-    for word in set(WORD.findall(text)):
+    for word in set(text.split()):
         padded = b" " + word + b" "
         out.add(padded)
         for n in stems:
@@ -51,19 +58,20 @@ def segments(text: bytes, stems: tuple[int, ...] = (5, 6, 7)) -> set[bytes]:
     return out
 
 
-def windows(text: bytes, size: int) -> list[bytes]:
-    """``text`` in pieces of at most ``size`` bytes, cut at spaces where there is one."""
-    text, out, start = b" " + text + b" ", [], 0
+def windows(text: bytes, size: int, first: int | None = None) -> list[bytes]:
+    """``text`` in pieces of at most ``size`` bytes, the first of ``first``, cut at spaces where there is one."""
+    text, out, start, room = b" " + text + b" ", [], 0, first or size
     while start < len(text) - 1:
-        end = min(len(text) - 1, start + size)
+        end = min(len(text) - 1, start + room)
         if end < len(text) - 1:
-            gap = max(text.rfind(b" ", start + 1, end), text.rfind(b"\n", start + 1, end))
+            gap = text.rfind(b" ", start + 1, end)
             end = gap if gap > start else end
         out.append(text[start : end + 1])
-        start = end
+        start, room = end, size
     return out or [text]
 
 
+@lru_cache(maxsize=4)
 def compressor(content: bytes):
     import zstandard
 
@@ -74,13 +82,20 @@ def compressor(content: bytes):
 
 
 def savings(texts: pd.Series, ordinary: bytes, toxic: bytes, window: int) -> np.ndarray:
-    """A row of features for each text: largest, three largest together, mean, number and share of windows that save at least 3 bytes."""
-    plain, marked = compressor(ordinary), compressor(toxic)
-    out = np.zeros((len(texts), 5))
+    """A row of features for each text, over two divisions into windows, half a window apart.
+
+    The largest saving that both divisions have, and either; the three largest
+    together; the mean; number and share of windows that save at least 3 bytes.
+    """
+    one, other = compressor(ordinary), compressor(toxic)
+    out = np.zeros((len(texts), 6))
     for k, text in enumerate(texts):
-        saved = np.array([len(plain(w)) - len(marked(w)) for w in windows((text or "").lower().encode(), window)])
+        words = plain(text)
+        two = [np.array([len(one(w)) - len(other(w)) for w in windows(words, window, first)]) for first in (window, window // 2)]
+        saved = np.concatenate(two)
         over = (saved >= 3).sum()
-        out[k] = min(MOST, saved.max()), np.minimum(MOST, np.sort(saved)[-3:]).sum(), saved.mean(), math.log1p(over), over / len(saved)
+        tops = [x.max() for x in two]
+        out[k] = min(MOST, *tops), min(MOST, max(tops)), np.minimum(MOST, np.sort(saved)[-6:]).sum() / 2, saved.mean(), math.log1p(over / 2), over / len(saved)
     return out
 
 
@@ -101,7 +116,7 @@ def learn_dictionaries(rows: DataFrame, toxic: int, ordinary: int, ordinary_byte
                 part = pdf.iloc[start : start + 200]
                 seen = Counter(), Counter()
                 for text, label in zip(part["text"], part["toxic"], strict=True):
-                    seen[label].update(segments((text or "").lower().encode()))
+                    seen[label].update(segments(plain(text)))
                 keys = [k for k in seen[0].keys() | seen[1].keys() if k in seen[1] or k[:1] == k[-1:] == b" "]
                 yield pd.DataFrame({"segment": keys, "a": [seen[1][k] for k in keys], "b": [seen[0][k] for k in keys]})
 
@@ -109,13 +124,13 @@ def learn_dictionaries(rows: DataFrame, toxic: int, ordinary: int, ordinary_byte
     word = F.col("segment").substr(1, 1) == F.lit(b" ")
     whole = word & (F.expr("substring(segment, -1, 1)") == F.lit(b" "))
     frequent = counts.where(whole & (F.octet_length("segment") > 4) & (F.col("b") > 0)).orderBy(F.desc("b"), "segment").limit(ordinary_bytes // 4).collect()
-    least = max(5, math.ceil(0.012 * toxic))
+    least = max(5, math.ceil(0.02 * toxic))
     marked = counts.where((F.col("a") >= least) & ((F.col("a") + 0.5) / (toxic + 1) >= 12 * (F.col("b") + 0.5) / (ordinary + 1))).orderBy(F.desc("a"), "b", "segment").limit(8192).collect()
     ground = b"".join(reversed([bytes(r["segment"]) for r in frequent]))[-ordinary_bytes:]
     strong = sorted(((ratio_test(r["a"], r["b"], toxic, ordinary), bytes(r["segment"])) for r in marked), key=lambda x: (-x[0], -len(x[1]), x[1]))
-    held = b""
+    held, limit = b"", max([25.0] + [0.05 * power for power, _ in strong[:1]])
     for power, segment in strong:
-        if power >= 25 and segment not in held and len(held) < toxic_bytes:
+        if power >= limit and segment not in held and len(held) < toxic_bytes:
             held = segment + held
     return ground or b" " * 64, (ground or b" " * 64) + held
 
@@ -161,15 +176,15 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = 2000, ordinary_r
     sizes = {(r["half"], r["toxic"]): r["n"] for r in drawn.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if any(not sizes.get((h, t)) for h in (0, 1) for t in (0, 1)):
         return Model(b"", b"", np.zeros(0), np.zeros(0), np.zeros(0), prior)
-    plain, marked = learn_dictionaries(drawn.where("half = 0"), sizes[0, 1], sizes[0, 0], ordinary_bytes, toxic_bytes)
+    common, marked = learn_dictionaries(drawn.where("half = 0"), sizes[0, 1], sizes[0, 0], ordinary_bytes, toxic_bytes)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = savings(pdf["text"], plain, marked, window)
-            yield pd.DataFrame(x, columns=list("abcde")).assign(toxic=pdf["toxic"].to_numpy())
+            x = savings(pdf["text"], common, marked, window)
+            yield pd.DataFrame(x, columns=FEATURES).assign(toxic=pdf["toxic"].to_numpy())
 
-    seen = drawn.where("half = 1").mapInPandas(measure, "a double, b double, c double, d double, e double, toxic int").toPandas().sort_values(list("abcde"))
-    return Model(plain, marked, *fit_curve(seen[list("abcde")].to_numpy(), seen["toxic"].to_numpy(float), prior), prior)
+    seen = drawn.where("half = 1").mapInPandas(measure, ", ".join(f"{f} double" for f in FEATURES) + ", toxic int").toPandas().sort_values(FEATURES)
+    return Model(common, marked, *fit_curve(seen[FEATURES].to_numpy(), seen["toxic"].to_numpy(float), prior), prior)
 
 
 def toxicity(model: Model, text: Column, window: int = 64) -> Column:
