@@ -108,6 +108,24 @@ def message_query(body):
     return F.when(low.contains("launch checklist"), "launch checklist").when(low.contains("invoice"), "invoice").otherwise(body)
 
 
+def message_query_counts(messages: DataFrame, gram: int = 12) -> DataFrame:
+    """PRD-25, DM-10: for every message (message_id, body; null bodies have no query), how many bodies hold its whole query.
+
+    Equal queries are counted once.  Queries shorter than ``gram`` characters
+    are compared by all their characters; every body holds an empty one.
+    """
+    asked = messages.where("body is not null").select("message_id", F.lower(message_query(F.col("body"))).alias("query")).withColumn("key", F.sha2("query", 256))
+    once = asked.select(F.col("key").alias("message_id"), "query").dropDuplicates(["message_id"])
+    size = F.length("query")
+    sizes = [r["n"] for r in asked.where(size < gram).select(size.alias("n")).distinct().collect()]
+    counts = containment_counts(messages, once.where(size >= gram), gram)
+    for n in sizes:
+        short = once.where(size == n)
+        all_bodies = messages.where("body is not null").agg(F.count(F.lit(1)).alias("bodies"))
+        counts = counts.unionByName(containment_counts(messages, short, n) if n else short.select(F.col("message_id").alias("query_id")).crossJoin(all_bodies))
+    return asked.join(counts.withColumnRenamed("query_id", "key"), "key").select(F.col("message_id").alias("query_id"), "bodies")
+
+
 def message_slots(messages: DataFrame, reminders: DataFrame, drafts: DataFrame, gram: int = 7) -> DataFrame:
     """PRD-24, PRD-25, DM-1, DM-2 for messages: the tasks of messages whose query one body alone holds, without those that would overwrite state.
 

@@ -355,8 +355,7 @@ def contact_semantic_keys(s, d):
 
 @query
 def message_unique_selectors(s, d):
-    messages = view(s, d, "messages_v")
-    return tasks.containment_counts(messages, messages.where("body_length >= 24").select("message_id", F.substring("body", 1, 24).alias("query")))
+    return tasks.message_query_counts(view(s, d, "messages_v"))
 
 
 @query

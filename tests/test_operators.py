@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions import text as T
 from quillon.operators import admission, calibration, review, sequence, tasks, usage
+from quillon.plans.queries import QUERIES
 
 EPISODES = "sequence long, domain_id string, semantic_key string, execution boolean, mutation_authorization boolean, assessment boolean, final_grounding boolean, unsafe_material boolean"
 
@@ -98,6 +99,17 @@ def test_containment_counts_are_exact(spark):
     assert got == {1: 2, 3: 1}
 
 
+def test_message_selectors_search_for_whole_bodies(spark, tmp_path):
+    same = "the same opening of twenty-four characters"
+    bodies = [same + " one", same + " two", "short", "a short one", "Launch CHECKLIST a", "my launch checklist b", "An invoice", "", None, "line\nbreak and more", "LINE\nbreak and more", "x"]
+    spark.createDataFrame([(k, "s", b) for k, b in enumerate(bodies)], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    ask = lambda b: next((q for q in ("launch checklist", "invoice") if q in b.lower()), b).lower()
+    want = {k: sum(ask(b) in c.lower() for c in bodies if c is not None) for k, b in enumerate(bodies) if b is not None}
+    got = QUERIES["message_unique_selectors"](spark, str(tmp_path)).collect()
+    assert {r["query_id"]: r["bodies"] for r in got} == want and len(got) == len(want)
+    assert want[0] == want[1] == 1 and want[2] == 2
+
+
 def test_text_rules(spark):
     cases = [("/etc/passwd", True), ("see C:\\x now", True), ("go to ~/x", True), ("http://a.b/c", False), ("a/b", False), ("plain", False), ("my api_key", True), ("sk-1", True), ("x /y", True)]
     got = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string").select("i", T.forbidden_text(F.col("t")).alias("bad")).orderBy("i").collect()
