@@ -399,9 +399,8 @@ def compile_reason(s, d):
 
 @query
 def text_predicates(s, d):
-    rows = view(s, d, "messages_v").select("message_id", F.substring_index("body", "\n", 1).alias("line"))
-    line = F.col("line")
-    return rows.select("message_id", T.note_allowed(line).alias("note"), T.reply_allowed(line).alias("reply"), T.title_allowed(line).alias("title"), T.comment_allowed(line).alias("comment"), T.negated_text(line).alias("negated"))
+    body = F.col("body")
+    return view(s, d, "messages_v").select("message_id", T.note_allowed(body).alias("note"), T.reply_allowed(body).alias("reply"), T.title_allowed(body).alias("title"), T.comment_allowed(body).alias("comment"), T.negated_text(body).alias("negated"))
 
 
 @query

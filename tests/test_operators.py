@@ -116,3 +116,11 @@ def test_text_rules(spark):
     assert [r["bad"] for r in got] == [bad for _, bad in cases]
     keys = spark.createDataFrame([("provider_id",), ("raw_value",), ("name",)], "k string").select(T.forbidden_key(F.col("k")).alias("bad")).collect()
     assert [r["bad"] for r in keys] == [False, True, False]
+
+
+def test_predicates_see_every_line(spark, tmp_path):
+    bodies = ["first line\nnever on a later one", "Thanks a lot\nsecond", "Prepare the report\nx", "status: all is done\nx", "Thanks a lot", None]
+    spark.createDataFrame([(k, "s", b) for k, b in enumerate(bodies)], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r)[1:] for r in QUERIES["text_predicates"](spark, str(tmp_path)).orderBy("message_id").collect()]
+    no = (False,) * 4
+    assert got == [(*no, True), (*no, False), (*no, False), (*no, False), (True, True, False, False, False), (None,) * 5]
