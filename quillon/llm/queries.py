@@ -10,7 +10,8 @@ from .jaccard import jaccard_components
 from .language_id import identify
 from .metric_search import top_k
 from .packing import pack_documents
-from .sharding import shuffle_shards
+from .sharding import shuffle_shards, write_shards
+from .storage import new_path
 from .substrings import dedup_substrings
 from .toxicity import score_documents
 from .url_filter import filter_urls, url_host
@@ -68,12 +69,15 @@ def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents over 24 shards by the law ``rows``."""
+    """All documents with their whole texts over 24 shards by the law ``rows``; sizes and digests are those of the shards as written."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    out = shuffle_shards(rows, 24, size="size")
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    bytes_of = F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 8
+    out = shuffle_shards(docs.withColumn("size", bytes_of), 24, size="size").drop("size")
+    path = new_path(spark, "shards")
+    write_shards(out, path)
+    shards = spark.read.schema(out.schema).parquet(path)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return shards.select("doc_id", bytes_of.cast("long").alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,4 +56,4 @@ def fisher_yates(n, block: int, seed: int):
 
 def write_shards(sharded: DataFrame, path: str) -> None:
     """Write one folder for each shard, its rows in the order of ``slot``, in files of bounded length."""
-    sharded.repartition("shard", F.floor(F.col("slot") / F.lit(1 << 18))).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    sharded.repartition("shard", F.floor(F.col("slot") / F.lit(1 << 18))).sortWithinPartitions("shard", "slot").write.option("compression", "zstd").partitionBy("shard").parquet(path)

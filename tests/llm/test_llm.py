@@ -217,6 +217,19 @@ def test_shards(spark, odd, bucket_rows):
     assert same.select("shard", "slot").distinct().count() == 40
 
 
+def test_shards_hold_whole_texts(spark, odd, odd_rows, tmp_path, monkeypatch):
+    from quillon.llm import queries
+
+    odd.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "new_path", lambda _, name: f"{tmp_path}/{name}")
+    got = QUERIES["op8_shuffle_shards"](spark, str(tmp_path)).collect()
+    rows = Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in odd_rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == rows
+    held = spark.read.parquet(f"{tmp_path}/shards").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in held) == Counter(odd_rows)
+    assert {(r["shard"], r["slot"]) for r in held} == {(r["shard"], r["slot"]) for r in got} and len(got) == len({(r["shard"], r["slot"]) for r in got})
+
+
 # --- 7, search
 
 
