@@ -65,9 +65,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces with their places in sequences of at most 1024 tokens."""
+    """Every document's pieces, with their token ids and their places in sequences of at most 1024 tokens."""
     ship(spark)
-    return pack_documents(docs.select("doc_id", "text"), *tokenizer(), ids=False)
+    return pack_documents(docs.select("doc_id", "text"), *tokenizer())
 
 
 STAGES = [

@@ -38,9 +38,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of at most 1024 tokens."""
-    packed = pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer(), ids=False)
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    """All documents packed into sequences of at most 1024 tokens; digests are those of the token ids in their sequences."""
+    packed = pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer())
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

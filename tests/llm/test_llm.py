@@ -167,6 +167,29 @@ def test_packing(odd, odd_rows):
         assert [o for o, _ in held] == np.cumsum([0] + [n for _, n in held])[:-1].tolist() and sum(n for _, n in held) <= 1024
 
 
+def test_packed_sequences_hold_their_tokens(spark, odd, odd_rows, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from quillon.llm import queries
+
+    seen, bpe = [], packing.encoder(*tokenizer())
+    monkeypatch.setattr(queries, "pack_documents", lambda *a, **k: seen.append(packing.pack_documents(*a, **k)) or seen[-1])
+    odd.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter(map(tuple, QUERIES["op2_best_fit_packing"](spark, str(tmp_path)).collect()))
+    columns = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    want = Counter()
+    for i, t in odd_rows:
+        want[i, np.array([*bpe.encode_ordinary(t or ""), 2], "<u4").tobytes()] += 1
+    for rows in (seen[0].collect(), corpus_pipeline.pack_sequences(spark, odd, str(tmp_path)).collect()):
+        pieces = {}
+        for r in rows:
+            pieces.setdefault((r["doc_id"], r["piece"]), []).append(bytes(r["ids"]))
+        assert all(len(r["ids"]) == 4 * r["length"] for r in rows)
+        # only 11 repeats, with one piece of one text
+        texts = Counter((i, ids) for (i, p), held in pieces.items() if p == 0 for ids in (b"".join([x, *(pieces[i, k][0] for k in range(1, 99) if (i, k) in pieces)]) for x in held))
+        assert texts == want
+    assert Counter(tuple(zlib.crc32(r["ids"]) if c == "ids_crc32" else r[c] for c in columns) for r in seen[0].collect()) == got
+
+
 def test_tokens_of_special_strings_equal_the_tokenizers():
     from tokenizers import Tokenizer
     import public_tokenizers
