@@ -3,9 +3,11 @@
 A gear rolling hash (h = 2h + g[byte], 16 bits wide, so that it depends on the
 last 16 bytes alone) cuts texts where its top bits are zero at the end of a
 word.  An insertion moves bounds only within its own 16 bytes, so a passage
-falls into the same chunks wherever it stands.  Chunks are compared by digest:
-of each digest the first occurrence, by document id, stays, and runs of later
-ones are cut out where they are long enough to be a repeated passage.
+falls into the same chunks wherever it stands.  What is compared are windows:
+the shortest runs of chunks, from each chunk on and up to each chunk, that are
+long enough to be a passage.  Of each window's digest the first occurrence, by
+document id, stays, and the bytes of later ones are cut out, so nothing goes
+that didn't stand together in one earlier text.
 """
 
 from __future__ import annotations
@@ -65,34 +67,54 @@ def numbered(docs: DataFrame) -> DataFrame:
     return written(docs.mapInArrow(number, f"__q_row long, {types}"), "copy")
 
 
-def chunked(copy: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The chunks of a numbered copy's texts: __q_row, __q_id, digests, bytes, words."""
+def windows(sizes: np.ndarray, words: np.ndarray, least_words: int, least_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first chunk, chunk after the last) of the shortest runs of chunks, from each first chunk on and up to each last, that have ``least_words`` words or ``least_bytes`` bytes."""
+    n, upto_words, upto_bytes = len(sizes), np.append(0, np.cumsum(words)), np.append(0, np.cumsum(sizes))
+    ends = np.minimum(np.searchsorted(upto_words, upto_words[:-1] + least_words), np.searchsorted(upto_bytes, upto_bytes[:-1] + least_bytes))
+    starts = np.maximum(np.searchsorted(upto_words, upto_words[1:] - least_words, side="right"), np.searchsorted(upto_bytes, upto_bytes[1:] - least_bytes, side="right")) - 1
+    forward, backward = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
+    both = np.unique(np.append(forward * (n + 1) + ends[forward], starts[backward] * (n + 1) + backward + 1))
+    return both // (n + 1), both % (n + 1)
 
-    def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def windowed(copy: DataFrame, doc_id: str, text: str, least_words: int, least_bytes: int, rows: int = 1 << 16) -> DataFrame:
+    """A row for each window of a numbered copy's texts: digest of its bytes, __q_row, __q_id and span (first byte << 32 | bytes)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, sizes, words, counts = [], [], [], []
-            for value in batch.column(1):
+            digests: list[int] = []
+            spans: list[np.ndarray] = []
+            at: list[np.ndarray] = []
+
+            def held() -> pa.RecordBatch:
+                where = pa.array(np.concatenate(at))
+                return pa.RecordBatch.from_arrays([pa.array(np.array(digests, np.uint64).view(np.int64)), batch.column(0).take(where), batch.column(2).take(where), pa.array(np.concatenate(spans))], names=["digest", "__q_row", "__q_id", "span"])
+
+            for row, value in enumerate(batch.column(1)):
                 raw = (value.as_py() or "").encode()
+                if not raw:
+                    continue
                 data = np.frombuffer(raw, dtype=np.uint8)
-                ends = chunk_ends(data)
-                starts = np.append(0, ends[:-1])[: len(ends)]
-                digests += [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                begun = np.cumsum(~_SPACE[data] & np.append(True, _SPACE[data[:-1]])[: len(data)])
-                upto = begun[ends - 1] if len(ends) else begun
-                sizes.append(ends - starts)
-                words.append(np.diff(upto, prepend=0))
-                counts.append(len(ends))
-            at = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
-            flat = lambda parts: np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)] + [pa.ListArray.from_arrays(at, pa.array(x)) for x in (np.array(digests, np.uint64).view(np.int64), flat(sizes), flat(words))], names=["__q_row", "__q_id", "digests", "bytes", "words"])
+                bounds = np.append(0, chunk_ends(data))
+                begun = np.append(0, np.cumsum(~_SPACE[data] & np.append(True, _SPACE[data[:-1]])))
+                first, after = windows(np.diff(bounds), np.diff(begun[bounds]), least_words, least_bytes)
+                if len(first):
+                    a, b = bounds[first], bounds[after]
+                    digests += [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+                    spans.append(a << 32 | b - a)
+                    at.append(np.full(len(a), row))
+                if len(digests) >= rows:
+                    yield held()
+                    digests, spans, at = [], [], []
+            if digests:
+                yield held()
 
     id_type = copy.schema[doc_id].dataType.simpleString()
-    chunks = copy.select("__q_row", F.col(f"`{text}`"), F.col(f"`{doc_id}`")).mapInArrow(chunk, f"__q_row long, __q_id {id_type}, digests array<long>, bytes array<int>, words array<int>")
-    return written(chunks, "chunks")
+    return copy.select("__q_row", F.col(f"`{text}`"), F.col(f"`{doc_id}`")).mapInArrow(cut, f"digest long, __q_row long, __q_id {id_type}, span long")
 
 
 def later(occurrences: DataFrame) -> DataFrame:
-    """__q_row and no of every occurrence of a digest in another row than its first; sorted partitions are read as a stream, so a hot digest takes no memory."""
+    """__q_row and span of every occurrence of a digest in another row than its first; sorted partitions are read as a stream, so a hot digest takes no memory."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, owner = None, 0
@@ -103,10 +125,10 @@ def later(occurrences: DataFrame) -> DataFrame:
             fresh = np.append(last is None or last != digest[0], digest[1:] != digest[:-1])
             firsts = np.append(owner, row[fresh])[np.cumsum(fresh)]
             last, owner = digest[-1], firsts[-1]
-            yield batch.select(["__q_row", "no"]).filter(pa.array(row != firsts))
+            yield batch.select(["__q_row", "span"]).filter(pa.array(row != firsts))
 
-    ordered = occurrences.repartition("digest").sortWithinPartitions("digest", F.col("__q_id").asc_nulls_last(), "__q_row", "no")
-    return ordered.select("digest", "__q_row", "no").mapInArrow(keep, "__q_row long, no int")
+    ordered = occurrences.repartition("digest").sortWithinPartitions("digest", F.col("__q_id").asc_nulls_last(), "__q_row", "span")
+    return ordered.select("digest", "__q_row", "span").mapInArrow(keep, "__q_row long, span long")
 
 
 def repeated_spans(numbers: np.ndarray, sizes: np.ndarray, words: np.ndarray, least_words: int, least_bytes: int) -> list[tuple[int, int]]:
@@ -120,6 +142,15 @@ def repeated_spans(numbers: np.ndarray, sizes: np.ndarray, words: np.ndarray, le
     return out
 
 
+def merged(spans: np.ndarray) -> list[tuple[int, int]]:
+    """(first byte, bytes) of the stretches that ``spans`` (first byte << 32 | bytes) cover together."""
+    spans = np.sort(spans)
+    starts = spans >> 32
+    ends = np.maximum.accumulate(starts + (spans & 0xFFFFFFFF))
+    fresh = np.append(True, starts[1:] > ends[:-1])
+    return list(zip(starts[fresh].tolist(), (ends[np.append(fresh[1:], True)] - starts[fresh]).tolist(), strict=True))
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> str:
     raw, out, at = text.encode(), [], 0
     for start, size in spans:
@@ -132,8 +163,8 @@ def dedup_substrings(docs: DataFrame, least_words: int = 24, least_bytes: int =
     """``docs`` with later occurrences of repeated passages cut out of ``text``, and ``spans`` (first byte, bytes) of what was cut.
 
     A passage counts as repeated where consecutive chunks of at least
-    ``least_words`` words or ``least_bytes`` bytes all occurred first in another
-    row: one of a smaller id (null ids come last), or an earlier one of the
+    ``least_words`` words or ``least_bytes`` bytes occurred together first in
+    another row: one of a smaller id (null ids come last), or an earlier one of the
     same id.  What repeats within one text alone stays.  Null and empty texts stay as they
     are; a copy of a whole text becomes empty.  All other columns are kept;
     one named ``spans`` is replaced.
@@ -142,19 +173,16 @@ def dedup_substrings(docs: DataFrame, least_words: int = 24, least_bytes: int =
     copy = numbered(docs.select(*[F.col(f"`{c}`") for c in columns]))
 
     @F.pandas_udf("array<struct<start:int,length:int>>")
-    def spans(numbers: pd.Series, sizes: pd.Series, words: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": a, "length": n} for a, n in repeated_spans(np.asarray(x), np.asarray(y), np.asarray(z), least_words, least_bytes)] for x, y, z in zip(numbers, sizes, words, strict=True)])
+    def together(found: pd.Series) -> pd.Series:
+        return pd.Series([[{"start": a, "length": n} for a, n in merged(np.asarray(x))] for x in found])
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, cuts: pd.Series) -> pd.Series:
         return pd.Series([without(t, [(c["start"], c["length"]) for c in cut]) for t, cut in zip(texts, cuts, strict=True)])
 
     with scratch(docs.sparkSession):
-        chunks = chunked(copy, doc_id, text)
-        again = later(chunks.select("__q_row", "__q_id", F.posexplode("digests").alias("no", "digest")))
-        numbers = again.groupBy("__q_row").agg(F.collect_list("no").alias("numbers"))
-        found = numbers.hint("merge").join(chunks.select("__q_row", "bytes", "words"), "__q_row")
-        cut = written(found.select("__q_row", spans("numbers", "bytes", "words").alias("spans")).where(F.size("spans") > 0), "spans", keep=True)
+        again = later(windowed(copy, doc_id, text, least_words, least_bytes))
+        cut = written(again.groupBy("__q_row").agg(F.collect_list("span").alias("found")).select("__q_row", together("found").alias("spans")), "spans", keep=True)
     touched, rest = divided(copy, cut, "__q_row")
     changed = touched.join(cut.hint("merge"), "__q_row", "left")
     changed = changed.withColumn(text, F.when(F.col("spans").isNotNull(), kept(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.coalesce("spans", F.array().cast("array<struct<start:int,length:int>>")))).otherwise(F.col(f"`{text}`")))

@@ -108,6 +108,33 @@ def test_passages_are_cut_wherever_they_stand(spark):
     assert all(len(got[k]["spans"]) == 1 and len(got[k]["text"].split()) < 60 + 10 + 3 * k for k in range(1, 12))
 
 
+def test_short_chunks_of_many_texts_make_no_passage(spark):
+    """Every chunk of text 1000, with its neighbour, stands in an earlier text, but no 24 words of it stand together there; only passages that do go."""
+    passage, text = prose(51, 60), prose(111, 120)
+    raw = text.encode()
+    ends = substrings.chunk_ends(np.frombuffer(raw, np.uint8)).tolist()
+    chunks = [raw[a:b].decode() for a, b in zip([0, *ends], ends)]
+    pairs = ["".join(chunks[k : k + 2]) for k in range(len(chunks) - 1)]
+    assert all(len(x.split()) < 24 for x in pairs)
+    rows = [(k, f"{prose(5000 + k, 12)} {x}{prose(6000 + k, 12)}") for k, x in enumerate(pairs)]
+    rows += [(1000, text), (1001, passage), (1002, f"{prose(53, 30)} {passage}"), (1003, passage)]
+    got = {r["doc_id"]: r["text"] for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == t for i, t in rows if i < 1002)
+    assert got[1003] == "" and len(got[1002].split()) < 45
+
+
+def test_windows_cover_a_run_up_to_its_edges():
+    rng = random.Random(8)
+    for _ in range(200):
+        words = np.array([rng.choice([0, 1, 1, 2, 5, 9, 30]) for _ in range(rng.randint(1, 30))])
+        first, after = substrings.windows(5 * words + 1, words, 24, 600)
+        assert all(words[a:b].sum() >= 24 for a, b in zip(first, after))
+        for a in range(len(words)):
+            for b in range(a + 1, len(words) + 1):
+                held = [(x, y) for x, y in zip(first.tolist(), after.tolist()) if a <= x and y <= b]
+                assert set().union(*(range(x, y) for x, y in held)) == (set(range(a, b)) if words[a:b].sum() >= 24 else set())
+
+
 def test_gear_hash_is_the_rolling_one():
     data = np.frombuffer(prose(9, 50).encode(), np.uint8)
     h, want = 0, []
