@@ -1,20 +1,27 @@
-"""Bulk-synchronous best-fit packing of token sequences.
+"""Best-fit packing of token sequences.
 
 Documents become pieces of at most ``capacity`` tokens.  Pieces of one length
-are alike to best fit, and so are sequences with one gap, so the supersteps run
-on two range-sorted tables of at most ``capacity`` rows: pieces by length and
-gaps by size.  In each superstep the pieces of the largest open length sweep
-over the gaps from their successor (the smallest gap that holds them) upward;
-of the pieces that want a gap class, as many as it has sequences win, by rank;
-their gaps shrink, the rest go on to the next class or open sequences, and the
-step repeats.  Every piece then finds its place by its rank within its length,
-which Spark computes over salted groups, so a length that many pieces share
-never meets in one task.
+are alike to best fit, and so are sequences with one gap, so the matching needs
+no more than two range-sorted tables of at most ``capacity`` classes: pieces by
+length and gaps by size.  Spark counts the pieces of each length; over these
+counts the largest open length, again and again, sweeps over the gaps from its
+successor (the smallest gap that holds it) upward, each gap class taking as many
+pieces as it has sequences, by rank; the gaps shrink, and what finds no gap
+opens sequences.  Spark then ranks every piece within its length, over salted
+groups, so a length that many pieces share never meets in one task, and the rank
+tells a piece's place.
+
+The sweeps run one after the other over the classes, not all lengths at once in
+supersteps of their own jobs: with all lengths of a band (one half, two thirds
+and so on of the next) matched in one superstep, a measured corpus took 9,877 to
+10,035 sequences where this takes 9,872 and 9,871 is the least there can be, and
+short pieces alone took 1,400 supersteps and more.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -25,11 +32,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 from pyspark.sql.window import Window
 
 from .storage import written
 
 END_OF_TEXT = "<|endoftext|>"
+#: Runs of Unicode's white space, as the pattern's engine knows it.
+LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{4096,}")
 
 
 @cache
@@ -42,6 +52,29 @@ def encoder(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)})
 
 
+def encoded(bpe, text: str) -> list[int]:
+    """The ids of a whole text; END_OF_TEXT in it is one id.
+
+    The pattern's look-ahead takes stack for every character of a run of white
+    space.  A long run is one token's text but for its last character, which
+    goes with what follows, so it is taken out and encoded by itself.
+    """
+    out: list[int] = []
+    at = start = 0
+    ordinary = END_OF_TEXT not in text
+
+    def add(part: str) -> None:
+        out.extend(bpe.encode_ordinary(part) if ordinary else bpe.encode(part, allowed_special="all"))
+
+    for run in LONG_SPACE.finditer(text):
+        add(text[start : run.start()])
+        at = run.end() - (run.end() < len(text) and not text.startswith(END_OF_TEXT, run.end()))
+        out.extend(bpe._encode_single_piece(text[run.start() : at]))
+        start = at
+    add(text[start:])
+    return out
+
+
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens; all are full but the first, which has what is left over."""
     if n <= capacity:
@@ -50,38 +83,39 @@ def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def token_pieces(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, end: int = 2, doc_id: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
-    """Tokenize whole texts (null: empty), append ``end`` and cut: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
+def token_pieces(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, end: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Tokenize whole texts (null: empty), append ``end`` and cut: doc_id, piece, start, length, ids_crc32 and ids.
 
-    ``ids`` are little-endian unsigned 32-bit numbers in a binary column.  A
-    row is a document, whether or not its id repeats or is null; other columns
-    are left out.
+    ``ids`` are little-endian unsigned numbers in a binary column, of 16 bits
+    where all ids fit, else of 32; ``ids_crc32`` is that of 32-bit ids.  A row
+    is a document, whether or not its id repeats or is null; other columns are
+    left out; an empty table gives none.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(ranks, pattern)
+        kind = "<u2" if bpe.max_token_value < 1 << 16 else "<u4"
         for batch in batches:
             out: list[tuple] = []
             texts = batch.column(1)
             for row in range(batch.num_rows):
-                value = texts[row].as_py() or ""
-                got = np.array((bpe.encode(value, allowed_special="all") if END_OF_TEXT in value else bpe.encode_ordinary(value)) + [end], dtype="<u4")
+                got = np.array(encoded(bpe, texts[row].as_py() or "") + [end], dtype="<u4")
                 for piece, (start, length) in enumerate(piece_bounds(len(got), capacity)):
-                    raw = got[start : start + length].tobytes()
-                    out.append((row, piece, start, length, zlib.crc32(raw), raw if ids else None))
+                    part = got[start : start + length]
+                    out.append((row, piece, start, length, zlib.crc32(part.tobytes()), part.astype(kind).tobytes()))
             rows, *columns = zip(*out, strict=True) if out else [()] * 6
             arrays = [batch.column(0).take(pa.array(rows, pa.int32()))] + [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays[: 5 + ids], names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 5 + ids])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
-    schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
-    return docs.select(doc_id, text).mapInArrow(cut, schema)
+    return docs.select(doc_id, text).mapInArrow(cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def best_fit_runs(counts: dict[int, int], capacity: int) -> dict[int, list[tuple[int, int, int]]]:
     """For each length the runs (first rank, first sequence, offset) that tell where its pieces go, by rank.
 
     A run of consecutive ranks goes to consecutive sequences, at one offset.
+    The sequences are as many as best fit takes, piece by piece from the longest.
     """
     gaps: list[int] = []
     open_at: dict[int, list[tuple[int, int]]] = {}
@@ -89,6 +123,8 @@ def best_fit_runs(counts: dict[int, int], capacity: int) -> dict[int, list[tuple
     sequences = 0
 
     def add(gap: int, first: int, n: int) -> None:
+        if not gap or not n:
+            return
         if gap not in open_at:
             insort(gaps, gap)
             open_at[gap] = []
@@ -98,25 +134,30 @@ def best_fit_runs(counts: dict[int, int], capacity: int) -> dict[int, list[tuple
         left, rank, mine = counts[length], 0, runs.setdefault(length, [])
         while left:
             at = bisect_left(gaps, length)
-            if at == len(gaps):
-                n = -(-left // (capacity // length))
-                add(capacity, sequences, n)
-                sequences += n
-                at = bisect_left(gaps, length)
+            if at == len(gaps):  # no gap holds it: sequences full of this length, and one with what is left over
+                each = capacity // length
+                full, rest = divmod(left, each)
+                for k in range(each if full else 0):
+                    mine.append((rank, sequences, k * length))
+                    rank += full
+                for k in range(rest):
+                    mine.append((rank, sequences + full, k * length))
+                    rank += 1
+                add(capacity - each * length, sequences, full)
+                add(capacity - rest * length, sequences + full, int(rest > 0))
+                sequences += full + (rest > 0)
+                break
             gap = gaps[at]
-            won: list[tuple[int, int]] = []
-            while left and open_at[gap]:
-                first, n = open_at[gap].pop()
-                take = min(n, left)
-                if take < n:
-                    open_at[gap].append((first + take, n - take))
-                mine.append((rank, first, capacity - gap))
-                won.append((first, take))
-                left, rank = left - take, rank + take
-            if not open_at[gap]:
+            held = open_at[gap]
+            first, n = held.pop()
+            take = min(n, left)
+            if take < n:
+                held.append((first + take, n - take))
+            elif not held:
                 del open_at[gap], gaps[at]
-            for first, n in won if gap > length else ():
-                add(gap - length, first, n)
+            mine.append((rank, first, capacity - gap))
+            left, rank = left - take, rank + take
+            add(gap - length, first, take)
     return runs
 
 
@@ -152,6 +193,13 @@ def pack(pieces: DataFrame, capacity: int = 1024, order: tuple[str, ...] = ("doc
     return placed.select(*pieces.columns, "__q_place.sequence_id", "__q_place.offset")
 
 
-def pack_documents(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, end: int = 2, ids: bool = True) -> DataFrame:
-    """Tokenize, cut and pack ``docs`` (doc_id, text); with ``ids`` the pieces' token ids stay with them."""
-    return pack(written(token_pieces(docs, ranks, pattern, capacity, end, ids=ids), "pieces"), capacity)
+@F.pandas_udf(BinaryType())
+def wide_ids(ids: pd.Series, length: pd.Series) -> pd.Series:
+    """32-bit ids of ``length`` ids that may be of 16 bits."""
+    return pd.Series([raw if len(raw) == 4 * n else np.frombuffer(raw, "<u2").astype("<u4").tobytes() for raw, n in zip(ids, length, strict=True)])
+
+
+def pack_documents(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, end: int = 2) -> DataFrame:
+    """Tokenize, cut and pack ``docs`` (doc_id, text): the columns of token_pieces(), with 32-bit ids, and each piece's sequence_id and offset."""
+    packed = pack(written(token_pieces(docs, ranks, pattern, capacity, end), "pieces"), capacity)
+    return packed.withColumn("ids", wide_ids("ids", "length"))
