@@ -4,14 +4,16 @@ Large star: every node links its larger neighbours to its smallest one.  Small
 star: it links its smaller neighbours and itself to its smallest one.  Both keep
 the components; in the end every node links to the smallest of its component.
 A hot node's neighbours never meet in one task: the minimum is a map-side
-aggregate, and the join back to it is one that Spark splits by itself.
+aggregate, and the join back to it has shuffles of its own on both sides (its
+key is not the aggregate's), so that Spark splits it where it is skewed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .hot import join_totals
 from .storage import written
 
 
@@ -21,7 +23,7 @@ def _star(links: DataFrame, both: bool) -> DataFrame:
     if both:
         sides = sides.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    at = sides.join(least, "u")
+    at = join_totals(sides, least, "u")
     if both:
         out = at.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -34,11 +36,13 @@ def components(links: DataFrame, name: str = "components", rows: int | None = No
     now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name, rows)
     state = None
     for _ in range(rounds):
-        now = written(_star(_star(now, True), False), name, rows if state is None else state[0])
-        total = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if tuple(total) == state:
+        seen = Observation()
+        turned = _star(_star(now, True), False).observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("sum"))
+        now = written(turned, name, rows if state is None else state[0])
+        total = seen.get["n"], seen.get["sum"]
+        if total == state:
             break
-        state = tuple(total)
+        state = total
     else:
         raise RuntimeError(f"no end after {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

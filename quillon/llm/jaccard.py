@@ -5,7 +5,7 @@ holds every pair's overlap.  Size-derived bounds keep almost all of it from
 being computed.  With threshold t, a set of n shingles can only link to one that
 shares at least ceil(t n) with it.  So
 
-1. documents with equal sets are one class;
+1. documents with equal sets are one class, and one of them stands for it;
 2. of any order of shingles, two linked sets share at least l of the first
    n - ceil(t n) + l of each.  In the order of hashes these are a quarter of all
    shingles; they are sorted by shingle once, and only those that another class
@@ -37,8 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .bits import bit_table, position, tested
+from .bits import bit_table, bits_for, position, tested, without_keys
 from .components import components
+from .hot import hot_keys, join_totals, salt, tasks
 from .storage import scratch, written
 from .words import distinct, mixed, shingles, slices
 
@@ -81,35 +82,54 @@ def shingle_sets(docs: DataFrame, size: int, doc_id: str, text: str, spare: int
     return wanted.mapInArrow(make, f"row long, doc_id {id_type}, n long, s1 long, s2 long, grams array<long>")
 
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """Distinct rows (gram, cid, n) whose gram more than one cid has.
+def class_ids(rows: DataFrame, bits: int = 64) -> tuple[DataFrame, Column]:
+    """Classes of equal (n, s1, s2), a written table: n, s1, s2, cid, doc_id (the least), first (the least row) and copies; and the expression of cid.
+
+    cid is a hash of ``bits`` bits.  Classes whose hashes clash, N^2 / 2^65 of N
+    classes, get others, again and again until there are none, so a cid is one
+    class.
+    """
+    classes = rows.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = written(classes, "classes")
+    cut = lambda h: h if bits == 64 else F.pmod(h, F.lit(1 << bits))
+    cid, seed = cut(F.xxhash64("n", "s1", "s2")), 0
+    while clash := [r["cid"] for r in classes.select(cid.alias("cid")).groupBy("cid").count().where("count > 1").collect()]:
+        seed += 1
+        cid = F.when(cid.isin(clash), cut(F.xxhash64(F.lit(seed), "n", "s1", "s2"))).otherwise(cid)
+    return classes.withColumn("cid", cid), cid
+
+
+def repeated(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """Distinct rows (gram, cid, n) whose gram more than one cid has; rows of ``hot`` grams all.
 
     Sorted partitions are read as a stream, so a gram of any number of rows
-    takes no memory but its first row's.
+    takes no memory but its first row's; hot grams are dealt over many.
     """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int, int] | None = None
+        last: tuple[int, int, int, int] | None = None
         told = False  # whether the last row is out already
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram, cid, n = (batch.column(k).to_numpy() for k in range(3))
+            gram, cid, n, group = (batch.column(k).to_numpy() for k in range(4))
             if last is not None:
-                gram, cid, n = (np.concatenate([[x], y]) for x, y in zip(last, (gram, cid, n), strict=True))
+                gram, cid, n, group = (np.concatenate([[x], y]) for x, y in zip(last, (gram, cid, n, group), strict=True))
             fresh = np.ones(len(gram), dtype=bool)
             fresh[1:] = (gram[1:] != gram[:-1]) | (cid[1:] != cid[:-1])
-            gram, cid, n = gram[fresh], cid[fresh], n[fresh]
+            gram, cid, n, group = gram[fresh], cid[fresh], n[fresh], group[fresh]
             emit = np.zeros(len(gram), dtype=bool)
             emit[1:] = gram[1:] == gram[:-1]
             emit[:-1] |= emit[1:].copy()
+            emit |= group >= 0
             ends_shared = bool(emit[-1]) or (told and len(gram) == 1)
             if told and last is not None:
                 emit[0] = False
-            told, last = ends_shared, (gram[-1], cid[-1], n[-1])
+            told, last = ends_shared, (gram[-1], cid[-1], n[-1], group[-1])
             yield pa.RecordBatch.from_arrays([pa.array(x[emit]) for x in (gram, cid, n)], names=["gram", "cid", "n"])
 
-    return rows.select("gram", "cid", "n").repartition("gram").sortWithinPartitions("gram", "cid").mapInArrow(keep, "gram long, cid long, n long")
+    dealt = rows.select("gram", "cid", "n", salt(F.col("gram"), hot, F.col("cid")).alias("group"))
+    return dealt.repartition("gram", "group").sortWithinPartitions("gram", "group", "cid").mapInArrow(keep, "gram long, cid long, n long")
 
 
 def block_links(ids: np.ndarray, sets: list[np.ndarray], component: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -188,10 +208,10 @@ def candidates(shared: DataFrame, share, spare: int) -> DataFrame:
     rows = shared.count()
     cells = written(shared.join(alive, "cid", "left_semi"), "cells", rows)
     again = cells.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = cells.join(again, "gram").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("columns")).where(F.size("columns") >= share)
+    ranked = join_totals(cells, again, "gram").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("columns")).where(F.size("columns") >= share)
     prefix = written(ranked.select("cid", "n", F.explode(F.slice("columns", F.lit(1), (F.size("columns") - share + 1).cast("int"))).alias("c")).select("cid", "n", "c.gram"), "rare", rows)
     hubs = prefix.groupBy("gram").agg(F.min("cid").alias("hub"))
-    return written(prefix.join(hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs", rows)
+    return written(join_totals(prefix, hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs", rows)
 
 
 def class_links(pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
@@ -215,30 +235,40 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block:
     of ``size``-word shingles; ``component_id`` is the smallest id in reach.
     Null and empty texts have no shingle and link with nothing; repeated rows
     have equal sets and so link; a null id is reached through but is a
-    component's id only where there is no other.  Shingles are 64-bit hashes,
-    sets are equal if their 128-bit signatures and sizes are.
+    component's id only where there is no other.  Texts of any length are read
+    whole; an empty table gives none.  Shingles are 64-bit hashes, sets are
+    equal if their 128-bit signatures and sizes are.
     """
     with scratch(docs.sparkSession):
         return written(_components(docs, percent, size, block, doc_id, text), "found", keep=True)
 
 
-def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: str, text: str) -> DataFrame:
+def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: str, text: str, bits: int = 64) -> DataFrame:
     spare = 20
-    cid = F.xxhash64("n", "s1", "s2").alias("cid")
     sets = written(shingle_sets(docs, size, doc_id, text, spare, percent), "sets")
-    some = sets.where("n > 0").select(cid, "n", "row", "doc_id", "grams")
-    classes = written(some.groupBy("cid").agg(F.min("doc_id").alias("doc_id")), "classes")
-    shared = written(repeated(some.select("cid", "n", F.explode("grams").alias("gram"))), "shared")
+    some = sets.where("n > 0")
+    classes, cid = class_ids(some, bits)
+    copies = some.select("row", "n", "s1", "s2").join(classes.where("copies > 1").select("n", "s1", "s2", "first"), ["n", "s1", "s2"]).where("row <> first")
+    single = without_keys(some, copies, "row").select(cid.alias("cid"), "n", "row", "grams")
+    grams = single.select("cid", "n", "row", F.explode("grams").alias("gram"))
+    hot = hot_keys(grams.where(F.pmod(F.xxhash64("row"), F.lit(64)) == 0), "gram", tasks(docs))
+    shared = written(repeated(grams, hot), "shared")
     share = F.floor(needed(F.col("n"), percent) / F.lit(spare)) + 1
     pairs = candidates(shared, share, spare)
     asked = pairs.select("cid").unionByName(pairs.select(F.col("hub").alias("cid"))).distinct()
     n_pairs = pairs.count()
-    asked = written(asked.join(classes, "cid"), "asked", 2 * n_pairs)
-    full = shingle_sets(docs, size, doc_id, text, None, percent, bit_table(asked, "doc_id")).where("n > 0").select(cid, "n", "grams")
+    asked = written(asked.join(classes.select("cid", "doc_id"), "cid"), "asked", 2 * n_pairs)
+    if filtered := bits_for(asked.count()):
+        full = shingle_sets(docs, size, doc_id, text, None, percent, bit_table(asked, "doc_id", filtered))
+    else:
+        ids = asked.select(F.col("doc_id").alias("__q_id")).distinct()
+        full = shingle_sets(docs.join(ids, F.col(doc_id).eqNullSafe(F.col("__q_id")), "left_semi"), size, doc_id, text, None, percent)
+    full = full.where("n > 0").select(cid.alias("cid"), "n", "grams")
     full = written(full.join(asked.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "full")
     joined = components(class_links(pairs, full, percent, block), rows=2 * n_pairs)
     roots = joined.join(classes.select(F.col("cid").alias("node"), "doc_id"), "node")
     least = roots.groupBy("component").agg(F.min("doc_id").alias("root"))
-    placed = classes.join(roots.join(least, "component").select(F.col("node").alias("cid"), "root"), "cid", "left").select("cid", F.coalesce("root", "doc_id").alias("root"))
-    rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.xxhash64("n", "s1", "s2")).alias("cid"))
+    roots = join_totals(roots, least, "component").select(F.col("node").alias("cid"), "root")
+    placed = written(classes.select("cid", "doc_id").join(roots, "cid", "left").select("cid", F.coalesce("root", "doc_id").alias("root")), "placed")
+    rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, cid).alias("cid"))
     return rows.join(placed, "cid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -105,6 +105,16 @@ select page_id, payload_bytes, payload_digest, case when last is not null and pa
     case when page_id is distinct from last then last end as refers_to from m
 """
 
+OP4_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) end) as gram from w),
+n as (select doc_id, count(*) as n from g group by doc_id),
+links as (select a.doc_id as a, b.doc_id as b from g a join g b on a.gram = b.gram and a.doc_id <> b.doc_id join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+    group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach(doc, other) as (select doc_id, doc_id from w union select r.doc, l.b from reach r join links l on l.a = r.other)
+select r.doc as doc_id, coalesce(max(n.n), 0) as n_shingles, min(r.other) as component_id from reach r left join n on n.doc_id = r.doc group by r.doc
+"""
+
 OP7_SQL = """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
     where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
@@ -149,4 +159,4 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
 """
 
 QUERIES = {"op1_decontamination": op1_decontamination, "op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op5_language_id": op5_language_id, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity, "op10_substring_dedup": op10_substring_dedup}
-ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
+ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op4_jaccard_join": OP4_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}

@@ -17,12 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bits import divided
+from .hot import hot_keys, salt, tasks
 from .storage import scratch, written
 from .words import mixed
 
@@ -113,33 +115,43 @@ def windowed(copy: DataFrame, doc_id: str, text: str, least_words: int, least_by
     return copy.select("__q_row", F.col(f"`{text}`"), F.col(f"`{doc_id}`")).mapInArrow(cut, f"digest long, __q_row long, __q_id {id_type}, span long")
 
 
-def later(occurrences: DataFrame) -> DataFrame:
-    """__q_row and span of every occurrence of a digest in another row than its first; sorted partitions are read as a stream, so a hot digest takes no memory."""
+def later(occurrences: DataFrame, hot: list[int]) -> DataFrame:
+    """__q_row and span of every occurrence of a digest in another row than its first.
+
+    Sorted partitions are read as a stream, so a digest of any number of rows
+    takes no memory.  The rows of ``hot`` digests are dealt over many groups:
+    what isn't in the first row of its group is later; of the groups' first
+    rows, which come back with their digest, the first of all is found.
+    """
+    id_type = occurrences.schema["__q_id"].dataType.simpleString()
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, owner = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            digest, row = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            fresh = np.append(last is None or last != digest[0], digest[1:] != digest[:-1])
+            digest, row, group = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            key = np.stack([digest, group])
+            fresh = np.append(last is None or (last != key[:, 0]).any(), (key[:, 1:] != key[:, :-1]).any(0))
             firsts = np.append(owner, row[fresh])[np.cumsum(fresh)]
-            last, owner = digest[-1], firsts[-1]
-            yield batch.select(["__q_row", "span"]).filter(pa.array(row != firsts))
-
-    ordered = occurrences.repartition("digest").sortWithinPartitions("digest", F.col("__q_id").asc_nulls_last(), "__q_row", "span")
-    return ordered.select("digest", "__q_row", "span").mapInArrow(keep, "__q_row long, span long")
-
-
-def repeated_spans(numbers: np.ndarray, sizes: np.ndarray, words: np.ndarray, least_words: int, least_bytes: int) -> list[tuple[int, int]]:
-    """(first byte, bytes) of the runs of chunk ``numbers`` that have ``least_words`` words or ``least_bytes`` bytes together."""
-    numbers = np.sort(numbers)
-    starts = np.append(0, np.cumsum(sizes))
-    out = []
-    for run in np.split(numbers, np.flatnonzero(np.diff(numbers) != 1) + 1):
-        if len(run) and (words[run].sum() >= least_words or sizes[run].sum() >= least_bytes):
-            out.append((int(starts[run[0]]), int(starts[run[-1] + 1] - starts[run[0]])))
-    return out
+            last, owner = key[:, -1], firsts[-1]
+            first = row == firsts
+            told = pa.array(~first | (group >= 0))
+            asked = pa.array(first & (group >= 0))
+            none = pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, batch.column(4).type)
+            columns = [batch.column(1), batch.column(2), pc.if_else(asked, batch.column(0), none[0]), pc.if_else(asked, batch.column(4), none[1])]
+            yield pa.RecordBatch.from_arrays(columns, names=["__q_row", "span", "digest", "__q_id"]).filter(told)
+
+    grouped = occurrences.withColumn("group", salt(F.col("digest"), hot, F.col("__q_row")))
+    ordered = grouped.repartition("digest", "group").sortWithinPartitions("digest", "group", F.col("__q_id").asc_nulls_last(), "__q_row", "span")
+    found = ordered.select("digest", "__q_row", "span", "group", "__q_id").mapInArrow(keep, f"__q_row long, span long, digest long, __q_id {id_type}")
+    if not hot:
+        return found.select("__q_row", "span")
+    found = written(found, "later")
+    asked = found.where("digest is not null")
+    first = asked.groupBy("digest").agg(F.min(F.struct(F.col("__q_id").isNull().alias("none"), "__q_id", "__q_row")).alias("first"))
+    others = asked.join(first, "digest").where("__q_row <> first.__q_row")
+    return found.where("digest is null").select("__q_row", "span").unionByName(others.select("__q_row", "span"))
 
 
 def merged(spans: np.ndarray) -> list[tuple[int, int]]:
@@ -166,8 +178,9 @@ def dedup_substrings(docs: DataFrame, least_words: int = 24, least_bytes: int =
     ``least_words`` words or ``least_bytes`` bytes occurred together first in
     another row: one of a smaller id (null ids come last), or an earlier one of the
     same id.  What repeats within one text alone stays.  Null and empty texts stay as they
-    are; a copy of a whole text becomes empty.  All other columns are kept;
-    one named ``spans`` is replaced.
+    are; a copy of a whole text becomes empty.  Texts of up to 2 GB are cut
+    whole; an empty table gives none.  All other columns are kept; one named
+    ``spans`` is replaced, names that begin with ``__q_`` are taken.
     """
     columns = [c for c in docs.columns if c != "spans"]
     copy = numbered(docs.select(*[F.col(f"`{c}`") for c in columns]))
@@ -181,7 +194,8 @@ def dedup_substrings(docs: DataFrame, least_words: int = 24, least_bytes: int =
         return pd.Series([without(t, [(c["start"], c["length"]) for c in cut]) for t, cut in zip(texts, cuts, strict=True)])
 
     with scratch(docs.sparkSession):
-        again = later(windowed(copy, doc_id, text, least_words, least_bytes))
+        shown = windowed(copy.where(F.pmod(F.xxhash64("__q_row"), F.lit(64)) == 0), doc_id, text, least_words, least_bytes)
+        again = later(windowed(copy, doc_id, text, least_words, least_bytes), hot_keys(shown.select("digest"), "digest", tasks(docs)))
         cut = written(again.groupBy("__q_row").agg(F.collect_list("span").alias("found")).select("__q_row", together("found").alias("spans")), "spans", keep=True)
     touched, rest = divided(copy, cut, "__q_row")
     changed = touched.join(cut.hint("merge"), "__q_row", "left")

@@ -1,17 +1,19 @@
 """Words and word shingles of whole Arrow columns, as 64-bit hashes, in numpy.
 
 A word is a run of bytes other than 0x20 and 0x09 to 0x0D; A-Z count as a-z.
+Words of up to eight bytes have hashes that differ if they do and are as long;
+longer ones take XXH3.
 Work goes over slices of bounded bytes (a single longer text is a slice).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -21,7 +23,7 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: For comparing by letters and digits alone: all other ASCII separates words.
 PUNCTUATION = np.array([chr(b).isascii() and not chr(b).isalnum() for b in range(256)])
-_LOWER = np.arange(1, 257, dtype=np.uint64)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
@@ -32,18 +34,6 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@cache
-def powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.concatenate([np.ones(1, np.uint64), np.full(n - 1, base, np.uint64)]).cumprod(dtype=np.uint64) if n else np.ones(0, np.uint64)
-
-
-def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2^64, at least ``n``."""
-    size = max(SLICE_BYTES, 1 << max(0, (n - 1).bit_length()))
-    return powers(int(BASE), size), powers(pow(int(BASE), -1, 1 << 64), size)
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and its rows' bounds in them; a null is empty."""
     wide = column.cast(pa.large_string()).fill_null("")
@@ -80,10 +70,21 @@ def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = SPACE) ->
     row = np.searchsorted(bounds, start, side="right") - 1
     if not len(start):
         return Words(row, start, end, np.zeros(0, np.uint64), rows)
-    up, down = power_tables(len(data))
+    return Words(row, start, end, word_hashes(_LOWER[data], start, end), rows)
+
+
+def word_hashes(lowered: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash for each run of bytes ``start`` to ``end`` of ``lowered``."""
+    size = (end - start).astype(np.uint64)
+    held = np.concatenate([lowered, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(lowered),), dtype="<u8", buffer=held, strides=(1,))[start].astype(np.uint64)
+    short = np.minimum(size, np.uint64(8)) * np.uint64(8)
     with np.errstate(over="ignore"):
-        h = np.add.reduceat(np.where(space, np.uint64(0), _LOWER[data]) * up[: len(data)], start) * down[start]
-        return Words(row, start, end, mixed(h + BASE * (end - start).astype(np.uint64)), rows)
+        out = mixed((eight & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - short))) + BASE * size)
+    long = np.flatnonzero(size > np.uint64(8))
+    raw = lowered.tobytes() if len(long) else b""
+    out[long] = [xxhash.xxh3_64_intdigest(raw[a:b], 1) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)]
+    return out
 
 
 def slices(column: pa.Array, at_most: int = SLICE_BYTES, between: np.ndarray = SPACE) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray]]:
