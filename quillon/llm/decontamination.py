@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .words import PUNCTUATION, STEP, mixed, slices
 
@@ -43,48 +44,77 @@ def rolling(tokens: np.ndarray, size: int) -> np.ndarray:
         return mixed(h)
 
 
+class Rolling:
+    """Karp-Rabin hashes of all runs of a sequence's tokens, of any length, from one pass."""
+
+    def __init__(self, tokens: np.ndarray) -> None:
+        n = len(tokens)
+        with np.errstate(over="ignore"):
+            up, self.down = (np.append(np.uint64(1), np.full(n, x, np.uint64)).cumprod(dtype=np.uint64) for x in (int(STEP), pow(int(STEP), -1, 1 << 64)))
+            self.sums = np.append(np.uint64(0), np.cumsum(tokens * up[:n], dtype=np.uint64))
+
+    def runs(self, at: np.ndarray, size: int) -> np.ndarray:
+        """The hashes of the runs of ``size`` tokens from places ``at`` on."""
+        with np.errstate(over="ignore"):
+            return (self.sums[at + size] - self.sums[at]) * self.down[at]
+
+
+def free_runs(free: np.ndarray) -> np.ndarray:
+    """For each place, how many free ones there are from it on without a gap."""
+    n = len(free)
+    taken = np.where(free, n, np.arange(n))
+    return np.minimum.accumulate(taken[::-1])[::-1] - np.arange(n)
+
+
 def tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """(place in item, place in text, length) of the greedy tiling by runs of at least ``least`` equal tokens.
 
-    One round looks for runs of the search length by their Karp-Rabin hashes
-    and extends them; a run of twice that length restarts it at its length.
-    Runs are marked from the longest; then the search length is halved.
+    Each round finds the greatest length of which both have an unmarked run in
+    common, by running Karp-Rabin hashes and halving the bounds of the length
+    (a run's parts are common, too), and marks its matches from the first place
+    in the item on, each at the first place in the text that is free.  A run's
+    places are walked once a round, so repeated words take no pairs of places.
     """
     free_a, free_b, out = np.ones(len(item), bool), np.ones(len(text), bool), []
-    size = max(least, min(len(item), len(text), 32))
+    hash_a, hash_b = Rolling(item), Rolling(text)
+
+    def common(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        at_a, at_b = np.flatnonzero(run_a >= size), np.flatnonzero(run_b >= size)
+        a, b = hash_a.runs(at_a, size), hash_b.runs(at_b, size)
+        both = np.isin(b, a)
+        return at_a, a, at_b[both], b[both]
+
+    high = min(len(item), len(text))
     while True:
-        found: list[tuple[int, int, int]] = []
-        longest = 0
-        whole = lambda free: np.convolve(free, np.ones(size, int), "valid") == size if len(free) >= size else np.zeros(0, bool)
-        at_a, at_b = np.flatnonzero(whole(free_a)), np.flatnonzero(whole(free_b))
-        if len(at_a) and len(at_b):
-            hash_a, hash_b = rolling(item, size)[at_a], rolling(text, size)[at_b]
-            hits = np.flatnonzero(np.isin(hash_b, hash_a))
-            places: dict[int, list[int]] = {}
-            for h, a in zip(hash_a.tolist(), at_a.tolist(), strict=True):
-                places.setdefault(h, []).append(a)
-            for b, h in zip(at_b[hits].tolist(), hash_b[hits].tolist(), strict=True):
-                for a in places[h]:
-                    if a and b and free_a[a - 1] and free_b[b - 1] and item[a - 1] == text[b - 1]:
-                        continue  # part of a run that begins before
-                    n = 0
-                    while a + n < len(item) and b + n < len(text) and free_a[a + n] and free_b[b + n] and item[a + n] == text[b + n]:
-                        n += 1
-                    if n >= size:
-                        found.append((n, a, b))
-                        longest = max(longest, n)
-        if longest > 2 * size:
-            size = longest
-            continue
-        for n, a, b in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if free_a[a : a + n].all() and free_b[b : b + n].all():
-                free_a[a : a + n] = free_b[b : b + n] = False
-                out.append((a, b, n))
-        if size <= least and not any(n >= least for n in [longest]):
+        run_a, run_b = free_runs(free_a), free_runs(free_b)
+        low, high = least - 1, min(high, int(run_a.max(initial=0)), int(run_b.max(initial=0)))
+        while low < high:
+            middle = (low + high + 1) // 2
+            low, high = (middle, high) if len(common(middle)[3]) else (low, middle - 1)
+        if low < least:
             return out
-        if size <= least:
-            continue
-        size = max(least, size // 2)
+        at_a, a, at_b, b = common(low)
+        order = np.argsort(b, kind="stable")
+        at_b, b = at_b[order], b[order]
+        places, ends = np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right")
+        next_of: dict[int, int] = {}
+        end_a = marked = 0
+        for k in np.flatnonzero(ends > places):
+            start = int(at_a[k])
+            if start < end_a:
+                continue
+            at = next_of.get(int(a[k]), int(places[k]))
+            while at < ends[k]:
+                to = int(at_b[at])
+                if free_b[to : to + low].all() and (item[start : start + low] == text[to : to + low]).all():
+                    break
+                at += 1
+            next_of[int(a[k])] = at
+            if at < ends[k]:
+                free_a[start : start + low] = free_b[to : to + low] = False
+                out.append((start, to, low))
+                end_a, marked = start + low, marked + 1
+        high = low if marked else low - 1
 
 
 def blocks(benchmark: DataFrame, least: int, held: int) -> Iterator[Block]:
@@ -116,27 +146,30 @@ def blocks(benchmark: DataFrame, least: int, held: int) -> Iterator[Block]:
 
 def covered(block: Block, tokens: np.ndarray, seed_hits: np.ndarray, least: int, coverage: float) -> list[tuple[int, int]]:
     """(item, covered words) of the items that the tiles in ``tokens`` cover by ``coverage``; ``seed_hits``: places of runs that the block has."""
-    h = rolling(tokens, least)[seed_hits]
-    low, high = np.searchsorted(block.seeds, h, "left"), np.searchsorted(block.seeds, h, "right")
-    owners = np.concatenate([block.owner[a:b] for a, b in zip(low, high, strict=True)]) if len(h) else np.zeros(0, int)
-    places = np.concatenate([block.place[a:b] for a, b in zip(low, high, strict=True)]) if len(h) else np.zeros(0, int)
-    texts = np.repeat(seed_hits, high - low)
+    seeds, which = np.unique(rolling(tokens, least)[seed_hits], return_inverse=True)
+    low, high = np.searchsorted(block.seeds, seeds, "left"), np.searchsorted(block.seeds, seeds, "right")
+    at = np.concatenate([np.arange(a, b) for a, b in zip(low, high, strict=True)]) if len(seeds) else np.zeros(0, int)
+    seed = np.repeat(np.arange(len(seeds)), high - low)
+    order = np.argsort(block.owner[at], kind="stable")
+    owners, first = np.unique(block.owner[at][order], return_index=True)
     out = []
-    for one in np.unique(owners):
-        item, mine = block.items[one], owners == one
-        within = np.zeros(len(item), bool)
-        for k in range(least):
-            within[places[mine] + k] = True
-        if within.sum() < coverage * len(item):
+    for one, mine in zip(owners, np.split(order, first[1:]), strict=True):
+        item = block.items[one]
+        within = np.zeros(len(item) + 1, int)
+        np.add.at(within, block.place[at[mine]], 1)
+        np.add.at(within, block.place[at[mine]] + least, -1)
+        if (np.cumsum(within[:-1]) > 0).sum() < coverage * len(item):
             continue
-        near = np.zeros(len(tokens), bool)
-        for k in range(least):
-            near[texts[mine] + k] = True
-        starts = np.flatnonzero(near & ~np.append(False, near[:-1]))
-        ends = np.flatnonzero(near & ~np.append(near[1:], False)) + 1
+        his = np.zeros(len(seeds), bool)
+        his[seed[mine]] = True
+        near = np.zeros(len(tokens) + 1, int)
+        np.add.at(near, seed_hits[his[which]], 1)
+        np.add.at(near, seed_hits[his[which]] + least, -1)
+        near = np.cumsum(near[:-1]) > 0
         # Seed runs of the text, apart by a token that no item has.
-        parts = [x for a, b in zip(starts, ends, strict=True) for x in (tokens[a:b], np.zeros(1, np.uint64))]
-        n = sum(t[2] for t in tiles(item, np.concatenate(parts), least))
+        apart = np.append(False, near[:-1]) & ~near
+        parts = np.where(apart, np.uint64(0), tokens)[near | apart]
+        n = sum(t[2] for t in tiles(item, parts, least))
         if n >= coverage * len(item):
             out.append((int(one), n))
     return out
@@ -147,12 +180,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage
 
     Items shorter than ``least`` words count where they stand whole.  Null and
     empty texts and items give nothing; repeated rows are reported once each;
-    an empty benchmark gives an empty table.  The benchmark is broadcast in
-    blocks of at most about ``held`` words; a larger one takes a pass over the
-    documents for each block.
+    texts of any length are read whole; other columns are left out; an empty
+    benchmark gives an empty table.  The benchmark is broadcast in blocks of at
+    most about ``held`` words and one item more; a larger one takes a pass over
+    the documents for each block.
     """
     spark = docs.sparkSession
     doc_type, item_type = docs.schema[doc_id].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    batch_item = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = f"doc_id {doc_type}, item_id {item_type}, item_words int, covered_words int"
     out = None
     for block in blocks(benchmark, least, held):
@@ -179,7 +214,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage
                                     held_words.append(n)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int32())), pa.array(items, batch_item), pa.array(words, pa.int32()), pa.array(held_words, pa.int32())], names=["doc_id", "item_id", "item_words", "covered_words"])
 
-        batch_item = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
         part = docs.select(doc_id, text).mapInArrow(match, schema)
         out = part if out is None else out.unionByName(part)
     out = spark.createDataFrame([], schema) if out is None else out
