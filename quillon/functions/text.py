@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .canon import stripped
+
 # Parts of a key that mark private material, and keys that are safe although they hold one.
 FORBIDDEN_KEY_PARTS = (
     "access_token", "api_key", "auth", "authorization", "analysis", "cookie", "completion", "credential", "expected", "ground_truth", "hidden_reasoning", "http_body", "oracle",
@@ -20,6 +22,7 @@ EMBEDDED_PATH = r"(^|[^:/A-Za-z0-9_.-])/([^/]|$)|(^|[^A-Za-z0-9_.-])[A-Za-z]:[\\
 MARKERS = ("/users/", "/private/", "/tmp/", "file://", "authorization:", "api_key", "credential", "passwd", "password", "secret", "access_token")
 OPENINGS = ("sk-", "bearer ")
 REDACTED = "[redacted]"
+# How a text asks not to do something, and what a public identifier looks like.
 NEGATION = r"(?i)\b(do\s+not|don't|never|without)\b"
 IDENTIFIER = r"^[A-Za-z0-9][A-Za-z0-9_.:-]{0,127}$"
 
@@ -38,9 +41,14 @@ def forbidden_key(key: Column) -> Column:
 
 
 def forbidden_text(text: Column) -> Column:
-    """PRD-9: an absolute path at the start or inside, a marker or the opening of a credential."""
+    """PRD-9: an absolute path at the start or inside, a marker or the opening of a credential.
+
+    Paths have a slash, a backslash or a tilde, so only texts that have one are
+    searched for them.
+    """
     low = F.lower(text)
-    return text.rlike(PATH_START) | text.rlike(EMBEDDED_PATH) | any_of([low.contains(m) for m in MARKERS] + [low.startswith(o) for o in OPENINGS])
+    paths = text.contains("/") | text.contains("\\") | text.contains("~")
+    return (paths & text.rlike(PATH_START)) | (paths & text.rlike(EMBEDDED_PATH)) | any_of([low.contains(m) for m in MARKERS] + [low.startswith(o) for o in OPENINGS])
 
 
 def sanitized(text: Column) -> Column:
@@ -55,7 +63,7 @@ def sanitized_map(payload: Column) -> Column:
 
 def single_line(text: Column, low: int, high: int) -> Column:
     """Trimmed, ``low`` to ``high`` characters, without line breaks."""
-    return (F.length(text) >= low) & (F.length(text) <= high) & (text == F.regexp_replace(text, r"^\s+|\s+$", "")) & ~text.rlike(r"[\r\n]")
+    return (F.length(text) >= low) & (F.length(text) <= high) & (text == stripped(text)) & ~text.rlike(r"[\r\n]")
 
 
 def note_allowed(text: Column) -> Column:

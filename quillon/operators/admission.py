@@ -2,26 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-GATES = ("execution", "mutation_authorization", "assessment", "final_grounding", "unsafe_material")
+from ..functions.canon import numbered_id
+from ..functions.text import forbidden_text
+
+# The gates in their order.
+GATES = ("execution", "mutation_authorization", "assessment", "final_grounding", "unsafe_material", "semantic_key")
 
 
 def gate_admission(episodes: DataFrame) -> DataFrame:
-    """PRD-1, PRD-2: ``gates_passed`` and the first reason of a rejection, by the order of precedence."""
-    passed = F.col(GATES[0])
-    for gate in GATES[1:]:
-        passed = passed & F.col(gate)
+    """PRD-1, PRD-2: ``gates`` (a struct), ``gates_passed`` and the first reason of a rejection, by the order of precedence.
+
+    Episodes have terminal_reason (null where they ran to their end),
+    mutation_authorization, passed and reason_codes (of the assessment), grounded and
+    unsafe (null: not).  An executed episode always has a semantic key.
+    """
+    gates = {
+        "execution": F.col("terminal_reason").isNull(), "mutation_authorization": ~F.col("mutation_authorization").eqNullSafe(F.lit("rejected")), "assessment": F.coalesce("passed", F.lit(False)),
+        "final_grounding": F.coalesce("grounded", F.lit(False)), "unsafe_material": ~F.coalesce("unsafe", F.lit(False)), "semantic_key": F.lit(True),
+    }
+    at = episodes.withColumn("gates", F.struct(*[gates[g].alias(g) for g in GATES]))
     reason = (
-        F.when(~F.col("execution"), "step_budget_exhausted")
-        .when(~F.col("unsafe_material"), "unsafe_public_material")
-        .when(~F.col("mutation_authorization"), "unauthorized_mutation")
-        .when(~F.col("final_grounding"), "final_response_grounding_missing")
-        .when(~F.col("assessment"), "deterministic_assessment_failed")
+        F.when(F.col("terminal_reason").isNotNull(), F.col("terminal_reason"))
+        .when(~F.col("gates.unsafe_material"), "unsafe_public_material")
+        .when(~F.col("gates.mutation_authorization"), "unauthorized_mutation")
+        .when(~F.col("gates.final_grounding"), "final_response_grounding_missing")
+        .when(~F.col("gates.assessment"), F.coalesce(F.try_element_at("reason_codes", F.lit(1)), F.lit("deterministic_assessment_failed")))
     )
-    return episodes.withColumn("gates_passed", passed).withColumn("gate_reason", reason)
+    return at.withColumn("gates_passed", reduce(lambda x, y: x & y, [F.col(f"gates.{g}") for g in GATES])).withColumn("gate_reason", reason)
+
+
+# The reasons that refuse a change before execution; the public task of what has none.
+CHANGE_REFUSED = ("mutation_not_authorized_by_public_task", "unauthorized_mutation")
+NO_TASK = ("Task generation failed before public task compilation.", "unavailable")
+
+
+def pre_execution_negatives(rejections: DataFrame, run_id: Column | None = None) -> DataFrame:
+    """PRD-3 to PRD-5: the episodes of what failed before it ran; ``rejections``: sequence, domain_id, reason_code, instruction and tools (null where generation failed)."""
+    run = run_id if run_id is not None else F.lit("run")
+    instruction = F.coalesce("instruction", F.lit(NO_TASK[0]))
+    closed = {g: F.lit(False) for g in GATES} | {"mutation_authorization": ~F.col("reason_code").isin(*CHANGE_REFUSED), "unsafe_material": ~forbidden_text(instruction)}
+    return rejections.select(
+        numbered_id("episode", run, F.col("sequence")).alias("episode_id"), numbered_id("candidate", run, F.col("sequence")).alias("candidate_id"), "sequence", "domain_id", instruction.alias("instruction"),
+        F.coalesce("tools", F.array(F.lit(NO_TASK[1]))).alias("tools"), F.struct(*[closed[g].alias(g) for g in GATES]).alias("gates"), F.lit("negatives").alias("collection"), F.lit("rejected_before_execution").alias("status"), "reason_code",
+    )
 
 
 def semantic_dedup(admitted: DataFrame) -> DataFrame:
@@ -58,15 +87,20 @@ def first_admitted(episodes: DataFrame, n: int) -> DataFrame:
 
 
 def gate_counts(episodes: DataFrame) -> DataFrame:
-    """AG-9: passes and failures of each gate."""
-    sums = episodes.agg(*[F.count_if(F.col(g)).alias(g) for g in GATES], F.count(F.lit(1)).alias("n"))
-    stacked = ", ".join(f"'{g}', {g}" for g in GATES)
+    """AG-9: passes and failures of each gate, as the report names them."""
+    sums = episodes.agg(*[F.count_if(F.col(f"gates.{g}")).alias(g) for g in GATES], F.count(F.lit(1)).alias("n"))
+    stacked = ", ".join(f"'{g.removeprefix('mutation_')}', {g}" for g in GATES)
     return sums.selectExpr("n", f"stack({len(GATES)}, {stacked}) as (gate, passed)").select("gate", "passed", (F.col("n") - F.col("passed")).alias("failed"))
 
 
-def run_report(episodes: DataFrame) -> DataFrame:
-    """AG-5, AG-18: totals by domain."""
-    return episodes.groupBy("domain_id").agg(F.count(F.lit(1)).alias("terminal_count"), F.count_if("admitted").alias("accepted_count"), F.count_if(~F.col("admitted")).alias("negative_count"))
+def run_report(episodes: DataFrame, allocated: DataFrame | None = None) -> DataFrame:
+    """AG-5, AG-18: totals by domain; with ``allocated`` (domain_id, one row a slot) attempts, and what hasn't come to an end."""
+    ended = episodes.groupBy("domain_id").agg(F.count(F.lit(1)).alias("terminal_count"), F.count_if("admitted").alias("accepted_count"), F.count_if(~F.col("admitted")).alias("negative_count"))
+    if allocated is None:
+        return ended
+    slots = allocated.groupBy("domain_id").agg(F.count(F.lit(1)).alias("attempt_count"))
+    known = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("terminal_count", "accepted_count", "negative_count")]
+    return slots.join(ended, "domain_id", "left").select("domain_id", "attempt_count", *known, (F.col("attempt_count") - F.coalesce("terminal_count", F.lit(0))).alias("incomplete_count"))
 
 
 def family_share(episodes: DataFrame) -> DataFrame:
@@ -86,12 +120,33 @@ def generation_batches(slots: DataFrame, batch: int) -> DataFrame:
     return numbered.groupBy("batch").agg(F.min("sequence").alias("first_sequence"), F.max("sequence").alias("last_sequence"), F.count(F.lit(1)).alias("slots"))
 
 
-def run_status(report: DataFrame, target: int, capacity: int) -> DataFrame:
-    """SF-10: status and reason of a run by its counts, by the order of precedence."""
-    met = F.col("accepted_count") >= target
-    status = F.when(met, "completed").when(F.col("terminal_count") < capacity, "partial").otherwise("partial")
-    reason = F.when(met, "accepted_target_reached").when(F.col("terminal_count") < capacity, "domain_slot_exhausted").otherwise("bounded_replacement_exhausted")
-    return report.select("domain_id", "accepted_count", status.alias("status"), reason.alias("reason"))
+def run_status(runs: DataFrame) -> DataFrame:
+    """SF-10: status and reason of each run, by the order of precedence.
+
+    ``runs``: cancelled, stop_reason, accepted_target (null: none),
+    accepted_count, allocated_count, slot_limit and known_task_capacity (null:
+    unknown).  A target that the known capacity can't reach fails before the
+    run begins, whatever it then counts.
+    """
+    target, stop = F.col("accepted_target"), F.col("stop_reason")
+    met = target.isNotNull() & (F.col("accepted_count") >= target)
+    short = target.isNotNull() & (F.col("known_task_capacity") < target)
+    stopped = F.coalesce(stop.isin("provider_request_budget_exhausted", "scheduler_no_progress"), F.lit(False))
+    missed = F.when(F.col("allocated_count") < F.col("slot_limit"), "domain_slot_exhausted").when(F.col("known_task_capacity").isNull(), "unknown_task_capacity").otherwise("bounded_replacement_exhausted")
+    cases = [(short, "failed", F.lit("known_task_capacity_insufficient")), (F.coalesce("cancelled", F.lit(False)), "cancelled", F.lit("operator_cancelled")), (met, "completed", F.lit(None).cast("string")), (stopped, "partial", stop), (target.isNotNull(), "partial", missed)]
+    status, reason = F.lit("completed"), F.lit(None).cast("string")
+    for condition, name, why in reversed(cases):
+        condition = F.coalesce(condition, F.lit(False))
+        status, reason = F.when(condition, name).otherwise(status), F.when(condition, why).otherwise(reason)
+    return runs.withColumn("status", status).withColumn("reason", reason)
+
+
+def work_states(slots: DataFrame, claims: DataFrame, cases: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """SF-1: the state of every slot (sequence): an outcome ends it; else its claim (sequence, status: generating or running) tells, else whether it has a case."""
+    flag = lambda df, name: df.select("sequence").distinct().withColumn(name, F.lit(True))
+    at = slots.select("sequence").join(claims.select("sequence", F.col("status").alias("claimed")), "sequence", "left").join(flag(cases, "has_case"), "sequence", "left").join(flag(outcomes, "ended"), "sequence", "left")
+    status = F.when(F.col("ended"), "terminal").otherwise(F.coalesce("claimed", F.when(F.col("has_case"), "compiled").otherwise("pending")))
+    return at.select("sequence", status.alias("status"), F.coalesce("has_case", F.lit(False)).alias("has_case"))
 
 
 def recovered_state(work: DataFrame) -> DataFrame:

@@ -1,107 +1,232 @@
-"""Assessment of contact episodes from their events (SQ-1, SQ-2, SQ-12 to SQ-14), in higher-order functions."""
+"""Assessment of episodes from their events (SQ-1 to SQ-14, PRD-6, HP-11), in higher-order functions.
+
+An event is a struct with event_type, tool_name, arguments, observation,
+change (maps of text; a list is JSON text), content and error_code, in order.
+An episode has ``events``, ``mutation_authorization`` and the columns of its case.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.canon import canonical, canonical_array, evidence, holds, sha
+from ..functions.text import comment_allowed, note_allowed, reply_allowed, title_allowed
 
-def _last_response(events: Column) -> Column:
-    return F.try_element_at(F.transform(F.filter(events, lambda e: e["event_type"] == "final_response"), lambda e: e["content"]), F.lit(-1))
+Test = Callable[[Column], Column]
+EVENTS = "array<struct<event_type:string,tool_name:string,arguments:map<string,string>,observation:map<string,string>,change:map<string,string>,content:string,error_code:string>>"
+# What a response may say of an item that isn't there.
+MISSING = ("not found", "unavailable", "no matching")
 
 
-def _holds(text: Column, value: Column) -> Column:
-    return F.coalesce(F.contains(F.lower(text), F.lower(value)), F.lit(False))
+def yes(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
 
 
-def assess_contacts(episodes: DataFrame) -> DataFrame:
-    """checks (name, passed) in their order, passed, reason_codes and structural_key for each episode.
+def events_of() -> Column:
+    return F.coalesce(F.col("events").cast(EVENTS), F.array().cast(EVENTS))
 
-    Episodes have action (lookup_email or record_followup), route, verified,
-    name, email, note, authorized and events (event_type, tool_name, name,
-    email, note, content), in order.  Null events count as none.
-    """
-    events = F.coalesce(F.col("events"), F.array().cast(episodes.schema["events"].dataType))
-    lookup = F.exists(events, lambda e: F.coalesce((e["event_type"] == "observation") & (e["tool_name"] == "lookup_contact") & (e["name"] == F.col("name")) & (e["email"] == F.col("email")), F.lit(False)))
-    changes = F.filter(events, lambda e: e["event_type"] == "state_change")
-    recorded = F.exists(changes, lambda e: F.coalesce((e["name"] == F.col("name")) & (F.col("note").isNull() | (e["note"] == F.col("note"))), F.lit(False)))
-    saved = F.exists(events, lambda e: F.coalesce((e["event_type"] == "observation") & (e["tool_name"] == "get_followup") & (e["name"] == F.col("name")), F.lit(False)))
-    final = _last_response(events)
-    named = _holds(final, F.col("name"))
-
-    def check(name: str, passed: Column) -> Column:
-        return F.struct(F.lit(name).alias("name"), F.coalesce(passed, F.lit(False)).alias("passed"))
-
-    reading = F.array(check("requested_lookup_observed", lookup), check("no_unintended_state_changes", F.size(changes) == 0), check("final_response_grounded", named & _holds(final, F.col("email"))))
-    writing = F.array(
-        check("lookup_condition_observed", lookup), check("authorized_mutation", F.col("authorized")), check("requested_followup_recorded", recorded), check("no_unintended_state_changes", F.size(changes) == 1),
-        check("saved_followup_observed", saved | ~F.coalesce(F.col("verified"), F.lit(False))), check("final_response_grounded", named),
-    )
-    checks = F.when(F.col("action") == "lookup_email", reading).when(F.col("action") == "record_followup", writing)
-    family = F.when(F.col("action") == "lookup_email", "lookup").otherwise("followup")
-    out = episodes.withColumn("checks", checks)
-    failed = F.transform(F.filter("checks", lambda c: ~c["passed"]), lambda c: F.concat(c["name"], F.lit("_failed")))
-    return out.select(
-        *episodes.columns, "checks", F.coalesce(F.forall("checks", lambda c: c["passed"]), F.lit(False)).alias("passed"), F.coalesce(failed, F.array(F.lit("incomplete"))).alias("reason_codes"),
-        F.when(F.col("checks").isNull(), "incomplete").otherwise(F.concat_ws(".", F.lit("contacts"), family, F.when(F.coalesce(F.col("verified"), F.lit(False)), "verified").otherwise(F.col("route")))).alias("structural_key"),
-    )
 
+def is_event(kind: str, tool: str) -> Test:
+    return lambda e: (e["event_type"] == kind) & (e["tool_name"] == tool)
 
-# By action, the tool that finds the target, its check, and for changes the tools that record and read back with their checks.
-ACTIONS = {
-    "search_messages": ("search_messages", "requested_message_observed", None, None, None, None),
-    "create_reminder": ("search_messages", "message_condition_observed", "create_reminder", "requested_reminder_recorded", "get_reminder", "saved_reminder_observed"),
-    "create_draft_reply": ("search_messages", "message_condition_observed", "create_draft_reply", "requested_draft_recorded", "get_draft_reply", "saved_draft_observed"),
-    "search_workspace_items": ("search_workspace_items", "requested_item_observed", None, None, None, None),
-    "create_workspace_task": ("search_workspace_items", "project_condition_observed", "create_workspace_task", "requested_task_created", "get_workspace_task", "saved_task_observed"),
-    "add_workspace_comment": ("search_workspace_items", "task_condition_observed", "add_workspace_comment", "requested_comment_added", "get_workspace_comment", "saved_comment_observed"),
-}
-MISSING = ("not found", "unavailable", "no matching")
+
+def same_map(a: Column, b: Column) -> Column:
+    entries = lambda m: F.array_sort(F.map_entries(m))
+    return yes(entries(a) == entries(b))
+
+
+def record(**fields: Column) -> Column:
+    return F.create_map(*[x for name, value in fields.items() for x in (F.lit(name), value)])
+
+
+def first_place(events: Column, test: Test, after: Column | None = None) -> Column:
+    """The place (from 0) of the first event that passes, of those behind ``after``; null if there is none."""
+    places = F.filter(F.transform(events, lambda e, k: F.when(yes(test(e)) & (yes(k > after) if after is not None else F.lit(True)), k)), lambda k: k.isNotNull())
+    return F.array_min(places)
 
 
-def assess_targets(episodes: DataFrame) -> DataFrame:
-    """SQ-3 to SQ-9: checks, passed and reason_codes of message and workspace episodes.
+def route_completed(events: Column, route: Column, target: Test, directory: Test, stale: Test, failure: Test, recovery_by_directory: bool = True) -> Column:
+    """SQ-10: whether the target was observed by its route.
 
-    An episode has action (of ACTIONS), missing (a search whose item isn't
-    there), verified, authorized, target (an id, for missing items a query),
-    required (a map that the one change must carry), grounding (texts that the
-    last final response must hold) and events (event_type, tool_name, target,
-    details, content, error_code), in order.  Unknown actions are incomplete.
+    A recovery is a stale action, its failure, a directory (where the domain
+    asks for it) and the first target, in this order; the earliest event of
+    each step finds it wherever it is, as each step only needs some later one.
     """
-    events = F.coalesce(F.col("events"), F.array().cast(episodes.schema["events"].dataType))
-    yes = lambda c: F.coalesce(c, F.lit(False))
+    at = first_place(events, target)
+    failed = first_place(events, failure, first_place(events, stale))
+    last = first_place(events, directory, failed) if recovery_by_directory else failed
+    return at.isNotNull() & F.when(route.isin("direct", "verify"), True).when(route == "directory", yes(first_place(events, directory) < at)).when(route == "recovery", yes(last < at)).otherwise(False)
+
+
+def final_response(events: Column) -> Column:
+    """WN-8: the content of the last final response."""
+    return F.try_element_at(F.transform(F.filter(events, lambda e: e["event_type"] == "final_response"), lambda e: e["content"]), F.lit(-1))
+
+
+def single_change(events: Column, tool: str) -> tuple[Column, Column]:
+    """The change of the only event that changed state by ``tool`` (null if there isn't just one), and whether it is the only change at all."""
     changes = F.filter(events, lambda e: e["event_type"] == "state_change")
-    final = _last_response(events)
-    grounded = yes(F.forall(F.coalesce(F.col("grounding"), F.array().cast("array<string>")), lambda value: _holds(final, value))) & final.isNotNull()
+    mine = F.filter(changes, lambda e: yes(e["tool_name"] == tool))
+    return F.when(F.size(mine) == 1, F.try_element_at(mine, F.lit(1))["change"]), (F.size(changes) == 1) & (F.size(mine) == 1)
+
 
-    def observed(tool: str) -> Column:
-        return F.exists(events, lambda e: yes((e["event_type"] == "observation") & (e["tool_name"] == tool) & (e["target"] == F.col("target"))))
+def unchanged(events: Column) -> Column:
+    return ~F.exists(events, lambda e: yes(e["event_type"] == "state_change"))
 
-    def changed_by(tool: str) -> Column:
-        return F.exists(changes, lambda e: yes(e["tool_name"] == tool))
 
-    def check(name: str, passed: Column) -> Column:
-        return F.struct(F.lit(name).alias("name"), yes(passed).alias("passed"))
+def assessed(checks: list[tuple[str, Column, str]], tags: list[Column], family: Column, task_type: Column, difficulty: Column, proof: Column | None = None) -> Column:
+    """SQ-12: the assessment of ``checks`` (name, passed, reason where it isn't)."""
+    rows = F.array(*[F.struct(F.lit(name).alias("name"), yes(passed).alias("passed")) for name, passed, _ in checks])
+    reasons = F.array_compact(F.array(*[F.when(~yes(passed), F.lit(reason)) for _, passed, reason in checks]))
+    return F.struct(
+        F.forall(rows, lambda c: c["passed"]).alias("passed"), rows.alias("checks"), reasons.alias("reason_codes"), F.array(*tags).alias("coverage_tags"), family.alias("structural_key"),
+        (proof if proof is not None else F.lit(None).cast("string")).alias("state_change_evidence"), task_type.alias("task_type"), difficulty.alias("difficulty"),
+    )
+
 
-    required = F.coalesce(F.col("required"), F.create_map().cast("map<string,string>"))
-    carries = F.exists(changes, lambda e: yes(e["target"] == F.col("target")) & F.forall(F.map_entries(required), lambda r: yes(F.try_element_at(e["details"], r["key"]) == r["value"])))
-    asked = F.array_position(F.transform(events, lambda e: yes((e["event_type"] == "action") & (e["target"] == F.col("target")))), F.lit(True))
-    absent = F.array_position(F.transform(events, lambda e: yes((e["event_type"] == "error") & (e["error_code"] == "item_not_found"))), F.lit(True))
-    later = F.exists(F.transform(events, lambda e, k: yes((e["event_type"] == "error") & (e["error_code"] == "item_not_found")) & (k + 1 > asked)), lambda hit: hit)
+def by_route(prefix: str, route: Column, *special: tuple[Column, str]) -> Column:
+    """``{prefix}.verified`` for the verify route, then ``special`` endings, else the route."""
+    out = F.concat(F.lit(f"{prefix}."), route)
+    for condition, ending in reversed(special):
+        out = F.when(condition, F.lit(f"{prefix}.{ending}")).otherwise(out)
+    return F.when(route == "verify", F.lit(f"{prefix}.verified")).otherwise(out)
+
+
+def assess_contacts(episodes: DataFrame) -> DataFrame:
+    """SQ-1, SQ-2: ``assessment`` of contact episodes: action (lookup_email or record_followup), route, note_constraint, exact_note, target, expected_email."""
+    events, route, target, email = events_of(), F.col("route"), F.col("target"), F.col("expected_email")
+    seen = lambda e: is_event("observation", "lookup_contact")(e) & same_map(e["observation"], record(name=target, email=email))
+    listed = lambda e: is_event("observation", "list_contacts")(e) & F.array_contains(F.from_json(e["observation"]["contacts"], "array<string>"), target)
+    stale = lambda e: is_event("action", "lookup_contact")(e) & same_map(e["arguments"], record(name=F.concat(target, F.lit(" (stale)"))))
+    failure = lambda e: is_event("error", "lookup_contact")(e) & (e["error_code"] == "contact_not_found")
+    looked_up = route_completed(events, route, seen, listed, stale, failure)
+    final = final_response(events)
+    change, only = single_change(events, "record_followup")
+    note = change["note"]
+    effect = (change["name"] == target) & note.isNotNull() & F.when(F.col("note_constraint") == "exact", note == F.col("exact_note")).otherwise(note_allowed(note))
+    saved = (route != "verify") | F.exists(events, lambda e: yes(is_event("observation", "get_followup")(e) & (e["observation"]["name"] == target) & e["observation"]["note"].eqNullSafe(note)))
+    reading = assessed(
+        [
+            ("requested_lookup_observed", looked_up, "requested_lookup_not_observed"), ("no_unintended_state_changes", unchanged(events), "unintended_state_change"),
+            ("final_response_grounded", holds(final, target) & holds(final, email), "final_response_not_grounded"),
+        ],
+        [F.lit("lookup"), route], F.concat(F.lit("contacts.lookup."), route), F.col("action"), route,
+    )
+    writing = assessed(
+        [
+            ("lookup_condition_observed", looked_up, "lookup_condition_not_observed"), ("authorized_mutation", F.col("mutation_authorization") == "authorized", "mutation_not_authorized"),
+            ("requested_followup_recorded", effect, "requested_followup_not_recorded"), ("no_unintended_state_changes", only, "unintended_state_change"),
+            ("saved_followup_observed", saved, "saved_followup_not_observed"), ("final_response_grounded", holds(final, target) & holds(final, note), "final_response_not_grounded"),
+        ],
+        [F.lit("followup"), route, F.col("note_constraint")], by_route("contacts.followup", route), F.col("action"), route,
+        F.concat(F.lit("followup:"), F.replace(F.lower(target), F.lit(" "), F.lit("_"))),
+    )
+    return episodes.withColumn("assessment", F.when(F.col("action") == "record_followup", writing).otherwise(reading))
+
+
+def message_record() -> Column:
+    return record(message_id=F.col("message_id"), sender=F.col("sender"), body=F.col("body"))
+
+
+def assess_messages(episodes: DataFrame) -> DataFrame:
+    """SQ-3 to SQ-5, SQ-13: ``assessment`` of message episodes: action, route, reply_constraint, exact_reply, reminder_text, remind_at, message_id, sender, body, query."""
+    events, route, query, sender = events_of(), F.col("route"), F.col("query"), F.col("sender")
+    seen = lambda e: is_event("observation", "search_messages")(e) & same_map(e["observation"], message_record())
+    listed = lambda e: is_event("observation", "list_message_senders")(e) & F.array_contains(F.from_json(e["observation"]["senders"], "array<string>"), sender)
+    stale = lambda e: is_event("action", "search_messages")(e) & same_map(e["arguments"], record(query=F.concat(query, F.lit(" (stale)"))))
+    failure = lambda e: is_event("error", "search_messages")(e) & (e["error_code"] == "message_not_found")
+    found = route_completed(events, route, seen, listed, stale, failure)
+    final = final_response(events)
+    named = holds(final, sender) & holds(final, query)
+    proof = canonical({"message_id": F.col("message_id"), "sender": sender, "body": F.col("body")})
+
+    def changing(kind: str, tool: str, read: str, effect: Column, grounded: Column, tags: list[Column], family: Column) -> Column:
+        change, only = single_change(events, tool)
+        saved = (route != "verify") | F.exists(events, lambda e: yes(is_event("observation", read)(e) & same_map(e["observation"], change)))
+        return assessed(
+            [
+                ("message_condition_observed", found, "message_condition_not_observed"), ("authorized_mutation", F.col("mutation_authorization") == "authorized", "mutation_not_authorized"),
+                (f"requested_{kind}_recorded", effect, f"requested_{kind}_not_recorded"), ("no_unintended_state_changes", only, "unintended_state_change"),
+                (f"saved_{kind}_observed", saved, f"saved_{kind}_not_observed"), ("final_response_grounded", grounded, "final_response_not_grounded"),
+            ],
+            tags, family, F.col("action"), route, F.when(yes(effect) & found, evidence(kind, proof)),
+        )
+
+    change, _ = single_change(events, "create_reminder")
+    text, time = F.coalesce("reminder_text", F.lit("")), F.coalesce("remind_at", F.lit(""))
+    reminder = changing("reminder", "create_reminder", "get_reminder", same_map(change, record(message_id=F.col("message_id"), reminder_text=text, remind_at=time)), named & holds(final, text) & holds(final, time), [F.lit("reminder"), route], by_route("mobile_messages.reminder", route))
+    change, _ = single_change(events, "create_draft_reply")
+    reply, exact = change["content"], F.col("reply_constraint") == "exact"
+    effect = (change["message_id"] == F.col("message_id")) & reply.isNotNull() & F.when(exact, reply == F.col("exact_reply")).otherwise(reply_allowed(reply))
+    draft = changing("draft", "create_draft_reply", "get_draft_reply", effect, named & (reply.isNull() | holds(final, reply)), [F.lit("draft"), route, F.col("reply_constraint")], by_route("mobile_messages.draft", route, (exact, "exact")))
+    search = assessed(
+        [("requested_message_observed", found, "requested_message_not_observed"), ("no_unintended_state_changes", unchanged(events), "unintended_state_change"), ("final_response_grounded", named, "final_response_not_grounded")],
+        [F.lit("search"), route], F.concat(F.lit("mobile_messages.search."), route), F.col("action"), route,
+    )
+    return episodes.withColumn("assessment", F.when(F.col("action") == "create_reminder", reminder).when(F.col("action") == "create_draft_reply", draft).otherwise(search))
+
+
+def created_id(kind: str, parent: Column, text: Column) -> Column:
+    """1.5: the id of a task or comment that an episode creates."""
+    return F.concat(F.lit(f"workspace-{kind}-"), F.substring(sha(canonical_array(parent, text)), 1, 24))
+
+
+def assess_workspace(episodes: DataFrame) -> DataFrame:
+    """SQ-6 to SQ-9, SQ-13: ``assessment`` of workspace episodes: action, route, task_constraint, comment_constraint, title, priority, due_label, exact_comment, missing_query, missing_kind, item_id, kind, query, summary, project_id."""
+    events, route, query, kind, item = events_of(), F.col("route"), F.col("query"), F.col("kind"), F.col("item_id")
+    seen = lambda e: is_event("observation", "search_workspace_items")(e) & same_map(e["observation"], record(item_id=item, kind=kind, summary=F.col("summary")))
+    listed = is_event("observation", "list_workspace_projects")
+    asked = is_event("action", "search_workspace_items")
+    failure = lambda e: is_event("error", "search_workspace_items")(e) & (e["error_code"] == "item_not_found")
+    stale = lambda e: asked(e) & same_map(e["arguments"], record(query=F.concat(query, F.lit(" (stale)")), kind=kind))
+    found = item.isNotNull() & route_completed(events, route, seen, listed, stale, failure, recovery_by_directory=False)
+    final = final_response(events)
+    proof = canonical({"item_id": item, "kind": kind, "project_id": F.col("project_id"), "query": query, "summary": F.col("summary")})
+
+    def changing(name: str, tool: str, read: str, condition: str, verb: str, effect: Column, grounded: Column, tag: str, constraint: Column) -> Column:
+        change, only = single_change(events, tool)
+        saved = (route != "verify") | F.exists(events, lambda e: yes(is_event("observation", read)(e) & same_map(e["observation"], change)))
+        return assessed(
+            [
+                (f"{condition}_condition_observed", found, f"{condition}_condition_not_observed"), ("authorized_mutation", F.col("mutation_authorization") == "authorized", "mutation_not_authorized"),
+                (f"requested_{name}_{verb}", effect, f"requested_{name}_not_{verb}"), ("no_unintended_state_changes", only, "unintended_state_change"),
+                (f"saved_{name}_observed", saved, f"saved_{name}_not_observed"), ("final_response_grounded", grounded, "final_response_not_grounded"),
+            ],
+            [F.lit(tag), route, constraint], by_route(f"workspace_tasks.{name}", route), F.col("action"), route, F.when(yes(effect) & found, evidence(name, proof)),
+        )
+
+    change, _ = single_change(events, "create_workspace_task")
+    title = change["title"]
+    task_id = created_id("task", item, title)
+    allowed = F.when(F.col("task_constraint") == "exact", title == F.col("title")).otherwise(title_allowed(title))
+    effect = title.isNotNull() & (change["task_id"] == task_id) & (change["project_id"] == item) & (change["priority"] == F.col("priority")) & (change["due_label"] == F.col("due_label")) & allowed
+    grounded = holds(final, query) & holds(final, title) & holds(final, F.col("priority")) & holds(final, F.col("due_label")) & title.isNotNull() & holds(final, task_id)
+    task = changing("task", "create_workspace_task", "get_workspace_task", "project", "created", effect, grounded, "task_creation", F.col("task_constraint"))
+    change, _ = single_change(events, "add_workspace_comment")
+    text = change["comment"]
+    allowed = F.when(F.col("comment_constraint") == "exact", text == F.col("exact_comment")).otherwise(comment_allowed(text))
+    effect = (change["task_id"] == item) & text.isNotNull() & (change["comment_id"] == created_id("comment", item, text)) & allowed
+    comment = changing("comment", "add_workspace_comment", "get_workspace_comment", "task", "added", effect, holds(final, query) & holds(final, text), "comment_addition", F.col("comment_constraint"))
+    absent = first_place(events, failure, first_place(events, lambda e: asked(e) & same_map(e["arguments"], record(query=F.col("missing_query"), kind=F.col("missing_kind"))))).isNotNull()
     said = F.lit(False)
     for phrase in MISSING:
-        said = said | _holds(final, F.lit(phrase))
-    none = F.array(check("missing_item_observed", (asked > 0) & (absent > 0) & later), check("no_unintended_state_changes", F.size(changes) == 0), check("final_response_grounded", grounded & said))
-    checks = F.when((F.col("action") == "search_workspace_items") & yes(F.col("missing")), none)
-    for action, (find, found, record, recorded, read, saved) in ACTIONS.items():
-        if record is None:
-            rows = F.array(check(found, observed(find)), check("no_unintended_state_changes", F.size(changes) == 0), check("final_response_grounded", grounded))
-        else:
-            rows = F.array(
-                check(found, observed(find)), check("authorized_mutation", F.col("authorized")), check(recorded, carries & changed_by(record)), check("no_unintended_state_changes", F.size(changes) == 1),
-                check(saved, observed(read) | ~yes(F.col("verified"))), check("final_response_grounded", grounded),
-            )
-        checks = checks.when(F.col("action") == action, rows)
-    out = episodes.withColumn("checks", checks)
-    failed = F.transform(F.filter("checks", lambda c: ~c["passed"]), lambda c: F.concat(c["name"], F.lit("_failed")))
-    return out.withColumn("passed", yes(F.forall("checks", lambda c: c["passed"]))).withColumn("reason_codes", F.coalesce(failed, F.array(F.lit("incomplete"))))
+        said = said | holds(final, F.lit(phrase))
+    looking = lambda check, reason, passed, good, tags, ending: assessed(
+        [(check, passed, reason), ("no_unintended_state_changes", unchanged(events), "unintended_state_change"), ("final_response_grounded", good, "final_response_not_grounded")], tags, ending, F.col("action"), route
+    )
+    missing = looking("missing_item_observed", "missing_item_not_observed", absent, holds(final, F.col("missing_query")) & holds(final, F.col("missing_kind")) & said, [F.lit("missing_item_safe_failure")], F.lit("workspace_tasks.search.missing"))
+    search = looking("requested_item_observed", "requested_item_not_observed", found, holds(final, query) & holds(final, kind), [F.lit("item_search"), route], F.concat(F.lit("workspace_tasks.search."), route))
+    return episodes.withColumn("assessment", F.when(F.col("action") == "create_workspace_task", task).when(F.col("action") == "add_workspace_comment", comment).when(route == "missing", missing).otherwise(search))
+
+
+def or_incomplete(episodes: DataFrame, terminal: str = "terminal_reason") -> DataFrame:
+    """SQ-14, PRD-6, HP-23: an episode that ended early has the incomplete assessment, with its reason."""
+    kind = episodes.schema["assessment"].dataType
+    early = F.struct(
+        F.lit(False).alias("passed"), F.array().cast(kind["checks"].dataType).alias("checks"), F.array(F.col(terminal)).alias("reason_codes"), F.array().cast("array<string>").alias("coverage_tags"), F.lit("incomplete").alias("structural_key"),
+        F.lit(None).cast("string").alias("state_change_evidence"), F.lit(None).cast("string").alias("task_type"), F.lit(None).cast("string").alias("difficulty"),
+    )
+    return episodes.withColumn("assessment", F.when(F.col(terminal).isNotNull(), early).otherwise(F.col("assessment")))

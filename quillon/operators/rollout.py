@@ -1,48 +1,220 @@
-"""Stateful folds over an episode's saved actions (SF-4, SF-12, DM tools of contacts), in higher-order functions.
+"""Stateful folds over an episode's actions: the tools of the three domains, and replay (SF-4, SF-12, PRD-26, 2.9 tools, HP-4, HP-16).
 
-The state is a struct; each event makes the next one, so an episode is one row
-and a fold over it one expression: no Python, no group to collect.
+The state is a struct; each action makes the next one, so an episode is one row
+and a fold over it one expression: no Python, no group to collect.  An action
+has a tool, its arguments (a map of text) and, for a search of messages, the
+one message that it finds (see searched()).  Results are event_type
+(observation, state_change or error), payload and error_code; what may not
+change state is an error that ends the episode's authority.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STATE = "struct<seen:boolean,directory:boolean,note:string,results:array<string>>"
+from ..functions.text import comment_allowed, note_allowed, reply_allowed, title_allowed
+from .assessment import created_id, record
 
+RESULT = "struct<event_type:string,payload:map<string,string>,error_code:string>"
+STATE = f"struct<seen:boolean,listed:boolean,after:boolean,probed:boolean,changed:boolean,rejected:boolean,saved:map<string,string>,results:array<{RESULT}>>"
+ACTIONS = "array<struct<tool:string,arguments:map<string,string>,found:map<string,string>>>"
 
-def contact_fold(events: Column, contacts: Column, target: Column, authorized: Column) -> Column:
-    """Replay lookup_contact, list_contacts, record_followup and get_followup; ``results`` holds what each action returned or its error code.
+Step = Callable[[Column, Column, Column, Column], dict[str, Column]]
 
-    ``events``: array of structs tool, name, note; ``contacts``: map of name to
-    address.  A record needs authority, then a confirmed lookup of the target,
-    then an allowed note.
-    """
-    from ..functions.text import note_allowed
-
-    start = F.struct(F.lit(False).alias("seen"), F.lit(False).alias("directory"), F.lit(None).cast("string").alias("note"), F.array().cast("array<string>").alias("results"))
-
-    def step(state: Column, e: Column) -> Column:
-        known = F.map_contains_key(contacts, e["name"])
-        recorded = F.when(~authorized, "mutation_not_authorized").when(~state["seen"], "mutation_condition_not_observed").when(~F.coalesce(note_allowed(e["note"]), F.lit(False)), "unsupported_note").when(e["name"] != target, "unintended_state_change").otherwise("state_change")
-        result = (
-            F.when(e["tool"] == "lookup_contact", F.when(known, F.element_at(contacts, e["name"])).otherwise("contact_not_found"))
-            .when(e["tool"] == "list_contacts", F.array_join(F.array_sort(F.map_keys(contacts)), ","))
-            .when(e["tool"] == "record_followup", recorded)
-            .when(e["tool"] == "get_followup", F.coalesce(state["note"], F.lit("followup_not_found")))
-            .otherwise("unknown_tool")
-        )
+
+def result(kind: str, payload: Column | None = None, error: Column | str | None = None) -> Column:
+    error = F.lit(error) if error is None or isinstance(error, str) else error
+    return F.struct(F.lit(kind).alias("event_type"), (payload if payload is not None else F.lit(None).cast("map<string,string>")).alias("payload"), error.cast("string").alias("error_code")).cast(RESULT)
+
+
+def failure(code: str) -> Column:
+    return result("error", error=code)
+
+
+def cased(branches: list[tuple[Column, Column]], otherwise: Column) -> Column:
+    out = otherwise
+    for condition, value in reversed(branches):
+        out = F.when(F.coalesce(condition, F.lit(False)), value).otherwise(out)
+    return out
+
+
+def folded(actions: Column, saved: Column, step: Step) -> Column:
+    """The state after all ``actions``; ``saved``: what exists before them."""
+    none = F.array().cast(f"array<{RESULT}>")
+    no = F.lit(False)
+    start = F.struct(no.alias("seen"), no.alias("listed"), no.alias("after"), no.alias("probed"), no.alias("changed"), no.alias("rejected"), saved.alias("saved"), none.alias("results")).cast(STATE)
+
+    def merge(state: Column, action: Column) -> Column:
+        given = action["arguments"]
+        new = step(state, action["tool"], given, action["found"])
+        got = new["result"]
+        changes = got["event_type"] == "state_change"
+        refused = F.coalesce(got["error_code"].isin(*REFUSALS), F.lit(False))
         return F.struct(
-            (state["seen"] | ((e["tool"] == "lookup_contact") & known & (e["name"] == target))).alias("seen"), (state["directory"] | (e["tool"] == "list_contacts")).alias("directory"),
-            F.when((e["tool"] == "record_followup") & (recorded == "state_change"), e["note"]).otherwise(state["note"]).alias("note"), F.concat(state["results"], F.array(result)).alias("results"),
+            new["seen"].alias("seen"), new["listed"].alias("listed"), new["after"].alias("after"), new["probed"].alias("probed"), (state["changed"] | changes).alias("changed"), (state["rejected"] | refused).alias("rejected"),
+            F.when(changes, got["payload"]).otherwise(state["saved"]).alias("saved"), F.concat(state["results"], F.array(got)).alias("results"),
         ).cast(STATE)
 
-    return F.aggregate(events, start.cast(STATE), step)
+    return F.aggregate(F.coalesce(actions.cast(ACTIONS), F.array().cast(ACTIONS)), start, merge)
+
+
+# The errors of a change that isn't authorized.
+REFUSALS = (
+    "mutation_not_authorized", "mutation_condition_not_observed", "unsupported_note", "note_not_authorized", "unintended_state_change", "reminder_not_authorized", "unsupported_reply", "reply_not_authorized",
+    "task_not_authorized", "unsupported_task_title", "unsupported_comment", "comment_not_authorized",
+)
+
+
+def by_route(state: Column, route: Column) -> Column:
+    """PRD-26: whether the route to the target allows a change."""
+    return state["seen"] & F.when(route == "directory", state["after"]).when(route == "recovery", state["probed"] & state["after"]).otherwise(True)
+
+
+def contact_state(actions: Column, contacts: Column, existing: Column) -> Column:
+    """Tools of contacts: ``contacts`` is a map of name to address, ``existing`` the target's followup (name, note) or null; the case's columns are action, route, target, note_constraint and exact_note."""
+    target, route = F.col("target"), F.col("route")
+
+    def step(state: Column, tool: Column, given: Column, _: Column) -> dict[str, Column]:
+        name, note = given["name"], given["note"]
+        known = F.coalesce(F.map_contains_key(contacts, F.coalesce(name, F.lit(""))), F.lit(False))
+        looks, lists = tool == "lookup_contact", tool == "list_contacts"
+        hit = looks & known & (name == target)
+        written = cased(
+            [
+                ((F.col("action") != "record_followup") | ~name.eqNullSafe(target), failure("mutation_not_authorized")), (~by_route(state, route), failure("mutation_condition_not_observed")), (~F.coalesce(note_allowed(note), F.lit(False)), failure("unsupported_note")),
+                ((F.col("note_constraint") == "exact") & ~note.eqNullSafe(F.col("exact_note")), failure("note_not_authorized")), (state["saved"].isNotNull(), failure("unintended_state_change")),
+            ],
+            result("state_change", record(name=target, note=note)),
+        )
+        held = F.coalesce(state["saved"]["name"] == name, F.lit(False))
+        got = cased(
+            [
+                (looks & known, result("observation", record(name=name, email=contacts[name]))), (looks, failure("contact_not_found")), (lists, result("observation", record(contacts=F.to_json(F.array_sort(F.map_keys(contacts)))))),
+                (tool == "record_followup", written), ((tool == "get_followup") & held, result("observation", state["saved"])), (tool == "get_followup", failure("followup_not_found")),
+            ],
+            failure("unknown_tool"),
+        )
+        probe = looks & ~known & (name == F.concat(target, F.lit(" (stale)")))
+        return {"result": got, "seen": state["seen"] | F.coalesce(hit, F.lit(False)), "listed": state["listed"] | lists, "after": F.when(F.coalesce(hit, F.lit(False)), state["listed"]).otherwise(state["after"]), "probed": state["probed"] | F.coalesce(probe, F.lit(False))}
+
+    return folded(actions, existing, step)
+
+
+def searched(searches: DataFrame, messages: DataFrame, gram: int = 12) -> DataFrame:
+    """For each of ``searches`` (query_id, query), the message that alone has the query in its body, as a map; null where there is none or another.
+
+    The search is the n-gram seeded join of containment_counts(), so no query
+    is compared with all messages.
+    """
+    from .tasks import containment_pairs
+
+    pairs = containment_pairs(messages, searches.select(F.col("query_id").alias("message_id"), "query"), gram)
+    once = pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("message_id").alias("message_id")).where("n = 1").drop("n")
+    found = once.join(messages, "message_id").select("query_id", record(message_id=F.col("message_id").cast("string"), sender=F.col("sender"), body=F.col("body")).alias("found"))
+    return searches.join(found, "query_id", "left")
 
 
-def replayed(episodes: DataFrame) -> DataFrame:
-    """Each episode (events, contacts, target, authorized, saved) with its folded state and whether the saved results drifted."""
-    state = contact_fold(F.col("events"), F.col("contacts"), F.col("target"), F.col("authorized"))
+def message_state(actions: Column, senders: Column, reminder: Column, draft: Column) -> Column:
+    """Tools of messages: ``senders`` is JSON text of all; ``reminder`` and ``draft`` are the target's own before the episode, or null.
+
+    The case's columns are action, route, message_id, query, reminder_text,
+    remind_at, reply_constraint and exact_reply.
+    """
+    target, route, action = F.col("message_id").cast("string"), F.col("route"), F.col("action")
+
+    def step(state: Column, tool: Column, given: Column, found: Column) -> dict[str, Column]:
+        asked, query = given["message_id"], given["query"]
+        looks, lists = tool == "search_messages", tool == "list_message_senders"
+        probe = looks & (query == F.concat(F.col("query"), F.lit(" (stale)")))
+        hit = F.coalesce(looks & ~probe & (found["message_id"] == target), F.lit(False))
+
+        def change(name: str, checks: list[tuple[Column, Column]], payload: Column) -> Column:
+            return cased([((action != name) | ~asked.eqNullSafe(target), failure("mutation_not_authorized")), (~by_route(state, route), failure("mutation_condition_not_observed")), *checks, (state["saved"].isNotNull(), failure("unintended_state_change"))], result("state_change", payload))
+
+        same = given["reminder_text"].eqNullSafe(F.col("reminder_text")) & given["remind_at"].eqNullSafe(F.col("remind_at"))
+        reminds = change("create_reminder", [(~same | given["reminder_text"].isNull() | given["remind_at"].isNull(), failure("reminder_not_authorized"))], record(message_id=target, reminder_text=given["reminder_text"], remind_at=given["remind_at"]))
+        content = given["content"]
+        drafts = change(
+            "create_draft_reply", [(~F.coalesce(reply_allowed(content), F.lit(False)), failure("unsupported_reply")), ((F.col("reply_constraint") == "exact") & ~content.eqNullSafe(F.col("exact_reply")), failure("reply_not_authorized"))], record(message_id=target, content=content)
+        )
+        mine = lambda kind, own: F.when(asked == target, F.when(action == kind, state["saved"]).otherwise(own))
+        held, replied = mine("create_reminder", reminder), mine("create_draft_reply", draft)
+        got = cased(
+            [
+                (looks & query.isNull(), failure("invalid_search_query")), (probe, failure("message_not_found")), (looks & found.isNotNull(), result("observation", found)), (looks, failure("message_not_found")),
+                (lists, result("observation", record(senders=senders))), (tool == "create_reminder", reminds), (tool == "create_draft_reply", drafts), ((tool == "get_reminder") & held.isNotNull(), result("observation", held)), (tool == "get_reminder", failure("reminder_not_found")),
+                ((tool == "get_draft_reply") & replied.isNotNull(), result("observation", replied)), (tool == "get_draft_reply", failure("draft_not_found")),
+            ],
+            failure("unknown_tool"),
+        )
+        return {"result": got, "seen": state["seen"] | hit, "listed": state["listed"] | lists, "after": F.when(hit, state["listed"]).otherwise(state["after"]), "probed": state["probed"] | F.coalesce(probe, F.lit(False))}
+
+    return folded(actions, F.when(action == "create_reminder", reminder).when(action == "create_draft_reply", draft), step)
+
+
+def workspace_state(actions: Column, projects: Column) -> Column:
+    """Tools of the workspace: ``projects`` is JSON text of all; the case's columns are action, route, item_id, kind, query, summary, title, priority, due_label, task_constraint, comment_constraint and exact_comment.
+
+    A search finds the case's own target alone.
+    """
+    target, action, route = F.col("item_id"), F.col("action"), F.col("route")
+
+    def step(state: Column, tool: Column, given: Column, _: Column) -> dict[str, Column]:
+        looks, lists = tool == "search_workspace_items", tool == "list_workspace_projects"
+        kind = given["kind"] == F.col("kind")
+        probe = F.coalesce(looks & kind & (given["query"] == F.concat(F.col("query"), F.lit(" (stale)"))), F.lit(False))
+        hit = F.coalesce(looks & kind & (given["query"] == F.col("query")), F.lit(False))
+        allowed = state["seen"] & ((route != "recovery") | state["probed"])
+
+        def change(name: str, parent: str, checks: list[tuple[Column, Column]], payload: Column) -> Column:
+            mine = (action == name) & F.coalesce(given[parent] == target, F.lit(False))
+            return cased([(~mine, failure("mutation_not_authorized")), (state["changed"], failure("unintended_state_change")), (~allowed, failure("mutation_condition_not_observed")), *checks], result("state_change", payload))
+
+        title, comment = given["title"], given["comment"]
+        named = title.isNotNull() & given["priority"].eqNullSafe(F.col("priority")) & given["due_label"].eqNullSafe(F.col("due_label")) & ((F.col("task_constraint") != "exact") | title.eqNullSafe(F.col("title")))
+        tasks = change(
+            "create_workspace_task", "project_id", [(~named, failure("task_not_authorized")), ((F.col("task_constraint") == "open") & ~F.coalesce(title_allowed(title), F.lit(False)), failure("unsupported_task_title"))],
+            record(task_id=created_id("task", target, title), project_id=target, title=title, priority=given["priority"], due_label=given["due_label"]),
+        )
+        comments = change(
+            "add_workspace_comment", "task_id", [(~F.coalesce(comment_allowed(comment), F.lit(False)), failure("unsupported_comment")), ((F.col("comment_constraint") == "exact") & ~comment.eqNullSafe(F.col("exact_comment")), failure("comment_not_authorized"))],
+            record(comment_id=created_id("comment", target, comment), task_id=target, comment=comment),
+        )
+        read = lambda name, key, own: F.coalesce((tool == name) & (action == own) & (given[key] == state["saved"][key]), F.lit(False))
+        got = cased(
+            [
+                (looks & (given["query"].isNull() | given["kind"].isNull()), failure("invalid_search_query")), (hit, result("observation", record(item_id=target, kind=F.col("kind"), summary=F.col("summary")))), (looks, failure("item_not_found")),
+                (lists, result("observation", record(projects=projects))), (tool == "create_workspace_task", tasks), (tool == "add_workspace_comment", comments),
+                (read("get_workspace_task", "task_id", "create_workspace_task"), result("observation", state["saved"])), (tool == "get_workspace_task", failure("task_not_found")),
+                (read("get_workspace_comment", "comment_id", "add_workspace_comment"), result("observation", state["saved"])), (tool == "get_workspace_comment", failure("comment_not_found")),
+            ],
+            failure("unknown_tool"),
+        )
+        return {"result": got, "seen": state["seen"] | hit, "listed": state["listed"] | lists, "after": state["after"], "probed": state["probed"] | probe}
+
+    return folded(actions, F.lit(None).cast("map<string,string>"), step)
+
+
+def rolled_out(episodes: DataFrame, state: Column) -> DataFrame:
+    """``episodes`` with the folded ``state`` and the authorization that its changes leave: rejected, authorized or not_applicable."""
     out = episodes.withColumn("state", state)
-    return out.withColumn("status", F.when(F.col("state.results").eqNullSafe(F.col("saved")), "aligned").otherwise("observation_drift"))
+    return out.withColumn("mutation_authorization", F.when(F.col("state.rejected"), "rejected").when(F.col("state.changed"), "authorized").otherwise("not_applicable"))
+
+
+def replayed(episodes: DataFrame, saved: str = "saved_results", assessment: str | None = None, again: str | None = None) -> DataFrame:
+    """SF-12, AG-23, HP-23: the status of a replay of rolled-out episodes.
+
+    ``saved`` holds what each action returned at first, null for an episode
+    without a case: ``not_executed``.  Results that differ, or of which there
+    are more on one side, or another ``saved_authorization``, are observation
+    drift; where named, ``assessment`` and ``again`` are compared as well.
+    """
+    same = lambda m: F.array_sort(F.map_entries(m))
+    flat = lambda rs: F.transform(rs, lambda r: F.struct(r["event_type"], same(r["payload"]), r["error_code"]))
+    drift = ~flat(F.col("state.results")).eqNullSafe(flat(F.col(saved))) | ~F.col("mutation_authorization").eqNullSafe(F.col("saved_authorization"))
+    judged = ~F.to_json(F.col(assessment)).eqNullSafe(F.to_json(F.col(again))) if assessment else F.lit(False)
+    status = F.when(F.col(saved).isNull(), "not_executed").when(drift & judged, "observation_and_assessment_drift").when(drift, "observation_drift").when(judged, "assessment_drift").otherwise("aligned")
+    return episodes.withColumn("status", status)

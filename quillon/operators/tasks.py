@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.canon import casefold
+from ..sources.records import workspace_query
+
+# Fixed value: the most slots that a run has.
+SLOT_LIMIT = 10_000
 # Kinds of task by domain, in their order, and whether each changes state.
 CONTACT_SPECS = (("lookup-direct", False), ("lookup-directory", False), ("lookup-recovery", False), ("followup-open", True), ("followup-exact", True), ("followup-directory", True), ("followup-recovery", True), ("followup-verified", True))
 
@@ -14,10 +19,11 @@ def contact_slots(contacts: DataFrame, followups: DataFrame) -> DataFrame:
     """JN-17, PRD-24, DM-1, DM-2: every contact's applicable tasks; contacts with a followup keep the lookups.
 
     The specs are a constant of eight rows, so each contact is exploded in
-    place; the slot id takes a hash where a slug isn't unique.
+    place; the slot id takes a hash where a slug (the case-folded name with
+    dashes for spaces) isn't unique.
     """
     specs = F.array(*[F.struct(F.lit(k).cast("int").alias("position"), F.lit(kind).alias("kind"), F.lit(changes).alias("changes")) for k, (kind, changes) in enumerate(CONTACT_SPECS)])
-    slug = F.regexp_replace(F.regexp_replace(F.lower("name"), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    slug = F.replace(casefold(F.col("name")), F.lit(" "), F.lit("-"))
     slugged = contacts.withColumn("slug", slug)
     shared = slugged.groupBy("slug").agg(F.count(F.lit(1)).alias("same"))
     has = followups.select("name").distinct().withColumn("has_followup", F.lit(True))
@@ -32,21 +38,15 @@ def capacity(slots: DataFrame, limit: int) -> DataFrame:
     return n.select("capacity", F.least("capacity", F.lit(limit).cast("long")).alias("emitted"), (F.lit(limit) >= F.col("capacity")).alias("exhausted"))
 
 
-def semantic_keys(slots: DataFrame, domain: str) -> DataFrame:
-    """DM-7: the key of a task is the hash of its canonical case record."""
-    record = F.to_json(F.struct(F.col("kind"), F.col("name")))
-    return slots.select("slot_id", F.concat(F.lit(f"{domain}:semantic:sha256:"), F.sha2(record, 256)).alias("semantic_key"))
-
-
 def unique_queries(items: DataFrame) -> DataFrame:
-    """PRD-25: items whose kind and query no other item has; the count is an aggregate, joined back."""
-    asked = items.withColumn("query", F.lower("summary"))
+    """PRD-25: items whose kind and query (DM-10) no other item has; the count is an aggregate, joined back."""
+    asked = items.withColumn("query", workspace_query(F.col("kind"), F.col("summary")))
     once = asked.groupBy("kind", "query").agg(F.count(F.lit(1)).alias("same")).where("same = 1").select("kind", "query")
     return asked.join(once, ["kind", "query"], "left_semi")
 
 
-def containment_counts(messages: DataFrame, queries: DataFrame, gram: int = 12) -> DataFrame:
-    """JN-21, PRD-25: for each query (message_id, query of at least ``gram`` characters), how many bodies hold it, whatever their case.
+def containment_pairs(messages: DataFrame, queries: DataFrame, gram: int = 12) -> DataFrame:
+    """JN-21: query_id and message_id of every query (message_id, query of at least ``gram`` characters) and body that holds it, whatever their case.
 
     A body that holds a query holds its first ``gram`` characters, so only
     bodies and queries that share them are compared.
@@ -56,15 +56,19 @@ def containment_counts(messages: DataFrame, queries: DataFrame, gram: int = 12)
     low = messages.select("message_id", F.lower("body").alias("body"))
     places = F.regexp_extract_all("body", F.lit(f"(?s)(?=(.{{{gram}}}))"), F.lit(1))
     grams = low.select("message_id", F.explode(F.array_distinct(places)).alias("seed")).join(seeds, "seed")
-    pairs = grams.join(asked, "seed").join(low, "message_id").where(F.contains(F.col("body"), F.col("query")))
-    return pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("bodies"))
+    return grams.join(asked, "seed").join(low, "message_id").where(F.contains(F.col("body"), F.col("query"))).select("query_id", "message_id")
+
+
+def containment_counts(messages: DataFrame, queries: DataFrame, gram: int = 12) -> DataFrame:
+    """JN-21, PRD-25: for each query, how many bodies hold it."""
+    return containment_pairs(messages, queries, gram).groupBy("query_id").agg(F.count(F.lit(1)).alias("bodies"))
 
 
-def interleaved(items: DataFrame, kinds: list[str]) -> DataFrame:
-    """JN-19: targets of each kind by id, dealt round-robin over the kinds."""
+def interleaved(items: DataFrame, kinds: list[str], limit: int = SLOT_LIMIT) -> DataFrame:
+    """JN-19: the first ``limit`` targets of each kind by id, dealt round-robin over the kinds; a run has no more slots, so no task sorts more."""
     order = F.create_map(*[x for k, kind in enumerate(kinds) for x in (F.lit(kind), F.lit(k))])
     by = Window.partitionBy("kind").orderBy("item_id")
-    return items.where(F.col("kind").isin(*kinds)).withColumn("target_index", F.row_number().over(by) - 1).withColumn("spec_position", order[F.col("kind")])
+    return items.where(F.col("kind").isin(*kinds)).withColumn("target_index", F.row_number().over(by) - 1).where(F.col("target_index") < limit).withColumn("spec_position", order[F.col("kind")])
 
 
 def foreign_key_violations(items: DataFrame, kind: str, parent: str) -> DataFrame:
@@ -73,24 +77,6 @@ def foreign_key_violations(items: DataFrame, kind: str, parent: str) -> DataFram
     return items.where(F.col("kind") == kind).join(parents, "project_id", "left_anti").select("kind", "item_id", "project_id")
 
 
-def compile_reason(proposals: DataFrame) -> DataFrame:
-    """DM-4 for contacts: the first reason against a proposal (content, expected_action, expected_contact, expected_route), null if it compiles."""
-    from ..functions.text import negated_action, negated_text
-
-    field = lambda name: F.get_json_object("content", f"$.{name}")
-    broken = ~F.coalesce(F.col("content").rlike(r"(?s)^\s*\{.*\}\s*$"), F.lit(False))
-    reason = (
-        F.when(broken & F.coalesce(negated_text(F.col("content")), F.lit(False)), "negated_action")
-        .when(broken, "proposal_not_json")
-        .when(field("action").isNull(), "unsupported_requested_action")
-        .when(negated_action(field("action")), "negated_action")
-        .when(~field("contact").eqNullSafe(F.col("expected_contact")), "wrong_contact_binding")
-        .when(field("action") != F.col("expected_action"), "unsupported_requested_action")
-        .when(~field("route").eqNullSafe(F.col("expected_route")), "uncheckable_condition")
-    )
-    return proposals.withColumn("reason", reason)
-
-
 # The message tasks (kind, action, constraint), and the workspace tasks (kind, action, route, target kind, whether any item may stand in, target index).
 MESSAGE_SPECS = (
     ("search-direct", "search", None), ("search-directory", "search", None), ("search-recovery", "search", None), ("reminder-direct", "reminder", None), ("reminder-directory", "reminder", None), ("reminder-recovery", "reminder", None),
@@ -148,8 +134,8 @@ def message_slots(messages: DataFrame, reminders: DataFrame, drafts: DataFrame,
     return at.where(keep).select("message_id", F.col("spec.position").alias("position"), F.col("spec.kind").alias("kind"), slot.alias("slot_id"))
 
 
-def workspace_slots(items: DataFrame, every: bool) -> DataFrame:
-    """JN-18 to JN-20, DM-1 for workspace items (item_id, kind, query): kind of task, its position, target and target index.
+def workspace_slots(items: DataFrame, every: bool, limit: int = SLOT_LIMIT) -> DataFrame:
+    """JN-18 to JN-20, DM-1 for workspace items (item_id, kind, query): the first ``limit`` slots: kind of task, its position, target and target index.
 
     ``every`` takes all targets, dealt round-robin over the specs; otherwise
     each spec has one.  A spec whose kind has no item at all may fall back to
@@ -165,11 +151,9 @@ def workspace_slots(items: DataFrame, every: bool) -> DataFrame:
             continue
         held = unique.where(F.col("kind") == kind) if kind in kinds else unique
         order = [F.lit(0) if kind in kinds else preference, F.col("item_id")]
-        if every:
-            by = Window.orderBy(*order)
-            numbered = held.withColumn("target_index", F.row_number().over(by) - 1)
-        else:
-            numbered = held.withColumn("__at", F.row_number().over(Window.orderBy(*order)) - 1).where(F.col("__at") <= index)
-            numbered = numbered.orderBy(F.desc("__at")).limit(1).withColumn("target_index", F.lit(0))
+        # No more than the first ``limit`` targets, or up to the spec's own, are sorted in one task.
+        numbered = held.withColumn("target_index", F.row_number().over(Window.orderBy(*order)) - 1).where(F.col("target_index") < (limit if every else index + 1))
+        if not every:
+            numbered = numbered.orderBy(F.desc("target_index")).limit(1).withColumn("target_index", F.lit(0))
         out = out.unionByName(numbered.select(F.lit(spec).alias("spec"), F.lit(position).alias("position"), "item_id", "target_index"))
-    return out.orderBy("target_index", "position") if every else out.orderBy("position")
+    return out.orderBy("target_index", "position").limit(limit)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,9 +34,21 @@ def usage_rollup(requests: DataFrame) -> DataFrame:
     return requests.rollup("role").agg(*_measures())
 
 
+def with_sequences(requests: DataFrame) -> DataFrame:
+    """JN-12, JN-13: a row for each episode that a request counts for: its own and all related ones, each once."""
+    own = F.when(F.col("sequence").isNotNull(), F.array(F.col("sequence"))).otherwise(F.array())
+    related = F.coalesce(F.col("related_sequences").cast("array<bigint>"), F.array().cast("array<bigint>"))
+    return requests.withColumn("sequence", F.explode(F.array_union(own.cast("array<bigint>"), related)))
+
+
 def episode_lineage(requests: DataFrame) -> DataFrame:
-    """AG-3: usage by episode and role."""
-    return usage_summary(requests.where(F.col("role").isin("task_generation", "agent")), "sequence", "role")
+    """AG-3: usage by episode and role with the hashes of the responses, in the order of requests; a request counts for every related episode.
+
+    ``requests`` have related_sequences and response_hash.
+    """
+    counted = with_sequences(requests.where(F.col("role").isin("task_generation", "agent")))
+    hashes = F.transform(F.array_sort(F.collect_list(F.when(F.col("response_hash").isNotNull(), F.struct("request_id", "response_hash")))), lambda r: r["response_hash"])
+    return counted.groupBy("sequence", "role").agg(*_measures(), hashes.alias("response_hashes"))
 
 
 def attempt_ordinals(requests: DataFrame) -> DataFrame:
@@ -46,10 +60,11 @@ def attempt_ordinals(requests: DataFrame) -> DataFrame:
 def budget_admitted(requests: DataFrame, total_limit: int, role_limits: dict[str, int]) -> DataFrame:
     """WN-4: the requests that a sequential budget lets pass, in two stages.
 
-    First each role's own limit, then the total over what is left.  Only rows
-    within a role's limit reach the total's window, and the limits bound them.
+    First each role's own limit, then the total over what is left.  Each is the
+    first rows by id, which Spark takes from every partition before it merges
+    them, so no task sorts a role's requests.  Roles without a limit of their
+    own have the total.
     """
-    by_role = Window.partitionBy("role").orderBy("request_id")
-    limit = F.create_map(*[F.lit(x) for pair in role_limits.items() for x in pair])
-    within = requests.withColumn("role_ordinal", F.row_number().over(by_role)).where(F.col("role_ordinal") <= F.coalesce(limit[F.col("role")], F.lit(total_limit)))
-    return within.orderBy("request_id").limit(total_limit)
+    parts = [requests.where(F.col("role") == role).orderBy("request_id").limit(limit) for role, limit in role_limits.items()]
+    parts.append(requests.where(~F.coalesce(F.col("role").isin(*role_limits), F.lit(False))).orderBy("request_id").limit(total_limit))
+    return reduce(DataFrame.unionByName, parts).orderBy("request_id").limit(total_limit)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from ..sources.records import OPENING_VERB
+from . import episode_oracles
 from .views import with_views
 
 _USAGE = """count(*) as request_count, count(*) - count(distinct logical_request_id) as retry_count,
     count(*) filter (request_kind = 'repair') as repair_count, cast(sum(total_tokens) as bigint) as known_total_tokens, count(*) filter (total_tokens is null) as unknown_usage_count,
     count(*) filter (status = 'reserved') as reserved_count, count(*) filter (status = 'failed') as failed_count, count(*) filter (status = 'completed') as completed_count"""
-_GATED = """gated as (select *, execution and mutation_authorization and assessment and final_grounding and unsafe_material as gates_passed,
-    case when not execution then 'step_budget_exhausted' when not unsafe_material then 'unsafe_public_material' when not mutation_authorization then 'unauthorized_mutation'
-        when not final_grounding then 'final_response_grounding_missing' when not assessment then 'deterministic_assessment_failed' end as gate_reason from episodes_v)"""
+_GATED = """gated as (select *, terminal_reason is null as execution, mutation_authorization <> 'rejected' as authorized, passed as assessment, grounded as final_grounding, not unsafe as unsafe_material,
+    terminal_reason is null and mutation_authorization <> 'rejected' and passed and grounded and not unsafe as gates_passed,
+    case when terminal_reason is not null then terminal_reason when unsafe then 'unsafe_public_material' when mutation_authorization = 'rejected' then 'unauthorized_mutation'
+        when not grounded then 'final_response_grounding_missing' when not passed then coalesce(first_code, 'deterministic_assessment_failed') end as gate_reason
+    from episodes_v)"""
 _ADMITTED = f"""{_GATED}, won as (select *, min(case when gates_passed then sequence end) over (partition by semantic_key) as winner from gated),
 adm as (select *, coalesce(sequence > winner, false) as duplicate, gates_passed and not coalesce(sequence > winner, false) as admitted,
     case when coalesce(sequence > winner, false) then 'duplicate_semantic_task' else gate_reason end as reason_code,
@@ -24,7 +28,7 @@ _RATES = """rated as (select domain_id, count(*) as candidates, count(*) filter
     from (select *, case when judge_verdict = 'unavailable' then 'uncertain' else judge_verdict end as j from evidence_v) e group by grouping sets ((), (domain_id)))"""
 _SLOTS = """specs(position, kind, changes) as (values (0, 'lookup-direct', false), (1, 'lookup-directory', false), (2, 'lookup-recovery', false), (3, 'followup-open', true),
     (4, 'followup-exact', true), (5, 'followup-directory', true), (6, 'followup-recovery', true), (7, 'followup-verified', true)),
-slugged as (select name, regexp_replace(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from contacts_v),
+slugged as (select name, replace(lower(name), ' ', '-') as slug from contacts_v),
 slots as (select name, position, kind, 'contacts-' || kind || '-' || slug || case when count(*) over (partition by slug, position) > 1 then '-' || substr(sha256(name), 1, 12) else '' end as slot_id
     from slugged cross join specs where not changes or name not in (select name from followups_v))"""
 _UNSAFE = r"""(regexp_matches(body, '^(/|~)|^[A-Za-z]:[\\/]') or regexp_matches(body, '(^|[^:/A-Za-z0-9_.-])/([^/]|$)|(^|[^A-Za-z0-9_.-])[A-Za-z]:[\\/]|(^|\s)~[\\/]')
@@ -51,12 +55,15 @@ union all select 7, 'evaluation_domain_review_quota_not_met', exists (select 1 f
 union all select 8, 'evaluation_domain_scope_mismatch', (select count(distinct domain_id) from ev where eligible) <> 4
 union all select 9, 'evaluation_contains_noneligible_episode', false"""
 
+_QUERY = f"case when kind = 'task' then regexp_replace(lower(summary), '{OPENING_VERB}', '') else lower(summary) end"
+
 _SQL = {
     "usage_total": f"select {_USAGE} from requests_v",
     "usage_by_role": f"select role, {_USAGE} from requests_v group by role",
     "usage_rollup": f"select role, {_USAGE} from requests_v group by rollup (role)",
     "usage_big": f"select role, {_USAGE} from usage_big_v group by role",
-    "episode_lineage": f"select sequence, role, {_USAGE} from requests_v where role in ('task_generation', 'agent') group by sequence, role",
+    "episode_lineage": f"""with r as (select * from requests_v where role in ('task_generation', 'agent')), e as (select * from r union all select * replace (related_sequence as sequence) from r where related_sequence is not null and related_sequence <> sequence)
+select sequence, role, {_USAGE}, sha256(coalesce(string_agg(response_hash, ',' order by request_id), '')) as response_hashes from e group by sequence, role""",
     "attempt_ordinal": "select request_id, logical_request_id, cast(row_number() over (partition by logical_request_id order by request_id) as integer) as attempt from requests_v",
     "budget_admitted_requests": """with a as (select request_id, role, row_number() over (partition by role order by request_id) as n from requests_v),
 b as (select request_id, role, row_number() over (order by request_id) as m from a where n <= 3000) select request_id, role from b where m <= 6000""",
@@ -70,7 +77,7 @@ select domain_id, sequence, admitted from c where before < 40""",
     "collections_split": f"with {_ADMITTED} select collection, count(*) as n, min(sequence) as first_sequence, max(sequence) as last_sequence from adm group by collection",
     "terminal_summary": f"with {_ADMITTED} select count(*) as terminal_count, count(*) filter (admitted) as accepted_count from adm",
     "run_report": f"with {_ADMITTED} select domain_id, count(*) as terminal_count, count(*) filter (admitted) as accepted_count, count(*) filter (not admitted) as negative_count from adm group by domain_id",
-    "gate_pass_fail_counts": " union all ".join(f"select '{g}' as gate, count(*) filter ({g}) as passed, count(*) filter (not {g}) as failed from episodes_v" for g in ("execution", "mutation_authorization", "assessment", "final_grounding", "unsafe_material")),
+    "gate_pass_fail_counts": f"with {_GATED} " + " union all ".join(f"select '{n}' as gate, count(*) filter ({g}) as passed, count(*) filter (not {g}) as failed from gated" for n, g in (("execution", "execution"), ("authorization", "authorized"), ("assessment", "assessment"), ("final_grounding", "final_grounding"), ("unsafe_material", "unsafe_material"), ("semantic_key", "true"))),
     "structural_distribution": f"with {_ADMITTED} select collection, structural_key, count(*) as n from adm group by all",
     "largest_family_share": f"with {_ADMITTED}, f as (select domain_id, structural_key, count(*) as n from adm where admitted group by all) select domain_id, count(*) as family_count, max(n) as largest_family, cast(sum(n) as bigint) as admitted_count from f group by domain_id",
     "rejection_causes": f"with {_ADMITTED} select domain_id, coalesce(reason_code, 'unspecified') as reason_code, count(*) as n from adm where not admitted group by all",
@@ -79,9 +86,9 @@ select domain_id, sequence, admitted from c where before < 40""",
 k as (select admitted and v = 'pass' as a, case when admitted and v <> 'pass' then 'negatives' else collection end as collection, case when admitted and v <> 'pass' then 'semantic_judge_' || v else reason_code end as reason_code from j)
 select collection, reason_code, count(*) as n, count(*) filter (a) as admitted from k group by all""",
     "generation_batches": "select cast(floor((sequence - 1) / 8) as bigint) as batch, min(sequence) as first_sequence, max(sequence) as last_sequence, count(*) as slots from episodes_v group by all",
-    "run_status_case": f"""with {_ADMITTED}, r as (select domain_id, count(*) as t, count(*) filter (admitted) as accepted_count from adm group by domain_id)
-select domain_id, accepted_count, case when accepted_count >= 300 then 'completed' else 'partial' end as status,
-    case when accepted_count >= 300 then 'accepted_target_reached' when t < 1000000 then 'domain_slot_exhausted' else 'bounded_replacement_exhausted' end as reason from r""",
+    "run_status_case": """with c as (select *, case when accepted_target is not null and known_task_capacity < accepted_target then 1 when cancelled then 2 when accepted_count >= accepted_target then 3 when stop_reason is not null then 4 when accepted_target is not null then 5 else 6 end as k from runs_v)
+select run_id, case k when 1 then 'failed' when 2 then 'cancelled' when 4 then 'partial' when 5 then 'partial' else 'completed' end as status, case k when 1 then 'known_task_capacity_insufficient' when 2 then 'operator_cancelled' when 4 then stop_reason
+    when 5 then case when allocated_count < slot_limit then 'domain_slot_exhausted' when known_task_capacity is null then 'unknown_task_capacity' else 'bounded_replacement_exhausted' end end as reason from c""",
     "work_state_recovery": """with w as (select ['pending', 'generating', 'compiled', 'running', 'terminal'][sequence % 5 + 1] as status, sequence % 3 = 0 as has_case from episodes_v)
 select status, case when status in ('generating', 'running') then case when has_case then 'compiled' else 'pending' end else status end as recovered, count(*) as n from w group by all""",
     "event_type_counts": "select event_type, count(*) as n from trace_v group by event_type",
@@ -133,25 +140,23 @@ select cohort_id, episode_id, case when cohort_id not in (select cohort_id from
     "evaluation_reasons": _EVALUATION,
     "contact_slots": f"with {_SLOTS} select name, position, kind, slot_id from slots",
     "contact_capacity": f"with {_SLOTS} select count(*) as capacity, least(count(*), 10000) as emitted, 10000 >= count(*) as exhausted from slots",
-    "contact_semantic_keys": f"""with {_SLOTS} select slot_id, 'contacts:semantic:sha256:' || sha256('{{"kind":"' || kind || '","name":"' || name || '"}}') as semantic_key from slots""",
-    "message_unique_selectors": """with q as (select message_id as query_id, lower(substr(body, 1, 24)) as query from messages_v where body_length >= 24)
+    "message_unique_selectors": """with q as (select message_id as query_id, lower(case when contains(lower(body), 'launch checklist') then 'launch checklist' when contains(lower(body), 'invoice') then 'invoice' else body end) as query from messages_v where body is not null)
 select query_id, count(*) as bodies from q join messages_v on contains(lower(body), query) group by query_id""",
     "workspace_items_union": "select kind, count(*) as n, count(distinct item_id) as ids from items_v group by kind",
-    "workspace_unique_queries": "select kind, item_id, lower(summary) as query from items_v qualify count(*) over (partition by kind, lower(summary)) = 1",
-    "workspace_all_unique_interleave": """with u as (select kind, item_id from items_v qualify count(*) over (partition by kind, lower(summary)) = 1)
-select kind, item_id, cast(row_number() over (partition by kind order by item_id) - 1 as integer) as target_index, case kind when 'project' then 0 when 'task' then 1 else 2 end as spec_position from u where kind in ('project', 'task', 'comment')""",
+    "workspace_unique_queries": f"with q as (select kind, item_id, {_QUERY} as query from items_v) select * from q qualify count(*) over (partition by kind, query) = 1",
+    "workspace_all_unique_interleave": f"""with q as (select kind, item_id, {_QUERY} as query from items_v), u as (select * from q qualify count(*) over (partition by kind, query) = 1)
+select kind, item_id, cast(row_number() over (partition by kind order by item_id) - 1 as integer) as target_index, case kind when 'project' then 0 when 'task' then 1 else 2 end as spec_position from u where kind in ('project', 'task', 'comment') qualify target_index < 10000""",
     "workspace_fk_violations": "select kind, item_id, project_id from items_v where kind = 'document' and project_id not in (select item_id from items_v where kind = 'project')",
-    "directory_senders": "select distinct sender from messages_v",
-    "compile_reason": """select request_id, case when request_id % 7 = 0 then 'negated_action' when request_id % 5 = 0 then 'proposal_not_json' when request_id % 3 = 0 then 'negated_action'
-    when request_id % 2 = 0 then 'wrong_contact_binding' when request_id % 4 = 0 then 'unsupported_requested_action' when request_id % 11 = 0 then 'uncheckable_condition' end as reason from requests_v""",
-    "text_predicates": r"""with l as (select message_id, string_split(body, chr(10))[1] as line from messages_v),
-m as (select *, line = regexp_replace(line, '^\s+|\s+$', '', 'g') and not regexp_matches(line, '[\r\n]') as plain, length(line) as n, lower(line) as low from l)
+    "directory_senders": "select string_agg(sender, ',' order by sender) as senders from (select distinct sender from messages_v where sender is not null) s",
+    "eligibility_report": f"with r as ({_DEVELOPMENT}) select coalesce(string_agg(reason, ',' order by position) filter (found), '') as reasons, count(*) filter (found) = 0 as eligible from r",
+    "text_predicates": r"""with m as (select message_id, body, body = regexp_replace(body, '^[\s\x0b\x1c-\x1f\x85\xa0]+|[\s\x0b\x1c-\x1f\x85\xa0]+$', '', 'g') and not regexp_matches(body, '[\r\n]') as plain, length(body) as n, lower(body) as low from messages_v)
 select message_id, plain and n between 3 and 160 as note, plain and n between 3 and 240 and regexp_matches(low, '^(thanks|thank you|hello|hi )') as reply,
     plain and n between 12 and 120 and regexp_matches(low, '^(prepare|review|create) ') as title, plain and n between 12 and 240 and starts_with(low, 'status:') as comment,
-    regexp_matches(line, '(?i)\b(do\s+not|don''t|never|without)\b') as negated from m""",
+    regexp_matches(body, '(?i)\b(do\s+not|don''t|never|without)\b') as negated from m""",
     "unsafe_text": f"select message_id, {_UNSAFE} as unsafe from messages_v",
     "sanitized_text": f"select message_id, sha256(case when {_UNSAFE} then '[redacted]' else body end) as digest from messages_v",
     "forbidden_keys": "select distinct role || '_' || request_kind as key, false as forbidden from requests_v",
     "public_identifiers": "select contact_key, regexp_full_match(name, '[A-Za-z0-9][A-Za-z0-9_.:-]{0,127}') as name_safe, regexp_full_match(replace(name, '#', ':'), '[A-Za-z0-9][A-Za-z0-9_.:-]{0,127}') as id_safe from contacts_v",
 }
+_SQL |= episode_oracles.sql(_ADMITTED, _GATED, _VERDICTS, _MEMBERS)
 ORACLE_SQL = {name: with_views(sql) for name, sql in _SQL.items()}

@@ -23,8 +23,13 @@ def query(f: Query) -> Query:
     return f
 
 
+def gated(s: SparkSession, d: str) -> DataFrame:
+    codes = F.when(F.col("first_code").isNotNull(), F.array("first_code")).otherwise(F.array().cast("array<string>"))
+    return admission.gate_admission(view(s, d, "episodes_v").withColumn("reason_codes", codes).withColumn("coverage_tags", F.when(F.col("recovery"), F.array(F.lit("lookup"), F.lit("recovery")))))
+
+
 def admitted(s: SparkSession, d: str) -> DataFrame:
-    return admission.semantic_dedup(admission.gate_admission(view(s, d, "episodes_v")))
+    return admission.semantic_dedup(gated(s, d))
 
 
 # --- usage
@@ -52,7 +57,8 @@ def usage_big(s, d):
 
 @query
 def episode_lineage(s, d):
-    return usage.episode_lineage(view(s, d, "requests_v"))
+    rows = view(s, d, "requests_v").withColumn("related_sequences", F.when(F.col("related_sequence").isNotNull(), F.array("related_sequence")))
+    return usage.episode_lineage(rows).withColumn("response_hashes", F.sha2(F.array_join("response_hashes", ","), 256))
 
 
 @query
@@ -75,12 +81,12 @@ def known_tokens_null_semantics(s, d):
 
 @query
 def gate_admission(s, d):
-    return admission.gate_admission(view(s, d, "episodes_v")).select("sequence", "gates_passed")
+    return gated(s, d).select("sequence", "gates_passed")
 
 
 @query
 def rejection_reason(s, d):
-    return admission.gate_admission(view(s, d, "episodes_v")).groupBy("gate_reason").agg(F.count(F.lit(1)).alias("n"))
+    return gated(s, d).groupBy("gate_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -115,7 +121,7 @@ def run_report(s, d):
 
 @query
 def gate_pass_fail_counts(s, d):
-    return admission.gate_counts(view(s, d, "episodes_v"))
+    return admission.gate_counts(gated(s, d))
 
 
 @query
@@ -151,7 +157,7 @@ def generation_batches(s, d):
 
 @query
 def run_status_case(s, d):
-    return admission.run_status(admission.run_report(admitted(s, d)), 300, 1_000_000)
+    return admission.run_status(view(s, d, "runs_v")).select("run_id", "status", "reason")
 
 
 @query
@@ -348,11 +354,6 @@ def contact_capacity(s, d):
     return tasks.capacity(contact_task_space(s, d), 10_000)
 
 
-@query
-def contact_semantic_keys(s, d):
-    return tasks.semantic_keys(contact_task_space(s, d), "contacts")
-
-
 @query
 def message_unique_selectors(s, d):
     return tasks.message_query_counts(view(s, d, "messages_v"))
@@ -381,17 +382,7 @@ def workspace_fk_violations(s, d):
 
 @query
 def directory_senders(s, d):
-    return view(s, d, "messages_v").select("sender").distinct()
-
-
-@query
-def compile_reason(s, d):
-    events = view(s, d, "requests_v")
-    content = F.when(F.col("request_id") % 7 == 0, F.lit("do not do it")).when(F.col("request_id") % 5 == 0, F.lit("broken")).otherwise(
-        F.format_string('{"action":"%s","contact":"c%d","route":"%s"}', F.when(F.col("request_id") % 3 == 0, F.lit("dont_lookup")).when(F.col("request_id") % 4 == 0, F.lit("other")).otherwise(F.lit("lookup")), F.col("request_id") % 2, F.when(F.col("request_id") % 11 == 0, F.lit("x")).otherwise(F.lit("direct")))
-    )
-    proposals = events.select("request_id", content.alias("content"), F.lit("lookup").alias("expected_action"), F.lit("c1").alias("expected_contact"), F.lit("direct").alias("expected_route"))
-    return tasks.compile_reason(proposals).select("request_id", "reason")
+    return view(s, d, "messages_v").agg(F.array_join(F.array_sort(F.collect_set("sender")), ",").alias("senders"))
 
 
 # --- text
@@ -421,3 +412,6 @@ def forbidden_keys(s, d):
 @query
 def public_identifiers(s, d):
     return view(s, d, "contacts_v").select("contact_key", T.safe_identifier(F.col("name")).alias("name_safe"), T.safe_identifier(F.replace(F.col("name"), F.lit("#"), F.lit(":"))).alias("id_safe"))
+
+
+from . import episodes  # noqa: E402, F401  (registers the queries of the domains)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import sanitized, sanitized_map
+
 
 def write_collections(episodes: DataFrame, folder: str) -> None:
-    """SNK-1: one folder of JSON lines for each collection, rows in files sorted by sequence."""
-    ordered = episodes.repartitionByRange("collection", "sequence").sortWithinPartitions("collection", "sequence")
+    """SNK-1: one folder of JSON lines for each collection, rows in files sorted by sequence; texts are sanitized at any depth of the usual columns."""
+    kinds = {f.name: f.dataType.simpleString() for f in episodes.schema.fields}
+    clean = [sanitized(F.col(c)).alias(c) if kinds[c] == "string" and c != "collection" else sanitized_map(F.col(c)).alias(c) if kinds[c] == "map<string,string>" else F.col(c) for c in episodes.columns]
+    ordered = episodes.select(*clean).repartitionByRange("collection", "sequence").sortWithinPartitions("collection", "sequence")
     ordered.write.partitionBy("collection").mode("overwrite").json(folder)
 
 
@@ -18,22 +23,22 @@ def write_lines(rows: DataFrame, path: str, *order: str) -> None:
 
 
 def append_missing(rows: DataFrame, path: str, key: str) -> int:
-    """SNK-3, SNK-9, JN-14: append the rows whose key isn't in the table at ``path`` yet; how many."""
+    """SNK-3, SNK-9, JN-14: append the rows whose key isn't in the table at ``path`` yet, computed once; how many."""
     spark = rows.sparkSession
     try:
         held = spark.read.parquet(path).select(key)
         fresh = rows.join(held, key, "left_anti")
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         fresh = rows
-    n = fresh.count()
-    fresh.write.mode("append").parquet(path)
-    return n
+    seen = Observation()
+    fresh.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """SNK-6: path below ``folder``, SHA-256 and bytes of every public file; private folders and hidden files are left out.
+    """SNK-6: path below ``folder``, SHA-256 and bytes of every public file, by path; private folders and hidden files are left out.
 
     Files are hashed where they are read; a file larger than 2 GB has to be
     split before.
@@ -41,4 +46,9 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     inner = F.substring_index(F.col("path"), folder.rstrip("/").split("://")[-1] + "/", -1)
     public = files.withColumn("file", inner).where(~F.col("file").rlike(r"(^|/)[._]"))
-    return public.select(F.col("file").alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_count"))
+    return public.select(F.col("file").alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_count")).orderBy("path")
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """SNK-5 to SNK-7, SNK-10, SNK-11: a report or a manifest, replaced as a whole, in one file: it has a bounded number of rows."""
+    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)

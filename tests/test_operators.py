@@ -2,29 +2,35 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from quillon.functions import canon, payload
 from quillon.functions import text as T
-from quillon.operators import admission, calibration, review, sequence, tasks, usage
+from quillon.operators import admission, calibration, cases, decisions, evidence, reports, review, sequence, tasks, usage
 from quillon.plans.queries import QUERIES
 
-EPISODES = "sequence long, domain_id string, semantic_key string, execution boolean, mutation_authorization boolean, assessment boolean, final_grounding boolean, unsafe_material boolean"
+EPISODES = "sequence long, domain_id string, semantic_key string, terminal_reason string, mutation_authorization string, passed boolean, grounded boolean, unsafe boolean, reason_codes array<string>"
 
 
 def episodes(rng, n):
-    return [(i, rng.choice("ab"), rng.choice("klmno"), *(rng.random() < 0.7 for _ in range(5))) for i in range(1, n + 1)]
+    one = lambda good, bad: good if rng.random() < 0.8 else bad
+    return [(i, rng.choice("ab"), rng.choice("klmno"), one(None, "step_budget_exhausted"), one("authorized", "rejected"), one(True, None), one(True, False), one(None, True), one(["x", "y"], None)) for i in range(1, n + 1)]
 
 
 def test_winner_is_the_first_that_passes(spark):
-    rows = episodes(random.Random(3), 120)
-    got = {r["sequence"]: (r["admitted"], r["duplicate"]) for r in admission.semantic_dedup(admission.gate_admission(spark.createDataFrame(rows, EPISODES))).collect()}
+    rows = episodes(random.Random(3), 160)
+    got = {r["sequence"]: r for r in admission.semantic_dedup(admission.gate_admission(spark.createDataFrame(rows, EPISODES))).collect()}
     won = set()
-    for row in rows:
-        passed, key = all(row[3:]), row[2]
-        assert got[row[0]] == (passed and key not in won, key in won)
-        if passed:
+    for i, _, key, ended, status, passed, grounded, unsafe, codes in rows:
+        reason = ended or ("unsafe_public_material" if unsafe else "unauthorized_mutation" if status == "rejected" else "final_response_grounding_missing" if not grounded else None if passed else codes[0] if codes else "deterministic_assessment_failed")
+        assert (got[i]["admitted"], got[i]["duplicate"]) == (reason is None and key not in won, key in won)
+        assert got[i]["reason_code"] == ("duplicate_semantic_task" if key in won else reason) and got[i]["gates"]["semantic_key"]
+        if reason is None:
             won.add(key)
 
 
@@ -124,3 +130,103 @@ def test_predicates_see_every_line(spark, tmp_path):
     got = [tuple(r)[1:] for r in QUERIES["text_predicates"](spark, str(tmp_path)).orderBy("message_id").collect()]
     no = (False,) * 4
     assert got == [(*no, True), (*no, False), (*no, False), (*no, False), (True, True, False, False, False), (None,) * 5]
+
+
+def test_canonical_json_is_that_of_the_standard_library(spark):
+    texts = ["plain", 'quo"te', "back\\slash", "line\nbreak\r\t\b\f", "\x01\x1f\x7f", "é ñ ß", "日本", "😀 pair", "", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {r["k"]: r["c"] for r in rows.select("k", canon.canonical({"b": F.col("t"), "a": F.lit("x")}).alias("c")).collect()}
+    assert got == {k: json.dumps({"b": t, "a": "x"}, sort_keys=True, separators=(",", ":")) for k, t in enumerate(texts)}
+    spaced = {r["k"]: r["c"] for r in rows.select("k", canon.spaced({"b": F.col("t"), "a": F.lit("x")}).alias("c")).collect()}
+    assert spaced == {k: json.dumps({"b": t, "a": "x"} if t is not None else {"a": "x"}, sort_keys=True) for k, t in enumerate(texts)}
+    odd = ["Straße", " \u3000x\x1c", "ﬁne", "ſ", "ABC"]
+    got = spark.createDataFrame([(k, t) for k, t in enumerate(odd)], "k int, t string").select("k", canon.casefold(F.col("t")).alias("f"), canon.stripped(F.col("t")).alias("s")).orderBy("k").collect()
+    assert [(r["f"], r["s"]) for r in got] == [(t.casefold(), t.strip()) for t in odd]
+
+
+def test_what_counts_as_json(spark):
+    texts = ['{"a": "x"}', " [1] ", '{"a": 1} x', '{"a": 1},{"b": 2}', "1] [2", '1} {"v":2', "{bad}", "", "null", '"s"', None, '{"a": true, "b": null}']
+    p = payload.Payload(F.col("t"))
+    got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", p.broken.alias("broken"), p.object.alias("object"), p.text("a").alias("a"), p.true("a").alias("true"), p.only("a").alias("only"), p.has("b").alias("b")).orderBy("k").collect()
+
+    def parsed(t):
+        try:
+            return json.loads(t)
+        except (TypeError, ValueError):
+            return ValueError
+
+    for r, t in zip(got, texts):
+        value = parsed(t)
+        fields = value if isinstance(value, dict) else {}
+        assert (r["broken"], r["object"], r["true"], r["only"], r["b"]) == (value is ValueError, isinstance(value, dict), fields.get("a") is True, set(fields) == {"a"}, "b" in fields), t
+        assert r["a"] == (fields.get("a") if isinstance(fields.get("a"), str) else None)
+
+
+def test_judgments_are_checked(spark):
+    kind = "array<struct<dimension:string,verdict:string,reason_codes:array<string>,event_indexes:array<int>>>"
+    good = [(d, "pass", [], [0]) for d in review.DIMENSIONS]
+    bad = lambda k, row: [*good[:k], row, *good[k + 1 :]]
+    rows = [
+        (None, "available", "pass", None, "j", 2, good), ("verdict_missing", "available", "unavailable", None, "j", 2, good), ("dimensions_incomplete", "available", "pass", None, "j", 2, good[:4]), ("verdict_mismatch", "available", "fail", None, "j", 2, good),
+        ("judge_identity_missing", "available", "pass", None, None, 2, good), ("unknown_event", "available", "pass", None, "j", 2, bad(0, ("instruction_fidelity", "pass", [], [2]))), ("no_event_reference", "available", "pass", None, "j", 2, bad(0, ("instruction_fidelity", "pass", [], []))),
+        ("pass_with_reasons", "available", "pass", None, "j", 2, bad(4, ("safety", "pass", ["unsafe_action"], [0]))), ("no_reason", "available", "fail", None, "j", 2, bad(4, ("safety", "fail", [], [0]))), ("event_references_repeat", "available", "pass", None, "j", 2, bad(4, ("safety", "pass", [], [1, 1]))),
+        ("unknown_reason", "available", "fail", None, "j", 2, bad(4, ("safety", "fail", ["because"], [0]))), (None, "available", "fail", None, "j", 2, bad(4, ("safety", "fail", ["unsafe_action"], [0]))), (None, "unavailable", "unavailable", "not_requested", None, 2, []),
+        ("unavailable_with_dimensions", "unavailable", "unavailable", "not_requested", None, 2, good), ("unavailable_with_dimensions", "unavailable", "unavailable", "lost", None, 2, None),
+    ]
+    frame = spark.createDataFrame(rows, f"want string, availability string, verdict string, unavailable_reason string, judge_id string, event_count int, dimensions {kind}")
+    assert [r["error"] for r in decisions.judgment_errors(frame).collect()] == [r[0] for r in rows]
+
+
+def test_policies_and_preflight(spark):
+    names = (*evidence.IDENTITIES, *evidence.SETTINGS, *evidence.SCOPES)
+    schema = ", ".join(f"{n} string" for n in names) + ", domain_scopes array<string>"
+    base = {n: n for n in names}
+    rows = [tuple((base | change)[n] for n in names) + (scopes,) for change, scopes in (({}, ["d"]), ({"judge_prompt_id": None}, ["d"]), ({}, []), ({"judge_identity": "agent_identity"}, ["d"]))]
+    assert [r["reason"] for r in evidence.policy_reasons(spark.createDataFrame(rows, schema)).collect()] == [None, "policy_identity_or_scope_missing", "policy_identity_or_scope_missing", "policy_judge_identity_not_independent"]
+    policy = spark.createDataFrame([("p", "f")], "policy_id string, fingerprint string")
+    bound = lambda *rows: evidence.frozen_policy(spark.createDataFrame(list(rows), "policy_id string, policy_fingerprint string"), policy).first()["frozen"]
+    assert (bound(("p", "f"), ("p", "f")), bound(("p", "f"), (None, None)), bound()) == (True, False, False)
+    run = dict(requested=True, eligible=True, fingerprint="a", recomputed="a", policy_fingerprint="b", evaluated_policy_fingerprint="b", judge="j", policy_judge="j", generator="g", policy_generator="g", agent="a", policy_agent="a", domain_in_scope=True, settings_match=True)
+    frame = spark.createDataFrame([run, run | {"agent": "x", "settings_match": False}, run | {"recomputed": "z"}])
+    assert sorted(str(r["reason"]) for r in evidence.enforcement_preflight(frame).collect()) == ["None", "agent_identity_mismatch", "evaluation_fingerprint_mismatch"]
+
+
+def test_membership_hash_binds_a_cohort(spark):
+    fields = dict(cohort_id="c", purpose="held-out-evaluation", selection_method="operator_selected", campaign_id=None, quality_policy_id=None, quality_policy_fingerprint=None, episode_ids=["e1", "e2"], stratified_pass_stratum_count=3)
+    frame = spark.createDataFrame([("c", "held-out-evaluation", ["e1", "e2"], "operator_selected", 3, None, None, None)], "cohort_id string, purpose string, episode_ids array<string>, selection_method string, stratum_count int, campaign_id string, policy_id string, policy_fingerprint string")
+    want = "sha256:" + hashlib.sha256(json.dumps(fields, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    assert review.membership_hash(frame).first()["membership_hash"] == want
+
+
+def test_a_missing_item_has_a_free_name(spark):
+    items = lambda *queries: spark.createDataFrame([("document", q) for q in queries] + [("task", "archived roadmap")], "kind string, query string")
+    first = lambda *queries: cases.missing_query(items(*queries)).first()[0]
+    assert first() == "archived roadmap" and first("archived roadmap") == "archived roadmap unavailable 1"
+    assert first("archived roadmap", "archived roadmap unavailable 1", "archived roadmap unavailable 3", "archived roadmap unavailable x") == "archived roadmap unavailable 2"
+
+
+def test_cohort_members_must_be_there(spark):
+    members = spark.createDataFrame([("c", 1, "e1"), ("c", 2, "e2")], "cohort_id string, position int, episode_id string")
+    known = spark.createDataFrame([("e1", "see /tmp/x"), ("e2", "fine")], "episode_id string, body string")
+    assert {r["body"] for r in review.blind_queue(members, known, ["body"]).collect()} == {"[redacted]", "fine"}
+    with pytest.raises(Exception, match="no such episode: e2"):
+        review.blind_queue(members, known.limit(1), ["body"]).collect()
+    admitted = spark.createDataFrame([("e1", True), ("e2", False)], "episode_id string, admitted boolean")
+    assert review.held_out_cohort(admitted).first()["selection_method"] == "held_out_all_deterministically_eligible"
+    with pytest.raises(ValueError):
+        review.held_out_cohort(admitted, admitted.select("episode_id"))
+    assert review.unjudged(admitted, admitted.where("admitted")).count() == 1
+
+
+def test_readiness_and_slots(spark):
+    name = lambda *rows: spark.createDataFrame(list(rows), "name string, passed boolean")
+    got = reports.readiness(name(("a", None), ("b", None), ("c", None)), name(("a", True), ("b", True), ("b", False), ("z", True)))
+    assert {r["name"]: r["state"] for r in got.collect()} == {"a": "passed", "b": "failed", "c": "missing", "z": "unknown"}
+    slots = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "sequence int, slot_id string")
+    assert decisions.bounded_slots(slots, 2).count() == 2
+    with pytest.raises(ValueError):
+        decisions.bounded_slots(slots, 3)
+    ids = spark.createDataFrame([("fine-id", "sk-secret", None)], "run_id string, model_id string, policy_id string")
+    assert [r["field"] for r in decisions.unsafe_identifiers(ids, "run_id", "model_id", "policy_id").collect()] == ["model_id"]
+    report = json.loads(reports.as_json(spark.createDataFrame([("s", "b", 2), ("s", "a", 1), ("r", None, 3)], "section string, name string, n long").where("name is not null")).first()["report"])
+    assert json.loads(report["s"]) == {"a": 1, "b": 2}

@@ -66,12 +66,40 @@ def test_workspace_slots(spark, tmp_path):
         records.read_workspace(spark, saved(tmp_path, "y", source | {"comments": [{"comment_id": "c", "task_id": "none", "body": "x"}]}))
 
 
-def test_fold_needs_a_lookup_before_a_record(spark):
-    events = [("record_followup", "Ann", "call back"), ("lookup_contact", "Bob", None), ("lookup_contact", "Ann", None), ("list_contacts", None, None), ("record_followup", "Ann", "call back"), ("get_followup", "Ann", None), ("dance", None, None)]
-    saved = ["mutation_condition_not_observed", "contact_not_found", "a@x", "Ann", "state_change", "call back", "unknown_tool"]
-    frame = spark.createDataFrame([(1, events, {"Ann": "a@x"}, "Ann", True, saved), (2, events[:1], {"Ann": "a@x"}, "Ann", False, saved)], "id int, events array<struct<tool:string,name:string,note:string>>, contacts map<string,string>, target string, authorized boolean, saved array<string>")
-    got = {r["id"]: r for r in rollout.replayed(frame).collect()}
-    assert (got[1]["status"], got[1]["state"]["note"], got[2]["state"]["results"], got[2]["status"]) == ("aligned", "call back", ["mutation_not_authorized"], "observation_drift")
+CASE = "action string, route string, target string, note_constraint string, exact_note string"
+
+
+def rolled(spark, steps, route="direct", action="record_followup", constraint="open", note=None, existing=None):
+    frame = spark.createDataFrame([(action, route, "Ann", constraint, note, [(t, a, None) for t, a in steps], {"Ann": "a@x", "Bob": "b@x"}, existing)], f"{CASE}, actions {rollout.ACTIONS}, contacts map<string,string>, existing map<string,string>")
+    row = rollout.rolled_out(frame, rollout.contact_state(F.col("actions"), F.col("contacts"), F.col("existing"))).first()
+    return [r["error_code"] or r["event_type"] for r in row["state"]["results"]], row["mutation_authorization"]
+
+
+def test_contact_tools(spark):
+    look, stale, listed = ("lookup_contact", {"name": "Ann"}), ("lookup_contact", {"name": "Ann (stale)"}), ("list_contacts", {})
+    record, read = ("record_followup", {"name": "Ann", "note": "call back"}), ("get_followup", {"name": "Ann"})
+    assert rolled(spark, [record, ("lookup_contact", {"name": "Cy"}), look, listed, record, record, read, ("dance", {})]) == (["mutation_condition_not_observed", "contact_not_found", "observation", "observation", "state_change", "unintended_state_change", "observation", "unknown_tool"], "rejected")
+    assert rolled(spark, [listed, look, record], "directory") == (["observation", "observation", "state_change"], "authorized")
+    assert rolled(spark, [look, listed, record], "directory")[0][-1] == rolled(spark, [listed, look, record], "recovery")[0][-1] == "mutation_condition_not_observed"
+    assert rolled(spark, [stale, listed, look, record], "recovery")[0][-1] == "state_change"
+    assert rolled(spark, [look, ("record_followup", {"name": "Ann", "note": " x "})])[0][-1] == "unsupported_note"
+    assert rolled(spark, [look, record], constraint="exact", note="other note")[0][-1] == "note_not_authorized"
+    assert rolled(spark, [look, record, read], existing={"name": "Ann", "note": "old"})[0][1:] == ["unintended_state_change", "observation"]
+    assert rolled(spark, [look, ("record_followup", {"name": "Bob", "note": "call back"})])[0][-1] == rolled(spark, [look, record], action="lookup_email")[0][-1] == "mutation_not_authorized"
+    assert rolled(spark, [look], action="lookup_email") == (["observation"], "not_applicable")
+
+
+def test_replay_statuses(spark):
+    ok, other = ("observation", {"a": "1"}, None), ("observation", {"a": "2"}, None)
+    frame = spark.createDataFrame([(1, ([ok],), [ok], "authorized"), (2, ([ok],), [other], "authorized"), (3, ([ok],), None, None), (4, ([ok],), [ok, ok], "authorized"), (5, ([ok],), [ok], "rejected")], f"id int, state struct<results:array<{rollout.RESULT}>>, saved_results array<{rollout.RESULT}>, saved_authorization string").withColumn("mutation_authorization", F.lit("authorized"))
+    assert {r["id"]: r["status"] for r in rollout.replayed(frame).collect()} == {1: "aligned", 2: "observation_drift", 3: "not_executed", 4: "observation_drift", 5: "observation_drift"}
+
+
+def test_messages_are_found_once(spark):
+    notes = spark.createDataFrame([("a", "s", "The Budget of May is here"), ("b", "s", "the budget of june"), ("c", "s", "nothing at all")], "message_id string, sender string, body string")
+    asked = spark.createDataFrame([("1", "budget of may"), ("2", "the budget of"), ("3", "not in any text")], "query_id string, query string")
+    got = {r["query_id"]: r["found"] for r in rollout.searched(asked, notes).collect()}
+    assert got["1"]["message_id"] == "a" and got["2"] is None and got["3"] is None
 
 
 def test_artifacts_and_manifest(spark, tmp_path):
@@ -107,6 +135,56 @@ def test_record_files(spark, tmp_path):
         records.read_snapshot(spark, path, "sha256:0")
 
 
+def refused(read, *arguments):
+    with pytest.raises(records.SourceError):
+        read(*arguments)
+
+
+def test_episode_files_are_strict(spark, tmp_path):
+    lines = lambda *rows: str((tmp_path / f"{len(list(tmp_path.iterdir()))}.jsonl").write_text("\n".join(rows)) and max(tmp_path.iterdir(), key=lambda p: int(p.stem)))
+    row = lambda k, *events: json.dumps({"episode_id": f"e{k}", "sequence": k, "events": list(events)})
+    got = records.read_episodes(spark, lines(row(2), row(1, {"event_type": "error", "error_code": "x_y"})))
+    assert [r["sequence"] for r in got.collect()] == [1, 2]
+    refused(records.read_episodes, spark, lines(row(1), "{broken"))
+    for event in ({"event_type": "dance"}, {"event_type": "action", "content": "x"}, {"event_type": "error"}, {"event_type": "error", "error_code": "Not A Code"}):
+        refused(records.read_episodes, spark, lines(row(1, event)))
+
+
+def test_cohorts_responses_and_configuration(spark, tmp_path):
+    cohort = {"schema_version": "agent_review_cohort_v1", "cohort_id": "c1", "purpose": "held-out-evaluation", "episode_ids": ["a", "b"], "nonpass_or_unavailable_count": 0, "stratified_pass_count": 2}
+    path = lambda name, *rows: str((tmp_path / name).write_text("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows)) and tmp_path / name)
+    assert records.read_cohorts(spark, path("c", cohort, cohort | {"cohort_id": "c2", "episode_ids": ["x", "y"]})).count() == 2
+    refused(records.read_cohorts, spark, path("d", cohort, cohort | {"cohort_id": "c2"}))
+    refused(records.read_cohorts, spark, path("e", cohort | {"stratified_pass_count": 1}))
+    got = records.read_responses(spark, path("r", {"a": 1}, "", {"b": 2}, "  ")).collect()
+    assert [(r["position"], r["content"]) for r in got] == [(0, '{"a": 1}'), (1, '{"b": 2}')]
+    refused(records.read_responses, spark, path("s", {"a": 1}, "[1]"))
+    run = {"run_id": "r1", "domain_id": "contacts", "model_id": "m1", "slot_limit": 10, "accepted_target": 8}
+    assert records.read_configuration(spark, path("f", run)).first().asDict()["generation_batch_size"] == 8
+    for change in ({"slot_limit": 0}, {"accepted_target": 11}, {"run_id": "Bad Id"}, {"max_concurrency": 99}, {"timeout_seconds": 0.0}):
+        refused(records.read_configuration, spark, path("g", run | change))
+
+
+def test_lookups_scans_and_resumption(spark):
+    table = spark.createDataFrame([(k, "pending" if k % 2 else "running") for k in range(10)], "sequence int, status string")
+    assert [r["sequence"] for r in records.with_status(table, "running", 2).collect()] == [0, 2]
+    assert records.looked_up(table, table.where("sequence < 3"), "sequence").count() == 3
+    with pytest.raises(Exception, match="no such row: 99"):
+        records.looked_up(table, spark.createDataFrame([(99,)], "sequence int"), "sequence").collect()
+    digest = "sha256:" + hashlib.sha256(b"{}").hexdigest()
+    frame = lambda *row: spark.createDataFrame([row], "configuration string, domain_version string, fingerprint string")
+    now, state = spark.createDataFrame([("c", "v")], "configuration string, domain_version string"), spark.createDataFrame([("{}", digest)], "contents string, fingerprint string")
+    assert [records.resumable(frame(*row), now, state).first()["reason"] for row in (("c", "v", digest), ("d", "v", digest), ("c", "w", digest), ("c", "v", "sha256:0"))] == [None, "configuration_changed", "domain_version_changed", "frozen_state_changed"]
+
+
+def test_fixtures_have_their_capacities(spark):
+    held = records.fixtures(spark)
+    assert tasks.contact_slots(held["contacts"], held["followups"]).count() == 16 and tasks.message_slots(held["messages"], held["reminders"], held["drafts"]).count() == 24
+    assert tasks.workspace_slots(held["items"], False).count() == 9
+    one = spark.createDataFrame([("Ben Carter", "a note")], "name string, note string")
+    assert tasks.contact_slots(held["contacts"], one).count() == 11
+
+
 def test_streams(spark, tmp_path):
     rows = spark.createDataFrame([(1, "agent", "failed", "2024-01-01 01:00:00"), (1, "agent", "failed", "2024-01-01 01:00:00"), (2, "agent", "completed", "2024-01-01 02:00:00"), (3, "agent", "completed", "2024-01-03 02:00:00")], "request_id long, role string, status string, ts string").withColumn("ts", F.to_timestamp("ts"))
     source = str(tmp_path / "in")
