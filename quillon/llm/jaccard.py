@@ -86,17 +86,20 @@ def class_ids(rows: DataFrame, bits: int = 64) -> tuple[DataFrame, Column]:
     """Classes of equal (n, s1, s2), a written table: n, s1, s2, cid, doc_id (the least), first (the least row) and copies; and the expression of cid.
 
     cid is a hash of ``bits`` bits.  Classes whose hashes clash, N^2 / 2^65 of N
-    classes, get others, again and again until there are none, so a cid is one
-    class.
+    classes, take another, and again until there are no clashes, so a cid is
+    one class.
     """
     classes = rows.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes, "classes")
-    cut = lambda h: h if bits == 64 else F.pmod(h, F.lit(1 << bits))
-    cid, seed = cut(F.xxhash64("n", "s1", "s2")), 0
-    while clash := [r["cid"] for r in classes.select(cid.alias("cid")).groupBy("cid").count().where("count > 1").collect()]:
-        seed += 1
-        cid = F.when(cid.isin(clash), cut(F.xxhash64(F.lit(seed), "n", "s1", "s2"))).otherwise(cid)
-    return classes.withColumn("cid", cid), cid
+    hashed = lambda seed: F.xxhash64(F.lit(seed), "n", "s1", "s2") if bits == 64 else F.pmod(F.xxhash64(F.lit(seed), "n", "s1", "s2"), F.lit(1 << bits))
+    cid = hashed(0)
+    for seed in range(1, 65):
+        clashes = classes.select(cid.alias("cid"), hashed(0).alias("base")).groupBy("cid").agg(F.count(F.lit(1)).alias("n"), F.collect_set("base").alias("bases")).where("n > 1")
+        moved = sorted({base for r in clashes.select("bases").collect() for base in r["bases"]})
+        if not moved:
+            return classes.withColumn("cid", cid), cid
+        cid = F.when(hashed(0).isin(moved), hashed(seed)).otherwise(cid)
+    raise RuntimeError("classes' ids still clash")
 
 
 def repeated(rows: DataFrame, hot: list[int]) -> DataFrame:

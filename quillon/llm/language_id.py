@@ -196,7 +196,9 @@ def identify(docs: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row of ``docs`` (doc_id, text, lang); learned from rows that aren't held out.
 
     A row is held out if crc32 of its id as text falls into ``fold``; rows
-    with null ids are not, and rows with null languages teach nothing.
+    with null ids are not, and rows with null languages teach nothing.  Texts
+    of any length are read whole; rows that repeat an id are judged one by one;
+    an empty table gives none; other columns are left out.
     """
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold, F.lit(False))
     model = train(docs.where(~out).select(F.col("doc_id").alias("key"), "text", "lang"))

@@ -14,7 +14,7 @@ from .sharding import shuffle_shards, write_shards
 from .storage import new_path
 from .substrings import dedup_substrings
 from .toxicity import score_documents
-from .url_filter import filter_urls, url_host
+from .url_filter import TWO_LABEL_SUFFIXES, filter_urls, url_host
 from .warc import round_trip
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -124,15 +124,16 @@ select query_id, cast(row_number() over (partition by query_id order by score de
 qualify rank <= 20
 """
 
-OP6_SQL = r"""
+_SUFFIXES = ", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)
+OP6_SQL = rf"""
 with p as (select page_id, url,
     coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
-q as (select *, regexp_extract(host, '([^.]*\.[^.]*)$', 1) as two, regexp_extract(host, '([^.]*\.[^.]*\.[^.]*)$', 1) as three from p),
-r as (select *, two in ('ac.uk','co.jp','co.nz','co.uk','co.za','com.ar','com.au','com.br','com.cn','com.mx','com.tr','gov.uk','ne.jp','or.jp','org.au','org.uk') as wide from q),
-s as (select *, case when wide then two else regexp_extract(host, '([^.]*)$', 1) end as suffix,
-    case when (case when wide then three else two end) = '' then host when wide then three else two end as domain from r),
-h as (select host, domain, suffix, count(*) as n, sum(case when toxic = 1 or quality = 0 then 1 else 0 end) as bad
+q as (select *, regexp_replace(host, '\.*(:[0-9]*)?\z', '') as name from p),
+r as (select *, regexp_full_match(name, '[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}') or starts_with(name, '[') as address, regexp_extract(name, '([^.]*\.[^.]*)$', 1) in ({_SUFFIXES}) as wide from q),
+s as (select *, case when address then name when wide then regexp_extract(name, '([^.]*\.[^.]*)$', 1) else regexp_extract(name, '([^.]*)$', 1) end as suffix,
+    case when address then name else coalesce(nullif(case when wide then regexp_extract(name, '([^.]*\.[^.]*\.[^.]*)$', 1) else regexp_extract(name, '([^.]*\.[^.]*)$', 1) end, ''), name) end as domain from r),
+h as (select name as host, domain, suffix, count(*) as n, sum(case when toxic = 1 or quality = 0 then 1 else 0 end) as bad
     from s join labels on page_id = doc_id where toxic is not null or quality is not null group by all),
 t0 as (select coalesce(sum(bad), 0) + 1.0 as a, coalesce(sum(n), 0) - coalesce(sum(bad), 0) + 1.0 as b from h),
 s1 as (select suffix, sum(n) as n, sum(bad) as bad, max(a / (a + b)) as m from h, t0 group by suffix),
@@ -148,7 +149,7 @@ hk as (select round(coalesce(case when sum((n-1)*m*(1-m)) > 0 and sum(n*pow(bad/
     then least(1000.0, greatest(1.0, sum((n-1)*m*(1-m)) / (sum(n*pow(bad/n-m,2))-sum(m*(1-m))) - 1)) end, 1000.0), 6) as k from h1),
 hp as (select host, k*m+bad as a, k*(1-m)+n-bad as b from h1, hk),
 j as (select page_id, s.host, path, coalesce(hp.a, dp.a, sp.a, t0.a) as a, coalesce(hp.b, dp.b, sp.b, t0.b) as b
-    from s left join hp on s.host = hp.host left join dp on s.domain = dp.domain left join sp on s.suffix = sp.suffix, t0),
+    from s left join hp on s.name = hp.host left join dp on s.domain = dp.domain left join sp on s.suffix = sp.suffix, t0),
 v as (select *, case
     when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
     when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'

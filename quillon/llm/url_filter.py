@@ -10,6 +10,7 @@ a limit.  Rules (host and path prefixes) overrule the posterior.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .storage import written
 
-# Suffixes of two labels under which names are registered.
+# Some suffixes of two labels under which names are registered; give a whole table where there is one.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "ne.jp", "or.jp", "org.au", "org.uk")
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,17 +34,36 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.regexp_extract(host, r"([^.]*)$", 1))
+def reputation_name(host: Column) -> Column:
+    """The host without port and without dots at its end."""
+    return F.regexp_replace(host, r"\.*(:[0-9]*)?\z", "")
 
 
-def domain_of(host: Column) -> Column:
-    """The suffix and the label before it; a host without one is its own domain."""
-    two = F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1)
-    three = F.regexp_extract(host, r"([^.]*\.[^.]*\.[^.]*)$", 1)
-    wide = F.when(two.isin(*TWO_LABEL_SUFFIXES), three).otherwise(two)
-    return F.when(wide == "", host).otherwise(wide)
+def is_address(name: Column) -> Column:
+    """Whether it is an IPv4 or IPv6 address, which has no labels."""
+    return name.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}\z") | name.startswith("[")
+
+
+def last_labels(name: Column, n: int) -> Column:
+    """The last ``n`` labels; empty where there are fewer."""
+    return F.regexp_extract(name, r"(" + r"\.".join([r"[^.]*"] * n) + r")\z", 1)
+
+
+def suffix_of(name: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+    """The longest of ``suffixes`` (of two or three labels) that the name ends with, else its last label; an address is its own."""
+    out = last_labels(name, 1)
+    for n in (2, 3):
+        held = [x for x in suffixes if x.count(".") == n - 1]
+        if held:
+            out = F.when(last_labels(name, n).isin(*held), last_labels(name, n)).otherwise(out)
+    return F.when(is_address(name), name).otherwise(out)
+
+
+def domain_of(name: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+    """The suffix and the label before it; a name without one, or an address, is its own domain."""
+    suffix = suffix_of(name, suffixes)
+    before = F.regexp_extract(F.substring(name, F.lit(1), F.length(name) - F.length(suffix) - 1), r"([^.]*)\z", 1)
+    return F.when(F.length(name) <= F.length(suffix) + 1, name).otherwise(F.concat(before, F.lit("."), suffix))
 
 
 def _level(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
@@ -64,15 +84,15 @@ def _level(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
     return at.crossJoin(F.broadcast(spread.select(F.round(k, 6).alias("k")))).select("name", *[c for c in children.columns if c not in ("name",)], (F.col("k") * F.col("m") + F.col("bad")).alias("a"), (F.col("k") * (1 - F.col("m")) + F.col("n") - F.col("bad")).alias("b"))
 
 
-def host_reputation(outcomes: DataFrame, base_strength: float = 2.0) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def host_reputation(outcomes: DataFrame, base_strength: float = 2.0, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Posteriors by host, domain, suffix and for everything.
 
     ``outcomes`` has ``host`` and ``bad`` (0, 1 or null: not labelled, no part).
     Rows are summed by host before anything else moves.  With no outcome at
     all, everything is the even beta of ``base_strength``.
     """
-    hosts = outcomes.where(F.col("bad").isNotNull()).groupBy(F.col("host").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("name"))).withColumn("suffix", suffix_of(F.col("name")))
+    hosts = outcomes.where(F.col("bad").isNotNull()).groupBy(reputation_name(F.col("host")).alias("name")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
+    hosts = hosts.withColumn("domain", domain_of(F.col("name"), suffixes)).withColumn("suffix", suffix_of(F.col("name"), suffixes))
     hosts = written(hosts, "hosts")
     up = lambda df, to, *keep: df.groupBy(F.col(to).alias("name"), *keep).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = up(hosts, "domain", "suffix")
@@ -102,11 +122,13 @@ def matching_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return reduce(lambda rest, r: F.when(fits(r), F.lit(r)).otherwise(rest), reversed(longest), F.lit(None).cast("string"))
 
 
-def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], limit: float = 0.25, z: float = 1.645, url: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], limit: float = 0.25, z: float = 1.645, url: str = "url", suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """Add ``host``, ``path``, ``rule``, ``verdict`` (allow or block), ``bad_mean`` and ``bad_bound`` to every row of ``pages``.
 
     A host without labelled pages takes its domain's posterior, then its
-    suffix's, then the one over everything.  Null and malformed URLs have empty
+    suffix's, then the one over everything; ports and dots at a host's end
+    don't count there, and addresses have neither domain nor suffix.
+    ``suffixes`` are those of more than one label.  Null and malformed URLs have empty
     host and path and are judged like any host.  Columns of these names in
     ``pages`` are replaced.  The reputation tables hold a row for each host;
     they are joined, never collected; hot hosts are one row there, and the join
@@ -115,8 +137,9 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], li
     added = ["host", "path", "rule", "verdict", "bad_mean", "bad_bound"]
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in added]
     at = pages.select(*keep, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
-    at = at.withColumn("__q_domain", domain_of(F.col("host"))).withColumn("__q_suffix", suffix_of(F.col("host")))
-    for k, (level, on) in enumerate(zip(host_reputation(outcomes), ("host", "__q_domain", "__q_suffix", None), strict=True)):
+    at = at.withColumn("__q_name", reputation_name(F.col("host")))
+    at = at.withColumn("__q_domain", domain_of(F.col("__q_name"), suffixes)).withColumn("__q_suffix", suffix_of(F.col("__q_name"), suffixes))
+    for k, (level, on) in enumerate(zip(host_reputation(outcomes, suffixes=suffixes), ("__q_name", "__q_domain", "__q_suffix", None), strict=True)):
         level = level.select(F.col("name").alias(on or "__q_all"), F.col("a").alias(f"__q_a{k}"), F.col("b").alias(f"__q_b{k}"))
         at = at.join(level, on, "left") if on else at.crossJoin(F.broadcast(level))
     a, b = (F.coalesce(*[F.col(f"__q_{x}{k}") for k in range(4)]) for x in "ab")

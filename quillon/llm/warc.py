@@ -4,8 +4,9 @@ Captures are range-sorted by their key (reversed host, then the rest of the
 URL, then the capture id), so every archive file covers a range of keys.  Each
 archive has an index file of sorted capture lines in gzip blocks; a sparse
 directory keeps one row for each block: its first key and its place.  A lookup
-binary-searches the archives' first keys, then the directory, reads that one
-block by its range, binary-searches its lines and reads one record by its range.
+binary-searches the archives' first keys (in two levels), then the directory,
+reads that one block by its range, binary-searches its lines and reads one
+record by its range.
 
 Captures with equal payloads of some length are stored once: the others are
 revisit records that refer to the one with the largest id.
@@ -119,7 +120,9 @@ def write_archives(pages: DataFrame, folder: str, least: int = 1000, archive_byt
     """Write ``pages`` (page_id, url, html) as archives and their indexes; return the block directory, a written table.
 
     Null html is an empty payload, a null URL an empty header.  Repeated rows
-    are captures of their own.  An empty table gives an empty directory.
+    are captures of their own.  A payload of any length up to 2 GB is one
+    record.  Other columns are left out.  An empty table gives an empty
+    directory.
     """
     typed = captures(pages, least)
     total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
@@ -205,18 +208,36 @@ def read_archives(directory: DataFrame, folder: str) -> DataFrame:
     return directory.withColumnRenamed("index", "index_file").repartition(tasks, "archive", "block").mapInPandas(read, CAPTURES)
 
 
+def archive_of(keys: DataFrame, directory: DataFrame, group: int = 1024) -> DataFrame:
+    """``keys`` (column ``key``) with the ``archive`` whose range may hold each.
+
+    The archives are range-sorted by their first keys into groups of about
+    ``group``; the groups' first keys go to the tasks (a million archives have
+    a thousand), and a group's archives to the task that searches it.
+    """
+    tops = directory.groupBy("archive").agg(F.min("first_key").alias("first"))
+    n = tops.count()
+    ranged = written(tops.repartitionByRange(max(1, -(-n // group)), "first").withColumn("group", F.spark_partition_id().cast("long")), "tops")
+    bounds = sorted((r["first"].encode(), r["group"]) for r in ranged.groupBy("group").agg(F.min("first").alias("first")).collect())
+    firsts, names = [first for first, _ in bounds], [name for _, name in bounds]
+
+    @F.pandas_udf("long")
+    def group_of(key: pd.Series) -> pd.Series:
+        return key.map(lambda x: names[max(0, bisect_right(firsts, x.encode()) - 1)] if names else -1)
+
+    def place(archives: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        held = sorted(zip(archives["first"].map(str.encode), archives["archive"], strict=True))
+        starts = [first for first, _ in held]
+        return pd.DataFrame({"key": wanted["key"], "archive": [held[max(0, bisect_right(starts, x.encode()) - 1)][1] if held else None for x in wanted["key"]]})
+
+    return ranged.groupBy("group").cogroup(keys.select("key", group_of("key").alias("group")).groupBy("group")).applyInPandas(place, "key string, archive string")
+
+
 def look_up(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     """key, payload and payload_digest of the response captured under each of ``keys`` (column ``key``, no repeats); no row for keys that aren't there.
 
-    The archives' first keys, one for each archive, go to the tasks; the block
-    directory of an archive goes only to the task that searches it.
+    The block directory of an archive goes only to the task that searches it.
     """
-    tops = sorted((r["first"], r["archive"]) for r in directory.groupBy("archive").agg(F.min("first_key").alias("first")).collect())
-    firsts, names = [first.encode() for first, _ in tops], [name for _, name in tops]
-
-    @F.pandas_udf("string")
-    def archive_of(key: pd.Series) -> pd.Series:
-        return key.map(lambda x: names[max(0, bisect_right(firsts, x.encode()) - 1)] if names else None)
 
     def find(entries: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -242,7 +263,7 @@ def look_up(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
                         out.append(found)
         return pd.DataFrame(out, columns=["key", "payload", "payload_digest"])
 
-    placed = keys.select("key", archive_of("key").alias("archive"))
+    placed = archive_of(keys, directory)
     left = directory.withColumnRenamed("index", "index_file").groupBy("archive")
     return left.cogroup(placed.groupBy("archive")).applyInPandas(find, "key string, payload binary, payload_digest string")
 
