@@ -291,7 +291,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, tr
         if not n:
             return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
         sizes = Scale(max(1, dims), max(1, dims) * float(peak or 0) ** 2)
-        cells = min(pivots, max(1, -(-8 * n // tree_rows)))
+        cells = min(pivots, max(1, -(-n // tree_rows)))
         drawn = rows.where(F.pmod(F.xxhash64(F.lit(5), "at"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 16 * cells / n))).select("v").limit(64 * cells).toPandas()
         fill = lambda v: np.pad(matrix(v), ((0, 0), (0, sizes.dims - max(map(len, v), default=0))))
         centres = pivots_of(fill(drawn["v"]), cells) if len(drawn) else np.zeros((1, sizes.dims))
