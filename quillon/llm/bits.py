@@ -60,11 +60,12 @@ def divided(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, Data
     return joined.where("__q_hit").select(*names), joined.where("not __q_hit").select(*names)
 
 
-def without_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def without_keys(rows: DataFrame, keys: DataFrame, key: str, most: int | None = None) -> DataFrame:
     """The rows of ``rows`` (a table that can be read twice) whose ``key`` isn't in ``keys``; null keys stay.
 
-    Only rows that the bit table can't clear are shuffled.
+    Only rows that the bit table can't clear are shuffled.  ``most``: how many
+    keys there are at most, if known.
     """
-    keys = written(keys.select(key).distinct(), "keys", keep=True)
+    keys = written(keys.select(key).distinct(), "keys", most, keep=True)
     hit, clear = divided(rows, keys, key)
     return clear.unionByName(hit.join(keys.hint("merge"), key, "left_anti").select(*[F.col(f"`{c}`") for c in rows.columns]))

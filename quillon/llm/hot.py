@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .storage import written
-
 #: Into how many groups the rows of a hot key are dealt.
 SALTS = 64
 
@@ -18,9 +16,10 @@ def hot_keys(sample: DataFrame, key: str, tasks: int) -> list[int]:
     only tells which keys to deal further, so what a sample doesn't show costs
     time in a task, no rows.
     """
-    counts = written(sample.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "shown")
-    rows = counts.agg(F.sum("n")).first()[0] or 0
-    return sorted(r[key] for r in counts.where((F.col("n") * (4 * tasks) > rows) & (F.col("n") > 16)).select(key).collect())
+    seen = Observation()
+    counts = sample.observe(seen, F.count(F.lit(1)).alias("rows")).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    most = counts.orderBy(F.desc("n")).limit(4 * tasks).collect()
+    return sorted(r[key] for r in most if r["n"] * 4 * tasks > seen.get["rows"] and r["n"] > 16)
 
 
 def salt(key: Column, keys: list[int], by: Column) -> Column:

@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -82,7 +82,7 @@ def shingle_sets(docs: DataFrame, size: int, doc_id: str, text: str, spare: int
     return wanted.mapInArrow(make, f"row long, doc_id {id_type}, n long, s1 long, s2 long, grams array<long>")
 
 
-def class_ids(rows: DataFrame, bits: int = 64) -> tuple[DataFrame, Column]:
+def class_ids(rows: DataFrame, bits: int = 64, most: int | None = None) -> tuple[DataFrame, Column]:
     """Classes of equal (n, s1, s2), a written table: n, s1, s2, cid, doc_id (the least), first (the least row) and copies; and the expression of cid.
 
     cid is a hash of ``bits`` bits.  Classes whose hashes clash, N^2 / 2^65 of N
@@ -90,7 +90,7 @@ def class_ids(rows: DataFrame, bits: int = 64) -> tuple[DataFrame, Column]:
     one class.
     """
     classes = rows.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
-    classes = written(classes, "classes")
+    classes = written(classes, "classes", most)
     hashed = lambda seed: F.xxhash64(F.lit(seed), "n", "s1", "s2") if bits == 64 else F.pmod(F.xxhash64(F.lit(seed), "n", "s1", "s2"), F.lit(1 << bits))
     cid = hashed(0)
     for seed in range(1, 65):
@@ -248,11 +248,12 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block:
 
 def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: str, text: str, bits: int = 64) -> DataFrame:
     spare = 20
-    sets = written(shingle_sets(docs, size, doc_id, text, spare, percent), "sets")
-    some = sets.where("n > 0")
-    classes, cid = class_ids(some, bits)
+    seen = Observation()
+    sets = written(shingle_sets(docs, size, doc_id, text, spare, percent).observe(seen, F.count(F.lit(1)).alias("rows")), "sets")
+    some, n_rows = sets.where("n > 0"), seen.get["rows"]
+    classes, cid = class_ids(some, bits, n_rows)
     copies = some.select("row", "n", "s1", "s2").join(classes.where("copies > 1").select("n", "s1", "s2", "first"), ["n", "s1", "s2"]).where("row <> first")
-    single = without_keys(some, copies, "row").select(cid.alias("cid"), "n", "row", "grams")
+    single = without_keys(some, copies, "row", n_rows).select(cid.alias("cid"), "n", "row", "grams")
     grams = single.select("cid", "n", "row", F.explode("grams").alias("gram"))
     hot = hot_keys(grams.where(F.pmod(F.xxhash64("row"), F.lit(64)) == 0), "gram", tasks(docs))
     shared = written(repeated(grams, hot), "shared")
@@ -272,6 +273,6 @@ def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: st
     roots = joined.join(classes.select(F.col("cid").alias("node"), "doc_id"), "node")
     least = roots.groupBy("component").agg(F.min("doc_id").alias("root"))
     roots = join_totals(roots, least, "component").select(F.col("node").alias("cid"), "root")
-    placed = written(classes.select("cid", "doc_id").join(roots, "cid", "left").select("cid", F.coalesce("root", "doc_id").alias("root")), "placed")
+    placed = written(classes.select("cid", "doc_id").join(roots, "cid", "left").select("cid", F.coalesce("root", "doc_id").alias("root")), "placed", n_rows)
     rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, cid).alias("cid"))
     return rows.join(placed, "cid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))
