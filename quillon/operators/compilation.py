@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import Payload
 from ..functions.text import negated_action, negated_text, reply_allowed
 
 # Payload fields that would name a private target.
@@ -57,12 +58,12 @@ def _compiled(proposals: DataFrame, checks: list[tuple[Column, str]]) -> DataFra
 
 def _opening(q: _Payload, private: tuple[str, ...]) -> list[tuple[Column, str]]:
     """The checks that both domains begin with, from the slot to the route."""
-    valid = F.try_parse_json("content")
+    parsed = Payload(F.col("content"))
     hidden = F.lit(False)
     for name in private:
         hidden = hidden | q.has(name)
     return [
-        (valid.isNull() & F.coalesce(negated_text(F.col("content")), F.lit(False)), "negated_action"), (valid.isNull(), "proposal_not_json"), (~F.schema_of_variant(valid).startswith("OBJECT"), "proposal_not_object"),
+        (parsed.broken & F.coalesce(negated_text(F.col("content")), F.lit(False)), "negated_action"), (parsed.broken, "proposal_not_json"), (~parsed.object, "proposal_not_object"),
         (q.get("negated").eqNullSafe(F.lit("true")) | negated_action(q.get("action")), "negated_action"), (hidden, "unsupported_private_exact_target"),
         (~q.get("action").eqNullSafe(F.col("action")), "unsupported_requested_action"), (~q.get("route").eqNullSafe(F.col("route")), "uncheckable_condition"),
     ]

@@ -108,6 +108,12 @@ _CONTACT_COMPILE = f"""with r as (select *, case when v = 0 then 'negated_action
     when v = 7 then 'uncheckable_condition' when action = 'record_followup' and v = 8 then 'uncheckable_condition' when action = 'record_followup' and note_constraint <> 'exact' and v = 9 then 'unsupported_note' when v = 10 or (v = 9 and note_constraint <> 'exact') then 'unsupported_requested_action' end as reason from contact_cases_v)
 select contact_key, position, reason, case when reason is null then {_CONTACT_KEY} end as semantic_key, case when reason is null then '{{"action":"' || action || '","exact_note":' || case when note_constraint = 'exact' then '"Please follow up by email."' else 'null' end || ',"expected_email":"' || expected_email
     || '","note_constraint":"' || note_constraint || '","route":"' || route || '","target":"' || target || '"}}' end as private_case from r"""
+_OPENING = "when v = 0 then 'negated_action' when v = 1 then 'proposal_not_json' when v = 2 then 'proposal_not_object' when v = 3 then 'negated_action' when v = 4 then 'unsupported_private_exact_target' when v = 5 then 'unsupported_requested_action' when v = 6 then 'uncheckable_condition'"
+_MESSAGE_COMPILE = f"""select message_id, position, case {_OPENING} when action = 'search_messages' and v in (7, 11) then 'unsupported_requested_action' when action = 'search_messages' then null when v = 7 then 'wrong_message_binding' when v = 8 then 'missing_mutation_authority'
+    when v = 9 then 'uncheckable_condition' when v = 10 then case when action = 'create_reminder' then 'missing_mutation_argument' else 'unsupported_reply' end when v = 11 then 'unsupported_requested_action' end as reason from message_cases_v"""
+_WORKSPACE_COMPILE = f"""select item_id, position, case {_OPENING} when action = 'search_workspace_items' and v in (7, 11) then 'unsupported_requested_action' when action = 'search_workspace_items' then null when v = 8 then 'missing_mutation_authority' when v = 9 then 'uncheckable_condition'
+    when v = 7 then 'wrong_item_binding' when v = 10 and action = 'create_workspace_task' then 'missing_mutation_argument' when v = 10 and comment_constraint = 'exact' then 'unauthorized_comment_argument' when v = 10 then 'unsupported_comment' when v = 11 then 'unsupported_requested_action' end as reason
+    from workspace_cases_v where route <> 'missing'"""
 _SNAPSHOT = """select 'sha256:' || sha256('{"contacts":[' || (select string_agg('{"email":"' || email || '","name":"' || name || '"}', ',' order by name) from contacts_v) || '],"followups":[' || (select string_agg('{"name":"' || name || '","note":"a note"}', ',' order by name) from followups_v) || ']}') as fingerprint"""
 _REHEARSAL = f"""with k as (select {_CONTACT_SLOT} as slot_id, target, position from {_KEPT}), f as (select * from k order by target, position limit 16)
 select (select count(*) from k) as known_task_capacity, case when (select count(*) from k) >= 8 then 'sufficient' else 'insufficient' end as capacity_status, string_agg('semantic:sha256:' || sha256('semantic:sha256:x:' || slot_id), ',' order by target, position) as semantic_groups,
@@ -170,7 +176,7 @@ def sql(admitted: str, gated: str, verdicts: str, members: str) -> dict[str, str
     return {
         "contact_assessment": _CONTACTS, "message_assessment": _MESSAGES, "workspace_assessment": _WORKSPACE, "contact_rollout": _CONTACT_ROLLOUT, "message_rollout": _MESSAGE_ROLLOUT, "workspace_rollout": _WORKSPACE_ROLLOUT,
         "rollout_replay": "select case when contact_key % 9 = 0 then 'not_executed' when v = 3 then 'observation_drift' else 'aligned' end as status, count(*) as n from contact_cases_v group by all",
-        "contact_cases": _CONTACT_CASES, "contact_compile": _CONTACT_COMPILE, "restored_cases": "select v, count(*) filter (v not in (1, 2, 3)) as valid, count(*) as n from contact_cases_v group by v", "contact_snapshot": _SNAPSHOT, "pilot_rehearsal": _REHEARSAL,
+        "contact_cases": _CONTACT_CASES, "contact_compile": _CONTACT_COMPILE, "message_compile": _MESSAGE_COMPILE, "workspace_compile": _WORKSPACE_COMPILE, "restored_cases": "select v, count(*) filter (v not in (1, 2, 3)) as valid, count(*) as n from contact_cases_v group by v", "contact_snapshot": _SNAPSHOT, "pilot_rehearsal": _REHEARSAL,
         "message_slots": _MESSAGE_SLOTS, "message_cases": _MESSAGE_CASES, "workspace_slots": f"with {_WORKSPACE_SLOTS} select * from slots", "workspace_cases": _WORKSPACE_CASES, "tool_definitions": _TOOLS,
         "agent_decisions": """select contact_key, position, case when v in (0, 1, 3, 7) then null when v = 2 then 'final_response' else 'tool_call' end as decision, case when v in (0, 1, 2, 3, 7) then null when v = 9 then 'dance' else 'lookup_contact' end as tool_name,
     case when v = 2 then 'done' end as final_content from contact_cases_v""",

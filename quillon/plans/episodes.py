@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import admission, assessment, campaign, cases, decisions, evidence, reports, review, rollout, sequence, tasks, usage
+from ..operators import admission, assessment, campaign, cases, compilation, decisions, evidence, reports, review, rollout, sequence, tasks, usage
 from ..sources import records
 from .queries import TARGET, admitted, cohort_members, gated, query
 from .views import view
@@ -137,6 +137,51 @@ def contact_compile(s, d):
     return made.select("contact_key", "position", "reason", "semantic_key", "private_case")
 
 
+def compiled(at: DataFrame, compile_, fields: dict[str, Column], changes: dict[str, Column], rule: Column, *keys: str) -> DataFrame:
+    """Proposals of ``fields`` with ``changes``, in twelve ways by ``v``, compiled against slots that expect ``fields``."""
+    v = F.col("v")
+    expected = F.map_filter(assessment.record(**fields), lambda _, x: x.isNotNull())
+    content = F.when(v == 0, "do not do it").when(v == 1, F.concat(cases.spaced(fields), F.lit(" x"))).when(v == 2, '["a"]').otherwise(cases.spaced(fields | changes))
+    yes = F.lit(True)
+    at = at.withColumns({"expected": expected, "content": content, "known": yes, "unique": yes, "applicable": yes, "rule": rule})
+    return compile_(at).select(*keys, "reason")
+
+
+@query
+def message_compile(s, d):
+    c, v = F.col, F.col("v")
+    searches, draft, exact = c("action") == "search_messages", c("action") == "create_draft_reply", c("reply_constraint") == "exact"
+    fields = {
+        "action": c("action"), "route": c("route"), "query": F.when(searches, c("query")), "message_query": F.when(~searches, c("query")), "condition": F.when(~searches, "after_message_match"), "reminder_text": c("reminder_text"), "remind_at": c("remind_at"),
+        "reply_constraint": F.when(draft, c("reply_constraint")), "reply": c("exact_reply"),
+    }
+    changes = {
+        "action": F.when(v == 3, "dont_do").when(v == 5, "dance").otherwise(c("action")), "message_id": F.when(v == 4, "m"), "route": F.when(v == 6, "nowhere").otherwise(c("route")), "query": F.when(searches, F.when(v == 7, "x").otherwise(c("query"))),
+        "message_query": F.when(~searches, F.when(v == 7, "x").otherwise(c("query"))), "condition": F.when(~searches & (v != 8), F.when(v == 9, "x").otherwise("after_message_match")), "remind_at": F.when(v != 10, c("remind_at")),
+        "reply": F.when(draft & (v == 10), "No.").otherwise(c("exact_reply")), "extra": F.when(v == 11, "x"),
+    }
+    return compiled(view(s, d, "message_cases_v"), compilation.compile_messages, fields, changes, F.when(exact, "exact").when(draft, "open"), "message_id", "position")
+
+
+@query
+def workspace_compile(s, d):
+    c, v = F.col, F.col("v")
+    searches, task, comment = c("action") == "search_workspace_items", c("action") == "create_workspace_task", c("action") == "add_workspace_comment"
+    at = view(s, d, "workspace_cases_v").where("route <> 'missing'").withColumns({"case_kind": F.col("kind")})
+    fields = {
+        "action": c("action"), "route": c("route"), "kind": F.when(searches, c("kind")), "query": F.when(searches, c("query")), "condition": F.when(~searches, "after_item_match"), "due_label": c("due_label"), "priority": c("priority"), "project_kind": F.when(task, c("kind")),
+        "project_query": F.when(task, c("query")), "title": c("title"), "task_constraint": F.when(task & c("title").isNull(), c("task_constraint")), "comment_constraint": F.when(comment, c("comment_constraint")), "task_kind": F.when(comment, c("kind")),
+        "task_query": F.when(comment, c("query")), "comment": c("exact_comment"),
+    }
+    changes = {
+        "action": F.when(v == 3, "dont_do").when(v == 5, "dance").otherwise(c("action")), "task_id": F.when(v == 4, "t"), "route": F.when(v == 6, "nowhere").otherwise(c("route")), "query": F.when(searches, F.when(v == 7, "x").otherwise(c("query"))),
+        "project_query": F.when(task, F.when(v == 7, "x").otherwise(c("query"))), "task_query": F.when(comment, F.when(v == 7, "x").otherwise(c("query"))), "condition": F.when(~searches & (v != 8), F.when(v == 9, "x").otherwise("after_item_match")),
+        "priority": F.when(v != 10, c("priority")), "comment": F.when(comment & (v == 10), "Status: other").otherwise(c("exact_comment")), "extra": F.when(v == 11, "x"),
+    }
+    rule = F.when((c("task_constraint") == "exact") | (c("comment_constraint") == "exact"), "exact").when(~searches, "open")
+    return compiled(at, compilation.compile_workspace, fields, changes, rule, "item_id", "position")
+
+
 @query
 def restored_cases(s, d):
     at = view(s, d, "contact_cases_v").withColumn("semantic_key", cases.contact_key()).withColumn("private_case", cases.contact_record())
