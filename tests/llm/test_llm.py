@@ -664,12 +664,17 @@ def test_long_texts_in_archives_and_shards(spark, long_docs):
     assert [r["verdict"] for r in url_filter.filter_urls(urls, spark.createDataFrame([], "host string, bad int"), RULES).select("verdict").collect()] == ["allow"] * 3
 
 
-def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
     from quillon.llm import storage
 
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://x:1")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        storage.shared_dir(spark)
+    none = SimpleNamespace(get=lambda *_: None)
+    session = lambda master: SimpleNamespace(conf=none, sparkContext=SimpleNamespace(getConf=lambda: none, master=master, applicationId="app"))
+    for master in ("spark://x:1", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            storage.shared_dir(session(master))
+    assert storage.shared_dir(session("local[4]")).startswith("file://")
 
 
 # --- the queries
