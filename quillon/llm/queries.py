@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .audit import audit_filters
 from .decontamination import contaminated
+from .forest import near_duplicates
 from .jaccard import jaccard_components
 from .language_id import identify
 from .metric_search import top_k
@@ -16,6 +18,7 @@ from .substrings import dedup_substrings
 from .toxicity import score_documents
 from .url_filter import TWO_LABEL_SUFFIXES, filter_urls, url_host
 from .warc import round_trip
+from .whitening import whiten
 
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
@@ -98,6 +101,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "text", F.coalesce(F.size("spans"), F.lit(0)).alias("n_spans"), cut.alias("removed_bytes"), F.crc32(text.cast("binary")).alias("text_crc32"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings along their first 32 principal components, a row for each."""
+    found = whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    each = found.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "explained", "identity_error", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.get("explained", F.col("at")).alias("explained"), "identity_error")
+
+
+def op12_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of three-word shingles and components of all documents."""
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source in every order."""
+    return audit_filters(table(spark, sf_dir, "documents", "doc_id", "text", "source"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 OP3_SQL = """
 with p as (select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
 m as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as last from p)
@@ -105,14 +125,35 @@ select page_id, payload_bytes, payload_digest, case when last is not null and pa
     case when page_id is distinct from last then last end as refers_to from m
 """
 
-OP4_SQL = r"""
+
+def _components_sql(size: int, percent: int, more: str = "") -> str:
+    """Sets of ``size``-word shingles, links and components by brute force."""
+    return rf"""
 with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
-g as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) end) as gram from w),
+g as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < {size} then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - {size - 2}), lambda k: array_to_string(w[k:k + {size - 1}], ' ')) end) as gram from w),
 n as (select doc_id, count(*) as n from g group by doc_id),
 links as (select a.doc_id as a, b.doc_id as b from g a join g b on a.gram = b.gram and a.doc_id <> b.doc_id join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
-    group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+    group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= {percent} * (x.n + y.n - count(*))),
 reach(doc, other) as (select doc_id, doc_id from w union select r.doc, l.b from reach r join links l on l.a = r.other)
-select r.doc as doc_id, coalesce(max(n.n), 0) as n_shingles, min(r.other) as component_id from reach r left join n on n.doc_id = r.doc group by r.doc
+select r.doc as doc_id, coalesce(max(n.n), 0) as n_shingles, min(r.other) as component_id{more} from reach r left join n on n.doc_id = r.doc group by r.doc
+"""
+
+
+OP4_SQL = _components_sql(5, 80)
+OP12_SQL = _components_sql(3, 85, ", min(r.other) = r.doc as kept")
+
+OP13_SQL = r"""
+with recursive w as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+m as (select w.doc_id, part, len(words) < 200 as a, 100 * len(list_distinct(words)) < 50 * len(words) as b, 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) as c,
+    regexp_matches(text, '[#$%&*|]') as d, coalesce(doc_id > min(doc_id) over (partition by text), false) as e from w),
+f as (select part, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x, k: [a, b, c, d, e][k]) as fails, coalesce(l.good, false) as good, coalesce(l.toxic, false) as toxic
+    from m left join (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id) l using (doc_id)),
+orders(o) as (select '' union all select o || x from orders, unnest(['A', 'B', 'C', 'D', 'E']) t(x) where not contains(o, x)),
+steps as (select o, cast(k as integer) as step, o[k:k] as letter, o[1:k - 1] as earlier from orders, range(1, 6) r(k) where length(o) = 5),
+s as (select part, o as filter_order, step, letter, count(*) filter (where not gone and not now) as kept, count(*) filter (where now and not gone) as removed, count(*) filter (where now and gone) as redundant,
+    count(*) filter (where now and len(fails) = 1) as unique_fails, count(*) filter (where now and not gone and good) as good_lost, count(*) filter (where now and not gone and toxic) as toxic_lost
+    from (select *, len(list_filter(fails, lambda x: contains(earlier, x))) > 0 as gone, list_contains(fails, letter) as now from f, steps) group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, cast(sum(removed) over (partition by part, letter) as bigint) as shapley from s
 """
 
 OP7_SQL = """
@@ -159,5 +200,5 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
     when a/(a+b) - 1.645 * sqrt(a/(a+b) * (1 - a/(a+b)) / (a+b+1)) > 0.25 then 'block' else 'allow' end as verdict from v
 """
 
-QUERIES = {"op1_decontamination": op1_decontamination, "op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op5_language_id": op5_language_id, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity, "op10_substring_dedup": op10_substring_dedup}
-ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op4_jaccard_join": OP4_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL}
+QUERIES = {"op1_decontamination": op1_decontamination, "op2_best_fit_packing": op2_best_fit_packing, "op3_warc_round_trip": op3_warc_round_trip, "op4_jaccard_join": op4_jaccard_join, "op5_language_id": op5_language_id, "op7_metric_search": op7_metric_search, "op6_url_reputation": op6_url_reputation, "op8_shuffle_shards": op8_shuffle_shards, "op9_compression_toxicity": op9_compression_toxicity, "op10_substring_dedup": op10_substring_dedup, "op11_embedding_whitening": op11_embedding_whitening, "op12_minhash_forest": op12_minhash_forest, "op13_filter_audit": op13_filter_audit}
+ORACLE_SQL = {"op3_warc_round_trip": OP3_SQL, "op4_jaccard_join": OP4_SQL, "op7_metric_search": OP7_SQL, "op6_url_reputation": OP6_SQL, "op12_minhash_forest": OP12_SQL, "op13_filter_audit": OP13_SQL}
