@@ -12,18 +12,24 @@ class Payload:
     A text that isn't JSON has no value; fields are those of an object, and a
     string field is null where the field is missing or has another type.  The
     parser ignores what follows a value, so a text is JSON if it is a value in
-    an array of one as well as in an object.
+    an array of one as well as in an object.  Of a key that repeats the last
+    value counts, given the setting that session.ship() makes.
     """
 
-    def __init__(self, content: Column) -> None:
-        one = F.try_parse_json(F.concat(F.lit("["), content, F.lit("]")))
-        field = F.try_parse_json(F.concat(F.lit('{"v":'), content, F.lit("}")))
-        single = F.try_variant_get(one, "$[1]", "variant").isNull() & field.isNotNull()
-        self.value = F.when(single, F.try_variant_get(one, "$[0]", "variant"))
+    def __init__(self, content: Column | None, value: Column | None = None) -> None:
+        """``value``: the ``value`` of a Payload in a column of its own, which is then parsed once for all conditions."""
+        self.value = self._parsed(content) if value is None else value
         self.broken = self.value.isNull()
         self.kind = F.schema_of_variant(self.value)
         self.object = F.coalesce(self.kind.startswith("OBJECT"), F.lit(False))
 
+    @staticmethod
+    def _parsed(content: Column) -> Column:
+        one = F.try_parse_json(F.concat(F.lit("["), content, F.lit("]")))
+        field = F.try_parse_json(F.concat(F.lit('{"v":'), content, F.lit("}")))
+        single = F.try_variant_get(one, "$[1]", "variant").isNull() & field.isNotNull()
+        return F.when(single, F.try_variant_get(one, "$[0]", "variant"))
+
     def type_of(self, name: str) -> Column:
         """The field's type as of schema_of_variant; null where it is missing."""
         return F.schema_of_variant(F.try_variant_get(self.value, f"$.{name}", "variant"))
@@ -37,6 +43,11 @@ class Payload:
     def true(self, name: str) -> Column:
         return F.coalesce((self.type_of(name) == "BOOLEAN") & F.try_variant_get(self.value, f"$.{name}", "boolean"), F.lit(False))
 
+    def equals(self, name: str, value: Column) -> Column:
+        """Whether the field is the string ``value``; a null ``value`` asks for a field that is missing or null."""
+        kind = self.type_of(name)
+        return F.when(value.isNull(), kind.isNull() | (kind == "VOID")).otherwise(self.text(name).eqNullSafe(value))
+
     def keys(self) -> Column:
         """The names of an object's fields, sorted; null for anything else."""
         return F.when(self.object, F.array_sort(F.map_keys(self.value.cast("map<string,variant>"))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,6 +53,19 @@ def forbidden_text(text: Column) -> Column:
     return (paths & text.rlike(PATH_START)) | (paths & text.rlike(EMBEDDED_PATH)) | any_of([low.contains(m) for m in MARKERS] + [low.startswith(o) for o in OPENINGS])
 
 
+def is_forbidden_key(key: str) -> bool:
+    """forbidden_key() for one key in Python."""
+    low = key.lower()
+    return low not in SAFE_KEYS and any(part in low for part in FORBIDDEN_KEY_PARTS)
+
+
+def is_forbidden_text(text: str) -> bool:
+    """forbidden_text() for one text in Python."""
+    low = text.lower()
+    paths = "/" in text or "\\" in text or "~" in text
+    return (paths and bool(re.search(PATH_START, text) or re.search(EMBEDDED_PATH, text))) or any(m in low for m in MARKERS) or low.startswith(OPENINGS)
+
+
 def sanitized(text: Column) -> Column:
     """PRD-10 for a string: redacted where forbidden; null stays null."""
     return F.when(forbidden_text(text), F.lit(REDACTED)).otherwise(text)

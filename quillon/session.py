@@ -15,8 +15,10 @@ def ship(spark: SparkSession) -> SparkSession:
     """Add this package to the files of ``spark``'s application, once; what ``--py-files`` does on submission.
 
     Batches to and from Python are held to 4 MB, so long texts don't fill the
-    workers.
+    workers.  Of a key that repeats in a JSON object the last value counts, as
+    in Python's parser.
     """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:

@@ -3,17 +3,34 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import sanitized, sanitized_map
+from ..functions.jsontext import sanitized_json
+from ..functions.text import is_forbidden_key, sanitized
+
+
+def public_columns(rows: DataFrame) -> list[Column]:
+    """PRD-10 for whole rows: columns with forbidden names go, texts are redacted, and so is what structs, arrays, maps and variants hold at any depth."""
+    out = []
+    for field in rows.schema.fields:
+        kind, column = field.dataType, F.col(f"`{field.name}`")
+        if is_forbidden_key(field.name):
+            continue
+        if isinstance(kind, T.StringType):
+            column = sanitized(column)
+        elif isinstance(kind, T.VariantType):
+            column = F.parse_json(sanitized_json(F.to_json(column)))
+        elif isinstance(kind, T.StructType | T.ArrayType | T.MapType):
+            column = F.from_json(sanitized_json(F.to_json(column)), kind)
+        out.append(column.alias(field.name))
+    return out
 
 
 def write_collections(episodes: DataFrame, folder: str) -> None:
-    """SNK-1: one folder of JSON lines for each collection, rows in files sorted by sequence; texts are sanitized at any depth of the usual columns."""
-    kinds = {f.name: f.dataType.simpleString() for f in episodes.schema.fields}
-    clean = [sanitized(F.col(c)).alias(c) if kinds[c] == "string" and c != "collection" else sanitized_map(F.col(c)).alias(c) if kinds[c] == "map<string,string>" else F.col(c) for c in episodes.columns]
-    ordered = episodes.select(*clean).repartitionByRange("collection", "sequence").sortWithinPartitions("collection", "sequence")
+    """SNK-1: one folder of JSON lines for each collection, rows in files sorted by sequence; sanitized at any depth."""
+    ordered = episodes.select(*public_columns(episodes)).repartitionByRange("collection", "sequence").sortWithinPartitions("collection", "sequence")
     ordered.write.partitionBy("collection").mode("overwrite").json(folder)
 
 

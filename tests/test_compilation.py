@@ -33,8 +33,12 @@ def test_messages(spark):
     ])
     draft = {"action": "create_draft_reply", "condition": "after_message_match", "message_query": "invoice", "route": "direct", "reply_constraint": "exact", "reply": "Thanks, I will."}
     reasons(spark, compile_messages, draft, "exact", [({}, FINE, None), ({"reply": "Hello there"}, FINE, None), ({"reply": "rude"}, FINE, "unsupported_reply"), ({"reply_constraint": "open"}, FINE, "unsupported_reply")])
-    search = {"action": "search_messages", "query": "invoice", "route": "direct"}
-    reasons(spark, compile_messages, search, None, [({}, FINE, None), ({"query": "x"}, FINE, "unsupported_requested_action")])
+    search = {"action": "search_messages", "query": "5", "route": "direct"}
+    reasons(spark, compile_messages, search, None, [
+        ({}, FINE, None), ({"query": "x"}, FINE, "unsupported_requested_action"), ({"query": 5}, FINE, "unsupported_requested_action"), ({"query": {"a": ["5"]}}, FINE, "unsupported_requested_action"), ({"negated": True}, FINE, "negated_action"),
+        ({"negated": "true"}, FINE, "unsupported_requested_action"), ('{"query":"x","action":"search_messages","route":"direct","query":"5"}', FINE, None), ('{"action":1,"action":"search_messages","route":"direct","query":"5"}', FINE, None),
+    ])
+    reasons(spark, compile_messages, reminder | {"remind_at": "5"}, None, [({"remind_at": 5}, FINE, "missing_mutation_argument"), ({"message_query": ["invoice"]}, FINE, "wrong_message_binding")])
 
 
 def test_workspace(spark):
@@ -43,6 +47,7 @@ def test_workspace(spark):
         ({}, FINE, None), ({"item_id": "x"}, FINE, "unsupported_private_exact_target"), ({"action": "x"}, FINE, "unsupported_requested_action"), ({"project_kind": "task"}, FINE, "wrong_item_binding"), ({"priority": None}, FINE, "missing_mutation_argument"),
         ({"due_label": "x"}, FINE, "unauthorized_task_argument"), ({"title": None}, FINE, "missing_mutation_argument"), ({"title": "x"}, FINE, "unauthorized_task_argument"), ({"more": "x"}, FINE, "unsupported_requested_action"),
     ])
+    reasons(spark, compile_workspace, task, "open", [({"task_constraint": "open"}, FINE, "unsupported_task_title"), ({"task_constraint": True, "title": None}, FINE, "unsupported_task_title")])
     comment = {"action": "add_workspace_comment", "comment_constraint": "open", "condition": "after_item_match", "route": "direct", "task_kind": "task", "task_query": "q"}
     reasons(spark, compile_workspace, comment, "open", [({}, FINE, None), ({"comment": "status: x"}, FINE, "unsupported_comment"), ({"comment_constraint": "exact"}, FINE, "unsupported_comment"), ({"task_query": "x"}, FINE, "wrong_item_binding")])
 
