@@ -27,18 +27,18 @@ def dumped(value: Any) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"))
 
 
-def each(texts: pd.Series, make: Callable[[Any], Any]) -> pd.Series:
-    """``make`` of each parsed text; null where there is none."""
+def made(text: str | None, make: Callable[[Any], Any]) -> Any:
+    """``make`` of the parsed text; null where it is null or no JSON."""
+    if text is None:
+        return None
+    try:
+        return make(json.loads(text))
+    except (ValueError, RecursionError):
+        return None
 
-    def one(text: str | None) -> Any:
-        if text is None:
-            return None
-        try:
-            return make(json.loads(text))
-        except (ValueError, RecursionError):
-            return None
 
-    return texts.map(one)
+def each(texts: pd.Series, make: Callable[[Any], Any]) -> pd.Series:
+    return pd.Series([made(text, make) for text in texts], dtype=object)
 
 
 def public(value: Any) -> Any:
@@ -92,6 +92,12 @@ def sanitized_json(texts: pd.Series) -> pd.Series:
     return each(texts, lambda v: dumped(public(v)))
 
 
+@pandas_udf(T.StringType())
+def declared_json(texts: pd.Series, fields: pd.Series) -> pd.Series:
+    """PRD-10, PRD-11: each JSON object sanitized, with those of its own fields alone that ``fields`` (an array) names."""
+    return pd.Series([made(t, lambda v, f=f: dumped({k: x for k, x in public(v).items() if k in f})) for t, f in zip(texts, fields, strict=True)], dtype=object)
+
+
 @pandas_udf(T.BooleanType())
 def unsafe_json(texts: pd.Series) -> pd.Series:
     """PRD-7: whether each JSON text holds what may not be public."""
@@ -102,8 +108,7 @@ def unsafe_json(texts: pd.Series) -> pd.Series:
 def public_events(events: pd.Series, tools: pd.Series) -> pd.Series:
     """PRD-10, PRD-11: each array of events (JSON text) sanitized and held to the fields that ``tools`` (JSON text: name, input_schema, output_schema) declare."""
     known = {text: json.loads(text) for text in tools.dropna().unique()}
-    made = [each(pd.Series([e], dtype=object), lambda v, t=t: dumped([declared(public(x), known.get(t, [])) for x in v])).iloc[0] for e, t in zip(events, tools, strict=True)]
-    return pd.Series(made, dtype=object)
+    return pd.Series([made(e, lambda v, t=t: dumped([declared(public(x), known.get(t, [])) for x in v])) for e, t in zip(events, tools, strict=True)], dtype=object)
 
 
 @pandas_udf(T.ArrayType(T.StructType().add("path", "string").add("value", "string")))

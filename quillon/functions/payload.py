@@ -16,8 +16,9 @@ class Payload:
     value counts, given the setting that session.ship() makes.
     """
 
-    def __init__(self, content: Column | None, value: Column | None = None) -> None:
-        """``value``: the ``value`` of a Payload in a column of its own, which is then parsed once for all conditions."""
+    def __init__(self, content: Column | None, value: Column | None = None, held: Column | None = None) -> None:
+        """``value`` and ``held``: the value and keys() of a Payload in columns of their own, which are then made once for all conditions."""
+        self.held = held
         self.value = self._parsed(content) if value is None else value
         self.broken = self.value.isNull()
         self.kind = F.schema_of_variant(self.value)
@@ -50,6 +51,8 @@ class Payload:
 
     def keys(self) -> Column:
         """The names of an object's fields, sorted; null for anything else."""
+        if self.held is not None:
+            return self.held
         return F.when(self.object, F.array_sort(F.map_keys(self.value.cast("map<string,variant>"))))
 
     def only(self, *names: str) -> Column:

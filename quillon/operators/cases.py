@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.canon import canonical, group_id, json_string, semantic_key, sha, spaced
+from ..functions.jsontext import dumped
 from ..functions.payload import Payload, first_reason
+from ..functions.schemas import definition, tools_json
 from ..functions.text import comment_allowed, negated_action, negated_text, note_allowed, reply_allowed
 from .tasks import contact_slots
 
@@ -58,9 +60,24 @@ TOOLS = (
 )
 
 
-def tools(spark: SparkSession) -> DataFrame:
-    """DM-6, HP-13: the tools with the names of their arguments and results."""
-    return spark.createDataFrame([(n, d, i.split(), o.split()) for n, d, i, o in TOOLS], "name string, description string, arguments array<string>, results array<string>")
+def tool_schemas() -> dict[str, dict]:
+    """DM-6, HP-13: every tool's public definition with its JSON schemas by name; lists are arrays, all else is text."""
+    kind = lambda n: {"type": "array" if n in ("contacts", "senders", "projects") else "string"}
+    return {n: definition(n, d, {x: kind(x) for x in i.split()}, {x: kind(x) for x in o.split()}) for n, d, i, o in TOOLS}
+
+
+#: How many of TOOLS, in order, each domain has.
+DOMAIN_TOOLS = {"contacts": slice(0, 4), "mobile_messages": slice(4, 10), "workspace_tasks": slice(10, 16)}
+
+
+def input_schemas(domain: str) -> dict[str, dict]:
+    """The input schemas of a domain's tools by name."""
+    return {n: t["input_schema"] for n, t in list(tool_schemas().items())[DOMAIN_TOOLS[domain]]}
+
+
+def public_tools(names: Column) -> Column:
+    """DM-5, DM-6: the definitions of the tools in ``names`` (an array), in their order, as canonical JSON."""
+    return tools_json(names, {n: dumped(t) for n, t in tool_schemas().items()})
 
 
 def _of(table: dict[str, tuple], kind: Column, k: int) -> Column:

@@ -27,7 +27,7 @@ class _Payload(Payload):
     """Conditions over the parsed payload and the one that the slot expects (a map of text in ``expected``)."""
 
     def __init__(self) -> None:
-        super().__init__(None, F.col("__p"))
+        super().__init__(None, F.col("__p"), F.col("__k"))
         self.x = F.col("expected")
 
     def has_any(self, names: tuple[str, ...]) -> Column:
@@ -49,7 +49,8 @@ class _Payload(Payload):
 
 
 def _compiled(proposals: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
-    return proposals.withColumn("__p", Payload(F.col("content")).value).withColumn("reason", first_reason(checks)).drop("__p")
+    parsed = proposals.withColumn("__p", Payload(F.col("content")).value)
+    return parsed.withColumn("__k", Payload(None, F.col("__p")).keys()).withColumn("reason", first_reason(checks)).drop("__p", "__k")
 
 
 def _opening(q: _Payload, private: tuple[str, ...]) -> list[tuple[Column, str]]:

@@ -6,55 +6,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.payload import Payload, first_reason
+from ..functions.schemas import call_error
 from ..functions.text import safe_identifier
 from .review import DIMENSIONS
 
 
-def agent_decisions(responses: DataFrame) -> DataFrame:
-    """PRD-14: ``decision`` (tool_call, final_response or null: malformed), tool_name, arguments (JSON text) and final_content of JSON texts in ``content``; extra fields are malformed."""
-    p = Payload(F.col("content"))
+def decision(value: Column, held: Column) -> Column:
+    """PRD-14 for one parsed text (Payload.value and its keys()): kind (tool_call, final_response or null: malformed), tool_name, arguments (a variant) and content; extra fields and texts beyond the bounds are malformed."""
+    p = Payload(None, value, held)
     kind, tool, final = p.text("type"), p.text("tool_name"), p.text("content")
-    calls = (kind == "tool_call") & p.only("type", "tool_name", "arguments") & (F.length(tool) > 0) & F.coalesce(p.type_of("arguments").startswith("OBJECT"), F.lit(False))
-    ends = (kind == "final_response") & p.only("type", "content") & (F.length(final) > 0)
-    decision = F.when(F.coalesce(calls, F.lit(False)), "tool_call").when(F.coalesce(ends, F.lit(False)), "final_response")
-    out = responses.withColumn("decision", decision)
-    arguments = F.to_json(F.try_variant_get(p.value, "$.arguments", "variant"))
-    return out.withColumns({"tool_name": F.when(F.col("decision") == "tool_call", tool), "arguments": F.when(F.col("decision") == "tool_call", arguments), "final_content": F.when(F.col("decision") == "final_response", final)})
+    calls = (kind == "tool_call") & p.only("type", "tool_name", "arguments") & F.length(tool).between(1, 128) & F.coalesce(p.type_of("arguments").startswith("OBJECT"), F.lit(False))
+    ends = (kind == "final_response") & p.only("type", "content") & F.length(final).between(1, 8_000)
+    found = F.when(F.coalesce(calls, F.lit(False)), "tool_call").when(F.coalesce(ends, F.lit(False)), "final_response")
+    return F.struct(found.alias("kind"), tool.alias("tool_name"), F.try_variant_get(p.value, "$.arguments", "variant").alias("arguments"), final.alias("content"))
 
 
-#: What a schema's type means for the types of schema_of_variant.
-TYPES = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN", "array": "ARRAY", "object": "OBJECT"}
+def with_decision(responses: DataFrame, name: str) -> DataFrame:
+    """``responses`` with the decision() of ``content`` in column ``name``; each text is parsed once."""
+    out = responses.withColumn("__p", Payload(F.col("content")).value)
+    out = out.withColumn("__k", Payload(None, F.col("__p")).keys()).withColumn(name, decision(F.col("__p"), F.col("__k"))).drop("__p", "__k")
+    d = F.col(name)
+    called = d["kind"] == "tool_call"
+    return out.withColumn(name, F.struct(d["kind"].alias("kind"), F.when(called, d["tool_name"]).alias("tool_name"), F.when(called, d["arguments"]).alias("arguments"), F.when(~called, d["content"]).alias("content")))
 
 
-def matches_type(kind: Column, expected: Column) -> Column:
-    """Whether a value of type ``kind`` is of the schema's type ``expected``; truth values aren't numbers, unknown types fit nothing."""
-    out = F.when(expected == "number", kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"))
-    for name, prefix in TYPES.items():
-        out = out.when(expected == name, kind.startswith(prefix))
-    return F.coalesce(out.otherwise(False), F.lit(False))
+def agent_decisions(responses: DataFrame) -> DataFrame:
+    """PRD-14: ``responses`` (content) with ``decision`` (tool_call, final_response or null: malformed), tool_name, arguments (JSON text) and final_content."""
+    d = F.col("__d")
+    return with_decision(responses, "__d").withColumns({"decision": d["kind"], "tool_name": d["tool_name"], "arguments": F.to_json(d["arguments"]), "final_content": d["content"]}).drop("__d")
 
 
-def checked_calls(calls: DataFrame, tools: DataFrame) -> DataFrame:
-    """PRD-13, JN-16: the error of each call: unknown_tool, invalid_tool_arguments, or null.
+def checked_calls(calls: DataFrame, tools: dict[str, dict]) -> DataFrame:
+    """PRD-13, JN-16: the error of each call (tool_name, arguments: JSON text): unknown_tool, invalid_tool_arguments, or null.
 
-    ``calls``: call_id, tool_name, arguments (JSON text); ``tools``: name,
-    properties (map of name to type), required (array) and choices (map of name
-    to the texts that are allowed).
+    ``tools``: name to input schema, of the tools that are offered; they are
+    compiled, so a call is one expression and no join.
     """
-    value = F.try_parse_json("arguments")
-    given = F.map_entries(value.cast("map<string,variant>"))
-    at = calls.withColumn("__object", F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))).withColumn("__given", F.when(F.col("__object"), given))
-    at = at.join(F.broadcast(tools.select(F.col("name").alias("tool_name"), "properties", "required", "choices")), "tool_name", "left")
-    names = F.transform("__given", lambda e: e["key"])
-
-    def fits(e: Column) -> Column:
-        allowed = F.try_element_at("choices", e["key"])
-        text = F.try_variant_get(e["value"], "$", "string")
-        return matches_type(F.schema_of_variant(e["value"]), F.try_element_at("properties", e["key"])) & (allowed.isNull() | F.coalesce(F.array_contains(allowed, text), F.lit(False)))
-
-    valid = F.col("__object") & (F.size(F.array_except("required", names)) == 0) & F.forall("__given", lambda e: F.coalesce(F.map_contains_key("properties", e["key"]), F.lit(False)) & fits(e))
-    error = F.when(F.col("properties").isNull(), "unknown_tool").when(~F.coalesce(valid, F.lit(False)), "invalid_tool_arguments")
-    return at.withColumn("error_code", error).select(*calls.columns, "error_code")
+    return calls.withColumn("error_code", call_error(F.col("tool_name"), F.try_parse_json("arguments"), tools))
 
 
 def mapped_proposals(responses: DataFrame, slots: DataFrame) -> DataFrame:

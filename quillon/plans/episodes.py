@@ -40,50 +40,85 @@ def workspace_assessment(s, d):
     return told(assessment.assess_workspace(with_events(view(s, d, "workspace_texts_v"), view(s, d, "workspace_events_v"), "item_id", "position")), "item_id", "position")
 
 
-def actions(*steps: tuple[Column, Column | str, dict[str, Column]]) -> Column:
-    """Those of ``steps`` (whether, tool, arguments) that are taken, in order."""
-    made = [F.when(taken, F.struct((F.lit(tool) if isinstance(tool, str) else tool).alias("tool"), assessment.record(**given).alias("arguments"), F.lit(None).cast("map<string,string>").alias("found"))) for taken, tool, given in steps]
-    return F.array_compact(F.array(*made)).cast(rollout.ACTIONS)
+def call(tool: str, **given: Column | str) -> Column:
+    """An agent's decision to call ``tool``, as JSON text."""
+    arguments = cases.spaced({n: F.lit(v) if isinstance(v, str) else v for n, v in given.items()})
+    return F.concat(F.lit(f'{{"type":"tool_call","tool_name":"{tool}","arguments":'), arguments, F.lit("}"))
 
 
-def outcomes(rolled: DataFrame, *keys: str) -> DataFrame:
-    codes = F.transform("state.results", lambda r: F.coalesce(r["error_code"], r["event_type"]))
-    return rolled.select(*keys, F.array_join(codes, ",").alias("results"), "mutation_authorization")
+def final(text: Column | str) -> Column:
+    return F.concat(F.lit('{"type":"final_response","content":'), cases.json_string(F.lit(text) if isinstance(text, str) else text), F.lit("}"))
 
 
-@query
-def contact_rollout(s, d):
+def responded(at: DataFrame, domain: str, keys: list[str], *steps: tuple[Column, Column]) -> DataFrame:
+    """``at`` with ``responses``: those of ``steps`` (whether, JSON text) that an agent gave, read as decisions; a null text is a request that timed out."""
+    given = F.array_compact(F.array(*[F.when(taken, F.struct(F.when(content != "", content).alias("content"), F.when(content == "", "provider_timeout").alias("error_code"))) for taken, content in steps]))
+    # Dealt once, by what responses are gathered by later; by number, since few bytes of cases become many of responses.
+    at = at.repartition(int(at.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    rows = at.select(*keys, F.posexplode(given).alias("idx", "r")).select(*keys, "idx", "r.*")
+    read = rollout.read_decisions(rows, cases.input_schemas(domain)).withColumn("found", F.lit(None).cast("map<string,string>"))
+    fields = F.struct("idx", "kind", "tool_name", "arguments", "call_error", "shown", "final_content", "unsafe", "error_code", "found")
+    return at.join(read.groupBy(*keys).agg(F.array_sort(F.collect_list(fields), lambda a, b: a["idx"] - b["idx"]).alias("responses")), keys)
+
+
+def malformed(v: Column) -> list[tuple[Column, Column]]:
+    """One malformed decision, which is repaired, or two, which end the episode."""
+    return [(v.isin(9, 10), F.lit("not json")), (v == 10, F.lit('{"type":"dance"}'))]
+
+
+def endings(v: Column, again: Column) -> list[tuple[Column, Column]]:
+    """A request that fails, a final response, or calls until the steps are used up."""
+    return [(v == 7, F.lit("")), (v != 11, final("Done")), *[(v == 11, again)] * 8]
+
+
+STEP_LIMIT = 8
+
+
+def outcomes(episodes: DataFrame, *keys: str) -> DataFrame:
+    codes = F.transform(F.filter("events", lambda e: e["event_type"] != "action"), lambda e: F.coalesce(e["error_code"], e["event_type"]))
+    return episodes.select(*keys, F.array_join(codes, ",").alias("results"), F.size(F.filter("events", lambda e: e["event_type"] == "action")).cast("long").alias("actions"), "terminal_reason", "mutation_authorization", "unsafe")
+
+
+def contact_episodes(s, d) -> DataFrame:
+    """Contact cases, each with an agent's responses in twelve ways, and the events that they come to."""
     c, v, yes = F.col, F.col("v"), F.lit(True)
     note = F.when(v == 5, " bad").when(v == 6, "Another note").otherwise("Please follow up by email.")
     far, writes = c("route").isin("directory", "recovery"), c("action") == "record_followup"
-    steps = actions(
-        ((c("route") == "recovery") & (v != 1), "lookup_contact", {"name": cases.stale(c("target"))}), (far & (v != 2), "list_contacts", {"all": F.lit("yes")}), (v != 3, "lookup_contact", {"name": c("target")}),
-        (writes | (v == 7), "record_followup", {"name": c("target"), "note": note}), (v == 4, "record_followup", {"name": c("target"), "note": note}), (yes, "get_followup", {"name": c("target")}), (v == 8, "dance", {"x": F.lit("y")}),
-    )
-    at = view(s, d, "contact_cases_v").drop("mutation_authorization").withColumn("actions", steps)
-    state = rollout.contact_state(c("actions"), F.create_map("target", "expected_email"), F.lit(None).cast("map<string,string>"))
-    return outcomes(rollout.rolled_out(at, state), "contact_key", "position")
+    look, write = call("lookup_contact", name=c("target")), call("record_followup", name=c("target"), note=note)
+    steps = [
+        *malformed(v), (v == 0, F.lit('{"type":"tool_call","tool_name":"lookup_contact","arguments":{"name":5}}')), ((c("route") == "recovery") & (v != 1), call("lookup_contact", name=cases.stale(c("target")))), (far & (v != 2), call("list_contacts")), (v != 3, look),
+        (writes | (v == 4), write), (v == 4, write), (yes, call("get_followup", name=c("target"))), (v == 8, call("dance", x="/etc/passwd")), *endings(v, look),
+    ]
+    at = responded(view(s, d, "contact_cases_v").drop("mutation_authorization"), "contacts", ["contact_key", "position"], *steps)
+    state = rollout.looped(c("responses"), cases.contact_tools(), F.lit(None).cast("map<string,string>"), rollout.contact_step(F.create_map("target", "expected_email")), STEP_LIMIT)
+    return rollout.ended(at, state, STEP_LIMIT)
+
+
+@query
+def contact_rollout(s, d):
+    return outcomes(contact_episodes(s, d), "contact_key", "position")
 
 
 @query
 def message_rollout(s, d):
-    c, v = F.col, F.col("v")
-    found = assessment.message_record()
+    c, v, yes = F.col, F.col("v"), F.lit(True)
     far = c("route").isin("directory", "recovery")
     text, reply = F.when(v == 5, "other").otherwise(c("reminder_text")), F.when(v == 5, "No.").when(v == 6, "Thanks for it").otherwise(F.concat(F.lit("Thanks, I will review the "), c("query"), F.lit(".")))
     remind, draft = c("action") == "create_reminder", c("action") == "create_draft_reply"
-    steps = actions(
-        ((c("route") == "recovery") & (v != 1), "search_messages", {"query": cases.stale(c("query"))}), (far & (v != 2), "list_message_senders", {"all": F.lit("yes")}), (v != 3, "search_messages", {"query": c("query")}),
-        (remind, "create_reminder", {"message_id": c("message_id"), "reminder_text": text, "remind_at": c("remind_at")}), (draft, "create_draft_reply", {"message_id": c("message_id"), "content": reply}),
-        (v == 4, "create_reminder", {"message_id": F.lit("none"), "reminder_text": text, "remind_at": c("remind_at")}), (remind, "get_reminder", {"message_id": c("message_id")}), (draft, "get_draft_reply", {"message_id": c("message_id")}),
-    )
+    look, other = call("search_messages", query=c("query")), call("create_reminder", message_id="none", reminder_text=text, remind_at=c("remind_at"))
+    steps = [
+        *malformed(v), (v == 0, F.lit('{"type":"tool_call","tool_name":"search_messages","arguments":{"query":["a"]}}')), ((c("route") == "recovery") & (v != 1), call("search_messages", query=cases.stale(c("query")))), (far & (v != 2), call("list_message_senders")), (v != 3, look),
+        (remind, call("create_reminder", message_id=c("message_id"), reminder_text=text, remind_at=c("remind_at"))), (draft, call("create_draft_reply", message_id=c("message_id"), content=reply)), ((v == 4) & remind, other),
+        (yes, call("get_reminder", message_id=c("message_id"))), (draft, call("get_draft_reply", message_id=c("message_id"))), (v == 8, call("dance", x="/etc/passwd")), *endings(v, look),
+    ]
     # Which message a query finds is a join over all messages, before the fold.
     notes = view(s, d, "notes_v").select("message_id", "sender", "body")
     hits = rollout.searched(notes.select(F.col("message_id").alias("query_id"), F.col("body").alias("query")), notes).select(F.col("query_id").alias("message_id"), F.col("found").alias("hit"))
-    at = view(s, d, "message_cases_v").drop("mutation_authorization").join(hits, "message_id", "left").withColumn("actions", steps)
-    at = at.withColumn("actions", F.transform("actions", lambda a: a.withField("found", F.when((a["tool"] == "search_messages") & (a["arguments"]["query"] == c("query")), F.when(c("hit").isNotNull(), found)))))
+    at = responded(view(s, d, "message_cases_v").drop("mutation_authorization").join(hits, "message_id", "left"), "mobile_messages", ["message_id", "position"], *steps)
+    at = at.withColumn("responses", F.transform("responses", lambda r: r.withField("found", F.when((r["tool_name"] == "search_messages") & (r["arguments"]["query"] == c("query")), F.when(c("hit").isNotNull(), assessment.message_record())))))
     none = F.lit(None).cast("map<string,string>")
-    return outcomes(rollout.rolled_out(at, rollout.message_state(c("actions"), F.lit('["all"]'), none, none)), "message_id", "position")
+    state = rollout.looped(c("responses"), cases.message_tools(), none, rollout.message_step(F.lit('["all"]'), none, none), STEP_LIMIT)
+    return outcomes(rollout.ended(at, state, STEP_LIMIT), "message_id", "position")
 
 
 @query
@@ -91,26 +126,33 @@ def workspace_rollout(s, d):
     c, v = F.col, F.col("v")
     adds, comments = c("action") == "create_workspace_task", c("action") == "add_workspace_comment"
     title, text = F.when(v == 5, "Short").otherwise(F.concat(F.lit("Prepare "), c("summary"), F.lit(" retrospective"))), F.when(v == 5, "Done it").when(v == 6, "Status: something else").otherwise(F.concat(F.lit("Status: "), c("query"), F.lit(" is ready for review.")))
-    task = {"project_id": c("item_id"), "title": title, "priority": F.when(v == 6, "low").otherwise("high"), "due_label": F.lit("next_week")}
-    steps = actions(
-        ((c("route") == "recovery") & (v != 1), "search_workspace_items", {"query": cases.stale(c("query")), "kind": c("kind")}), (c("route") == "directory", "list_workspace_projects", {"all": F.lit("yes")}),
-        (v != 3, "search_workspace_items", {"query": c("query"), "kind": c("kind")}), (adds, "create_workspace_task", task), (comments, "add_workspace_comment", {"task_id": c("item_id"), "comment": text}), (adds & (v == 4), "create_workspace_task", task),
-        (adds, "get_workspace_task", {"task_id": assessment.created_id("task", c("item_id"), title)}), (comments, "get_workspace_comment", {"comment_id": F.lit("none")}),
-    )
-    at = view(s, d, "workspace_cases_v").where("route <> 'missing'").withColumn("actions", steps)
-    return outcomes(rollout.rolled_out(at, rollout.workspace_state(c("actions"), F.lit("[]"))), "item_id", "position")
+    add, look = call("create_workspace_task", project_id=c("item_id"), title=title, priority=F.when(v == 6, "low").otherwise("high"), due_label="next_week"), call("search_workspace_items", query=c("query"), kind=c("kind"))
+    steps = [
+        *malformed(v), (v == 0, call("search_workspace_items", query=c("query"))), ((c("route") == "recovery") & (v != 1), call("search_workspace_items", query=cases.stale(c("query")), kind=c("kind"))), (c("route") == "directory", call("list_workspace_projects")),
+        (v != 3, look), (adds, add), (comments, call("add_workspace_comment", task_id=c("item_id"), comment=text)), (adds & (v == 4), add), (adds, call("get_workspace_task", task_id=assessment.created_id("task", c("item_id"), title))),
+        (comments, call("get_workspace_comment", comment_id="none")), (v == 8, call("dance", x="/etc/passwd")), *endings(v, look),
+    ]
+    at = responded(view(s, d, "workspace_cases_v").where("route <> 'missing'"), "workspace_tasks", ["item_id", "position"], *steps)
+    state = rollout.looped(c("responses"), cases.workspace_tools(), F.lit(None).cast("map<string,string>"), rollout.workspace_step(F.lit("[]")), STEP_LIMIT)
+    return outcomes(rollout.ended(at, state, STEP_LIMIT), "item_id", "position")
 
 
 @query
 def rollout_replay(s, d):
-    at = view(s, d, "contact_cases_v").drop("mutation_authorization")
-    steps = lambda name: actions((F.lit(True), "lookup_contact", {"name": name}), (F.col("action") == "record_followup", "record_followup", {"name": F.col("target"), "note": F.lit("Please follow up by email.")}))
-    none = F.lit(None).cast("map<string,string>")
-    fold = lambda name: rollout.contact_state(steps(name), F.create_map("target", "expected_email"), none)
-    first = rollout.rolled_out(at, fold(F.col("target"))).select("contact_key", "position", F.col("state.results").alias("saved_results"), F.col("mutation_authorization").alias("saved_authorization"))
-    first = first.withColumn("saved_results", F.when(F.col("contact_key") % 9 != 0, F.col("saved_results")))
-    again = rollout.rolled_out(at, fold(F.when(F.col("v") == 3, "Nobody").otherwise(F.col("target"))))
-    return rollout.replayed(again.join(first, ["contact_key", "position"])).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    """Contact episodes run again from their saved events: as they were, with another observation, with an action whose result is lost or that has no tool, with another assessment, with a case that can't be restored, without a case."""
+    v, events = F.col("v"), F.col("events")
+    at = contact_episodes(s, d).where("v in (1, 2, 6, 8, 9, 10, 11)")
+    k = F.col("contact_key") % 6
+    first = lambda change: F.transform(events, lambda e, i: F.when((e["event_type"] == "observation") & (e["tool_name"] == "lookup_contact"), change(e)).otherwise(e))
+    saved = (
+        F.when(k == 1, first(lambda e: e.withField("observation", F.create_map(F.lit("name"), F.lit("x"))))).when(k == 2, F.slice(events, 1, F.array_position(F.transform(events, lambda e: e["event_type"]), "action").cast("int")))
+        .when(k == 3, F.transform(events, lambda e: F.when(e["event_type"] == "action", e.withField("tool_name", F.lit(None).cast("string"))).otherwise(e))).otherwise(events)
+    )
+    at = at.withColumns({"saved_authorization": F.col("mutation_authorization"), "saved": saved})
+    state = rollout.replayed_events(F.col("saved"), cases.contact_tools(), F.lit(None).cast("map<string,string>"), rollout.contact_step(F.create_map("target", "expected_email")), cases.input_schemas("contacts"))
+    judged = F.coalesce(F.col("terminal_reason"), F.lit("none"))
+    again = rollout.replayed(at, state, F.col("contact_key") % 9 != 0, F.when(F.col("contact_key") % 7 != 0, True), (judged, F.when(v == 6, "other").otherwise(judged)))
+    return again.select("contact_key", "position", "status", "observation_drift", "assessment_drift")
 
 
 # --- cases
@@ -229,7 +271,8 @@ def workspace_cases(s, d):
 
 @query
 def tool_definitions(s, d):
-    return cases.tools(s).select("name", F.array_join("arguments", ",").alias("arguments"), F.array_join("results", ",").alias("results"))
+    """The public tools of every contact task, with their schemas."""
+    return view(s, d, "contact_cases_v").select("contact_key", "position", cases.public_tools(cases.contact_tools()).alias("tools"))
 
 
 # --- model output
@@ -252,9 +295,8 @@ def agent_decisions(s, d):
 
 @query
 def checked_calls(s, d):
-    tools = s.createDataFrame([("lookup_contact", {"name": "string"}, ["name"], {})], "name string, properties map<string,string>, required array<string>, choices map<string,array<string>>")
     calls = decisions.agent_decisions(call_texts(s, d)).where("decision = 'tool_call'").select("contact_key", "position", "tool_name", "arguments")
-    return decisions.checked_calls(calls, tools).select("contact_key", "position", "error_code")
+    return decisions.checked_calls(calls, cases.input_schemas("contacts")).select("contact_key", "position", "error_code")
 
 
 @query

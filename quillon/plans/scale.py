@@ -2,27 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import admission, assessment, cases, reports, rollout
-from .episodes import actions
-
-
-def observed(taken: Column, results: Column, response: Column) -> Column:
-    """The events of an episode: each action and its result, then the final response."""
-    none = F.lit(None).cast("map<string,string>")
-
-    def event(kind: Column, tool: Column, arguments: Column = none, observation: Column = none, change: Column = none, content: Column | None = None, error: Column | None = None) -> Column:
-        text = lambda x: F.lit(None).cast("string") if x is None else x
-        return F.struct(kind.alias("event_type"), tool.alias("tool_name"), arguments.alias("arguments"), observation.alias("observation"), change.alias("change"), text(content).alias("content"), text(error).alias("error_code"))
-
-    def both(a: Column, r: Column) -> Column:
-        kind = r["event_type"]
-        return F.array(event(F.lit("action"), a["tool"], a["arguments"]), event(kind, a["tool"], observation=F.when(kind == "observation", r["payload"]), change=F.when(kind == "state_change", r["payload"]), error=r["error_code"]))
-
-    last = F.array(event(F.lit("final_response"), F.lit(None).cast("string"), content=response))
-    return F.concat(F.flatten(F.zip_with(taken, results, both)), last)
+from .episodes import call, final, responded
 
 
 def table(df: DataFrame, folder: str, name: str) -> DataFrame:
@@ -38,20 +22,19 @@ def attempts(spark: SparkSession, folder: str, n: int) -> DataFrame:
     made = made.withColumn("sequence", F.regexp_extract("target", "([0-9]+)", 1).cast("long") * 8 + F.col("position") + 1).where(F.col("sequence") <= n)
     c, k = F.col, F.col("sequence")
     far, writes, note = c("route").isin("directory", "recovery"), c("action") == "record_followup", F.coalesce("exact_note", F.lit("Call back on Monday"))
-    steps = actions(
-        (c("route") == "recovery", "lookup_contact", {"name": cases.stale(c("target"))}), (far & (k % 9 != 0), "list_contacts", {"all": F.lit("yes")}), (k % 11 != 0, "lookup_contact", {"name": c("target")}),
-        (writes, "record_followup", {"name": c("target"), "note": note}), (c("route") == "verify", "get_followup", {"name": c("target")}),
-    )
-    rolled = rollout.rolled_out(made.withColumn("actions", steps), rollout.contact_state(c("actions"), F.create_map("target", "expected_email"), F.lit(None).cast("map<string,string>")))
-    answer = F.when(k % 13 == 0, "I am done.").otherwise(F.concat_ws(" ", "target", "expected_email", note))
-    rolled = table(rolled, folder, "rollouts")
-    traced = rolled.withColumn("events", observed(c("actions"), c("state.results"), answer)).withColumn("terminal_reason", F.when(k % 17 == 0, "step_budget_exhausted"))
-    traced = table(traced.drop("actions", "state"), folder, "traces")
+    answer = final(F.when(k % 13 == 0, "I am done.").otherwise(F.concat_ws(" ", "target", "expected_email", note)))
+    steps = [
+        (c("route") == "recovery", call("lookup_contact", name=cases.stale(c("target")))), (far & (k % 9 != 0), call("list_contacts")), (k % 11 != 0, call("lookup_contact", name=c("target"))),
+        (writes, call("record_followup", name=c("target"), note=note)), (c("route") == "verify", call("get_followup", name=c("target"))), (k % 17 != 0, answer),
+    ]
+    asked = table(responded(made, "contacts", ["sequence"], *steps), folder, "responses")
+    state = rollout.looped(c("responses"), cases.contact_tools(), F.lit(None).cast("map<string,string>"), rollout.contact_step(F.create_map("target", "expected_email")))
+    traced = table(rollout.assessable(rollout.ended(asked, state).drop("responses")), folder, "traces")
     judged = assessment.or_incomplete(assessment.assess_contacts(traced))
     a = F.col("assessment")
     ready = judged.select(
         "sequence", F.lit("contacts").alias("domain_id"), "terminal_reason", "mutation_authorization", a["passed"].alias("passed"), a["reason_codes"].alias("reason_codes"), a["coverage_tags"].alias("coverage_tags"), a["structural_key"].alias("structural_key"),
-        F.exists(a["checks"], lambda x: (x["name"] == "final_response_grounded") & x["passed"]).alias("grounded"), F.lit(False).alias("unsafe"), cases.contact_key().alias("semantic_key"),
+        F.exists(a["checks"], lambda x: (x["name"] == "final_response_grounded") & x["passed"]).alias("grounded"), "unsafe", cases.contact_key().alias("semantic_key"),
     )
     return table(admission.semantic_dedup(admission.gate_admission(table(ready, folder, "assessments"))), folder, "outcomes")
 

@@ -89,12 +89,6 @@ def test_contact_tools(spark):
     assert rolled(spark, [look], action="lookup_email") == (["observation"], "not_applicable")
 
 
-def test_replay_statuses(spark):
-    ok, other = ("observation", {"a": "1"}, None), ("observation", {"a": "2"}, None)
-    frame = spark.createDataFrame([(1, ([ok],), [ok], "authorized"), (2, ([ok],), [other], "authorized"), (3, ([ok],), None, None), (4, ([ok],), [ok, ok], "authorized"), (5, ([ok],), [ok], "rejected")], f"id int, state struct<results:array<{rollout.RESULT}>>, saved_results array<{rollout.RESULT}>, saved_authorization string").withColumn("mutation_authorization", F.lit("authorized"))
-    assert {r["id"]: r["status"] for r in rollout.replayed(frame).collect()} == {1: "aligned", 2: "observation_drift", 3: "not_executed", 4: "observation_drift", 5: "observation_drift"}
-
-
 def test_messages_are_found_once(spark):
     notes = spark.createDataFrame([("a", "s", "The Budget of May is here"), ("b", "s", "the budget of june"), ("c", "s", "nothing at all")], "message_id string, sender string, body string")
     asked = spark.createDataFrame([("1", "budget of may"), ("2", "the budget of"), ("3", "not in any text")], "query_id string, query string")
