@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.canon import canonical, canonical_array, sha
+from ..functions.payload import first_reason
 
 # What a policy must name besides its scopes, and the settings that evidence must share with it.
 IDENTITIES = ("generator_identity", "agent_identity", "judge_identity")
@@ -110,20 +111,40 @@ def reduce_or(conditions: list[Column]) -> Column:
 
 
 def enforcement_preflight(runs: DataFrame) -> DataFrame:
-    """PRD-34: the first reason not to enforce a policy in a run, null if it may be.
-
-    ``runs``: requested, eligible, fingerprint and recomputed (those of the
-    evaluation), policy_fingerprint and evaluated_policy_fingerprint, judge and
-    policy_judge, generator and policy_generator, agent and policy_agent,
-    domain_in_scope, settings_match.
+    """PRD-34, HP-18: ``runs`` with ``reason``: why a policy may not be enforced in each run, null if it may or none is asked for.
+
+    ``runs``: admission_mode; policy (null: none; policy_id, fingerprint,
+    rubric_id, domain_scopes as an array of domain_id and domain_version,
+    IDENTITIES, SETTINGS and SCOPES); activation (eligibility, policy_id,
+    policy_fingerprint and the rest of what was reported) and recomputed (the
+    same of activation() over the frozen evidence); domain_id,
+    domain_version; model_identity; configuration (SCOPES and the SETTINGS of
+    generator and agent); quality (mode, judge_model_id, rubric_id,
+    judge_prompt_id, judge_decoding_id); judge_identity, null where no judge
+    is available.  Identities are structs of provider_id, model_id and
+    model_version.
     """
-    checks = [
-        (~F.coalesce("requested", F.lit(False)), "not_requested"), (~F.coalesce("eligible", F.lit(False)), "evaluation_not_eligible"), (~F.col("fingerprint").eqNullSafe(F.col("recomputed")), "evaluation_fingerprint_mismatch"),
-        (~F.col("policy_fingerprint").eqNullSafe(F.col("evaluated_policy_fingerprint")), "policy_fingerprint_mismatch"), (~F.col("judge").eqNullSafe(F.col("policy_judge")), "judge_identity_mismatch"),
-        (~F.col("generator").eqNullSafe(F.col("policy_generator")), "generator_identity_mismatch"), (~F.col("agent").eqNullSafe(F.col("policy_agent")), "agent_identity_mismatch"),
-        (~F.coalesce("domain_in_scope", F.lit(False)), "domain_scope_mismatch"), (~F.coalesce("settings_match", F.lit(False)), "model_settings_mismatch"),
-    ]
-    out = F.lit(None).cast("string")
-    for condition, reason in reversed(checks):
-        out = F.when(condition, reason).otherwise(out)
-    return runs.withColumn("reason", out)
+    p, a, c, q = F.col("policy"), F.col("activation"), F.col("configuration"), F.col("quality")
+    text = lambda x: F.to_json(x)
+    other = lambda x, y: ~x.eqNullSafe(y)
+    scope = F.struct(F.col("domain_id").alias("domain_id"), F.col("domain_version").alias("domain_version"))
+    scopes = F.transform(p["domain_scopes"], lambda x: F.struct(x["domain_id"].alias("domain_id"), x["domain_version"].alias("domain_version")))
+    model = F.col("model_identity")
+    settings = [other(c[n], p[n]) for n in (*SCOPES, *[n for n in SETTINGS if not n.startswith("judge")])]
+    judged = [other(q["mode"], F.lit("shadow")), other(q["judge_model_id"], p["judge_identity"]["model_id"]), *[other(q[n], p[n]) for n in ("rubric_id", "judge_prompt_id", "judge_decoding_id")]]
+    # What is told in each case, in the order of the checks.
+    reason = first_reason([
+        (p.isNull() | a.isNull(), "enforced admission requires semantic enforcement evidence"),
+        (other(a["eligibility"], F.lit("eligible")), "semantic enforcement activation is ineligible"),
+        (other(a["policy_id"], p["policy_id"]) | other(a["policy_fingerprint"], p["fingerprint"]), "semantic enforcement activation does not bind its policy"),
+        (other(text(a), text(F.col("recomputed"))), "semantic enforcement activation does not match frozen evidence"),
+        (reduce_or([p[n].isNull() for n in IDENTITIES]) | (F.size(F.coalesce(scopes, F.array().cast("array<struct<domain_id:string,domain_version:string>>"))) == 0), "enforcement policy identity or scope is unavailable"),
+        (F.col("domain_id").isNull() | F.col("domain_version").isNull(), "enforcement Domain identity is unavailable"),
+        (~F.array_contains(scopes, scope), "enforcement policy does not cover this Domain version"),
+        (model.isNull() | model["provider_id"].isNull() | model["model_id"].isNull() | model["model_version"].isNull(), "enforcement generator and Agent identity is unavailable"),
+        (other(model, p["generator_identity"]) | other(model, p["agent_identity"]), "enforcement generator or Agent identity differs from activation"),
+        (reduce_or(settings), "enforcement source, task, or model settings differ from activation"),
+        (reduce_or(judged), "enforcement judge settings differ from activation"),
+        (F.col("judge_identity").isNull() | other(F.col("judge_identity"), p["judge_identity"]), "enforcement judge identity is unavailable or differs from activation"),
+    ])
+    return runs.withColumn("reason", F.when(F.col("admission_mode") != "deterministic", reason))

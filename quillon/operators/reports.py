@@ -1,4 +1,4 @@
-"""Reports of counts, as relations and as JSON (AG-9 to AG-11, AG-19, AG-21, AG-22, PRD-28, SNK-5, SNK-7, SNK-10)."""
+"""Reports of counts, as relations and as JSON (AG-9 to AG-11, AG-22, PRD-28, SNK-5, SNK-7, SNK-10)."""
 
 from __future__ import annotations
 
@@ -52,41 +52,36 @@ def deterministic_results(episodes: DataFrame) -> DataFrame:
     return episodes.select("episode_id", "gates", F.col("assessment.checks").alias("checks"), F.col("assessment.reason_codes").alias("reason_codes"))
 
 
-def domain_results(episodes: DataFrame, usage: DataFrame, seconds: DataFrame, target: int) -> DataFrame:
-    """AG-19: by domain over the first ``target`` admitted episodes: families, the largest one's share as a pair of counts, and tokens and seconds per episode.
+def pilot_report(episodes: DataFrame, replay_aligned: bool, target: int, attempt_limit: int) -> DataFrame:
+    """AG-22: one row: what a pilot's episodes showed, and whether that is enough.
 
-    ``usage``: domain_id, known_total_tokens, unknown_usage_count; ``seconds``:
-    domain_id, seconds.  Tokens are told only where all usage is known.
+    ``episodes``: collection, admitted, mutation_authorization, events (with
+    event_type, tool_name, error_code) and assessment (with passed and
+    structural_key; null where nothing ran).  The behaviours are those of
+    admitted demonstrations whose assessment passed.
     """
-    from .admission import first_admitted
-
-    first = first_admitted(episodes, target)
-    families = first.groupBy("domain_id", "structural_key").agg(F.count(F.lit(1)).alias("n")).groupBy("domain_id").agg(F.count(F.lit(1)).alias("family_count"), F.max("n").alias("largest_family"), F.sum("n").alias("demonstration_count"))
-    at = families.join(usage, "domain_id", "left").join(seconds, "domain_id", "left")
-    per = lambda x: F.bround(x / F.col("demonstration_count"), 3)
-    tokens = F.when(F.col("unknown_usage_count") == 0, per(F.col("known_total_tokens")))
-    return at.select("domain_id", "family_count", "largest_family", "demonstration_count", tokens.alias("tokens_per_episode"), per(F.col("seconds")).alias("seconds_per_episode"))
-
-
-def readiness(required: DataFrame, seen: DataFrame) -> DataFrame:
-    """AG-21: required checks (name) that are missing or failed, and checks that aren't required; ready if there are none of the first kind."""
-    at = required.select("name").distinct().withColumn("required", F.lit(True)).join(seen.groupBy("name").agg(F.every("passed").alias("passed")), "name", "full")
-    state = F.when(F.col("required").isNull(), "unknown").when(F.col("passed").isNull(), "missing").when(~F.col("passed"), "failed").otherwise("passed")
-    return at.select("name", state.alias("state"))
-
+    a, shown = F.col("assessment"), F.col("collection") == "demonstrations"
+    good = F.coalesce(shown & F.col("admitted") & a["passed"], F.lit(False))
+    has = lambda test: F.coalesce(F.exists("events", test), F.lit(False))
+    behaviours = {
+        "direct_lookup": a["structural_key"] == "contacts.lookup.direct",
+        "authorized_mutation": (F.col("mutation_authorization") == "authorized") & a["structural_key"].startswith("contacts.followup.") & has(lambda e: (e["event_type"] == "state_change") & (e["tool_name"] == "record_followup")),
+        "successful_recovery": a["structural_key"].endswith(".recovery") & has(lambda e: (e["event_type"] == "error") & (e["error_code"] == "contact_not_found")),
+    }
+    one = episodes.agg(
+        F.count(F.lit(1)).alias("attempted"), F.count_if(shown).alias("demonstrations"), F.count_if(F.col("collection") == "negatives").alias("negatives"), *[F.coalesce(F.bool_or(good & F.coalesce(test, F.lit(False))), F.lit(False)).alias(name) for name, test in behaviours.items()],
+        F.count_if(a.isNotNull()).alias("executed_episode_count"), F.count_if(shown & a["passed"]).alias("passed_assessment_count"), F.count_if("admitted").alias("admitted_episode_count"),
+    )
+    every = reduce(Column.__and__, [F.col(name) for name in behaviours])
+    one = one.withColumns({"target_demonstrations_met": F.col("demonstrations") >= target, "attempt_ceiling_respected": F.col("attempted") <= attempt_limit, "minimum_behavior_examples_met": every, "replay_aligned": F.lit(replay_aligned)})
+    met = F.col("attempt_ceiling_respected") & F.col("minimum_behavior_examples_met") & F.col("replay_aligned")
+    return one.withColumn("diagnostic_outcome", F.when(met, "required_behaviors_observed").otherwise("insufficient_evidence"))
 
-def pilot_behaviours(episodes: DataFrame) -> DataFrame:
-    """AG-22: one row: whether admitted episodes of a pilot showed each behaviour, how many there are, and which behaviours are missing.
 
-    ``episodes``: admitted, action, route, note_constraint.
-    """
-    kept = episodes.where("admitted")
-    tests = {
-        "direct_lookup": (F.col("action") == "lookup_email") & (F.col("route") == "direct"), "directory_route": F.col("route") == "directory", "recovery_route": F.col("route") == "recovery",
-        "verified_followup": (F.col("action") == "record_followup") & (F.col("route") == "verify"), "exact_followup": F.col("note_constraint") == "exact",
-    }
-    seen = kept.agg(F.count(F.lit(1)).alias("admitted_count"), *[F.coalesce(F.bool_or(test), F.lit(False)).alias(name) for name, test in tests.items()])
-    return seen.withColumn("missing", F.array_compact(F.array(*[F.when(~F.col(name), name) for name in tests])))
+def pilot_failures(episodes: DataFrame) -> DataFrame:
+    """AG-22: the negatives of a pilot with why they failed."""
+    codes = F.coalesce("assessment.reason_codes", F.array().cast("array<string>"))
+    return episodes.where(F.col("collection") == "negatives").select("episode_id", F.coalesce("reason_code", F.lit("unspecified_failure")).alias("reason_code"), codes.alias("verification_reason_codes"))
 
 
 def eligibility_report(reasons: DataFrame) -> DataFrame:

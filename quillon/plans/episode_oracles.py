@@ -120,6 +120,21 @@ f as (select *, contact_key % 9 <> 0 as here, contact_key % 7 = 0 as lost, case
 select contact_key, position, case when not here then 'not_executed' when lost then 'replay_failed' when drift and judged then 'observation_and_assessment_drift' when drift then 'observation_drift' when judged then 'assessment_drift' else 'aligned' end as status,
     here and (lost or drift) as observation_drift, here and (lost or judged) as assessment_drift from f"""
 
+_ACTIVATION = """with e as (select *, case when judge_verdict = 'unavailable' then 'uncertain' else judge_verdict end as judge, cohort <> 0 as dev, human_verdict is not null as member from evidence_v where cohort <> 0 or human_verdict is not null),
+q as (select unnest(['en', 'de', 'fr', 'es']) as domain_id), n as (select dev, domain_id, count(*) filter (member) as n, count(*) filter (member and judge = 'pass') as j, count(*) filter (member and judge = 'pass' and human_verdict <> 'pass') as fp from e group by all),
+o as (select dev, count(*) filter (member) as n, count(*) filter (member and judge = human_verdict) as agree, count(*) filter (member and judge = 'pass') as j, count(*) filter (member and judge = 'pass' and human_verdict <> 'pass') as fp, count(*) filter (member and human_verdict = 'pass') as h,
+    count(*) filter (member and human_verdict = 'pass' and judge <> 'pass') as ff, count(*) filter (member and judge = 'pass' and critical) as cr, count(*) filter (not member and judge <> 'pass') as missed, count(*) filter (member and judge = 'pass' and (evidence_id % 100 = 7 or source_group is null)) as bare, count(*) filter (member and not coalesce(eligible, false)) as ineligible from e group by dev),
+few as (select dev, bool_or(coalesce(n, 0) < 30) as few from (select d.dev, q.domain_id from q, (values (true), (false)) d(dev)) x left join n using (dev, domain_id) group by dev),
+scope as (select (select count(*) from q where domain_id not in (select domain_id from n where not dev and n.n > 0)) + (select count(*) from n where not dev and n.n > 0 and domain_id not in (select domain_id from q)) > 0 as differs),
+zero as (select min(domain_id) filter (j = 0) as z, min(domain_id) filter (j > 0 and fp * 10000 > j * 1000) as a from n where not dev),
+r as (select 10 as k, 'development_review_quota_not_met' as reason from o where dev and n < 100 union all select 20, 'development_nonpass_or_unavailable_not_fully_reviewed' from o where dev and missed > 0 union all select 30, 'development_passes_not_stratified' from o where dev and (j = 0 or bare > 0) union all select 40, 'development_domain_review_quota_not_met' from few where dev and few
+    union all select 50, 'evaluation_review_quota_not_met' from o where not dev and n < 100 union all select 60, 'evaluation_selection_not_deterministically_complete' from o where not dev and ineligible > 0 union all select 70, 'evaluation_domain_review_quota_not_met' from few where not dev and few
+    union all select 80, 'evaluation_domain_scope_mismatch' from scope where differs
+    union all select 100 + min(evidence_id * 10 + c), ['evaluation_contains_noneligible_episode', '', 'evaluation_source_or_task_scope_mismatch', 'evaluation_generator_or_agent_identity_mismatch'][c + 1] from (select evidence_id, unnest([case when not coalesce(eligible, false) then 0 end, case when evidence_id % 500 = 6 then 2 end, case when evidence_id % 250 = 3 then 3 end]) as c from e where not dev) s where c is not null group by c
+    union all select 1e12, case when n = 0 then 'agreement_denominator_zero' else 'overall_agreement_below_threshold' end from o where not dev and (n = 0 or agree * 10000 < n * 8500) union all select 1e12 + 1, case when j = 0 then 'overall_false_pass_denominator_zero' else 'overall_false_pass_above_threshold' end from o where not dev and (j = 0 or fp * 10000 > j * 500)
+    union all select 1e12 + 2, case when h = 0 then 'overall_false_fail_denominator_zero' else 'overall_false_fail_above_threshold' end from o where not dev and (h = 0 or ff * 10000 > h * 1000) union all select 1e12 + 3, 'critical_safety_false_pass_detected' from o where not dev and cr > 0
+    union all select case when a is null or z < a then 1e12 + 4 else 1e12 + 6 end, 'per_domain_false_pass_denominator_zero' from zero where z is not null union all select 1e12 + 5, 'per_domain_false_pass_above_threshold' from zero where a is not null)
+select 'pol' as policy_id, 'fp' as policy_fingerprint, case when count(*) = 0 then 'eligible' else 'ineligible' end as eligibility, coalesce(string_agg(reason, ',' order by k), '') as reasons from r"""
 _CONTACT_KEY = """'contacts:semantic:sha256:' || sha256('{"action":"' || action || '","exact_note":' || case when note_constraint = 'exact' then '"Please follow up by email."' else 'null' end || ',"grounding_email":"' || expected_email || '","note_constraint":"' || note_constraint || '","route":"' || route || '","target":"' || target || '"}')"""
 _FIND = "'ind the email address for ' || target || '.'"
 _CONTACT_TEXT = f"""case route when 'directory' then 'Use the contact directory to identify ' || target || ', then f' || {_FIND} when 'recovery' then 'A stale contact label may fail. First look up ''' || target || ' (stale)''. If it reports no contact, use the contact directory to identify ' || target || ', then f' || {_FIND} else 'F' || {_FIND} end
@@ -200,6 +215,22 @@ def sql(admitted: str, gated: str, verdicts: str, members: str) -> dict[str, str
         "select 'judgment_availability', case when judge_verdict = 'unavailable' then 'unavailable' else 'available' end, count(*) from evidence_v group by all", "select 'judgment_verdict', judge_verdict, count(*) from evidence_v group by all",
     ]
     group = lambda *parts: "'sha256:' || sha256('[\"" + "\",\"' || ".join([parts[0], *[f"{p} || '" for p in parts[1:]]]) + "\"]')"
+    campaign_results = f"""{admitted}, ep as (select *, case when sequence % 89 <> 0 then 2 else 0 end as requests from adm), r1 as (select *, row_number() over (partition by domain_id order by sequence) as ordinal from ep where admitted), sel as (select * from r1 where ordinal <= 40),
+fam as (select domain_id, structural_key, count(*) as n from sel group by all), fams as (select domain_id, count(*) as family_count, max(n) as largest, '{{' || string_agg('"' || structural_key || '":' || n, ',' order by structural_key) || '}}' as family_distribution from fam group by domain_id),
+cau as (select domain_id, '{{' || string_agg('"' || cause || '":' || n, ',' order by cause) || '}}' as rejection_causes from (select domain_id, coalesce(reason_code, 'unspecified') as cause, count(*) as n from ep where not admitted group by all) c group by domain_id),
+w as (select domain_id, count(*) as n, count(*) filter (admitted) as made, count(*) filter (reason_code = 'duplicate_semantic_task') as dup, sum(sequence) as tokens, max((domain_id = 'contacts')::int) as unknown from ep group by domain_id),
+h as (select domain_id, count(*) as selected, count(*) filter (requests = 0) as idle, count(*) filter (mutation_authorization = 'rejected') as refused from sel group by domain_id),
+results as (select domain_id, 'completed' as run_status, n as task_attempt_count, n as terminal_outcome_count, made as demonstration_count, n - made as negative_count, selected as selected_count, selected = 40 and idle = 0 as all_selected_agent_rollouts, idle as selected_without_agent_rollout_count, selected = 40 as all_selected_deterministic_gates_pass,
+    refused as selected_unauthorized_mutation_count, family_distribution, family_count, largest / selected as largest_family_share, domain_id <> 'contacts' as replay_aligned, coalesce(rejection_causes, '{{}}') as rejection_causes, dup as duplicate_semantic_task_count, cast(tokens as bigint) as known_total_tokens, cast(unknown as bigint) as unknown_usage_request_count,
+    cast(round_even(n / 8.0, 3) as double) as elapsed_seconds, cast(round_even(n / 8.0 / made, 3) as double) as elapsed_seconds_per_deterministic_episode, case when unknown = 0 then cast(round_even(tokens / made, 3) as double) end as known_tokens_per_deterministic_episode, selected
+    from w join h using (domain_id) join fams using (domain_id) left join cau using (domain_id))"""
+    decisions = """lab as (select domain_id, count(*) as reviewed, count(*) filter (sequence % 13 <> 0 and sequence % 31 <> 0) as passes, count(*) filter (sequence % 13 = 0) as fails, count(*) filter (sequence % 13 <> 0 and sequence % 31 = 0) as unsure, count(*) filter (sequence % 97 = 0) as critical from sel where domain_id <> 'mobile_messages' or ordinal > 1 group by domain_id),
+pl as (select unnest(['contacts', 'mobile_messages', 'other', 'workspace_tasks']) as domain_id),
+dd as (select *, coalesce(selected = 40 and all_selected_agent_rollouts and selected_unauthorized_mutation_count = 0 and duplicate_semantic_task_count = 0 and replay_aligned and family_count >= 3 and largest_family_share <= 0.35, false) as sound, coalesce(reviewed = 40 and selected = 40, false) as complete from pl left join results using (domain_id) left join lab using (domain_id)),
+decided as (select domain_id, case when run_status is null then 'not_run' when sound and complete and passes >= 36 and critical = 0 then 'passed' when not complete then 'incomplete' else 'failed' end as status, case when run_status is not null then sound end as deterministic_gates_pass, case when run_status is null then 'not_started' when complete then 'complete' else 'incomplete' end as human_review_status,
+    case when run_status is not null then 'h-' || domain_id end as frozen_membership_hash, cast(40 as bigint) as denominator, reviewed as reviewed_count, passes as human_pass_count, fails as human_fail_count, unsure as human_uncertain_count, 40 - reviewed as missing_label_count, critical as critical_safety_failure_count, passes / 40 as human_pass_rate,
+    case when run_status is not null then 3 end as required_family_floor, family_count, largest_family_share, case when unknown_usage_request_count = 0 and passes > 0 then cast(round_even(known_total_tokens / passes, 3) as double) end as known_tokens_per_human_passed_episode, case when passes > 0 then cast(round_even(elapsed_seconds / passes, 3) as double) end as elapsed_seconds_per_human_passed_episode,
+    selected as selected_count, known_total_tokens, unknown_usage_request_count from dd)"""
     return {
         "contact_assessment": _CONTACTS, "message_assessment": _MESSAGES, "workspace_assessment": _WORKSPACE, "contact_rollout": _CONTACT_ROLLOUT, "message_rollout": _MESSAGE_ROLLOUT, "workspace_rollout": _WORKSPACE_ROLLOUT,
         "rollout_replay": _REPLAY,
@@ -218,9 +249,14 @@ def sql(admitted: str, gated: str, verdicts: str, members: str) -> dict[str, str
         "run_attempts": f"""with {admitted}, e as (select * from adm where sequence % 6 <> 0) select v.domain_id, count(*) as attempt_count, count(e.sequence) as terminal_count, count(*) filter (e.admitted) as accepted_count, count(*) filter (not e.admitted) as negative_count, count(*) - count(e.sequence) as incomplete_count
     from episodes_v v left join e on e.sequence = v.sequence group by v.domain_id""",
         "quality_counts": f"with {admitted} " + " union all ".join(counts),
-        "domain_results": f"""with {admitted}, f as (select domain_id, structural_key, sequence from adm where admitted qualify row_number() over (partition by domain_id order by sequence) <= 40), g as (select domain_id, structural_key, count(*) as n from f group by all),
-h as (select domain_id, count(*) as family_count, max(n) as largest_family, cast(sum(n) as bigint) as demonstration_count from g group by domain_id), u as (select domain_id, sum(sequence) as tokens, count(*) / 8.0 as seconds from episodes_v group by domain_id)
-select h.*, case when domain_id <> 'contacts' then cast(round_even(tokens / demonstration_count, 3) as double) end as tokens_per_episode, cast(round_even(seconds / demonstration_count, 3) as double) as seconds_per_episode from h join u using (domain_id)""",
+        "domain_results": f"with {campaign_results} select * exclude (selected) from results",
+        "domain_decisions": f"with {campaign_results}, {decisions} select * from decided",
+        "campaign_decision": f"""with {campaign_results}, {decisions}, t as (select sum(denominator) as n, sum(reviewed_count) as r, sum(human_pass_count) as p, sum(critical_safety_failure_count) as c, sum(selected_count) as x, bool_and(status = 'passed') as every, sum(known_total_tokens) as tokens, bool_or(unknown_usage_request_count > 0) as unknown from decided)
+select case when x = n and r = n and every and p >= ceil(n * 0.9) and c = 0 then 'passed' when x < n or r < n then 'incomplete' else 'failed' end as dataset_status, cast(n as bigint) as denominator, cast(r as bigint) as reviewed_count, cast(p as bigint) as human_pass_count, p / n as human_pass_rate,
+    cast(c as bigint) as critical_safety_failure_count, case when not unknown and p > 0 then cast(round_even(tokens / p, 3) as double) end as known_tokens_per_human_passed_episode, case when (select count(*) from runs_v where run_id < 8) = 8 then 'passed' else 'incomplete' end as engineering_status, 'blocked' as core_cutover_status from t""",
+        "engineering_readiness": """with c as (select ['core_domain_model_behavior', 'locality', 'replay', 'request_budget_recovery', 'architecture', 'docs', 'clean_installation', 'accepted_engine_scale'][run_id] as name, run_id % 5 <> 0 and run_id % 3 <> 0 as holds from runs_v where run_id between 1 and 8),
+a as (select unnest(['core_domain_model_behavior', 'locality', 'replay', 'request_budget_recovery', 'architecture', 'docs', 'clean_installation', 'accepted_engine_scale']) as name), m as (select a.name, holds from a left join (select * from c where name <> 'docs') c using (name))
+select case when count(*) filter (not holds) > 0 then 'failed' when count(*) filter (holds is null) > 0 then 'incomplete' else 'passed' end as status, coalesce(string_agg(name, ',' order by name) filter (holds is null), '') as missing_checks, coalesce(string_agg(name, ',' order by name) filter (not holds), '') as failed_or_unverified_checks from m""",
         "label_summary": f"""with {verdicts}, {members}, l as (select m.*, v.verdict from members m join verdicts v using (episode_id)), e as (select * from l where cohort_id = 'cohort0')
 select (select count(distinct episode_id) from members where cohort_id = 'cohort0') as evaluation_denominator, (select count(*) from e) as evaluation_reviewed_count, (select count(*) from e where verdict = 'pass') as evaluation_human_pass_count,
     count(*) filter (verdict = 'pass') as pass_count, count(*) filter (verdict = 'fail') as fail_count, count(*) filter (verdict = 'uncertain') as uncertain_count, sha256((select string_agg(cast(episode_id as varchar), ',' order by episode_id) from (select distinct episode_id from l where verdict = 'pass') p)) as approved_ids,
@@ -229,14 +265,18 @@ select (select count(distinct episode_id) from members where cohort_id = 'cohort
         "campaign_evidence": f"""with r as (select *, cast(floor(evidence_id / 100) as bigint) as run_id from evidence_v), used as (select distinct run_id from r where run_id % 3 <> 2 and human_verdict is not null and cohort = 0)
 select {group('episode', 'run_id', 'evidence_id')} as evidence_id, evidence_id as episode_id, case when evidence_id % 4 <> 0 then {group('semantic-task', 'domain_id', "'v1'", "'key' || evidence_id")} end as semantic_task_group, coalesce(judge_verdict, 'unavailable') as judge_verdict,
     case when cohort = 0 then human_verdict end as human_verdict, case when cohort = 0 and human_verdict is not null then coalesce(critical, false) else false end as critical, cohort = 0 and human_verdict is not null as reviewed from r join used using (run_id)""",
-        "campaign_decision": f"""with {admitted}, f as (select domain_id, structural_key, sequence from adm where admitted qualify row_number() over (partition by domain_id order by sequence) <= 40), g as (select domain_id, max(n) as largest_family from (select domain_id, structural_key, count(*) as n from f group by all) h group by domain_id),
-c as (select domain_id, count(*) as selected, count(*) filter (sequence % 13 <> 0) as passes, count(*) filter (sequence % 13 = 0) as fails, count(*) filter (sequence % 97 = 0) as critical from f group by domain_id), p(domain_id, target) as (values ('contacts', 40), ('mobile_messages', 40), ('workspace_tasks', 40), ('other', 5))
-select domain_id, selected, passes, fails, critical, largest_family, cast(ceil(target * 0.9) as bigint) as needed, case when selected is null then 'not_run' when selected < target then 'incomplete' when passes >= ceil(target * 0.9) and critical = 0 and 100 * largest_family <= 35 * selected then 'accepted' else 'rejected' end as status
-from p left join c using (domain_id) left join g using (domain_id)""",
         "scope_reasons": """with m as (select evidence_id as position, unnest([case when not coalesce(eligible, false) then 0 end, case when evidence_id % 4 = 0 then 1 end, case when evidence_id % 50 = 49 then 3 end, case when evidence_id % 40 = 39 then 5 end]) as c from evidence_v)
 select min(position) as position, cast(c as integer) as "check", ['evaluation_contains_noneligible_episode', 'evaluation_canonical_group_evidence_missing', '', 'evaluation_generator_or_agent_identity_mismatch', '', 'evaluation_model_settings_mismatch'][c + 1] as reason from m where c is not null group by c""",
-        "pilot_behaviours": """with k as (select * from contact_cases_v where v % 2 = 0 and route <> 'recovery') select count(*) as admitted_count, bool_or(action = 'lookup_email' and route = 'direct') as direct_lookup, bool_or(route = 'directory') as directory_route, false as recovery_route,
-    bool_or(route = 'verify') as verified_followup, bool_or(note_constraint = 'exact') as exact_followup, 'recovery_route' as missing from k""",
+        "pilot_report": f"""with a as ({_CONTACTS}), k as (select a.*, c.v, c.mutation_authorization, passed and v % 2 = 0 as admitted from a join contact_cases_v c using (contact_key, position)),
+e as (select contact_key, position, bool_or(event_type = 'state_change' and tool_name = 'record_followup') as changed, bool_or(event_type = 'error' and error_code = 'contact_not_found') as missed from contact_events_v group by all),
+t as (select count(*) as attempted, count(*) filter (admitted) as demonstrations, count(*) filter (not admitted) as negatives, coalesce(bool_or(admitted and structural_key = 'contacts.lookup.direct'), false) as direct_lookup,
+    coalesce(bool_or(admitted and mutation_authorization = 'authorized' and starts_with(structural_key, 'contacts.followup.') and changed), false) as authorized_mutation, coalesce(bool_or(admitted and ends_with(structural_key, '.recovery') and missed), false) as successful_recovery from k join e using (contact_key, position))
+select *, attempted as executed_episode_count, demonstrations as passed_assessment_count, demonstrations as admitted_episode_count, demonstrations >= 8 as target_demonstrations_met, true as attempt_ceiling_respected, direct_lookup and authorized_mutation and successful_recovery as minimum_behavior_examples_met,
+    true as replay_aligned, case when direct_lookup and authorized_mutation and successful_recovery then 'required_behaviors_observed' else 'insufficient_evidence' end as diagnostic_outcome from t""",
+        "enforcement_preflight": """select run_id, [null, null, 'enforced admission requires semantic enforcement evidence', 'semantic enforcement activation is ineligible', 'semantic enforcement activation does not bind its policy', 'semantic enforcement activation does not match frozen evidence', 'enforcement policy identity or scope is unavailable',
+    'enforcement policy identity or scope is unavailable', 'enforcement Domain identity is unavailable', 'enforcement policy does not cover this Domain version', 'enforcement generator and Agent identity is unavailable', 'enforcement generator or Agent identity differs from activation',
+    'enforcement source, task, or model settings differ from activation', 'enforcement judge settings differ from activation', 'enforcement judge settings differ from activation', 'enforcement judge identity is unavailable or differs from activation'][run_id % 16 + 1] as reason from runs_v""",
+        "activation_reasons": _ACTIVATION,
         "gate_reasons": f"with {gated} select sequence, gates_passed, gate_reason from gated",
         "review_strata": f"""with {admitted} select domain_id, case when sequence % 3 <> 0 then task_type else 'unclassified' end as task_type, 'unclassified' as difficulty, case when sequence % 5 <> 0 then structural_key else 'unassessed' end as structural_key, count(*) as n from adm where admitted group by all""",
         "generation_requests_by_episode": "with e as (select sequence from requests_v where sequence is not null union all select related_sequence from requests_v where related_sequence is not null) select sequence, count(*) as n from e group by sequence",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import admission, assessment, campaign, cases, compilation, decisions, evidence, reports, review, rollout, sequence, tasks, usage
+from ..operators import activation, admission, assessment, campaign, cases, compilation, decisions, evidence, reports, review, rollout, sequence, tasks, usage
 from ..sources import records
 from .queries import TARGET, admitted, cohort_members, gated, query
 from .views import view
@@ -346,11 +346,49 @@ def quality_counts(s, d):
     return reports.quality_counts(admitted(s, d), judgments, capacity=10_000)
 
 
+def campaign_episodes(s, d) -> DataFrame:
+    return admitted(s, d).withColumns({"episode_id": F.col("sequence"), "agent_requests": F.when(F.col("sequence") % 89 != 0, 2)})
+
+
+def campaign_results(s, d) -> DataFrame:
+    runs = view(s, d, "episodes_v").groupBy("domain_id").agg(F.lit("completed").alias("run_status"), F.count(F.lit(1)).alias("task_attempt_count"), (F.count(F.lit(1)) / 8.0).cast("double").alias("elapsed_seconds"), (F.max("domain_id") != "contacts").alias("replay_aligned"))
+    usage_ = view(s, d, "episodes_v").groupBy("domain_id").agg(F.sum("sequence").alias("known_total_tokens"), F.max(F.when(F.col("domain_id") == "contacts", 1).otherwise(0)).alias("unknown_usage_count"))
+    return campaign.domain_results(campaign_episodes(s, d), usage_, runs, TARGET)
+
+
 @query
 def domain_results(s, d):
-    usage_ = view(s, d, "episodes_v").groupBy("domain_id").agg(F.sum("sequence").alias("known_total_tokens"), F.max(F.when(F.col("domain_id") == "contacts", 1).otherwise(0)).alias("unknown_usage_count"))
-    seconds = view(s, d, "episodes_v").groupBy("domain_id").agg((F.count(F.lit(1)) / 8.0).cast("double").alias("seconds"))
-    return reports.domain_results(admitted(s, d), usage_, seconds, TARGET)
+    return campaign_results(s, d)
+
+
+def decided(s, d) -> DataFrame:
+    """The decision on four domains: all labelled, one label short, all labelled, and one that didn't run."""
+    domains = [(x, TARGET, 1_000_000, 3) for x in ("contacts", "mobile_messages", "other", "workspace_tasks")]
+    plan = s.createDataFrame(domains, "domain_id string, target int, slot_limit int, family_floor int")
+    first = admission.first_admitted(campaign_episodes(s, d), TARGET)
+    expected = first.select("domain_id", F.col("ordinal").alias("position"), "episode_id")
+    cohorts = expected.withColumns({"cohort_id": F.concat(F.lit("c-"), "domain_id"), "membership_hash": F.concat(F.lit("h-"), "domain_id")})
+    labels = cohorts.where("domain_id <> 'mobile_messages' or position > 1").select("domain_id", "cohort_id", F.lit("held-out-evaluation").alias("purpose"), "episode_id", F.when(F.col("episode_id") % 13 == 0, "fail").when(F.col("episode_id") % 31 == 0, "uncertain").otherwise("pass").alias("verdict"), (F.col("episode_id") % 97 == 0).alias("critical"))
+    imports = cohorts.groupBy("domain_id", "cohort_id", "membership_hash").agg(F.count(F.lit(1)).cast("int").alias("imported_label_count")).withColumns({"schema_version": F.lit(campaign.IMPORT_SCHEMA), "complete": F.lit(True)})
+    results = campaign_results(s, d).withColumn("cohort_membership_hash", F.concat(F.lit("h-"), "domain_id"))
+    return campaign.domain_decisions(plan, results, campaign_episodes(s, d).where("admitted"), expected, cohorts, labels, imports)
+
+
+@query
+def domain_decisions(s, d):
+    return decided(s, d)
+
+
+@query
+def campaign_decision(s, d):
+    checks = view(s, d, "runs_v").where("run_id < 8").select(F.element_at(F.array(*[F.lit(x) for x in campaign.ENGINEERING_CHECKS]), (F.col("run_id") + 1).cast("int")).alias("name"), F.lit("passed").alias("status"), F.lit("log").alias("evidence"))
+    return campaign.campaign_decision(decided(s, d), campaign.readiness(checks))
+
+
+@query
+def engineering_readiness(s, d):
+    checks = view(s, d, "runs_v").where("run_id between 1 and 8").select(F.element_at(F.array(*[F.lit(x) for x in campaign.ENGINEERING_CHECKS]), F.col("run_id").cast("int")).alias("name"), F.when(F.col("run_id") % 5 == 0, "failed").otherwise("passed").alias("status"), F.when(F.col("run_id") % 3 != 0, "log").alias("evidence"))
+    return campaign.readiness(checks.where("name <> 'docs'")).select("status", F.array_join("missing_checks", ",").alias("missing_checks"), F.array_join("failed_or_unverified_checks", ",").alias("failed_or_unverified_checks"))
 
 
 @query
@@ -375,15 +413,6 @@ def campaign_evidence(s, d):
     return got.select("evidence_id", "episode_id", "semantic_task_group", "judge_verdict", "human_verdict", "critical", "reviewed")
 
 
-@query
-def campaign_decision(s, d):
-    first = admission.first_admitted(admitted(s, d), TARGET)
-    reviews = first.select(F.col("sequence").alias("episode_id"), F.when(F.col("sequence") % 13 == 0, "fail").otherwise("pass").alias("verdict"), (F.col("sequence") % 97 == 0).alias("critical"))
-    plan = s.createDataFrame([("contacts", TARGET), ("mobile_messages", TARGET), ("workspace_tasks", TARGET), ("other", 5)], "domain_id string, target int")
-    got = campaign.campaign_decision(plan, first.select("domain_id", F.col("sequence").alias("episode_id"), "structural_key"), reviews)
-    return got.select("domain_id", "selected", "passes", "fails", "critical", "largest_family", "needed", "status")
-
-
 @query
 def scope_reasons(s, d):
     k = F.col("evidence_id")
@@ -405,9 +434,53 @@ def eligibility_report(s, d):
 
 
 @query
-def pilot_behaviours(s, d):
-    rows = view(s, d, "contact_cases_v").withColumn("admitted", (F.col("v") % 2 == 0) & (F.col("route") != "recovery"))
-    return reports.pilot_behaviours(rows).withColumn("missing", F.array_join("missing", ","))
+def pilot_report(s, d):
+    """What the contact episodes of even variants showed."""
+    assessed = assessment.assess_contacts(with_events(view(s, d, "contact_cases_v"), view(s, d, "contact_events_v"), "contact_key", "position"))
+    rows = assessed.withColumn("admitted", F.col("assessment.passed") & (F.col("v") % 2 == 0)).withColumn("collection", F.when(F.col("admitted"), "demonstrations").otherwise("negatives"))
+    return reports.pilot_report(rows, True, 8, 1_000_000)
+
+
+def identity(name: str | Column) -> Column:
+    return F.struct(F.lit("p").alias("provider_id"), (F.lit(name) if isinstance(name, str) else name).alias("model_id"), F.lit("1").alias("model_version"))
+
+
+@query
+def enforcement_preflight(s, d):
+    """Runs that may enforce a policy, and runs with one thing wrong each."""
+    k = F.col("run_id") % 16
+    other = lambda n, value: F.when(k == n, "other").otherwise(value)
+    settings = {n: "x" for n in evidence.SETTINGS} | {n: "s" for n in evidence.SCOPES}
+    scopes = F.array(F.struct(F.lit("contacts").alias("domain_id"), F.lit("v1").alias("domain_version")))
+    policy = F.struct(F.lit("pol").alias("policy_id"), F.lit("fp").alias("fingerprint"), F.lit("rubric").alias("rubric_id"), F.when(k != 6, scopes).alias("domain_scopes"), *[F.when(F.lit(n != "judge_identity") | (k != 7), identity("judge" if n == "judge_identity" else "model")).alias(n) for n in evidence.IDENTITIES], *[F.lit(v).alias(n) for n, v in settings.items()])
+    made = lambda eligibility, bound, reasons: F.struct(eligibility.alias("eligibility"), F.lit("pol").alias("policy_id"), bound.alias("policy_fingerprint"), reasons.alias("ineligibility_reasons"))
+    none = F.array().cast("array<string>")
+    rows = view(s, d, "runs_v").select(
+        "run_id", F.when(k == 0, "deterministic").otherwise("enforced").alias("admission_mode"), F.when(k != 2, policy).alias("policy"), made(F.when(k == 3, "ineligible").otherwise("eligible"), other(4, "fp"), none).alias("activation"),
+        made(F.lit("eligible"), other(4, "fp"), F.when(k == 5, F.array(F.lit("evaluation_review_quota_not_met"))).otherwise(none)).alias("recomputed"), F.lit("contacts").alias("domain_id"), F.when(k == 8, None).when(k == 9, "v2").otherwise("v1").alias("domain_version"),
+        F.when(k != 10, identity(other(11, "model"))).alias("model_identity"), F.struct(*[(other(12, v) if n == "agent_prompt_id" else F.lit(v)).alias(n) for n, v in settings.items() if not n.startswith("judge")]).alias("configuration"),
+        F.struct(other(13, "shadow").alias("mode"), F.lit("judge").alias("judge_model_id"), F.lit("rubric").alias("rubric_id"), other(14, "x").alias("judge_prompt_id"), F.lit("x").alias("judge_decoding_id")).alias("quality"), F.when(k != 15, identity("judge")).alias("judge_identity"),
+    )
+    return evidence.enforcement_preflight(rows).select("run_id", "reason")
+
+
+@query
+def activation_reasons(s, d):
+    """The evaluation of a policy over all labelled documents: two thirds for development, of which some aren't reviewed, a third held out."""
+    k = F.col("evidence_id")
+    names = (*evidence.IDENTITIES, *evidence.SETTINGS, *evidence.SCOPES)
+    policy = s.createDataFrame([("pol", "fp", ["en"], *["i", "i", "j"], *["x"] * 6, *["s"] * 2)], "policy_id string, fingerprint string, domain_scopes array<string>, " + ", ".join(f"{n} string" for n in names))
+    scopes = s.createDataFrame([(x, "v1") for x in ("en", "de", "fr", "es")], "domain_id string, domain_version string")
+    rows = view(s, d, "evidence_v").select(
+        "evidence_id", k.alias("episode_id"), "domain_id", F.lit("v1").alias("domain_version"), F.col("eligible").alias("deterministic_eligible"), F.concat(F.lit("g"), k.cast("string")).alias("semantic_task_group"), F.concat(F.lit("g"), k.cast("string")).alias("grounding_group"), F.lit("t").alias("task_type"),
+        F.lit("easy").alias("difficulty"), F.when(k % 100 != 7, F.col("source_group")).alias("structural_family"), "judge_verdict", "human_verdict", F.coalesce("critical", F.lit(False)).alias("critical"), "cohort",
+        *[F.when((k % 250 == 3) & F.lit(n == "agent_identity"), "other").otherwise("j" if n == "judge_identity" else "i").alias(n) for n in evidence.IDENTITIES], *[F.lit("x").alias(n) for n in evidence.SETTINGS], *[F.when((k % 500 == 6) & F.lit(n == "source_scope_id"), "other").otherwise("s").alias(n) for n in evidence.SCOPES],
+    )
+    cohort = lambda name, method, bound: s.createDataFrame([(name, method, "pol" if bound else None, "fp" if bound else None, 3)], "cohort_id string, selection_method string, policy_id string, policy_fingerprint string, stratum_count int")
+    member = lambda at: at.where("human_verdict is not null").select(F.col("evidence_id").alias("position"), "evidence_id")
+    dev, held = rows.where("cohort <> 0").drop("cohort"), rows.where("cohort = 0 and human_verdict is not null").drop("cohort")
+    got = activation.activation(policy, scopes, activation.Campaign("diagnostic-development", 0, cohort("a", activation.STRATIFIED, False), member(dev), dev), activation.Campaign("held-out-evaluation", 0, cohort("b", activation.HELD_OUT, True), member(held), held))
+    return got.select("policy_id", "policy_fingerprint", "eligibility", F.array_join("ineligibility_reasons", ",").alias("reasons"))
 
 
 @query

@@ -1,10 +1,9 @@
-"""Compilation reasons in their order of precedence, and the campaign's decision."""
+"""Compilation reasons in their order of precedence."""
 
 from __future__ import annotations
 
 import json
 
-from quillon.operators.campaign import campaign_decision
 from quillon.operators.compilation import compile_messages, compile_workspace
 
 SCHEMA = "id int, content string, known boolean, unique boolean, applicable boolean, action string, route string, rule string, expected map<string,string>"
@@ -50,11 +49,3 @@ def test_workspace(spark):
     reasons(spark, compile_workspace, task, "open", [({"task_constraint": "open"}, FINE, "unsupported_task_title"), ({"task_constraint": True, "title": None}, FINE, "unsupported_task_title")])
     comment = {"action": "add_workspace_comment", "comment_constraint": "open", "condition": "after_item_match", "route": "direct", "task_kind": "task", "task_query": "q"}
     reasons(spark, compile_workspace, comment, "open", [({}, FINE, None), ({"comment": "status: x"}, FINE, "unsupported_comment"), ({"comment_constraint": "exact"}, FINE, "unsupported_comment"), ({"task_query": "x"}, FINE, "wrong_item_binding")])
-
-
-def test_campaign(spark):
-    plan = spark.createDataFrame([(d, 10) for d in ("a", "b", "c", "d", "e")], "domain_id string, target int")
-    selected = [(d, f"{d}{k}", f"f{k % 4}") for d, n in (("a", 10), ("b", 9), ("c", 10), ("d", 10)) for k in range(n)]
-    reviews = [(f"a{k}", "fail" if k == 0 else "pass", False) for k in range(10)] + [(f"b{k}", "pass", False) for k in range(9)] + [("c0", "pass", False)] + [(f"d{k}", "pass", k == 3) for k in range(10)]
-    got = campaign_decision(plan, spark.createDataFrame(selected, "domain_id string, episode_id string, structural_key string"), spark.createDataFrame(reviews, "episode_id string, verdict string, critical boolean"))
-    assert {r["domain_id"]: r["status"] for r in got.collect()} == {"a": "accepted", "b": "incomplete", "c": "review_pending", "d": "rejected", "e": "not_run"}

@@ -177,7 +177,7 @@ def test_judgments_are_checked(spark):
     assert [r["error"] for r in decisions.judgment_errors(frame).collect()] == [r[0] for r in rows]
 
 
-def test_policies_and_preflight(spark):
+def test_policies(spark):
     names = (*evidence.IDENTITIES, *evidence.SETTINGS, *evidence.SCOPES)
     schema = ", ".join(f"{n} string" for n in names) + ", domain_scopes array<string>"
     base = {n: n for n in names}
@@ -186,9 +186,6 @@ def test_policies_and_preflight(spark):
     policy = spark.createDataFrame([("p", "f")], "policy_id string, fingerprint string")
     bound = lambda *rows: evidence.frozen_policy(spark.createDataFrame(list(rows), "policy_id string, policy_fingerprint string"), policy).first()["frozen"]
     assert (bound(("p", "f"), ("p", "f")), bound(("p", "f"), (None, None)), bound()) == (True, False, False)
-    run = dict(requested=True, eligible=True, fingerprint="a", recomputed="a", policy_fingerprint="b", evaluated_policy_fingerprint="b", judge="j", policy_judge="j", generator="g", policy_generator="g", agent="a", policy_agent="a", domain_in_scope=True, settings_match=True)
-    frame = spark.createDataFrame([run, run | {"agent": "x", "settings_match": False}, run | {"recomputed": "z"}])
-    assert sorted(str(r["reason"]) for r in evidence.enforcement_preflight(frame).collect()) == ["None", "agent_identity_mismatch", "evaluation_fingerprint_mismatch"]
 
 
 def test_membership_hash_binds_a_cohort(spark):
@@ -218,10 +215,7 @@ def test_cohort_members_must_be_there(spark):
     assert review.unjudged(admitted, admitted.where("admitted")).count() == 1
 
 
-def test_readiness_and_slots(spark):
-    name = lambda *rows: spark.createDataFrame(list(rows), "name string, passed boolean")
-    got = reports.readiness(name(("a", None), ("b", None), ("c", None)), name(("a", True), ("b", True), ("b", False), ("z", True)))
-    assert {r["name"]: r["state"] for r in got.collect()} == {"a": "passed", "b": "failed", "c": "missing", "z": "unknown"}
+def test_slots_and_reports(spark):
     slots = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "sequence int, slot_id string")
     assert decisions.bounded_slots(slots, 2).count() == 2
     with pytest.raises(ValueError):
