@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,12 +13,19 @@ SPACE = "[\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\
 SHORT = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
 
 
+# Unicode's full case folding, by rule: single letters, and letters that fold to several.
+_FOLDS = {c: c.casefold() for c in map(chr, (k for k in range(sys.maxunicode + 1) if not 0xD800 <= k < 0xE000)) if c.casefold() != c}
+_SINGLE = [(c, f) for c, f in _FOLDS.items() if len(f) == 1]
+_SEVERAL = {c: f for c, f in _FOLDS.items() if len(f) > 1 and c != "ß"}
+
+
 def casefold(text: Column) -> Column:
-    """Lower case, with the letters that fold to two spelled out (sharp s, the ligatures of f and s) and long s and final sigma as their base."""
-    out = F.translate(F.lower(text), "ſς", "sσ")
-    for one, two in (("ß", "ss"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st")):
-        out = F.replace(out, F.lit(one), F.lit(two))
-    return out
+    """2.8: full Unicode case folding; plain ASCII, the common case, is only lowered."""
+    letters = F.replace(F.translate(text, *["".join(x) for x in zip(*_SINGLE, strict=True)]), F.lit("ß"), F.lit("ss"))
+    wide = F.create_map(*[F.lit(x) for pair in _SEVERAL.items() for x in pair])
+    spelled = lambda t: F.array_join(F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(wide, c), c)), "")
+    folded = F.transform(F.array(letters), lambda t: F.when(t.rlike("[" + "".join(_SEVERAL) + "]"), spelled(t)).otherwise(t))[0]
+    return F.when(text.rlike(r"^[\x00-\x7f]*\z"), F.lower(text)).otherwise(folded)
 
 
 def stripped(text: Column) -> Column:

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .canon import stripped
+from .canon import casefold, stripped
 
 # Parts of a key that mark private material, and keys that are safe although they hold one.
 FORBIDDEN_KEY_PARTS = (
@@ -88,24 +88,24 @@ def note_allowed(text: Column) -> Column:
 
 def reply_allowed(text: Column) -> Column:
     """PRD-19."""
-    low = F.lower(text)
+    low = casefold(text)
     return single_line(text, 3, 240) & (low.startswith("thanks") | low.startswith("thank you") | low.startswith("hello") | low.startswith("hi "))
 
 
 def title_allowed(text: Column) -> Column:
     """PRD-20."""
-    low = F.lower(text)
+    low = casefold(text)
     return single_line(text, 12, 120) & (low.startswith("prepare ") | low.startswith("review ") | low.startswith("create "))
 
 
 def comment_allowed(text: Column) -> Column:
     """PRD-21."""
-    return single_line(text, 12, 240) & F.lower(text).startswith("status:")
+    return single_line(text, 12, 240) & casefold(text).startswith("status:")
 
 
 def negated_action(action: Column) -> Column:
     """PRD-22."""
-    low = F.replace(F.lower(action), F.lit("-"), F.lit("_"))
+    low = F.replace(casefold(action), F.lit("-"), F.lit("_"))
     return low.rlike("^(do_not_|dont_|never_|not_|without_)") | low.contains("_not_") | low.endswith("_not")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.canon import canonical, canonical_array, evidence, holds, sha
+from ..functions.canon import canonical, canonical_array, casefold, evidence, holds, sha
 from ..functions.text import comment_allowed, note_allowed, reply_allowed, title_allowed
 
 Test = Callable[[Column], Column]
@@ -122,7 +122,7 @@ def assess_contacts(episodes: DataFrame) -> DataFrame:
             ("saved_followup_observed", saved, "saved_followup_not_observed"), ("final_response_grounded", holds(final, target) & holds(final, note), "final_response_not_grounded"),
         ],
         [F.lit("followup"), route, F.col("note_constraint")], by_route("contacts.followup", route), F.col("action"), route,
-        F.concat(F.lit("followup:"), F.replace(F.lower(target), F.lit(" "), F.lit("_"))),
+        F.concat(F.lit("followup:"), F.replace(casefold(target), F.lit(" "), F.lit("_"))),
     )
     return episodes.withColumn("assessment", F.when(F.col("action") == "record_followup", writing).otherwise(reading))
 

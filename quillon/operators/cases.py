@@ -175,14 +175,6 @@ def restored_contacts(cases: DataFrame) -> DataFrame:
     return at.withColumn("valid", F.coalesce(valid, F.lit(False))).drop("__object")
 
 
-def contact_snapshot(contacts: DataFrame, followups: DataFrame) -> DataFrame:
-    """DM-14, SNK-8: one row with the canonical state and its fingerprint.  A source is one document, so its state is one value."""
-    items = lambda df, *fields: df.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*fields))), lambda r: canonical({f: r[f] for f in fields})), ",").alias("rows"))
-    both = items(contacts, "name", "email").withColumnRenamed("rows", "a").crossJoin(items(followups, "name", "note").withColumnRenamed("rows", "b"))
-    state = F.concat(F.lit('{"contacts":['), "a", F.lit('],"followups":['), "b", F.lit("]}"))
-    return both.select(state.alias("contents")).withColumn("fingerprint", F.concat(F.lit("sha256:"), sha(F.col("contents"))))
-
-
 def pilot_rehearsal(slots: DataFrame, fingerprint: Column, target: int, attempts: int) -> DataFrame:
     """AG-25, SNK-11: capacity, whether it suffices, and the groups of the first ``attempts`` slots (slot_id, target, in the order of target and position), which show neither slots nor targets."""
     first = slots.orderBy("target", "position").limit(attempts)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.canon import holds
+
 
 def traces(events: DataFrame) -> DataFrame:
     """One row for each conversation with its events in order, as an array; an episode's events are bounded by its steps."""
@@ -50,7 +52,7 @@ def route_completion(traced: DataFrame, is_target, is_directory, is_stale, is_fa
 def grounded(finals: DataFrame, values: DataFrame) -> DataFrame:
     """SQ-11: whether all required ``value`` rows of a conversation are in its last final response, whatever their case."""
     at = values.join(finals.select("conv_id", "content"), "conv_id", "left")
-    found = F.coalesce(F.contains(F.lower("content"), F.lower("value")), F.lit(False))
+    found = holds(F.col("content"), F.col("value"))
     return at.groupBy("conv_id").agg(F.every(found).alias("grounded"), F.count(F.lit(1)).alias("required"))
 
 

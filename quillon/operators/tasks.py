@@ -46,15 +46,17 @@ def unique_queries(items: DataFrame) -> DataFrame:
 
 
 def containment_pairs(messages: DataFrame, queries: DataFrame, gram: int = 12) -> DataFrame:
-    """JN-21: query_id and message_id of every query (message_id, query of at least ``gram`` characters) and body that holds it, whatever their case.
+    """JN-21: query_id and message_id of every query (message_id, query; not empty) and body that holds it, whatever their case.
 
-    A body that holds a query holds its first ``gram`` characters, so only
-    bodies and queries that share them are compared.
+    A body that holds a query holds its first ``gram`` characters, or all of
+    them, so only bodies and queries that share these are compared: one join,
+    whatever the queries' lengths.
     """
-    asked = queries.select(F.col("message_id").alias("query_id"), F.lower("query").alias("query")).withColumn("seed", F.substring("query", 1, gram))
+    asked = queries.select(F.col("message_id").alias("query_id"), casefold(F.col("query")).alias("query")).where("query <> ''").withColumn("seed", F.substring("query", 1, gram))
+    sizes = [r["n"] for r in asked.select(F.length("seed").alias("n")).distinct().collect()]
     seeds = asked.select("seed").distinct()
-    low = messages.select("message_id", F.lower("body").alias("body"))
-    places = F.regexp_extract_all("body", F.lit(f"(?s)(?=(.{{{gram}}}))"), F.lit(1))
+    low = messages.select("message_id", casefold(F.col("body")).alias("body"))
+    places = F.flatten(F.array(*[F.regexp_extract_all("body", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sorted(sizes) or [gram]]))
     grams = low.select("message_id", F.explode(F.array_distinct(places)).alias("seed")).join(seeds, "seed")
     return grams.join(asked, "seed").join(low, "message_id").where(F.contains(F.col("body"), F.col("query"))).select("query_id", "message_id")
 
@@ -68,7 +70,9 @@ def interleaved(items: DataFrame, kinds: list[str], limit: int = SLOT_LIMIT) ->
     """JN-19: the first ``limit`` targets of each kind by id, dealt round-robin over the kinds; a run has no more slots, so no task sorts more."""
     order = F.create_map(*[x for k, kind in enumerate(kinds) for x in (F.lit(kind), F.lit(k))])
     by = Window.partitionBy("kind").orderBy("item_id")
-    return items.where(F.col("kind").isin(*kinds)).withColumn("target_index", F.row_number().over(by) - 1).where(F.col("target_index") < limit).withColumn("spec_position", order[F.col("kind")])
+    # The filter is on the row number itself, so each task sorts and keeps no more than ``limit`` rows of a kind.
+    first = items.where(F.col("kind").isin(*kinds)).withColumn("__n", F.row_number().over(by)).where(F.col("__n") <= limit)
+    return first.withColumn("target_index", F.col("__n") - 1).drop("__n").withColumn("spec_position", order[F.col("kind")])
 
 
 def foreign_key_violations(items: DataFrame, kind: str, parent: str) -> DataFrame:
@@ -90,40 +94,29 @@ WORKSPACE_SPECS = (
 
 def message_query(body):
     """DM-10: the phrase that stands for a message."""
-    low = F.lower(body)
+    low = casefold(body)
     return F.when(low.contains("launch checklist"), "launch checklist").when(low.contains("invoice"), "invoice").otherwise(body)
 
 
 def message_query_counts(messages: DataFrame, gram: int = 12) -> DataFrame:
     """PRD-25, DM-10: for every message (message_id, body; null bodies have no query), how many bodies hold its whole query.
 
-    Equal queries are counted once.  Queries shorter than ``gram`` characters
-    are compared by all their characters; every body holds an empty one.
+    Equal queries are counted once; every body holds an empty one.
     """
-    asked = messages.where("body is not null").select("message_id", F.lower(message_query(F.col("body"))).alias("query")).withColumn("key", F.sha2("query", 256))
+    asked = messages.where("body is not null").select("message_id", casefold(message_query(F.col("body"))).alias("query")).withColumn("key", F.sha2("query", 256))
     once = asked.select(F.col("key").alias("message_id"), "query").dropDuplicates(["message_id"])
-    size = F.length("query")
-    sizes = [r["n"] for r in asked.where(size < gram).select(size.alias("n")).distinct().collect()]
-    counts = containment_counts(messages, once.where(size >= gram), gram)
-    for n in sizes:
-        short = once.where(size == n)
-        all_bodies = messages.where("body is not null").agg(F.count(F.lit(1)).alias("bodies"))
-        counts = counts.unionByName(containment_counts(messages, short, n) if n else short.select(F.col("message_id").alias("query_id")).crossJoin(all_bodies))
+    all_bodies = messages.where("body is not null").agg(F.count(F.lit(1)).alias("bodies"))
+    empty = once.where("query = ''").select(F.col("message_id").alias("query_id")).crossJoin(all_bodies)
+    counts = containment_counts(messages, once, gram).unionByName(empty)
     return asked.join(counts.withColumnRenamed("query_id", "key"), "key").select(F.col("message_id").alias("query_id"), "bodies")
 
 
 def message_slots(messages: DataFrame, reminders: DataFrame, drafts: DataFrame, gram: int = 7) -> DataFrame:
-    """PRD-24, PRD-25, DM-1, DM-2 for messages: the tasks of messages whose query one body alone holds, without those that would overwrite state.
-
-    Queries shorter than ``gram`` characters are compared by all their characters.
-    """
+    """PRD-24, PRD-25, DM-1, DM-2 for messages: the tasks of messages whose query one body alone holds, without those that would overwrite state."""
     from ..functions.text import reply_allowed
 
     asked = messages.withColumn("query", message_query(F.col("body")))
-    short = asked.where(F.length("query") < gram).select("message_id", "query")
-    counts = containment_counts(messages, asked.where(F.length("query") >= gram).select("message_id", "query"), gram)
-    for size in range(1, gram):
-        counts = counts.unionByName(containment_counts(messages, short.where(F.length("query") == size), size))
+    counts = containment_counts(messages, asked.select("message_id", "query"), gram)
     once = counts.where("bodies = 1").select(F.col("query_id").alias("message_id"))
     specs = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(kind).alias("kind"), F.lit(action).alias("action"), F.lit(rule).cast("string").alias("rule")) for k, (kind, action, rule) in enumerate(MESSAGE_SPECS)])
     at = asked.join(once, "message_id", "left_semi").join(reminders.select("message_id", F.lit(True).alias("reminded")), "message_id", "left").join(drafts.select("message_id", F.lit(True).alias("drafted")), "message_id", "left")
@@ -150,9 +143,10 @@ def workspace_slots(items: DataFrame, every: bool, limit: int = SLOT_LIMIT) -> D
         if route == "missing" or (kind not in kinds and not fallback):
             continue
         held = unique.where(F.col("kind") == kind) if kind in kinds else unique
-        order = [F.lit(0) if kind in kinds else preference, F.col("item_id")]
-        # No more than the first ``limit`` targets, or up to the spec's own, are sorted in one task.
-        numbered = held.withColumn("target_index", F.row_number().over(Window.orderBy(*order)) - 1).where(F.col("target_index") < (limit if every else index + 1))
+        order = [F.col("item_id")] if kind in kinds else [preference, F.col("item_id")]
+        # The first ``limit`` targets, or up to the spec's own, are a top-k; only they are numbered in one task.
+        top = held.orderBy(*order).limit(limit if every else index + 1)
+        numbered = top.withColumn("target_index", F.row_number().over(Window.orderBy(*order)) - 1)
         if not every:
             numbered = numbered.orderBy(F.desc("target_index")).limit(1).withColumn("target_index", F.lit(0))
         out = out.unionByName(numbered.select(F.lit(spec).alias("spec"), F.lit(position).alias("position"), "item_id", "target_index"))

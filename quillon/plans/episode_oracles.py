@@ -154,7 +154,27 @@ _MESSAGE_COMPILE = f"""select message_id, position, case {_OPENING} when action
 _WORKSPACE_COMPILE = f"""select item_id, position, case {_OPENING} when action = 'search_workspace_items' and v in (7, 11) then 'unsupported_requested_action' when action = 'search_workspace_items' then null when v = 8 then 'missing_mutation_authority' when v = 9 then 'uncheckable_condition'
     when v = 7 then 'wrong_item_binding' when v = 10 and action = 'create_workspace_task' then 'missing_mutation_argument' when v = 10 and comment_constraint = 'exact' then 'unauthorized_comment_argument' when v = 10 then 'unsupported_comment' when v = 11 then 'unsupported_requested_action' end as reason
     from workspace_cases_v where route <> 'missing'"""
-_SNAPSHOT = """select 'sha256:' || sha256('{"contacts":[' || (select string_agg('{"email":"' || email || '","name":"' || name || '"}', ',' order by name) from contacts_v) || '],"followups":[' || (select string_agg('{"name":"' || name || '","note":"a note"}', ',' order by name) from followups_v) || ']}') as fingerprint"""
+def snapshot(*sections: tuple[str, str, str, str]) -> str:
+    """A state's digest and bytes from (name, row, table, key) of each section."""
+    whole = "'{' || " + " || ',' || ".join(f"'\"{name}\":[' || coalesce((select string_agg({row}, ',' order by {key}) from {table}), '') || ']'" for name, row, table, key in sections) + " || '}'"
+    return f"select 'sha256:' || sha256(s) as fingerprint, cast(length(s) as bigint) as byte_count from (select {whole} as s) t"
+
+
+_SNAPSHOT = snapshot(("contacts", """'{"email":"' || email || '","name":"' || name || '"}'""", "contacts_v", "name"), ("followups", """'{"name":"' || name || '","note":"a note"}'""", "followups_v", "name"))
+_MESSAGE_SNAPSHOT = snapshot(("drafts", """'{"content":"Thanks, noted.","message_id":"' || message_id || '"}'""", "notes_v where s_suppkey % 5 = 0", "message_id"), ("messages", """'{"body":"' || body || '","message_id":"' || message_id || '","sender":"' || sender || '"}'""", "notes_v", "message_id"), ("reminders", "''", "notes_v where false", "message_id"))
+_PRIVATE = "access_token|api_key|auth|authorization|analysis|cookie|completion|credential|expected|ground_truth|hidden_reasoning|http_body|oracle|passwd|password|private|provider|provider_payload|raw_payload|raw|reasoning|response|secret|session|source_path|thought|token"
+_LEAVES = f"""with t as (select k, unnest(list_zip(list(fullkey), list(coalesce(cast(atom as varchar), 'null')))) as x from (select k, j.fullkey, j.atom from payloads_v, json_tree(payload) j where j.type not in ('OBJECT', 'ARRAY')) u group by k),
+l as (select k, x[1] as path, x[2] as value, regexp_matches(replace(lower(x[1]), 'provider_id', ''), '{_PRIVATE}') as hidden, regexp_matches(x[2], '(^|[^:/A-Za-z0-9_.-])/([^/]|$)| ~/') or contains(lower(x[2]), 'password') as bad from t)"""
+_CANONICAL = """select k, '{"Session_id":{"a":[1,2]},"n":2.5,"none":null,"on":true,"priority":"' || cast(json_extract_string(payload, '$.priority') as varchar) || '","provider_id":"p","status":"' || json_extract_string(payload, '$.status') || '","sub":{' || case when k % 4 = 0 then '"api_key":{"deep":"' || json_extract_string(payload, '$.sub.api_key.deep') || '"},' else '' end || '"list":[[],["'
+    || case when k % 7 = 0 then 'go ~/x' else 'x y' end || '"]]' || case when k % 4 <> 0 then ',"plain":{"deep":"' || json_extract_string(payload, '$.sub.plain.deep') || '"}' else '' end || '},"z":[1,{"b":"' || json_extract_string(payload, '$.z[1].b') || '","k":' || k || '}]}' as canonical from payloads_v"""
+_PUBLIC_EVENTS = """with e as (select *, route in ('directory', 'recovery') as listed, action = 'record_followup' as writes, row_number() over (partition by contact_key, position order by idx, event_type) - 1 as place from contact_events_v join (select contact_key, position, route, action from contact_cases_v) c using (contact_key, position)),
+f as (select contact_key, position, '$[' || place || '].' as pre, event_type, tool_name, content, error_code, case when tool_name = 'lookup_contact' or (tool_name = 'list_contacts' and listed) or (tool_name = 'record_followup' and writes) or (tool_name = 'get_followup' and writes and route = 'verify') then tool_name end as known, arguments, observation, change from e),
+p as (select contact_key, position, pre || name as path, to_json(value)::varchar as value, value as raw from (select contact_key, position, pre, unnest(['event_type', 'tool_name', 'content', 'error_code']) as name, unnest([event_type, tool_name, content, error_code]) as value from f) x where value is not null
+    union all select contact_key, position, pre || 'arguments.name', json_extract(arguments, '$.name')::varchar, '' from f where arguments is not null and known = 'lookup_contact'
+    union all select contact_key, position, pre || 'observation.' || n, json_extract(observation, '$.' || n)::varchar, '' from f, (values ('name'), ('email'), ('note')) v(n) where known is not null and json_extract(observation, '$.' || n) is not null and ((known = 'lookup_contact' and n in ('name', 'email')) or (known in ('record_followup', 'get_followup') and n in ('name', 'note')))
+    union all select contact_key, position, pre || 'observation.contacts[' || n || ']', json_extract(observation, '$.contacts[' || n || ']')::varchar, '' from f, (values (0), (1)) v(n) where known = 'list_contacts' and json_extract(observation, '$.contacts[' || n || ']') is not null
+    union all select contact_key, position, pre || 'change.' || n, json_extract(change, '$.' || n)::varchar, '' from f, (values ('name'), ('note')) v(n) where known = 'record_followup' and change is not null)
+select contact_key, position, path, value from p"""
 _REHEARSAL = f"""with k as (select {_CONTACT_SLOT} as slot_id, target, position from {_KEPT}), f as (select * from k order by target, position limit 16)
 select (select count(*) from k) as known_task_capacity, case when (select count(*) from k) >= 8 then 'sufficient' else 'insufficient' end as capacity_status, string_agg('semantic:sha256:' || sha256('semantic:sha256:x:' || slot_id), ',' order by target, position) as semantic_groups,
     (select string_agg(g, ',' order by g) from (select distinct 'grounding:sha256:' || sha256('grounding:sha256:x:' || target) as g from f) h) as grounding_groups from f"""
@@ -174,6 +194,7 @@ select {_MESSAGE_SLOT} as slot_id, '{{"action": "' || action || '"' || case when
     'mobile_messages:semantic:sha256:' || sha256('{{"action":"' || action || '","body":"' || body || '","exact_reply":' || {_TEXT('exact_reply')} || ',"message_id":"' || message_id || '","remind_at":' || {_TEXT('remind_at')} || ',"reminder_text":' || {_TEXT('reminder_text')}
         || ',"reply_constraint":"' || reply_constraint || '","route":"' || route || '","sender":"' || sender || '"}}') as semantic_key from c"""
 _QUERY = "case when kind = 'task' then regexp_replace(lower(summary), '^(complete|finalize|prepare|review|schedule|summarize)\\s+', '') else lower(summary) end"
+_WORKSPACE_SNAPSHOT = snapshot(("items", f"""'{{"item_id":"' || item_id || '","kind":"' || kind || '","project_id":' || coalesce('"' || project_id || '"', 'null') || ',"query":"' || {_QUERY} || '","summary":"' || summary || '"}}'""", "items_v", "item_id"))
 _WORKSPACE_SLOTS = f"""u as (select * from (select *, {_QUERY} as query from items_v) q qualify count(*) over (partition by kind, query) = 1), k as (select *, row_number() over (partition by kind order by item_id) - 1 as n, count(*) over (partition by kind) as m from u),
 p(spec, position, wanted, pick) as (values ('search-direct', 0, 'document', 0), ('search-directory', 1, 'project', 0), ('search-recovery', 2, 'task', 0), ('task-direct', 4, 'project', 0), ('task-verified', 5, 'project', 1), ('comment-direct', 6, 'task', 0), ('comment-recovery', 7, 'task', 2), ('comment-verified', 8, 'task', 1)),
 slots as (select spec, position, item_id, 0 as target_index from p join k on k.kind = p.wanted and k.n = least(p.pick, k.m - 1) union all select 'search-missing', 3, null, 0)"""
@@ -234,7 +255,7 @@ decided as (select domain_id, case when run_status is null then 'not_run' when s
     return {
         "contact_assessment": _CONTACTS, "message_assessment": _MESSAGES, "workspace_assessment": _WORKSPACE, "contact_rollout": _CONTACT_ROLLOUT, "message_rollout": _MESSAGE_ROLLOUT, "workspace_rollout": _WORKSPACE_ROLLOUT,
         "rollout_replay": _REPLAY,
-        "contact_cases": _CONTACT_CASES, "contact_compile": _CONTACT_COMPILE, "message_compile": _MESSAGE_COMPILE, "workspace_compile": _WORKSPACE_COMPILE, "restored_cases": "select v, count(*) filter (v not in (1, 2, 3)) as valid, count(*) as n from contact_cases_v group by v", "contact_snapshot": _SNAPSHOT, "pilot_rehearsal": _REHEARSAL,
+        "contact_cases": _CONTACT_CASES, "contact_compile": _CONTACT_COMPILE, "message_compile": _MESSAGE_COMPILE, "workspace_compile": _WORKSPACE_COMPILE, "restored_cases": "select v, count(*) filter (v not in (1, 2, 3)) as valid, count(*) as n from contact_cases_v group by v", "contact_snapshot": _SNAPSHOT, "message_snapshot": _MESSAGE_SNAPSHOT, "workspace_snapshot": _WORKSPACE_SNAPSHOT, "canonical_payloads": _CANONICAL, "nested_redaction": f"{_LEAVES} select k, path, case when bad then '\"[redacted]\"' else value end as value from l where not hidden", "unsafe_payloads": f"{_LEAVES} select k, bool_or(hidden or bad) as unsafe, false as plain from l group by k", "public_events": _PUBLIC_EVENTS, "pilot_rehearsal": _REHEARSAL,
         "message_slots": _MESSAGE_SLOTS, "message_cases": _MESSAGE_CASES, "workspace_slots": f"with {_WORKSPACE_SLOTS} select * from slots", "workspace_cases": _WORKSPACE_CASES, "tool_definitions": _TOOLS,
         "agent_decisions": """select contact_key, position, case when v in (0, 1, 3, 7) then null when v = 2 then 'final_response' else 'tool_call' end as decision, case when v in (0, 1, 2, 3, 7) then null when v = 9 then 'dance' else 'lookup_contact' end as tool_name,
     case when v = 2 then 'done' end as final_content from contact_cases_v""",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import jsontext
 from ..operators import activation, admission, assessment, campaign, cases, compilation, decisions, evidence, reports, review, rollout, sequence, tasks, usage
-from ..sources import records
+from ..session import shared_dir
+from ..sources import records, states
 from .queries import TARGET, admitted, cohort_members, gated, query
 from .views import view
 
@@ -231,9 +235,25 @@ def restored_cases(s, d):
     return cases.restored_contacts(at.select("contact_key", "position", "v", "semantic_key", changed.alias("private_case"))).groupBy("v").agg(F.count_if("valid").alias("valid"), F.count(F.lit(1)).alias("n"))
 
 
+def frozen(s, domain: str, relations: dict[str, DataFrame]) -> DataFrame:
+    return states.freeze(s, domain, relations, f"{shared_dir(s)}/state-{uuid.uuid4().hex}")
+
+
 @query
 def contact_snapshot(s, d):
-    return cases.contact_snapshot(view(s, d, "contacts_v").select("name", "email"), view(s, d, "followups_v").withColumn("note", F.lit("a note"))).select("fingerprint")
+    return frozen(s, "contacts", {"contacts": view(s, d, "contacts_v").select("name", "email"), "followups": view(s, d, "followups_v").withColumn("note", F.lit("a note"))})
+
+
+@query
+def message_snapshot(s, d):
+    notes = view(s, d, "notes_v")
+    return frozen(s, "mobile_messages", {"messages": notes, "drafts": notes.where("s_suppkey % 5 = 0").select("message_id", F.lit("Thanks, noted.").alias("content"))})
+
+
+@query
+def workspace_snapshot(s, d):
+    items = view(s, d, "items_v")
+    return frozen(s, "workspace_tasks", {"items": items.withColumn("query", records.workspace_query(F.col("kind"), F.col("summary")))})
 
 
 @query
@@ -275,6 +295,44 @@ def tool_definitions(s, d):
     return view(s, d, "contact_cases_v").select("contact_key", "position", cases.public_tools(cases.contact_tools()).alias("tools"))
 
 
+# --- JSON of any depth
+
+
+def nested(s, d) -> DataFrame:
+    return view(s, d, "payloads_v")
+
+
+@query
+def canonical_payloads(s, d):
+    """Every order's payload with a key that repeats, in canonical form."""
+    return nested(s, d).select("k", jsontext.canonical_json(F.replace("payload", F.lit('"n": 2.50'), F.lit('"n": {"x": 1}, "n": 2.50'))).alias("canonical"))
+
+
+@query
+def nested_redaction(s, d):
+    """What every order's payload may show: each value with its path."""
+    leaves = nested(s, d).select("k", F.explode(jsontext.json_leaves(jsontext.sanitized_json("payload"))).alias("leaf"))
+    return leaves.select("k", "leaf.path", "leaf.value")
+
+
+@query
+def unsafe_payloads(s, d):
+    return nested(s, d).select("k", jsontext.unsafe_json("payload").alias("unsafe"), jsontext.unsafe_json(F.to_json(F.struct(F.col("k").alias("name")))).alias("plain"))
+
+
+@query
+def public_events(s, d):
+    """The events of every contact episode with the fields that its tools declare, value by value."""
+    fields = [c for c in EVENT if c not in ("arguments", "observation", "change")]
+    event = F.concat(F.lit("{"), F.concat_ws(",", *[F.when(F.col(c).isNotNull(), F.concat(F.lit(f'"{c}":'), cases.json_string(F.col(c)))) for c in fields], *[F.concat(F.lit(f'"{c}":'), F.col(c)) for c in ("arguments", "observation", "change")]), F.lit("}"))
+    keys = ["contact_key", "position"]
+    held = view(s, d, "contact_events_v").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("idx", event.alias("event")))).alias("events"))
+    shown = held.select(*keys, F.concat(F.lit("["), F.array_join(F.transform("events", lambda e: e["event"]), ","), F.lit("]")).alias("events"))
+    tools = view(s, d, "contact_cases_v").select(*keys, cases.public_tools(cases.contact_tools()).alias("tools"))
+    leaves = shown.join(tools, keys).select(*keys, F.explode(jsontext.json_leaves(jsontext.public_events("events", "tools"))).alias("leaf"))
+    return leaves.select(*keys, "leaf.path", "leaf.value")
+
+
 # --- model output
 
 

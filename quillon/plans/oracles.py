@@ -99,7 +99,7 @@ select status, case when status in ('generating', 'running') then case when has_
 f as (select t.*, (select min(e.idx) from trace_v e where e.conv_id = t.conv_id and e.event_type = 'action' and e.idx % 2 = 1 and e.idx > t.stale) as failure from t),
 g as (select f.*, (select min(e.idx) from trace_v e where e.conv_id = f.conv_id and e.event_type = 'observation' and e.idx > f.failure) as after_failure from f)
 select conv_id, target is not null as direct, coalesce(directory < target, false) as by_directory, coalesce(after_failure < target, false) as by_recovery from g""",
-    "grounded_final": """with f as (select conv_id, content from trace_v where event_type = 'final_response'), v as (select conv_id, substr(content, 1, 4) as value from trace_v where event_type = 'action')
+    "grounded_final": """with f as (select conv_id, content from trace_v where event_type = 'final_response'), v as (select conv_id, content as value from trace_v where event_type = 'action')
 select v.conv_id, bool_and(coalesce(contains(lower(f.content), lower(v.value)), false)) as grounded, count(*) as required from v left join f on f.conv_id = v.conv_id group by v.conv_id""",
     "replay_status": """with c as (select conv_id, idx, event_type, conv_id % 7 <> 0 as executed, conv_id % 7 = 0 or content is distinct from (case when conv_id % 5 = 0 and event_type = 'final_response' then 'other' when conv_id % 3 = 0 and idx = 1 then 'other' else content end) as differs from trace_v),
 s as (select conv_id, bool_or(executed) as executed, bool_or(differs and event_type <> 'final_response') as o, bool_or(differs and event_type = 'final_response') as a from c group by conv_id)

@@ -193,7 +193,7 @@ def routes(s, d):
 @query
 def grounded_final(s, d):
     events = view(s, d, "trace_v")
-    values = events.where("event_type = 'action'").select("conv_id", F.substring("content", 1, 4).alias("value"))
+    values = events.where("event_type = 'action'").select("conv_id", F.col("content").alias("value"))
     return sequence.grounded(sequence.final_response(events), values)
 
 
@@ -243,7 +243,7 @@ def diagnostic_cohort(s, d):
 
 @query
 def heldout_cohort(s, d):
-    return admitted(s, d).where("admitted").select("sequence", F.lit("held_out_all_deterministically_eligible").alias("selection_method"))
+    return review.held_out_cohort(admitted(s, d)).select("sequence", "selection_method")
 
 
 @query

@@ -120,6 +120,9 @@ union all select item_id, position, 6, 'state_change', 'other_tool', null, null,
 union all select item_id, position, 7, 'observation', 'get_workspace_task', null, '{"task_id":"' || task_id || '","project_id":"' || item_id || '","title":"' || new_title || '","priority":"high","due_label":"next_week"}', null, null, null from workspace_texts_v where action = 'create_workspace_task' and route = 'verify' and v <> 11
 union all select item_id, position, 7, 'observation', 'get_workspace_comment', null, '{"comment_id":"' || comment_id || '","task_id":"' || item_id || '","comment":"' || new_comment || '"}', null, null, null from workspace_texts_v where action = 'add_workspace_comment' and route = 'verify' and v <> 11
 union all select item_id, position, 10, 'final_response', null, null, null, null, case when v = 3 then 'nothing' when route = 'missing' then 'The document Archived Roadmap is unavailable.' else 'The ' || kind || ' ' || query || ': ' || new_title || ' high next_week ' || task_id || ' ' || new_comment end, null from workspace_texts_v""",
+    "payloads_v": """
+select o_orderkey as k, '{"z": [1, {"k": ' || cast(o_orderkey as varchar(20)) || ', "b": "' || case when o_orderkey % 3 = 0 then 'see /home/x' else 'fine' end || '"}], "status": "' || o_orderstatus || '", "n": 2.50, "on" : true, "none":null, "Session_id": {"a": [1, 2]}, "provider_id": "p", "sub": {"'
+    || case when o_orderkey % 4 = 0 then 'api_key' else 'plain' end || '": {"deep": "' || case when o_orderkey % 5 = 0 then 'my Password' else 'ok' end || '"}, "list": [[], ["' || case when o_orderkey % 7 = 0 then 'go ~/x' else 'x y' end || '"]]}, "priority": "' || o_orderpriority || '"}' as payload from orders""",
     "runs_v": """
 select s_suppkey as run_id, s_suppkey % 11 = 0 as cancelled, case s_suppkey % 7 when 0 then 'provider_request_budget_exhausted' when 1 then 'scheduler_no_progress' end as stop_reason, case when s_suppkey % 4 <> 0 then 10 + s_suppkey % 20 end as accepted_target,
     s_suppkey % 30 as accepted_count, s_suppkey % 50 as allocated_count, 25 as slot_limit, case when s_suppkey % 5 <> 0 then s_suppkey % 60 end as known_task_capacity from supplier""",

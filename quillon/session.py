@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -30,3 +31,16 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
     return spark
+
+
+_OWN: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A folder that the driver and all executors share: spark.checkpoint.dir, or, where it is unset and all is one process, a local one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="quillon-shared-"))

@@ -1,9 +1,8 @@
-"""Writers of the public artifacts (SNK-1 to SNK-8)."""
+"""Writers of the public artifacts (SNK-1, SNK-4, SNK-5, SNK-7, SNK-10, SNK-11)."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,37 +34,10 @@ def write_collections(episodes: DataFrame, folder: str) -> None:
 
 
 def write_lines(rows: DataFrame, path: str, *order: str) -> None:
-    """SNK-3, SNK-4: JSON lines in files that follow each other by ``order``; nulls are written."""
+    """SNK-4: JSON lines in files that follow each other by ``order``; nulls are written."""
     rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def append_missing(rows: DataFrame, path: str, key: str) -> int:
-    """SNK-3, SNK-9, JN-14: append the rows whose key isn't in the table at ``path`` yet, computed once; how many."""
-    spark = rows.sparkSession
-    try:
-        held = spark.read.parquet(path).select(key)
-        fresh = rows.join(held, key, "left_anti")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        fresh = rows
-    seen = Observation()
-    fresh.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-    return seen.get["n"]
-
-
-def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """SNK-6: path below ``folder``, SHA-256 and bytes of every public file, by path; private folders and hidden files are left out.
-
-    Files are hashed where they are read; a file larger than 2 GB has to be
-    split before.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    inner = F.substring_index(F.col("path"), folder.rstrip("/").split("://")[-1] + "/", -1)
-    public = files.withColumn("file", inner).where(~F.col("file").rlike(r"(^|/)[._]"))
-    return public.select(F.col("file").alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("byte_count")).orderBy("path")
-
-
 def write_report(report: DataFrame, path: str) -> None:
-    """SNK-5 to SNK-7, SNK-10, SNK-11: a report or a manifest, replaced as a whole, in one file: it has a bounded number of rows."""
+    """SNK-5, SNK-7, SNK-10, SNK-11: a report or a manifest, replaced as a whole, in one file: it has a bounded number of rows."""
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -1,4 +1,4 @@
-"""Readers of domain sources and of the engine's record files (SRC-1 to SRC-10, SRC-12 to SRC-19, PRD-12).
+"""Readers of domain sources and of the engine's record files (SRC-1 to SRC-6, SRC-8 to SRC-10, SRC-12 to SRC-19, PRD-12).
 
 Every reader has an explicit schema.  A source that breaks a rule is refused
 whole: the rules' violations are looked for in one job, and SourceError tells
@@ -11,11 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.canon import casefold, stripped
 from ..functions.payload import Payload
 from ..functions.text import note_allowed, reply_allowed, safe_identifier
+from .files import digests, listed, numbered_lines
 
 CONTACTS = "contacts array<struct<name:string,email:string>>, followups array<struct<name:string,note:string>>"
 MESSAGES = "messages array<struct<message_id:string,sender:string,body:string>>, reminders array<struct<message_id:string,reminder_text:string,remind_at:string>>, drafts array<struct<message_id:string,content:string>>"
@@ -127,13 +127,6 @@ def read_workspace(spark: SparkSession, path: str) -> DataFrame:
     return checked(items, rules).withColumn("query", workspace_query(F.col("kind"), F.col("summary")))
 
 
-def read_frozen_contacts(spark: SparkSession, contents: str) -> tuple[DataFrame, DataFrame]:
-    """SRC-7: contacts and followups of a canonical state (DM-14), as text."""
-    state = spark.createDataFrame([(contents,)], "contents string").select(F.from_json("contents", f"struct<{CONTACTS.replace(' array', ':array')}>".replace(", followups:", ",followups:")).alias("s"))
-    rows = lambda name: state.select(F.explode(f"s.{name}").alias("r")).select("r.*")
-    return rows("contacts"), rows("followups")
-
-
 def fixtures(spark: SparkSession) -> dict[str, DataFrame]:
     """SRC-8: the built-in sources, by domain and relation."""
     contacts = spark.createDataFrame(FIXTURE_CONTACTS, "name string, email string")
@@ -186,14 +179,9 @@ def read_cohorts(spark: SparkSession, path: str) -> DataFrame:
     return checked(cohorts, rules)
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-10: scripted responses (position, content) in the order of dispatch, which is that of the lines of one file.
-
-    The file is one text value, so that lines keep their numbers.
-    """
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "content"))
-    kept = lines.where(~blank(F.col("content")))
-    rows = kept.withColumn("position", F.row_number().over(Window.orderBy("line")) - 1).select("position", "content")
+def read_responses(spark: SparkSession, *paths: str) -> DataFrame:
+    """SRC-10: scripted responses (position, content) in the order of dispatch, which is that of the lines, file after file by name."""
+    rows = numbered_lines(spark, *paths)
     return checked(rows, {"lines are JSON objects": rows.where(~F.coalesce(Payload(F.col("content")).object, F.lit(False)))})
 
 
@@ -251,6 +239,6 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, path: str, digest: str) -> DataFrame:
-    """SRC-15: a frozen state file whose bytes must have the given ``sha256:`` digest."""
-    found = spark.read.format("binaryFile").load(path).select(F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("digest"), "content")
+    """SRC-15: the digest of a frozen state file of any size (streamed), which must be the given one (``sha256:``)."""
+    found = digests(listed(spark, path)).select(F.concat(F.lit("sha256:"), "sha256").alias("digest"), "path", "byte_count")
     return checked(found, {"the snapshot is the frozen one": found.where(F.col("digest") != digest).select("digest")})

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.operators import rollout, tasks
-from quillon.sources import artifacts, records
+from quillon.sources import artifacts, files, keyed, records, states
 from quillon.streaming.requests import ingest, usage_windows
 
 
@@ -104,10 +104,8 @@ def test_artifacts_and_manifest(spark, tmp_path):
     (tmp_path / "run" / ".private").mkdir()
     (tmp_path / "run" / ".private" / "x").write_text("secret")
     (tmp_path / "run" / "report.json").write_text("{}")
-    got = {r["path"]: (r["sha256"], r["byte_count"]) for r in artifacts.manifest(spark, folder).collect()}
+    got = {r["path"]: (r["sha256"], r["byte_count"]) for r in files.manifest(spark, folder).collect()}
     assert got["report.json"] == (hashlib.sha256(b"{}").hexdigest(), 2) and not any("private" in p for p in got)
-    path = str(tmp_path / "judgments")
-    assert [artifacts.append_missing(rows, path, "sequence"), artifacts.append_missing(rows, path, "sequence")] == [9, 0]
     artifacts.write_lines(rows, str(tmp_path / "lines"), "sequence")
     assert spark.read.text(str(tmp_path / "lines")).where(F.col("value").contains('"reason":null')).count() == 9
 
@@ -190,3 +188,105 @@ def test_streams(spark, tmp_path):
     ingest(stream(), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(60)
     ingest(stream(), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_digests_stream_files_of_any_size(spark, tmp_path):
+    """A sparse file beyond what one value can hold."""
+    size = (1 << 31) + 12_345
+    with open(tmp_path / "large", "wb") as out:
+        out.truncate(size)
+        out.seek(size - 3)
+        out.write(b"end")
+    want, block = hashlib.sha256(), bytes(1 << 20)
+    left = size - 3
+    while left:
+        want.update(block[: min(left, len(block))])
+        left -= min(left, len(block))
+    want.update(b"end")
+    (tmp_path / "small name é.txt").write_bytes(b"x")
+    got = {r["path"]: (r["sha256"], r["byte_count"]) for r in files.manifest(spark, str(tmp_path)).collect()}
+    assert got == {"large": (want.hexdigest(), size), "small name é.txt": (hashlib.sha256(b"x").hexdigest(), 1)}
+    assert records.read_snapshot(spark, str(tmp_path / "large"), "sha256:" + want.hexdigest()).first()["byte_count"] == size
+
+
+def test_lines_keep_their_order_over_blocks_and_files(spark, tmp_path):
+    want = []
+    for name in ("a", "b", "c"):
+        lines = [f"{name}{k} " + "x" * (k % 97) if k % 5 else " \t" for k in range(3000)]
+        (tmp_path / name).write_text("\n".join(lines))
+        want += [x for x in lines if x.strip()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        rows = files.numbered_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 3
+        assert [r["content"] for r in sorted(rows.collect(), key=lambda r: r["position"])] == want and {r["position"] for r in rows.collect()} == set(range(len(want)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert files.numbered_lines(spark, str(tmp_path / "a"), str(tmp_path / "c")).count() == 4800
+
+
+def test_states_of_three_domains(spark, tmp_path):
+    """Fingerprints are those of the state as one JSON object; relations come back as they were."""
+    people = [(f"Né {k:03}", f"n{k}@x.test") for k in range(300)]
+    told = {
+        "contacts": {"contacts": ("name string, email string", people), "followups": ("name string, note string", [("Né 007", 'a "note"\n')])},
+        "mobile_messages": {"messages": ("message_id string, sender string, body string", [("m2", "s", "b"), ("m1", "t", "ü")]), "drafts": ("message_id string, content string", [("m1", "Thanks")])},
+        "workspace_tasks": {"items": ("item_id string, kind string, summary string, project_id string, query string", [("p", "project", "P", None, "p"), ("d", "document", "D", "p", "d")])},
+    }
+    for domain, relations in told.items():
+        frames = {n: spark.createDataFrame(rows, schema).repartition(4) for n, (schema, rows) in relations.items()}
+        folder = str(tmp_path / domain)
+        got = states.freeze(spark, domain, frames, folder).first()
+        fields = {n: [f.split()[0] for f in schema.split(", ")] for n, (schema, _) in relations.items()}
+        whole = {n: sorted((dict(zip(fields[n], r, strict=True)) for r in relations[n][1]), key=lambda r: r[states.SECTIONS[n][0]]) if n in relations else [] for n in states.DOMAINS[domain]}
+        text = json.dumps(whole, sort_keys=True, separators=(",", ":")).encode()
+        assert (got["fingerprint"], got["byte_count"]) == ("sha256:" + hashlib.sha256(text).hexdigest(), len(text))
+        back = states.thaw(spark, domain, folder)
+        assert {n: sorted((r.asDict() for r in f.collect()), key=str) for n, f in back.items()} == {n: sorted(rows, key=lambda r: str({c: r[c] for c in states.SECTIONS[n]})) for n, rows in whole.items()}
+
+
+def test_rows_are_replaced_by_key(spark, tmp_path):
+    path, rows = str(tmp_path / "t"), lambda *r: spark.createDataFrame(list(r), "id int, status string")
+    held = lambda: {r["id"]: r["status"] for r in keyed.read_keyed(spark, path).collect()}
+    assert keyed.read_keyed(spark, path) is None
+    assert keyed.upsert(rows((1, "a"), (2, "b")), path, "id") == 1 and keyed.upsert(rows((2, "c"), (3, "d")), path, "id") == 2 and held() == {1: "a", 2: "c", 3: "d"}
+    assert keyed.insert_missing(rows((3, "z"), (4, "e"), (4, "e")), path, "id") == 3 and keyed.insert_missing(rows((4, "z")), path, "id") == 4 and held() == {1: "a", 2: "c", 3: "d", 4: "e"}
+    keyed.with_status(spark, path, rows((1, "done"), (9, "x")), "id")
+    keyed.delete(rows((2, None)), path, "id")
+    assert held() == {1: "done", 3: "d", 4: "e"} and keyed.read_keyed(spark, path).count() == 3
+    with pytest.raises(ValueError, match="repeats"):
+        keyed.upsert(rows((1, "a"), (1, "b")), path, "id")
+    with pytest.raises(ValueError, match="no such table"):
+        keyed.delete(rows((1, None)), str(tmp_path / "none"), "id")
+
+
+def test_a_second_writer_begins_again(spark, tmp_path):
+    """Another writer's version comes between reading and claiming; neither change is lost."""
+    path, rows = str(tmp_path / "t"), lambda *r: spark.createDataFrame(list(r), "id int, status string")
+    keyed.upsert(rows((1, "a")), path, "id")
+    calls = []
+
+    def slow(held):
+        calls.append(held.count())
+        if len(calls) == 1:
+            keyed.upsert(rows((2, "other")), path, "id")
+        return held.unionByName(rows((3, "mine")))
+
+    assert keyed.changed(spark, path, slow) == 3 and calls == [1, 2]
+    assert {r["id"] for r in keyed.read_keyed(spark, path).collect()} == {1, 2, 3}
+    (tmp_path / "t" / "_versions" / f"{4:012d}").write_text("")
+    with pytest.raises(RuntimeError, match="writer was lost"):
+        keyed._newest(spark, path, tries=2)
+
+
+def test_case_folding_is_unicodes(spark):
+    """Every code point, alone and between letters."""
+    import sys
+
+    from quillon.functions.canon import casefold
+
+    points = [chr(k) for k in range(1, sys.maxunicode + 1) if not 0xD800 <= k < 0xE000]
+    texts = points[:0x3000] + ["a" + "".join(points[k : k + 50]) + "Z" for k in range(0x3000, len(points), 50)] + ["", "ABC", "Straße ﬀ İ ŉ ΐ"]
+    got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", casefold(F.col("t")).alias("f")).collect()
+    assert all(r["f"] == texts[r["k"]].casefold() for r in got)
