@@ -239,7 +239,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block:
     Null and empty texts have no shingle and link with nothing; repeated rows
     have equal sets and so link; a null id is reached through but is a
     component's id only where there is no other.  Texts of any length are read
-    whole; an empty table gives none.  Shingles are 64-bit hashes, sets are
+    whole; an empty table gives none; other columns don't matter.  Shingles are 64-bit hashes, sets are
     equal if their 128-bit signatures and sizes are.
     """
     with scratch(docs.sparkSession):

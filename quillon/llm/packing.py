@@ -200,6 +200,11 @@ def wide_ids(ids: pd.Series, length: pd.Series) -> pd.Series:
 
 
 def pack_documents(docs: DataFrame, ranks: str, pattern: str, capacity: int = 1024, end: int = 2) -> DataFrame:
-    """Tokenize, cut and pack ``docs`` (doc_id, text): the columns of token_pieces(), with 32-bit ids, and each piece's sequence_id and offset."""
+    """Tokenize, cut and pack ``docs`` (doc_id, text): the columns of token_pieces(), with 32-bit ids, and each piece's sequence_id and offset.
+
+    Texts of any length are tokenized whole and cut into pieces; null and empty
+    ones are a document of the end token alone; repeated rows and null ids are
+    documents each; an empty table gives no rows; other columns don't matter.
+    """
     packed = pack(written(token_pieces(docs, ranks, pattern, capacity, end), "pieces"), capacity)
     return packed.withColumn("ids", wide_ids("ids", "length"))

@@ -25,7 +25,7 @@ def shuffle_shards(df: DataFrame, shards: int, seed: int = 7, size: str | None =
     rows equal in every column overfill is permuted in blocks of 4 x
     ``bucket_rows``.  Shards' row counts differ by one at most.
 
-    Nulls hash like any value; empty tables give none; repeated rows each get a
+    Texts of any length move whole.  Nulls hash like any value; empty tables give none; repeated rows each get a
     place.  Columns of ``df`` named ``shard`` or ``slot`` are replaced, names
     that begin with ``__q_`` are taken.
     """

@@ -129,7 +129,8 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], li
     suffix's, then the one over everything; ports and dots at a host's end
     don't count there, and addresses have neither domain nor suffix.
     ``suffixes`` are those of more than one label.  Null and malformed URLs have empty
-    host and path and are judged like any host.  Columns of these names in
+    host and path and are judged like any host; URLs of any length are read
+    whole; repeated rows are judged alike; an empty table gives no rows.  Columns of these names in
     ``pages`` are replaced.  The reputation tables hold a row for each host;
     they are joined, never collected; hot hosts are one row there, and the join
     is one that Spark splits by itself.

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hot import join_totals
 from .storage import new_path, written
 
 CAPTURES = "page_id long, key string, record_type string, payload_bytes long, payload_digest string, refers_to long, refers_key string"
@@ -59,7 +60,7 @@ def captures(pages: DataFrame, least: int) -> DataFrame:
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.octet_length("payload").cast("long"))
     narrow = rows.where(F.col("bytes") >= least).select("page_id", "key", "digest")
     last = narrow.groupBy("digest").agg(F.max(F.struct("page_id", "key")).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "last")
-    marked = narrow.join(last, "digest").where(F.coalesce(F.col("last.page_id") != F.col("page_id"), F.col("last.page_id").isNotNull()))
+    marked = join_totals(narrow, last, "digest").where(F.coalesce(F.col("last.page_id") != F.col("page_id"), F.col("last.page_id").isNotNull()))
     markers = marked.select("key", "digest", F.col("last.page_id").alias("refers_to"), F.col("last.key").alias("refers_key"), F.lit(0).alias("kind"))
     return rows.withColumn("kind", F.lit(1)).unionByName(markers, allowMissingColumns=True)
 
@@ -273,7 +274,10 @@ def round_trip(pages: DataFrame, least: int = 1000) -> DataFrame:
 
     page_id, payload_bytes, payload_digest, record_type and refers_to, a row
     for each page.  Rows that share the largest id of a group of equal payloads
-    are all responses; null ids are smaller than any.
+    are all responses; null ids are smaller than any.  Null and empty pages
+    have an empty payload and are responses; payloads of any length are written
+    and read whole; an empty table gives no rows; other columns of ``pages``
+    don't matter.
     """
     folder = new_path(pages.sparkSession, "warc")
     directory = write_archives(pages, folder, least)
