@@ -55,14 +55,14 @@ def final(text: Column | str) -> Column:
 
 
 def responded(at: DataFrame, domain: str, keys: list[str], *steps: tuple[Column, Column]) -> DataFrame:
-    """``at`` with ``responses``: those of ``steps`` (whether, JSON text) that an agent gave, read as decisions; a null text is a request that timed out."""
+    """``at`` with ``responses``: those of ``steps`` (whether, JSON text) that an agent gave, read as decisions, null where it gave none; an empty text is a request that timed out."""
     given = F.array_compact(F.array(*[F.when(taken, F.struct(F.when(content != "", content).alias("content"), F.when(content == "", "provider_timeout").alias("error_code"))) for taken, content in steps]))
     # Dealt once, by what responses are gathered by later; by number, since few bytes of cases become many of responses.
     at = at.repartition(int(at.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     rows = at.select(*keys, F.posexplode(given).alias("idx", "r")).select(*keys, "idx", "r.*")
     read = rollout.read_decisions(rows, cases.input_schemas(domain)).withColumn("found", F.lit(None).cast("map<string,string>"))
     fields = F.struct("idx", "kind", "tool_name", "arguments", "call_error", "shown", "final_content", "unsafe", "error_code", "found")
-    return at.join(read.groupBy(*keys).agg(F.array_sort(F.collect_list(fields), lambda a, b: a["idx"] - b["idx"]).alias("responses")), keys)
+    return at.join(read.groupBy(*keys).agg(F.array_sort(F.collect_list(fields), lambda a, b: a["idx"] - b["idx"]).alias("responses")), keys, "left")
 
 
 def malformed(v: Column) -> list[tuple[Column, Column]]:
