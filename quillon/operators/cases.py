@@ -17,7 +17,7 @@ from ..functions.jsontext import dumped
 from ..functions.payload import Payload, first_reason
 from ..functions.schemas import definition, tools_json
 from ..functions.text import comment_allowed, negated_action, negated_text, note_allowed, reply_allowed
-from .tasks import contact_slots
+from .tasks import WORKSPACE_SPECS, contact_slots
 
 # By kind of contact task its action, route and note constraint; the note of an exact one.
 CONTACT_CASES = {
@@ -203,11 +203,42 @@ def message_cases(slots: DataFrame, messages: DataFrame) -> DataFrame:
         "action": F.col("action"), "route": F.col("route"), "query": F.when(searches, F.col("query")), "message_query": F.when(~searches, F.col("query")), "condition": F.when(~searches, "after_message_match"), "reminder_text": F.col("reminder_text"), "remind_at": F.col("remind_at"),
         "reply_constraint": F.when(drafts, F.col("reply_constraint")), "reply": F.col("exact_reply"),
     })
-    names = ("action", "body", "exact_reply", "message_id", "remind_at", "reminder_text", "reply_constraint", "route", "sender")
-    private = canonical({c: F.col(c).cast("string") for c in names})
+    private = message_private()
     return at.withColumns({"payload": payload, "proposal_prompt": prompt(payload), "instruction": message_instruction(), "tools": message_tools(), "private_case": private, "semantic_key": semantic_key("mobile_messages", private)})
 
 
+MESSAGE_FIELDS = ("action", "body", "exact_reply", "message_id", "remind_at", "reminder_text", "reply_constraint", "route", "sender")
+
+
+def message_private() -> Column:
+    """DM-8: a message case's private record, of which the key is made too."""
+    return canonical({c: F.col(c).cast("string") for c in MESSAGE_FIELDS})
+
+
+def optional_text(p: Payload, *names: str) -> Column:
+    """Whether each field is a string, null or missing."""
+    return reduce(lambda a, b: a & b, [F.coalesce(p.type_of(n).isin("STRING", "VOID"), F.lit(True)) for n in names])
+
+
+def restored(cases: DataFrame, fields: dict[str, Column], parsed: Column, valid: Column) -> DataFrame:
+    """``cases`` with the ``fields`` of their private_case, and whether it is ``valid`` (a condition over these and ``__ok``, which ``parsed`` fills)."""
+    at = cases.select(*[F.col(c) for c in cases.columns if c not in fields], *[v.alias(k) for k, v in fields.items()], F.coalesce(parsed, F.lit(False)).alias("__ok"))
+    return at.withColumn("valid", F.col("__ok") & F.coalesce(valid, F.lit(False))).drop("__ok")
+
+
+def restored_messages(cases: DataFrame) -> DataFrame:
+    """DM-8: whether each message case's ``private_case`` has a shape that some task has, and the key that it is stored with (``semantic_key``)."""
+    p = Payload(F.col("private_case"))
+    fields = {n: p.text(n) for n in MESSAGE_FIELDS}
+    action, rule, reply, text, when = (F.col(c) for c in ("action", "reply_constraint", "exact_reply", "reminder_text", "remind_at"))
+    shape = reduce(lambda a, b: a | b, [(action == a) & (F.col("route") == r) & (rule == n) for a, r, n in MESSAGE_CASES.values()])
+    named = F.col("message_id").isNotNull() & F.col("sender").isNotNull() & F.col("body").isNotNull()
+    told = F.when(action == "create_reminder", text.isNotNull() & when.isNotNull()).otherwise(text.isNull() & when.isNull())
+    said = F.when(rule == "exact", reply_allowed(reply)).otherwise(reply.isNull())
+    key = semantic_key("mobile_messages", message_private()) == F.col("semantic_key")
+    return restored(cases, fields, p.object & optional_text(p, "reminder_text", "remind_at", "exact_reply"), named & shape & told & said & key)
+
+
 def message_instruction() -> Column:
     query, sender, route = F.col("query"), F.col("sender"), F.col("route")
     found = F.concat(F.lit('the message that mentions "'), query, F.lit('".'))
@@ -265,15 +296,47 @@ def workspace_cases(slots: DataFrame, items: DataFrame) -> DataFrame:
         "priority": F.col("priority"), "project_kind": F.when(tasks, F.col("kind")), "project_query": F.when(tasks, F.col("query")), "title": F.col("title"), "task_constraint": F.when(tasks & F.col("title").isNull(), F.col("task_constraint")),
         "comment_constraint": F.when(comments, F.col("comment_constraint")), "task_kind": F.when(comments, F.col("kind")), "task_query": F.when(comments, F.col("query")), "comment": F.col("exact_comment"),
     })
-    target = F.when(F.col("item_id").isNotNull(), canonical({c: F.col(c) for c in ("item_id", "kind", "project_id", "query", "summary")}))
-    names = ("action", "comment_constraint", "due_label", "exact_comment", "missing_kind", "missing_query", "priority", "route", "task_constraint", "title")
-    private = canonical({c: F.col(c) for c in names} | {"target": target}, nested=("target",))
+    target, private = workspace_target(), workspace_private()
     component = F.coalesce(target, canonical({"kind": F.lit(MISSING_KIND), "query": F.col("missing_query")}))
     slot = F.concat(F.lit("workspace-"), spec, F.lit("-item-"), F.substring(sha(component), 1, 24))
     at = at.withColumn("private_case", private).withColumns({"payload": payload, "proposal_prompt": prompt(payload), "instruction": workspace_instruction(), "tools": workspace_tools(), "semantic_key": semantic_key("workspace_tasks", F.col("private_case"))})
     return at.withColumn("slot_id", slot)
 
 
+ITEM_FIELDS = ("item_id", "kind", "project_id", "query", "summary")
+WORKSPACE_FIELDS = ("action", "comment_constraint", "due_label", "exact_comment", "missing_kind", "missing_query", "priority", "route", "task_constraint", "title")
+
+
+def workspace_target() -> Column:
+    return F.when(F.col("item_id").isNotNull(), canonical({c: F.col(c) for c in ITEM_FIELDS}))
+
+
+def workspace_private() -> Column:
+    """DM-8: a workspace case's private record, of which the key is made too."""
+    return canonical({c: F.col(c) for c in WORKSPACE_FIELDS} | {"target": workspace_target()}, nested=("target",))
+
+
+def restored_workspace(cases: DataFrame) -> DataFrame:
+    """DM-8: whether each workspace case's ``private_case`` is one that a task makes of its target, and has the key that it is stored with (``semantic_key``)."""
+    p = Payload(F.col("private_case"))
+    q = Payload(None, F.try_variant_get(p.value, "$.target", "variant"))
+    fields = {n: p.text(n) for n in WORKSPACE_FIELDS} | {n: q.text(n) for n in ITEM_FIELDS}
+    parsed = p.object & optional_text(p, "due_label", "exact_comment", "missing_kind", "missing_query", "priority", "title") & (q.object | F.coalesce(p.type_of("target") == "VOID", F.lit(True))) & optional_text(q, "project_id")
+    c, missing, direct = F.col, F.col("route") == "missing", F.col("route") == "direct"
+    item = c("item_id").isNotNull() & c("kind").isNotNull() & c("query").isNotNull() & c("summary").isNotNull()
+    kinds = {spec: (kind, fallback) for spec, _, kind, fallback, _ in WORKSPACE_SPECS}
+    spec = lambda n, a, r, t, m: (c("action") == a) & (c("route") == r) & (c("task_constraint") == t) & (c("comment_constraint") == m) & (F.lit(True) if kinds[n][1] or kinds[n][0] is None else c("kind") == kinds[n][0])
+    shape = reduce(lambda a, b: a | b, [spec(n, *row) for n, row in WORKSPACE_CASES.items()])
+    same = lambda name, value: c(name).eqNullSafe(value)
+    tasks, none = c("action") == "create_workspace_task", F.lit(None).cast("string")
+    title = F.concat(F.lit("Prepare "), c("summary"), F.when(direct, " retrospective").otherwise(" review"))
+    made = (
+        same("title", F.when(tasks & (c("task_constraint") == "exact"), title)) & same("priority", F.when(tasks, F.when(direct, "high").otherwise("medium"))) & same("due_label", F.when(tasks, F.when(direct, "next_week").otherwise("later")))
+        & same("exact_comment", F.when(c("comment_constraint") == "exact", F.concat(F.lit("Status: "), c("query"), F.lit(" is ready for review.")))) & same("missing_kind", F.when(missing, MISSING_KIND)) & F.when(missing, c("missing_query").isNotNull() & c("item_id").isNull()).otherwise(same("missing_query", none) & item)
+    )
+    return restored(cases, fields, parsed, shape & made & (semantic_key("workspace_tasks", workspace_private()) == c("semantic_key")))
+
+
 def workspace_instruction() -> Column:
     kind, query, route = F.col("kind"), F.col("query"), F.col("route")
     found = F.concat(F.lit("workspace "), kind, F.lit(' that matches "'), query, F.lit('".'))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .admission import GATES
+from .review import label_summary
 
 
 def _section(df: DataFrame, section: str, name: Column, *counts: tuple[str, Column]) -> DataFrame:
@@ -16,12 +17,14 @@ def _section(df: DataFrame, section: str, name: Column, *counts: tuple[str, Colu
     return df.select(F.lit(section).alias("section"), name.alias("key"), stacked).select("section", F.when(F.col("c.label") == "", F.col("key")).otherwise(F.concat_ws(".", "key", "c.label")).alias("name"), F.col("c.n").alias("n"))
 
 
-def quality_counts(episodes: DataFrame, judgments: DataFrame, allocated: int | None = None, capacity: int | None = None) -> DataFrame:
+def quality_counts(episodes: DataFrame, judgments: DataFrame, allocated: int | None = None, capacity: int | None = None, usage: DataFrame | None = None, members: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
     """AG-9 to AG-11: the report's counts, in rows (section, name, n); it has no scores, only counts.
 
     ``episodes``: admitted, collection, reason_code, structural_key,
-    coverage_tags, gates; ``judgments``: availability, verdict.  One aggregate
-    over the episodes, one for families and one for the judgments.
+    coverage_tags, gates; ``judgments``: availability, verdict; ``usage``: role
+    and counts; ``members`` and ``labels``: as of review.label_summary(), for
+    the sections of review.  One aggregate over the episodes, one for families
+    and one for the judgments.
     """
     admitted = F.col("collection") == "demonstrations"
     recovery = F.coalesce(F.array_contains("coverage_tags", "recovery"), F.lit(False))
@@ -38,6 +41,21 @@ def quality_counts(episodes: DataFrame, judgments: DataFrame, allocated: int | N
         _section(episodes.where("structural_key is not null").groupBy("collection", "structural_key").agg(F.count(F.lit(1)).alias("n")), "structural_family", F.concat_ws(".", "collection", "structural_key"), ("", F.col("n"))),
         _section(judgments.groupBy("availability").agg(F.count(F.lit(1)).alias("n")), "judgment_availability", F.col("availability"), ("", F.col("n"))), _section(judgments.groupBy("verdict").agg(F.count(F.lit(1)).alias("n")), "judgment_verdict", F.col("verdict"), ("", F.col("n"))),
     ]
+    uncertain = judgments.agg(F.count_if(F.col("verdict") == "unavailable").alias("n"))
+    parts += [
+        _section(one, "demonstration_yield", none, ("numerator", a), ("denominator", n)), _section(one, "capacity_known", none, ("", F.lit(int(capacity is not None)))), _section(one, "review_status", none, ("unreviewed", n)),
+        _section(uncertain, "judgment", none, ("unavailable_as_uncertain_count", F.col("n"))),
+    ]
+    if usage is not None:
+        parts.append(_section(usage, "usage", F.col("role"), *[(c, F.col(c)) for c in usage.columns if c != "role"]))
+    if members is not None:
+        summary = label_summary(members, labels, approved=False)
+        verdicts = [(v, F.col(f"{v}_count")) for v in ("pass", "fail", "uncertain")]
+        accepted = [(c, F.col(f"evaluation_{c}")) for c in ("denominator", "reviewed_count", "human_pass_count", "incomplete_count")]
+        parts += [
+            _section(summary, "label_import_status", F.col("status"), ("", F.lit(1))), _section(summary, "human_verdict", none, *verdicts), _section(summary, "demonstration_acceptance", none, *accepted),
+            _section(members.groupBy("cohort_id").agg(F.count(F.lit(1)).alias("n")), "cohort_members", F.col("cohort_id"), ("", F.col("n"))),
+        ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -75,6 +75,11 @@ def interleaved(items: DataFrame, kinds: list[str], limit: int = SLOT_LIMIT) ->
     return first.withColumn("target_index", F.col("__n") - 1).drop("__n").withColumn("spec_position", order[F.col("kind")])
 
 
+def slots_by_id(asked: DataFrame, slots: DataFrame) -> DataFrame:
+    """JN-23: ``asked`` (slot_id and what else) with the slot that each id names; ``known`` tells whether there is one.  Any number of ids is one join, whatever a slot's id says."""
+    return asked.join(slots.withColumn("known", F.lit(True)), "slot_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
 def foreign_key_violations(items: DataFrame, kind: str, parent: str) -> DataFrame:
     """SRC-6, JN-14: items of ``kind`` whose parent isn't there."""
     parents = items.where(F.col("kind") == parent).select(F.col("item_id").alias("project_id"))

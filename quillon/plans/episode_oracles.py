@@ -222,7 +222,7 @@ _TOOLS = """select contact_key, position, '[' || concat_ws(',', {look}, case whe
 )
 
 
-def sql(admitted: str, gated: str, verdicts: str, members: str) -> dict[str, str]:
+def sql(admitted: str, gated: str, verdicts: str, members: str, usage: str, slots: str) -> dict[str, str]:
     """The SQL by query, over the common table expressions of admission and review."""
     gates = ("execution", "mutation_authorization", "assessment", "final_grounding", "unsafe_material")
     names = [g.removeprefix("mutation_") for g in gates]
@@ -234,6 +234,11 @@ def sql(admitted: str, gated: str, verdicts: str, members: str) -> dict[str, str
         line("recovery", "negative_recovery_count", "count(*) filter (not admitted and recovery)"), line("admission_status", "admitted", "count(*) filter (admitted)"), line("admission_status", "rejected", "count(*) filter (not admitted)"), *[line("gate_pass", n, v) for n, v in passes],
         *[line("gate_failure", n, f"count(*) - {v}") for n, v in passes], "select 'structural_family', collection || '.' || structural_key, count(*) from adm group by all",
         "select 'judgment_availability', case when judge_verdict = 'unavailable' then 'unavailable' else 'available' end, count(*) from evidence_v group by all", "select 'judgment_verdict', judge_verdict, count(*) from evidence_v group by all",
+        line("demonstration_yield", "numerator", "count(*) filter (admitted)"), line("demonstration_yield", "denominator", "count(*)"), "select 'capacity_known', null, 1", line("review_status", "unreviewed", "count(*)"), line("judgment", "unavailable_as_uncertain_count", "count(*) filter (judge_verdict = 'unavailable')", "evidence_v"),
+        "select 'usage', role || '.' || name, n from usg unpivot include nulls (n for name in (request_count, retry_count, repair_count, known_total_tokens, unknown_usage_count, reserved_count, failed_count, completed_count))",
+        "select 'label_import_status', case when (select count(*) from members) = 0 then 'not_started' when (select count(*) from members) = (select count(*) from lab) then 'complete' else 'incomplete' end, 1", *[line("human_verdict", v, f"count(*) filter (verdict = '{v}')", "lab") for v in ("pass", "fail", "uncertain")],
+        line("demonstration_acceptance", "denominator", "count(distinct episode_id)", "held"), line("demonstration_acceptance", "reviewed_count", "count(*)", "lab where cohort_id = 'cohort0'"), line("demonstration_acceptance", "human_pass_count", "count(*)", "lab where cohort_id = 'cohort0' and verdict = 'pass'"),
+        "select 'demonstration_acceptance', 'incomplete_count', (select count(distinct episode_id) from held) - (select count(*) from lab where cohort_id = 'cohort0')", "select 'cohort_members', cohort_id, count(*) from members group by cohort_id",
     ]
     group = lambda *parts: "'sha256:' || sha256('[\"" + "\",\"' || ".join([parts[0], *[f"{p} || '" for p in parts[1:]]]) + "\"]')"
     campaign_results = f"""{admitted}, ep as (select *, case when sequence % 89 <> 0 then 2 else 0 end as requests from adm), r1 as (select *, row_number() over (partition by domain_id order by sequence) as ordinal from ep where admitted), sel as (select * from r1 where ordinal <= 40),
@@ -269,7 +274,13 @@ decided as (select domain_id, case when run_status is null then 'not_run' when s
         "work_states": """select case when sequence % 4 = 0 then 'terminal' when sequence % 7 = 0 then case when sequence % 2 = 0 then 'generating' else 'running' end when sequence % 3 = 0 then 'compiled' else 'pending' end as status, sequence % 3 = 0 as has_case, count(*) as n from episodes_v group by all""",
         "run_attempts": f"""with {admitted}, e as (select * from adm where sequence % 6 <> 0) select v.domain_id, count(*) as attempt_count, count(e.sequence) as terminal_count, count(*) filter (e.admitted) as accepted_count, count(*) filter (not e.admitted) as negative_count, count(*) - count(e.sequence) as incomplete_count
     from episodes_v v left join e on e.sequence = v.sequence group by v.domain_id""",
-        "quality_counts": f"with {admitted} " + " union all ".join(counts),
+        "quality_counts": f"with {admitted}, {verdicts}, {members}, lab as (select m.*, v.verdict from members m join verdicts v using (episode_id)), held as (select * from members where cohort_id = 'cohort0'), usg as (select role, {usage} from requests_v group by role) " + " union all ".join(counts),
+        "restored_messages": "select v, count(*) filter (v not in (1, 2, 3, 4, 5)) as valid, count(*) as n from message_cases_v group by v",
+        "restored_workspace": f"""with u as (select * from (select *, {_QUERY} as query from items_v) q qualify count(*) over (partition by kind, query) = 1), k as (select kind, row_number() over (partition by kind order by item_id) - 1 as n from u),
+p(spec, wanted) as (values ('search-direct', 'document'), ('search-directory', 'project'), ('search-recovery', 'task'), ('task-direct', 'project'), ('task-verified', 'project'), ('comment-direct', 'task'), ('comment-recovery', 'task'), ('comment-verified', 'task')),
+t as (select n as target_index from (select n, position from (select k.n, row_number() over (partition by k.n) as position from p join k on k.kind = p.wanted) x union all select 0, 0) y order by n limit 10000)
+select cast(target_index % 6 as integer) as v, count(*) filter (target_index % 6 = 0) as valid, count(*) as n from t group by 1""",
+        "slot_lookup": f"""with {slots}, a as (select slot_id, name, position from slots) select a.slot_id || case when h then '-x' else '' end as slot_id, case when not h then name end as name, case when not h then position end as position, not h as known from (select *, sha256(slot_id) < '4' as h from a) a""",
         "domain_results": f"with {campaign_results} select * exclude (selected) from results",
         "domain_decisions": f"with {campaign_results}, {decisions} select * from decided",
         "campaign_decision": f"""with {campaign_results}, {decisions}, t as (select sum(denominator) as n, sum(reviewed_count) as r, sum(human_pass_count) as p, sum(critical_safety_failure_count) as c, sum(selected_count) as x, bool_and(status = 'passed') as every, sum(known_total_tokens) as tokens, bool_or(unknown_usage_request_count > 0) as unknown from decided)

@@ -235,6 +235,35 @@ def restored_cases(s, d):
     return cases.restored_contacts(at.select("contact_key", "position", "v", "semantic_key", changed.alias("private_case"))).groupBy("v").agg(F.count_if("valid").alias("valid"), F.count(F.lit(1)).alias("n"))
 
 
+def tampered(v: Column, record: Column, key: Column) -> dict[str, Column]:
+    """A private record with its key: as made, with another route, no object, a number for a text, another key, or with nothing in it."""
+    route = F.replace(record, F.lit('"route":"'), F.lit('"route":"x'))
+    return {"private_case": F.when(v == 1, route).when(v == 2, "[]").when(v == 3, F.regexp_replace(record, '"action":"[a-z_]*"', '"action":5')).when(v == 5, "{}").otherwise(record), "semantic_key": F.when(v == 4, F.concat(key, F.lit("x"))).otherwise(key)}
+
+
+@query
+def restored_messages(s, d):
+    made = view(s, d, "message_cases_v").withColumn("private", cases.message_private())
+    at = made.select("message_id", "position", "v", *[c.alias(n) for n, c in tampered(F.col("v"), F.col("private"), cases.semantic_key("mobile_messages", F.col("private"))).items()])
+    return cases.restored_messages(at.withColumnRenamed("message_id", "asked")).groupBy("v").agg(F.count_if("valid").alias("valid"), F.count(F.lit(1)).alias("n"))
+
+
+@query
+def restored_workspace(s, d):
+    items = view(s, d, "items_v").withColumn("query", records.workspace_query(F.col("kind"), F.col("summary")))
+    made = cases.workspace_cases(tasks.workspace_slots(items, True), items).withColumn("v", F.col("target_index") % 6)
+    at = made.select("slot_id", "v", *[c.alias(n) for n, c in tampered(F.col("v"), F.col("private_case"), F.col("semantic_key")).items()])
+    return cases.restored_workspace(at).groupBy("v").agg(F.count_if("valid").alias("valid"), F.count(F.lit(1)).alias("n"))
+
+
+@query
+def slot_lookup(s, d):
+    """The slots that ids name: those of every contact's tasks, and ids that no slot has."""
+    slots = tasks.contact_slots(view(s, d, "contacts_v").select("name"), view(s, d, "followups_v"))
+    asked = slots.select(F.when(F.sha2("slot_id", 256) < "4", F.concat("slot_id", F.lit("-x"))).otherwise(F.col("slot_id")).alias("slot_id"))
+    return tasks.slots_by_id(asked, slots).select("slot_id", "name", "position", "known")
+
+
 def frozen(s, domain: str, relations: dict[str, DataFrame]) -> DataFrame:
     return states.freeze(s, domain, relations, f"{shared_dir(s)}/state-{uuid.uuid4().hex}")
 
@@ -401,7 +430,10 @@ def run_attempts(s, d):
 @query
 def quality_counts(s, d):
     judgments = view(s, d, "evidence_v").select(F.when(F.col("judge_verdict") == "unavailable", "unavailable").otherwise("available").alias("availability"), F.col("judge_verdict").alias("verdict"))
-    return reports.quality_counts(admitted(s, d), judgments, capacity=10_000)
+    roles = usage.usage_summary(view(s, d, "requests_v"), "role")
+    members = cohort_members(s, d).withColumn("purpose", F.when(F.col("cohort_id") == "cohort0", "held-out-evaluation").otherwise("diagnostic-development"))
+    labels = members.join(review.dimension_verdict(view(s, d, "labels_long_v")), "episode_id")
+    return reports.quality_counts(admitted(s, d), judgments, capacity=10_000, usage=roles, members=members, labels=labels)
 
 
 def campaign_episodes(s, d) -> DataFrame:

@@ -158,5 +158,5 @@ select message_id, plain and n between 3 and 160 as note, plain and n between 3
     "forbidden_keys": "select distinct role || '_' || request_kind as key, false as forbidden from requests_v",
     "public_identifiers": "select contact_key, regexp_full_match(name, '[A-Za-z0-9][A-Za-z0-9_.:-]{0,127}') as name_safe, regexp_full_match(replace(name, '#', ':'), '[A-Za-z0-9][A-Za-z0-9_.:-]{0,127}') as id_safe from contacts_v",
 }
-_SQL |= episode_oracles.sql(_ADMITTED, _GATED, _VERDICTS, _MEMBERS)
+_SQL |= episode_oracles.sql(_ADMITTED, _GATED, _VERDICTS, _MEMBERS, _USAGE, _SLOTS)
 ORACLE_SQL = {name: with_views(sql) for name, sql in _SQL.items()}

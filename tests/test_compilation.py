@@ -49,3 +49,32 @@ def test_workspace(spark):
     reasons(spark, compile_workspace, task, "open", [({"task_constraint": "open"}, FINE, "unsupported_task_title"), ({"task_constraint": True, "title": None}, FINE, "unsupported_task_title")])
     comment = {"action": "add_workspace_comment", "comment_constraint": "open", "condition": "after_item_match", "route": "direct", "task_kind": "task", "task_query": "q"}
     reasons(spark, compile_workspace, comment, "open", [({}, FINE, None), ({"comment": "status: x"}, FINE, "unsupported_comment"), ({"comment_constraint": "exact"}, FINE, "unsupported_comment"), ({"task_query": "x"}, FINE, "wrong_item_binding")])
+
+
+def test_restored_cases_of_messages_and_workspace(spark):
+    """A private case is one that a task makes, under the key that it has."""
+    import hashlib
+
+    from quillon.operators import cases
+
+    text = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"))
+    key = lambda domain, x: f"{domain}:semantic:sha256:{hashlib.sha256(text(x).encode()).hexdigest()}"
+
+    def judged(domain, restore, base, changes):
+        rows = [(k, text(base | c) if isinstance(c, dict) else c, key(domain, base | c) if isinstance(c, dict) else "x") for k, (c, _) in enumerate(changes)]
+        got = {r["k"]: r["valid"] for r in restore(spark.createDataFrame(rows, "k int, private_case string, semantic_key string")).collect()}
+        assert [got[k] for k in range(len(changes))] == [v for _, v in changes]
+
+    message = {"action": "create_draft_reply", "body": "b", "exact_reply": "Thanks, noted.", "message_id": "m", "remind_at": None, "reminder_text": None, "reply_constraint": "exact", "route": "direct", "sender": "s"}
+    reminder = {"action": "create_reminder", "exact_reply": None, "reply_constraint": "none", "remind_at": "t", "reminder_text": "r"}
+    judged("mobile_messages", cases.restored_messages, message, [
+        ({}, True), ({"exact_reply": None}, False), ({"exact_reply": "No."}, False), ({"reply_constraint": "open"}, False), ({"reply_constraint": "open", "exact_reply": None}, True), ({"remind_at": "t"}, False), (reminder, True), (reminder | {"remind_at": None}, False), ({"body": 5}, False), ({"route": "nowhere"}, False),
+        ({"remind_at": 5}, False), ({"action": "search_messages", "reply_constraint": "none", "exact_reply": None}, True), ("[]", False), ("{}", False), (None, False),
+    ])
+    item = {"item_id": "p", "kind": "project", "project_id": None, "query": "plan", "summary": "Plan"}
+    task = {"action": "create_workspace_task", "comment_constraint": "none", "due_label": "next_week", "exact_comment": None, "missing_kind": None, "missing_query": None, "priority": "high", "route": "direct", "target": item, "task_constraint": "exact", "title": "Prepare Plan retrospective"}
+    missing = {"action": "search_workspace_items", "due_label": None, "missing_kind": "document", "missing_query": "archived roadmap", "priority": None, "route": "missing", "target": None, "task_constraint": "none", "title": None}
+    judged("workspace_tasks", cases.restored_workspace, task, [
+        ({}, True), ({"title": "Prepare it"}, False), ({"priority": "low"}, False), ({"target": item | {"kind": "task"}}, False), ({"target": None}, False), ({"target": item | {"project_id": 5}}, False), ({"missing_kind": "document"}, False), ({"due_label": 1}, False), (missing, True), (missing | {"missing_query": None}, False),
+        (missing | {"target": item}, False), ({"action": "add_workspace_comment"}, False), ("x", False),
+    ])
