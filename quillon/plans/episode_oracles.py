@@ -120,6 +120,18 @@ f as (select *, contact_key % 9 <> 0 as here, contact_key % 7 = 0 as lost, case
 select contact_key, position, case when not here then 'not_executed' when lost then 'replay_failed' when drift and judged then 'observation_and_assessment_drift' when drift then 'observation_drift' when judged then 'assessment_drift' else 'aligned' end as status,
     here and (lost or drift) as observation_drift, here and (lost or judged) as assessment_drift from f"""
 
+_CONTEXT = """'{"observable_history":[' || HISTORY || '],"remaining_step_budget":LEFT,"task":{"instruction":"' || (INSTRUCTION) || '","tools":' || tools || '}}'"""
+_SHOWN = """'{' || concat_ws(',', '"arguments":' || arguments, '"change":' || change, '"content":"' || content || '"', '"error_code":"' || error_code || '"', '"event_type":"' || event_type || '"',
+    '"observation":' || case when observation is not null then '{"email":"' || json_extract_string(observation, '$.email') || '","name":"' || json_extract_string(observation, '$.name') || '"}' end, '"tool_name":"' || tool_name || '"') || '}'"""
+
+
+def contexts(instruction: str, tools: str) -> str:
+    first = _CONTEXT.replace("HISTORY", "''").replace("LEFT", "12").replace("INSTRUCTION", f"replace({instruction}, '\"', '\\\"')")
+    later = _CONTEXT.replace("HISTORY", "history").replace("LEFT", "10").replace("INSTRUCTION", f"replace({instruction}, '\"', '\\\"')")
+    return f"""with h as (select contact_key, position, string_agg({_SHOWN}, ',' order by idx) as history from contact_events_v where tool_name = 'lookup_contact' or event_type = 'final_response' group by all), t as ({tools})
+select contact_key, position, {first} as first, sha256({later}) as later from contact_cases_v join h using (contact_key, position) join t using (contact_key, position)"""
+
+
 _ACTIVATION = """with e as (select *, case when judge_verdict = 'unavailable' then 'uncertain' else judge_verdict end as judge, cohort <> 0 as dev, human_verdict is not null as member from evidence_v where cohort <> 0 or human_verdict is not null),
 q as (select unnest(['en', 'de', 'fr', 'es']) as domain_id), n as (select dev, domain_id, count(*) filter (member) as n, count(*) filter (member and judge = 'pass') as j, count(*) filter (member and judge = 'pass' and human_verdict <> 'pass') as fp from e group by all),
 o as (select dev, count(*) filter (member) as n, count(*) filter (member and judge = human_verdict) as agree, count(*) filter (member and judge = 'pass') as j, count(*) filter (member and judge = 'pass' and human_verdict <> 'pass') as fp, count(*) filter (member and human_verdict = 'pass') as h,
@@ -309,6 +321,9 @@ select *, attempted as executed_episode_count, demonstrations as passed_assessme
     'enforcement policy identity or scope is unavailable', 'enforcement Domain identity is unavailable', 'enforcement policy does not cover this Domain version', 'enforcement generator and Agent identity is unavailable', 'enforcement generator or Agent identity differs from activation',
     'enforcement source, task, or model settings differ from activation', 'enforcement judge settings differ from activation', 'enforcement judge settings differ from activation', 'enforcement judge identity is unavailable or differs from activation'][run_id % 16 + 1] as reason from runs_v""",
         "activation_reasons": _ACTIVATION,
+        "agent_contexts": contexts(_CONTACT_TEXT, _TOOLS),
+        "admission_records": f"""with {admitted}, f as (select *, sequence % 3 = 0 as enforced from adm) select sequence, '{{"gates":{{"assessment":' || assessment || ',"execution":' || execution || ',"final_grounding":' || final_grounding || ',"mutation_authorization":' || authorized || ',"semantic_key":true,"unsafe_material":' || unsafe_material || '}},"human_review_status":"unreviewed","mode":"' || case when enforced then 'enforced' else 'deterministic' end || '"' || case when enforced then ',"semantic_judgment":"' || case when admitted then 'pass' else 'fail' end || '","semantic_policy_id":"policy-1"' else '' end || ',"status":"' || case when admitted then 'admitted' else 'rejected' end || '"}}' as record from f""",
+        "stored_cases": """select contact_key, position, base64(encode('{"action":"' || action || '","exact_note":' || case when note_constraint = 'exact' then '"' || exact_note || '"' else 'null' end || ',"expected_email":"' || expected_email || '","note_constraint":"' || note_constraint || '","route":"' || route || '","target":"' || target || '"}')) as stored, contact_key % 7 <> 0 as same from contact_cases_v""",
         "gate_reasons": f"with {gated} select sequence, gates_passed, gate_reason from gated",
         "review_strata": f"""with {admitted} select domain_id, case when sequence % 3 <> 0 then task_type else 'unclassified' end as task_type, 'unclassified' as difficulty, case when sequence % 5 <> 0 then structural_key else 'unassessed' end as structural_key, count(*) as n from adm where admitted group by all""",
         "generation_requests_by_episode": "with e as (select sequence from requests_v where sequence is not null union all select related_sequence from requests_v where related_sequence is not null) select sequence, count(*) as n from e group by sequence",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsontext
-from ..operators import activation, admission, assessment, campaign, cases, compilation, decisions, evidence, reports, review, rollout, sequence, tasks, usage
+from ..operators import activation, admission, assessment, campaign, cases, compilation, decisions, evidence, exchange, reports, review, rollout, sequence, tasks, usage
 from ..session import shared_dir
 from ..sources import records, states
 from .queries import TARGET, admitted, cohort_members, gated, query
@@ -362,6 +362,36 @@ def public_events(s, d):
     return leaves.select(*keys, "leaf.path", "leaf.value")
 
 
+# --- requests and records as JSON
+
+
+@query
+def agent_contexts(s, d):
+    """What an agent is shown of every contact task before its first step, and in the middle of it."""
+    keys = ["contact_key", "position"]
+    event = lambda e: F.struct(*[(F.from_json(e[c], "map<string,string>") if c in ("observation", "change") else e[c]).alias(c) for c in EVENT])
+    events = view(s, d, "contact_events_v").where("tool_name = 'lookup_contact' or event_type = 'final_response'")
+    held = events.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("idx", *EVENT))).alias("events"))
+    at = view(s, d, "contact_cases_v").join(held, keys).withColumn("history", F.transform("events", event))
+    shown = lambda history, left: exchange.agent_context(cases.contact_instruction(), cases.public_tools(cases.contact_tools()), history, F.lit(left))
+    return at.select(*keys, shown(F.slice("history", 1, 0), 12).alias("first"), F.sha2(shown(F.col("history"), 10), 256).alias("later"))
+
+
+@query
+def admission_records(s, d):
+    enforced = F.col("sequence") % 3 == 0
+    rows = admitted(s, d).select("sequence", exchange.admission_record(F.when(enforced, "enforced").otherwise("deterministic"), F.col("admitted"), F.col("gates"), F.when(F.col("admitted"), "pass").otherwise("fail"), F.lit("policy-1")).alias("record"))
+    return rows
+
+
+@query
+def stored_cases(s, d):
+    """Private contact cases as the ledger keeps them, and read back; every seventh is damaged."""
+    made = view(s, d, "contact_cases_v").select("contact_key", "position", cases.contact_record().alias("private_case")).withColumn("stored", exchange.stored(F.col("private_case")))
+    read = exchange.unstored(F.when(F.col("contact_key") % 7 == 0, F.concat("stored", F.lit("*"))).otherwise(F.col("stored")))
+    return made.select("contact_key", "position", "stored", read.eqNullSafe(F.col("private_case")).alias("same"))
+
+
 # --- model output
 
 
