@@ -19,12 +19,13 @@ def confusion(evidence: DataFrame) -> DataFrame:
     return evidence.where(F.col("human_verdict").isNotNull()).groupBy(effective(F.col("judge_verdict")).alias("judge_verdict"), "human_verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
-def rates(evidence: DataFrame) -> DataFrame:
-    """AG-15, AG-16: numerators and denominators overall (domain null) and by domain, in one pass of grouping sets."""
+def rates(evidence: DataFrame, *by: str) -> DataFrame:
+    """AG-15, AG-16: numerators and denominators overall (domain null) and by domain, or by the columns ``by`` (domain_id and domain_version), in one pass of grouping sets."""
+    by = by or ("domain_id",)
     judge, human = effective(F.col("judge_verdict")), F.col("human_verdict")
     seen = human.isNotNull()
-    at = evidence.select("domain_id", seen.alias("seen"), (judge == human).alias("agree"), (judge == "pass").alias("j"), (human == "pass").alias("h"), "critical", (F.col("judge_verdict") == "unavailable").alias("gone"))
-    return at.groupingSets([[], ["domain_id"]], "domain_id").agg(
+    at = evidence.select(*by, seen.alias("seen"), (judge == human).alias("agree"), (judge == "pass").alias("j"), (human == "pass").alias("h"), "critical", (F.col("judge_verdict") == "unavailable").alias("gone"))
+    return at.groupingSets([[], list(by)], *by).agg(
         F.count(F.lit(1)).alias("candidates"), F.count_if(~F.col("seen")).alias("missing_labels"), F.count_if("gone").alias("unavailable"), F.count_if("seen").alias("reviewed"),
         F.count_if(F.col("seen") & F.col("agree")).alias("agree"), F.count_if(F.col("seen") & F.col("j")).alias("judge_pass"), F.count_if(F.col("seen") & F.col("j") & ~F.col("h")).alias("false_pass"),
         F.count_if(F.col("seen") & F.col("h")).alias("human_pass"), F.count_if(F.col("seen") & F.col("h") & ~F.col("j")).alias("false_fail"), F.count_if(F.col("seen") & F.col("j") & F.col("critical")).alias("critical_false_pass"),

@@ -183,8 +183,8 @@ def by_route(state: Column, route: Column) -> Column:
     return state["seen"] & F.when(route == "directory", state["after"]).when(route == "recovery", state["probed"] & state["after"]).otherwise(True)
 
 
-def contact_step(contacts: Column) -> Step:
-    """Tools of contacts: ``contacts`` is a map of name to address; the case's columns are action, route, target, note_constraint and exact_note."""
+def contact_step(contacts: Column, followups: Column | None = None) -> Step:
+    """Tools of contacts: ``contacts`` is a map of name to address, ``followups`` one of name to note, of what others than the target have; the case's columns are action, route, target, note_constraint and exact_note."""
     target, route = F.col("target"), F.col("route")
 
     def step(state: Column, tool: Column, given: Column, _: Column) -> dict[str, Column]:
@@ -200,10 +200,12 @@ def contact_step(contacts: Column) -> Step:
             result("state_change", record(name=target, note=note)),
         )
         held = F.coalesce(state["saved"]["name"] == name, F.lit(False))
+        theirs = F.when(name != target, F.try_element_at(followups, name)) if followups is not None else F.lit(None).cast("string")
         got = cased(
             [
                 (looks & known, result("observation", record(name=name, email=contacts[name]))), (looks, failure("contact_not_found")), (lists, result("observation", record(contacts=F.to_json(F.array_sort(F.map_keys(contacts)))))),
-                (tool == "record_followup", written), ((tool == "get_followup") & held, result("observation", state["saved"])), (tool == "get_followup", failure("followup_not_found")),
+                (tool == "record_followup", written), ((tool == "get_followup") & held, result("observation", state["saved"])),
+                ((tool == "get_followup") & theirs.isNotNull(), result("observation", record(name=name, note=theirs))), (tool == "get_followup", failure("followup_not_found")),
             ],
             failure("unknown_tool"),
         )
@@ -232,8 +234,8 @@ def searched(searches: DataFrame, messages: DataFrame, gram: int = 12) -> DataFr
     return searches.join(found, "query_id", "left")
 
 
-def message_step(senders: Column, reminder: Column, draft: Column) -> Step:
-    """Tools of messages: ``senders`` is JSON text of all; ``reminder`` and ``draft`` are the target's own before the episode, or null.
+def message_step(senders: Column, reminder: Column, draft: Column, other_reminders: Column | None = None, other_drafts: Column | None = None) -> Step:
+    """Tools of messages: ``senders`` is JSON text of all; ``reminder`` and ``draft`` are the target's own before the episode, or null; ``other_reminders`` and ``other_drafts``: maps of message_id to those of other messages.
 
     The case's columns are action, route, message_id, query, reminder_text,
     remind_at, reply_constraint and exact_reply.
@@ -255,8 +257,12 @@ def message_step(senders: Column, reminder: Column, draft: Column) -> Step:
         drafts = change(
             "create_draft_reply", [(~F.coalesce(reply_allowed(content), F.lit(False)), failure("unsupported_reply")), ((F.col("reply_constraint") == "exact") & ~content.eqNullSafe(F.col("exact_reply")), failure("reply_not_authorized"))], record(message_id=target, content=content)
         )
-        mine = lambda kind, own: F.when(asked == target, F.when(action == kind, state["saved"]).otherwise(own))
-        held, replied = mine("create_reminder", reminder), mine("create_draft_reply", draft)
+
+        def mine(kind: str, own: Column, others: Column | None) -> Column:
+            out = F.when(asked == target, F.when(action == kind, state["saved"]).otherwise(own))
+            return out.when(asked != target, F.try_element_at(others, asked)) if others is not None else out
+
+        held, replied = mine("create_reminder", reminder, other_reminders), mine("create_draft_reply", draft, other_drafts)
         got = cased(
             [
                 (looks & query.isNull(), failure("invalid_search_query")), (probe, failure("message_not_found")), (looks & found.isNotNull(), result("observation", found)), (looks, failure("message_not_found")),

@@ -123,6 +123,7 @@ select cohort_id, episode_id, case when cohort_id not in (select cohort_id from
     "cohort_disjointness": f"with {_MEMBERS} select episode_id, cast(2 as bigint) as cohorts from members where episode_id % 10 = 0",
     "confusion_matrix": "select case when judge_verdict = 'unavailable' then 'uncertain' else judge_verdict end as judge_verdict, human_verdict, count(*) as n from evidence_v where human_verdict is not null group by all",
     "calibration_rates_grouping_sets": f"with {_RATES} select * from rated",
+    "calibration_rates_by_version": "with " + _RATES.replace("select domain_id, count(*)", "select domain_id, domain_version, count(*)").replace("as j from evidence_v", "as j, 'v' || evidence_id % 2 as domain_version from evidence_v").replace("((), (domain_id))", "((), (domain_id, domain_version))") + " select * from rated",
     "threshold_reasons": f"""with {_RATES} select domain_id, concat_ws(',',
     case when domain_id is null then case when reviewed = 0 then 'agreement_denominator_zero' when agree * 10000 < reviewed * 8500 then 'overall_agreement_below_threshold' end end,
     case when domain_id is null then case when judge_pass = 0 then 'overall_false_pass_denominator_zero' when false_pass * 10000 > judge_pass * 500 then 'overall_false_pass_above_threshold' end end,

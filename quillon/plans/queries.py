@@ -288,6 +288,12 @@ def calibration_rates_grouping_sets(s, d):
     return calibration.rates(view(s, d, "evidence_v"))
 
 
+@query
+def calibration_rates_by_version(s, d):
+    rows = view(s, d, "evidence_v").withColumn("domain_version", F.concat(F.lit("v"), (F.col("evidence_id") % 2).cast("string")))
+    return calibration.rates(rows, "domain_id", "domain_version")
+
+
 @query
 def threshold_reasons(s, d):
     return calibration.threshold_reasons(calibration.rates(view(s, d, "evidence_v")))

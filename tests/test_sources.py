@@ -89,6 +89,22 @@ def test_contact_tools(spark):
     assert rolled(spark, [look], action="lookup_email") == (["observation"], "not_applicable")
 
 
+def test_tools_read_what_others_have(spark):
+    """Followups, reminders and drafts of other entities than the target are told, and never the target's from before as others'."""
+    texts = "map<string,string>"
+    calls = [("get_followup", {"name": "Bob"}), ("get_followup", {"name": "Cy"}), ("get_followup", {"name": "Ann"}), ("get_followup", {})]
+    frame = spark.createDataFrame([("lookup_email", "direct", "Ann", "none", None, [(t, a, None) for t, a in calls], {"Ann": "a", "Bob": "b", "Cy": "c"}, {"Bob": "later", "Ann": "stray"})], f"{CASE}, actions {rollout.ACTIONS}, contacts {texts}, followups {texts}")
+    step = rollout.contact_step(F.col("contacts"), F.col("followups"))
+    got = frame.select(rollout.folded(F.col("actions"), F.lit(None).cast(texts), step).alias("s")).first()["s"]["results"]
+    assert [r["payload"] or r["error_code"] for r in got] == [{"name": "Bob", "note": "later"}, *["followup_not_found"] * 3]
+    calls = [("get_reminder", {"message_id": "m2"}), ("get_reminder", {"message_id": "m1"}), ("get_draft_reply", {"message_id": "m2"}), ("get_draft_reply", {"message_id": "m3"})]
+    frame = spark.createDataFrame([("search_messages", "direct", "m1", "q", None, None, "none", None, [(t, a, None) for t, a in calls], {"m2": {"message_id": "m2", "reminder_text": "r"}}, {"m3": {"message_id": "m3", "content": "c"}})], f"action string, route string, message_id string, query string, reminder_text string, remind_at string, reply_constraint string, exact_reply string, actions {rollout.ACTIONS}, reminders map<string,{texts}>, drafts map<string,{texts}>")
+    none = F.lit(None).cast(texts)
+    step = rollout.message_step(F.lit("[]"), none, none, F.col("reminders"), F.col("drafts"))
+    got = frame.select(rollout.folded(F.col("actions"), none, step).alias("s")).first()["s"]["results"]
+    assert [r["payload"] or r["error_code"] for r in got] == [{"message_id": "m2", "reminder_text": "r"}, "reminder_not_found", "draft_not_found", {"message_id": "m3", "content": "c"}]
+
+
 def test_messages_are_found_once(spark):
     notes = spark.createDataFrame([("a", "s", "The Budget of May is here"), ("b", "s", "the budget of june"), ("c", "s", "nothing at all")], "message_id string, sender string, body string")
     asked = spark.createDataFrame([("1", "budget of may"), ("2", "the budget of"), ("3", "not in any text")], "query_id string, query string")
