@@ -52,19 +52,21 @@ def by_domain(at: DataFrame) -> DataFrame:
 
 def one_row(counts: DataFrame, scopes: DataFrame, cohorts: DataFrame, policy: DataFrame) -> DataFrame:
     """The counts over all domains, with ``few`` (a scope has too few reviews), ``scope_differs``, the domains' own false passes, and what the cohorts have in common."""
-    known = counts.where("domain_id is not null")
-    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c not in ("domain_id", "domain_version")])
-    asked = scopes.select("domain_id", "domain_version").distinct().withColumn("asked", F.lit(True)).join(known, ["domain_id", "domain_version"], "full")
-    quota = asked.agg(F.coalesce(F.bool_or(F.col("asked").isNotNull() & (F.coalesce("reviewed", F.lit(0)) < DOMAIN_QUOTA)), F.lit(False)).alias("few"), F.coalesce(F.bool_or(F.col("asked").isNull() != (F.coalesce("members", F.lit(0)) == 0)), F.lit(False)).alias("scope_differs"))
+    asked = scopes.select("domain_id", "domain_version").distinct().withColumn("asked", F.lit(True)).join(counts, ["domain_id", "domain_version"], "full")
+    any_of = lambda condition: F.coalesce(F.bool_or(condition), F.lit(False))
+    there, place = F.coalesce("candidates", F.lit(0)) > 0, F.struct("domain_id", "domain_version")
     zero, above = F.col("judge_pass") == 0, F.col("false_pass") * 10_000 > F.col("judge_pass") * DOMAIN_FALSE_PASS
-    place = F.struct("domain_id", "domain_version")
-    rates = known.agg(F.min(F.when(zero, place)).alias("first_zero"), F.min(F.when(~zero & above, place)).alias("first_above"))
+    total = asked.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c not in ("domain_id", "domain_version")],
+        any_of(F.col("asked").isNotNull() & (F.coalesce("reviewed", F.lit(0)) < DOMAIN_QUOTA)).alias("few"), any_of(F.col("asked").isNull() != (F.coalesce("members", F.lit(0)) == 0)).alias("scope_differs"),
+        F.min(F.when(there & zero, place)).alias("first_zero"), F.min(F.when(there & ~zero & above, place)).alias("first_above"),
+    )
     own = policy.select(F.col("policy_id").alias("own_id"), F.col("fingerprint").alias("own_fingerprint"))
     bound = F.col("policy_id").eqNullSafe(F.col("own_id")) & F.col("policy_fingerprint").eqNullSafe(F.col("own_fingerprint"))
     every = lambda condition: F.coalesce(F.every(F.coalesce(condition, F.lit(False))), F.lit(False))
     method = F.col("selection_method")
     frozen = cohorts.crossJoin(F.broadcast(own)).agg(every(method == STRATIFIED).alias("diagnostic"), every((method == STRATIFIED) & (F.col("stratum_count") > 0)).alias("stratified"), every(method == HELD_OUT).alias("held_out"), every(bound).alias("bound"))
-    return total.crossJoin(quota).crossJoin(rates).crossJoin(frozen)
+    return total.crossJoin(frozen)
 
 
 def shared(development: DataFrame, evaluation: DataFrame) -> DataFrame:
