@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
@@ -22,9 +24,13 @@ from .text import REDACTED, is_forbidden_key, is_forbidden_text
 PAYLOADS = {"action": ("arguments", "input_schema"), "observation": ("observation", "output_schema"), "state_change": ("change", "output_schema")}
 
 
+#: Made once: json.dumps() would make an encoder for every value.
+_CANONICAL = json.JSONEncoder(sort_keys=True, separators=(",", ":"))
+
+
 def dumped(value: Any) -> str:
     """1.5: sorted keys, no spaces, ASCII."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"))
+    return _CANONICAL.encode(value)
 
 
 def made(text: str | None, make: Callable[[Any], Any]) -> Any:
@@ -111,7 +117,11 @@ def public_events(events: pd.Series, tools: pd.Series) -> pd.Series:
     return pd.Series([made(e, lambda v, t=t: dumped([declared(public(x), known.get(t, [])) for x in v])) for e, t in zip(events, tools, strict=True)], dtype=object)
 
 
-@pandas_udf(T.ArrayType(T.StructType().add("path", "string").add("value", "string")))
-def json_leaves(texts: pd.Series) -> pd.Series:
-    """Path and canonical text of every value of each JSON text that isn't an object or array, in order."""
-    return each(texts, lambda v: [{"path": p, "value": x} for p, x in paths(v)])
+@pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def _leaves(texts: pd.Series) -> pd.Series:
+    return each(texts, lambda v: [list(leaf) for leaf in paths(v)])
+
+
+def json_leaves(text: Column | str) -> Column:
+    """An array of path and canonical text (``value``) of every value of a JSON text that isn't an object or array, in order."""
+    return F.transform(_leaves(text), lambda leaf: F.struct(leaf[0].alias("path"), leaf[1].alias("value")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,8 +54,9 @@ def forbidden_text(text: Column) -> Column:
     return (paths & text.rlike(PATH_START)) | (paths & text.rlike(EMBEDDED_PATH)) | any_of([low.contains(m) for m in MARKERS] + [low.startswith(o) for o in OPENINGS])
 
 
+@lru_cache(4096)
 def is_forbidden_key(key: str) -> bool:
-    """forbidden_key() for one key in Python."""
+    """forbidden_key() for one key in Python; the same few keys come again and again."""
     low = key.lower()
     return low not in SAFE_KEYS and any(part in low for part in FORBIDDEN_KEY_PARTS)
 
