@@ -24,10 +24,10 @@ WORKSPACE_PRIVATE = ("item_id", "project_id", "task_id", "document_id", "comment
 
 
 class _Payload(Payload):
-    """Conditions over the parsed payload and the one that the slot expects (a map of text in ``expected``)."""
+    """Conditions over the parsed payload, in columns, and the one that the slot expects (a map of text in ``expected``)."""
 
     def __init__(self) -> None:
-        super().__init__(None, F.col("__p"), F.col("__k"))
+        super().__init__(None, *[F.col(n) for n in ("__p", "__p_fields", "__p_texts")])
         self.x = F.col("expected")
 
     def has_any(self, names: tuple[str, ...]) -> Column:
@@ -38,19 +38,18 @@ class _Payload(Payload):
         return reduce(lambda a, b: a | b, [~self.equals(n, F.try_element_at(self.x, F.lit(n))) for n in names])
 
     def fields_differ(self) -> Column:
-        return ~self.keys().eqNullSafe(F.array_sort(F.map_keys(self.x)))
+        return ~self.keys().eqNullSafe(F.sort_array(F.map_keys(self.x)))
 
     def same(self) -> Column:
         """The same fields with the same texts: values of other types differ."""
-        kinds = F.map_values(self.value.cast("map<string,variant>"))
-        texts = F.forall(kinds, lambda v: F.schema_of_variant(v) == "STRING")
-        entries = lambda m: F.array_sort(F.map_entries(m))
-        return F.coalesce(texts, F.lit(False)) & F.coalesce(entries(self.value.cast("map<string,string>")) == entries(self.x), F.lit(False))
+        texts = F.forall(F.map_values(self.texts), lambda v: v.isNotNull())
+        entries = lambda m: F.sort_array(F.map_entries(m))
+        return F.coalesce(texts, F.lit(False)) & F.coalesce(entries(self.texts) == entries(self.x), F.lit(False))
 
 
 def _compiled(proposals: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
-    parsed = proposals.withColumn("__p", Payload(F.col("content")).value)
-    return parsed.withColumn("__k", Payload(None, F.col("__p")).keys()).withColumn("reason", first_reason(checks)).drop("__p", "__k")
+    parsed, _, names = Payload.read(proposals, F.col("content"))
+    return parsed.withColumn("reason", first_reason(checks)).drop(*names)
 
 
 def _opening(q: _Payload, private: tuple[str, ...]) -> list[tuple[Column, str]]:

@@ -78,3 +78,12 @@ def test_restored_cases_of_messages_and_workspace(spark):
         ({}, True), ({"title": "Prepare it"}, False), ({"priority": "low"}, False), ({"target": item | {"kind": "task"}}, False), ({"target": None}, False), ({"target": item | {"project_id": 5}}, False), ({"missing_kind": "document"}, False), ({"due_label": 1}, False), (missing, True), (missing | {"missing_query": None}, False),
         (missing | {"target": item}, False), ({"action": "add_workspace_comment"}, False), ("x", False),
     ])
+
+
+def test_parsed_columns_are_made_once(spark):
+    """A filter on a decision or a reason doesn't parse the text anew: whatever uses them, the plan parses it in one place (an array of it, used twice, and an object)."""
+    from quillon.operators import decisions
+
+    rows = spark.createDataFrame([("{}",)], "content string")
+    plan = decisions.agent_decisions(rows).where("decision = 'tool_call'").select("tool_name", "arguments")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") + plan.count("try_parse_json") <= 3
