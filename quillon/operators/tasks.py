@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.canon import casefold
+from ..functions.phrases import holding, phrases
 from ..sources.records import workspace_query
 
 # Fixed value: the most slots that a run has.
@@ -45,25 +46,24 @@ def unique_queries(items: DataFrame) -> DataFrame:
     return asked.join(once, ["kind", "query"], "left_semi")
 
 
-def containment_pairs(messages: DataFrame, queries: DataFrame, gram: int = 12) -> DataFrame:
-    """JN-21: query_id and message_id of every query (message_id, query; not empty) and body that holds it, whatever their case.
+PHRASE = ["length", "head", "tail"]
+
+
+def containment_pairs(messages: DataFrame, queries: DataFrame) -> DataFrame:
+    """JN-21: query_id and message_id of every query (message_id, query; not empty) and body that holds it, whatever their case; one row for each, and no others are compared."""
+    asked = phrases(queries, "message_id", "query")
+    return holding(messages, "message_id", "body", asked).join(asked, PHRASE).select("query_id", "message_id")
 
-    A body that holds a query holds its first ``gram`` characters, or all of
-    them, so only bodies and queries that share these are compared: one join,
-    whatever the queries' lengths.
-    """
-    asked = queries.select(F.col("message_id").alias("query_id"), casefold(F.col("query")).alias("query")).where("query <> ''").withColumn("seed", F.substring("query", 1, gram))
-    sizes = [r["n"] for r in asked.select(F.length("seed").alias("n")).distinct().collect()]
-    seeds = asked.select("seed").distinct()
-    low = messages.select("message_id", casefold(F.col("body")).alias("body"))
-    places = F.flatten(F.array(*[F.regexp_extract_all("body", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sorted(sizes) or [gram]]))
-    grams = low.select("message_id", F.explode(F.array_distinct(places)).alias("seed")).join(seeds, "seed")
-    return grams.join(asked, "seed").join(low, "message_id").where(F.contains(F.col("body"), F.col("query"))).select("query_id", "message_id")
 
+def counted(messages: DataFrame, asked: DataFrame) -> DataFrame:
+    """For each of ``asked`` (as of phrases()), how many bodies hold it; equal phrases are counted once."""
+    counts = holding(messages, "message_id", "body", asked).groupBy(*PHRASE).agg(F.count(F.lit(1)).alias("bodies"))
+    return asked.join(counts, PHRASE).select("query_id", "bodies")
 
-def containment_counts(messages: DataFrame, queries: DataFrame, gram: int = 12) -> DataFrame:
+
+def containment_counts(messages: DataFrame, queries: DataFrame) -> DataFrame:
     """JN-21, PRD-25: for each query, how many bodies hold it."""
-    return containment_pairs(messages, queries, gram).groupBy("query_id").agg(F.count(F.lit(1)).alias("bodies"))
+    return counted(messages, phrases(queries, "message_id", "query"))
 
 
 def interleaved(items: DataFrame, kinds: list[str], limit: int = SLOT_LIMIT) -> DataFrame:
@@ -97,31 +97,35 @@ WORKSPACE_SPECS = (
 )
 
 
+# The phrases that stand for a message that holds them, in order.
+QUERY_NAMES = ("launch checklist", "invoice")
+
+
 def message_query(body):
     """DM-10: the phrase that stands for a message."""
-    low = casefold(body)
-    return F.when(low.contains("launch checklist"), "launch checklist").when(low.contains("invoice"), "invoice").otherwise(body)
+    low, out = casefold(body), body
+    for name in reversed(QUERY_NAMES):
+        out = F.when(low.contains(name), name).otherwise(out)
+    return out
 
 
-def message_query_counts(messages: DataFrame, gram: int = 12) -> DataFrame:
+def message_query_counts(messages: DataFrame) -> DataFrame:
     """PRD-25, DM-10: for every message (message_id, body; null bodies have no query), how many bodies hold its whole query.
 
     Equal queries are counted once; every body holds an empty one.
     """
-    asked = messages.where("body is not null").select("message_id", casefold(message_query(F.col("body"))).alias("query")).withColumn("key", F.sha2("query", 256))
-    once = asked.select(F.col("key").alias("message_id"), "query").dropDuplicates(["message_id"])
+    # message_query() of the body, made where it is folded.
+    asked = phrases(messages, "message_id", "body", QUERY_NAMES)
     all_bodies = messages.where("body is not null").agg(F.count(F.lit(1)).alias("bodies"))
-    empty = once.where("query = ''").select(F.col("message_id").alias("query_id")).crossJoin(all_bodies)
-    counts = containment_counts(messages, once, gram).unionByName(empty)
-    return asked.join(counts.withColumnRenamed("query_id", "key"), "key").select(F.col("message_id").alias("query_id"), "bodies")
+    return counted(messages, asked).unionByName(asked.where("length = 0").select("query_id").crossJoin(all_bodies))
 
 
-def message_slots(messages: DataFrame, reminders: DataFrame, drafts: DataFrame, gram: int = 7) -> DataFrame:
+def message_slots(messages: DataFrame, reminders: DataFrame, drafts: DataFrame) -> DataFrame:
     """PRD-24, PRD-25, DM-1, DM-2 for messages: the tasks of messages whose query one body alone holds, without those that would overwrite state."""
     from ..functions.text import reply_allowed
 
     asked = messages.withColumn("query", message_query(F.col("body")))
-    counts = containment_counts(messages, asked.select("message_id", "query"), gram)
+    counts = containment_counts(messages, asked.select("message_id", "query"))
     once = counts.where("bodies = 1").select(F.col("query_id").alias("message_id"))
     specs = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(kind).alias("kind"), F.lit(action).alias("action"), F.lit(rule).cast("string").alias("rule")) for k, (kind, action, rule) in enumerate(MESSAGE_SPECS)])
     at = asked.join(once, "message_id", "left_semi").join(reminders.select("message_id", F.lit(True).alias("reminded")), "message_id", "left").join(drafts.select("message_id", F.lit(True).alias("drafted")), "message_id", "left")

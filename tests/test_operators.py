@@ -224,3 +224,16 @@ def test_slots_and_reports(spark):
     assert [r["field"] for r in decisions.unsafe_identifiers(ids, "run_id", "model_id", "policy_id").collect()] == ["model_id"]
     report = json.loads(reports.as_json(spark.createDataFrame([("s", "b", 2), ("s", "a", 1), ("r", None, 3)], "section string, name string, n long").where("name is not null")).first()["report"])
     assert json.loads(report["s"]) == {"a": 1, "b": 2}
+
+
+def test_containment_compares_only_what_is_held(spark):
+    """Bodies that all begin and end alike, of one length or of many: a row for each that is held, none for the others that share their beginnings, whatever their number."""
+    from quillon.functions.phrases import PASS, holding, phrases
+
+    texts = [f"Please read the report of Supplier#{k:09d} about {k % 25}" for k in range(2000)] + ["a", "", "READ THE REPORT", "Straße", "STRASSE 7", None, "x" * 70, "x" * 64, "x" * 33]
+    rows = spark.createDataFrame(list(enumerate(texts)), "message_id int, body string")
+    asked = phrases(rows, "message_id", "body")
+    assert holding(rows, "message_id", "body", asked).count() < 4 * len(texts) and len(texts) < PASS
+    got = sorted(map(tuple, tasks.containment_pairs(rows, rows.withColumnRenamed("body", "query")).collect()))
+    folded = [(k, t.casefold()) for k, t in enumerate(texts) if t is not None]
+    assert got == sorted((q, m) for q, a in folded if a for m, b in folded if a in b)
