@@ -8,7 +8,9 @@ region.  In each round
 1. every set is compared with its region's hub (the smallest id); what links is
    a component so far, and a region of one component is done;
 2. a region of several components and at most ``block`` sets is compared as one
-   block, but for pairs in one component or beyond the bounds of size;
+   block, but for pairs in one component or beyond the bounds of size: up to
+   FEW sets as pairs, more as a product in one task, since pairs would grow with
+   the square of a group of near copies; regions of the same sets count once;
 3. a larger one goes a min-hash deeper, so its sets meet only where they have
    more in common; those still larger at full DEPTH are compared in blocks
    whatever their number.
@@ -38,6 +40,8 @@ from .words import mixed
 TREES, DEPTH, LEAST = 32, 6, 3
 #: Bytes of a min-hash; that different ones agree by chance has a probability of 2^-16.
 WIDTH = 2
+#: Sets of a region that are compared as pairs, at most (FEW - 1) / 2 for each of its rows.
+FEW = 4
 
 
 def signatures(grams: np.ndarray, starts: np.ndarray, trees: int, depth: int) -> np.ndarray:
@@ -131,10 +135,15 @@ def hub_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return met.where((F.col("component") != F.col("hub_component")) & fits("n", "hub_n", percent)).select("a", "b").distinct()
 
 
-def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of two components within a region; ``rows``: as in hub_pairs(), of regions of bounded size."""
-    members = rows.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("cid", "n", "component"))).alias("others"))
-    one = members.select(F.explode("others").alias("m"), "others")
+def blocks(rows: DataFrame) -> DataFrame:
+    """cluster, others (cid, n and component, by cid) and m (their number) of the distinct groups of sets that are regions of several components; ``rows``: as in hub_pairs(), of regions of bounded size."""
+    members = rows.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("cid", "n", "component"))).alias("others"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.where("low <> high").select(F.xxhash64("others.cid").alias("cluster"), "others", F.size("others").alias("m")).distinct()
+
+
+def block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of two components within a block; ``blocks``: others, of few sets."""
+    one = blocks.select(F.explode("others").alias("m"), "others")
     other = one.select("m", F.explode(F.filter("others", lambda o: (o["cid"] > F.col("m.cid")) & (o["component"] != F.col("m.component")) & (100 * F.least(o["n"], F.col("m.n")) >= percent * F.greatest(o["n"], F.col("m.n"))))).alias("o"))
     return other.select(F.col("m.cid").alias("a"), F.col("o.cid").alias("b")).distinct()
 
@@ -168,7 +177,11 @@ def forest_links(near: DataFrame, sets: DataFrame, percent: int, depth: int, lea
     else:
         nodes = large.select(F.col("cid").alias("node"), "n", F.col("region").alias("cluster"), "component")
         links = links.unionByName(residual_links(nodes, sets, percent, 16 * block))
-    return links.unionByName(confirmed(block_pairs(small, percent), sets, percent))
+    # What later rounds linked is a component now.
+    small = written(blocks(small.drop("component").join(tops.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))), "blocks")
+    nodes = small.where(F.col("m") > FEW).select("cluster", F.explode("others").alias("o")).select(F.col("o.cid").alias("node"), "o.n", "cluster", "o.component")
+    links = links.unionByName(residual_links(nodes, sets, percent, 16 * block))
+    return links.unionByName(confirmed(block_pairs(small.where(F.col("m") <= FEW), percent), sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 3, trees: int = TREES, depth: int = DEPTH, least: int = LEAST, block: int = 64, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
