@@ -15,7 +15,7 @@ from quillon.llm.decontamination import contaminated
 from quillon.llm.jaccard import jaccard_components
 from quillon.llm.packing import pack_documents
 from quillon.llm.queries import table, tokenizer
-from quillon.llm.storage import written
+from quillon.llm.storage import scratch, written
 from quillon.llm.substrings import dedup_substrings
 from quillon.llm.toxicity import held_out, toxicity, train
 from quillon.session import ship
@@ -85,8 +85,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet in the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, f"stage{k}")
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch(spark):  # of a stage, its written result alone stays
+            docs = written(stage(spark, docs, sf_dir), f"stage{k}", keep=True)
+    return STAGES[-1][1](spark, docs, sf_dir)

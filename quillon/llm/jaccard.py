@@ -82,7 +82,7 @@ def shingle_sets(docs: DataFrame, size: int, doc_id: str, text: str, spare: int
     return wanted.mapInArrow(make, f"row long, doc_id {id_type}, n long, s1 long, s2 long, grams array<long>")
 
 
-def class_ids(rows: DataFrame, bits: int = 64, most: int | None = None) -> tuple[DataFrame, Column]:
+def class_ids(rows: DataFrame, bits: int = 64, most: int | None = None, keep: bool = False) -> tuple[DataFrame, Column]:
     """Classes of equal (n, s1, s2), a written table: n, s1, s2, cid, doc_id (the least), first (the least row) and copies; and the expression of cid.
 
     cid is a hash of ``bits`` bits.  Classes whose hashes clash, N^2 / 2^65 of N
@@ -90,7 +90,7 @@ def class_ids(rows: DataFrame, bits: int = 64, most: int | None = None) -> tuple
     one class.
     """
     classes = rows.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
-    classes = written(classes, "classes", most)
+    classes = written(classes, "classes", most, keep)
     hashed = lambda seed: F.xxhash64(F.lit(seed), "n", "s1", "s2") if bits == 64 else F.pmod(F.xxhash64(F.lit(seed), "n", "s1", "s2"), F.lit(1 << bits))
     cid = hashed(0)
     for seed in range(1, 65):
@@ -214,7 +214,7 @@ def candidates(shared: DataFrame, share, spare: int) -> DataFrame:
     ranked = join_totals(cells, again, "gram").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("columns")).where(F.size("columns") >= share)
     prefix = written(ranked.select("cid", "n", F.explode(F.slice("columns", F.lit(1), (F.size("columns") - share + 1).cast("int"))).alias("c")).select("cid", "n", "c.gram"), "rare", rows)
     hubs = prefix.groupBy("gram").agg(F.min("cid").alias("hub"))
-    return written(join_totals(prefix, hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs", rows)
+    return written(join_totals(prefix, hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs", rows, keep=True)
 
 
 def class_links(pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
@@ -249,16 +249,19 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block:
 def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: str, text: str, bits: int = 64) -> DataFrame:
     spare = 20
     seen = Observation()
-    sets = written(shingle_sets(docs, size, doc_id, text, spare, percent).observe(seen, F.count(F.lit(1)).alias("rows")), "sets")
-    some, n_rows = sets.where("n > 0"), seen.get["rows"]
-    classes, cid = class_ids(some, bits, n_rows)
-    copies = some.select("row", "n", "s1", "s2").join(classes.where("copies > 1").select("n", "s1", "s2", "first"), ["n", "s1", "s2"]).where("row <> first")
-    single = without_keys(some, copies, "row", n_rows).select(cid.alias("cid"), "n", "row", "grams")
-    grams = single.select("cid", "n", "row", F.explode("grams").alias("gram"))
-    hot = hot_keys(grams.where(F.pmod(F.xxhash64("row"), F.lit(64)) == 0), "gram", tasks(docs))
-    shared = written(repeated(grams, hot), "shared")
-    share = F.floor(needed(F.col("n"), percent) / F.lit(spare)) + 1
-    pairs = candidates(shared, share, spare)
+    with scratch(docs.sparkSession):  # sets and cells are the largest tables and go before whole sets are made
+        sets = written(shingle_sets(docs, size, doc_id, text, spare, percent).observe(seen, F.count(F.lit(1)).alias("rows")), "sets")
+        n_rows = seen.get["rows"]
+        heads = written(sets.drop("grams"), "heads", n_rows, keep=True)
+        some = sets.where("n > 0")
+        classes, cid = class_ids(heads.where("n > 0"), bits, n_rows, keep=True)
+        copies = heads.where("n > 0").select("row", "n", "s1", "s2").join(classes.where("copies > 1").select("n", "s1", "s2", "first"), ["n", "s1", "s2"]).where("row <> first")
+        single = without_keys(some, copies, "row", n_rows).select(cid.alias("cid"), "n", "row", "grams")
+        grams = single.select("cid", "n", "row", F.explode("grams").alias("gram"))
+        hot = hot_keys(grams.where(F.pmod(F.xxhash64("row"), F.lit(64)) == 0), "gram", tasks(docs))
+        shared = written(repeated(grams, hot), "shared")
+        share = F.floor(needed(F.col("n"), percent) / F.lit(spare)) + 1
+        pairs = candidates(shared, share, spare)
     asked = pairs.select("cid").unionByName(pairs.select(F.col("hub").alias("cid"))).distinct()
     n_pairs = pairs.count()
     asked = written(asked.join(classes.select("cid", "doc_id"), "cid"), "asked", 2 * n_pairs)
@@ -274,5 +277,5 @@ def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: st
     least = roots.groupBy("component").agg(F.min("doc_id").alias("root"))
     roots = join_totals(roots, least, "component").select(F.col("node").alias("cid"), "root")
     placed = written(classes.select("cid", "doc_id").join(roots, "cid", "left").select("cid", F.coalesce("root", "doc_id").alias("root")), "placed", n_rows)
-    rows = sets.select("doc_id", "n", F.when(F.col("n") > 0, cid).alias("cid"))
+    rows = heads.select("doc_id", "n", F.when(F.col("n") > 0, cid).alias("cid"))
     return rows.join(placed, "cid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))
