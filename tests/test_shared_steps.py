@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from quillon.plans import episodes
@@ -22,3 +24,10 @@ def test_episodes_are_admitted_once(spark, monkeypatch, name):
 def test_quality_counts_read_one_table(spark):
     assert not [f for f in QUERIES["quality_counts"](spark, SF).inputFiles() if "orders" in f]
 
+
+def test_grounding_is_dealt_by_rows(spark, monkeypatch):
+    """1,200 conversations at 100 a task."""
+    monkeypatch.setattr(episodes, "SORTED", 100)
+    got = QUERIES["final_grounding"](spark, SF)
+    parts = set(re.findall(r"hashpartitioning\(conv_id#\d+, (\d+)\)", got._jdf.queryExecution().executedPlan().toString()))
+    assert parts == {str(max(4, got.count() // 100 + 1))}
