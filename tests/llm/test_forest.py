@@ -84,8 +84,8 @@ def test_groups_of_near_copies_are_no_pairs(spark, monkeypatch):
     """Regions of 40 sets that don't link, once in each tree: 780 pairs, of which none is joined."""
     rows = [(k, 20, k) for k in range(40)] + [(100 + k, 20, 7) for k in range(40)] + [(k, 20, k) for k in range(3)]
     rows = [(region, *r) for region in (1, 2) for r in rows[:40]] + [(3, *r) for r in rows[40:80]] + [(4, *r) for r in rows[80:]]
-    found = forest.blocks(spark.createDataFrame(rows, "region long, cid long, n long, component long")).collect()
-    assert sorted((r["m"], [o["cid"] for o in r["others"]]) for r in found) == [(3, [0, 1, 2]), (40, list(range(40)))]
+    groups = forest.blocks(spark.createDataFrame(rows, "region long, cid long, n long, component long")).collect()
+    assert sorted((r["m"], [o["cid"] for o in r["others"]]) for r in groups) == [(3, [0, 1, 2]), (40, list(range(40)))]
     joined, confirmed = [], forest.confirmed
     monkeypatch.setattr(forest, "confirmed", lambda pairs, sets, percent: joined.append(pairs.count()) or confirmed(pairs, sets, percent))
     own = [(k, f"{prose(5, 60)} {prose(200 + k, 20)}") for k in range(40)]
