@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from quillon.functions import jsontext
+from quillon.operators import cases
 from quillon.plans import episodes
 from quillon.plans.queries import QUERIES
 
@@ -31,3 +34,19 @@ def test_grounding_is_dealt_by_rows(spark, monkeypatch):
     got = QUERIES["final_grounding"](spark, SF)
     parts = set(re.findall(r"hashpartitioning\(conv_id#\d+, (\d+)\)", got._jdf.queryExecution().executedPlan().toString()))
     assert parts == {str(max(4, got.count() // 100 + 1))}
+
+
+def test_public_events_carry_no_definitions(spark):
+    """Tools' definitions are in no shuffled row."""
+    plan = QUERIES["public_events"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "input_schema" not in plan and "mapinarrow" in plan.lower()
+
+
+def test_public_leaves_are_those_of_public_events(spark):
+    """Of null and broken texts, unknown tools and what may not be public too."""
+    known = cases.tool_schemas()
+    texts = [None, "x", "[]", '[{"event_type":"action","tool_name":"lookup_contact","arguments":{"name":"/home/a","x":1}}]', '[{"event_type":"observation","tool_name":"none","observation":{"name":"a"}},{"content":"é","token":2}]']
+    rows = spark.createDataFrame([(k, t, ["none", "lookup_contact"][k % 2 :]) for k, t in enumerate(texts)], "k long, e string, t array<string>")
+    leaves = rows.select("k", F.explode(jsontext.json_leaves(jsontext.public_events("e", cases.public_tools(F.col("t"))))).alias("l")).select("k", "l.path", "l.value")
+    got = jsontext.public_leaves(rows, "e", "t", known, "k")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, leaves.collect())) and got.count() > 4
