@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions import jsontext
-from quillon.operators import cases
+from quillon.operators import cases, rollout
 from quillon.plans import episodes
 from quillon.plans.queries import QUERIES
 
@@ -50,3 +50,20 @@ def test_public_leaves_are_those_of_public_events(spark):
     leaves = rows.select("k", F.explode(jsontext.json_leaves(jsontext.public_events("e", cases.public_tools(F.col("t"))))).alias("l")).select("k", "l.path", "l.value")
     got = jsontext.public_leaves(rows, "e", "t", known, "k")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, leaves.collect())) and got.count() > 4
+
+
+@pytest.mark.parametrize(("name", "target"), [("contact_rollout", "contact_key"), ("message_rollout", "message_id"), ("workspace_rollout", "item_id")])
+def test_responses_are_read_once_for_a_target(spark, monkeypatch, name, target):
+    """Episodes of one target say the same again and again."""
+    asked, read = [], rollout.read_decisions
+    monkeypatch.setattr(rollout, "read_decisions", lambda rows, schemas: asked.append(rows) or read(rows, schemas))
+    QUERIES[name](spark, SF)
+    texts = asked[0].select(target, "content")
+    assert texts.count() == texts.distinct().count() > 0
+
+
+def test_replay_reads_the_texts_of_its_variants_alone(spark, monkeypatch):
+    asked, read = [], rollout.read_decisions
+    monkeypatch.setattr(rollout, "read_decisions", lambda rows, schemas: asked.append(rows) or read(rows, schemas))
+    QUERIES["rollout_replay"](spark, SF)
+    assert not asked[0].where("content like '%\" bad\"%'").count()
