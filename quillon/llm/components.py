@@ -6,6 +6,10 @@ the components; in the end every node links to the smallest of its component.
 A hot node's neighbours never meet in one task: the minimum is a map-side
 aggregate, and the join back to it has shuffles of its own on both sides (its
 key is not the aggregate's), so that Spark splits it where it is skewed.
+
+Each star is a query of its own over a written table, and takes no more tasks
+than its links need: the driver holds the metrics of every task and describes
+every plan anew after each of its shuffles.
 """
 
 from __future__ import annotations
@@ -14,32 +18,36 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .hot import join_totals
-from .storage import written
+from .storage import files_for, written
 
 
-def _star(links: DataFrame, both: bool) -> DataFrame:
-    """links: a > b.  Large star if ``both``, else small star."""
-    sides = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+def _star(links: DataFrame, both: bool, rows: int) -> DataFrame:
+    """``links``: a > b, a written table of ``rows`` rows.  Large star if ``both``, else small star."""
+    sides, few = links.select(F.col("a").alias("u"), F.col("b").alias("v")), files_for(rows)
     if both:
-        sides = sides.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    at = join_totals(sides, least, "u")
+        sides = links.select(F.inline(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))))
+    least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(few)
+    at = join_totals(sides, least, "u").coalesce(few)
     if both:
         out = at.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
-        out = at.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        out = at.select(F.inline(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))))
     return out.where("a <> b").distinct()
 
 
 def components(links: DataFrame, name: str = "components", rows: int | None = None, rounds: int = 100) -> DataFrame:
     """node, component (the smallest node of its component) for every node of ``links`` (a, b: comparable ids; nulls and loops no part); ``rows``: how many links there are at most, if known."""
-    now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name, rows)
-    state = None
+    counted = Observation()
+    apart = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = written(apart.observe(counted, F.count(F.lit(1)).alias("n")), name, rows)
+    n, state = counted.get["n"], None
     for _ in range(rounds):
         seen = Observation()
-        turned = _star(_star(now, True), False).observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("sum"))
-        now = written(turned, name, rows if state is None else state[0])
-        total = seen.get["n"], seen.get["sum"]
+        large = written(_star(now, True, n), name, n)  # no star makes more links than it is given
+        turned = _star(large, False, n).observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("sum"))
+        now = written(turned, name, n)
+        n = seen.get["n"]
+        total = n, seen.get["sum"]
         if total == state:
             break
         state = total

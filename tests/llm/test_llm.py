@@ -112,6 +112,26 @@ def test_components_of_a_path(spark):
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
 
 
+def test_components_take_no_more_tasks_than_their_links_need(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(0, 40)] + [(k, 100 + k % 3) for k in range(200, 260)], "a long, b long").coalesce(1)
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    context, group = spark.sparkContext, "components of few links"
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    context.setJobGroup(group, group)
+    try:
+        got = components(links, rows=100)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    told = context.statusTracker()
+    stages = [told.getStageInfo(s) for job in told.getJobIdsForGroup(group) for s in told.getJobInfo(job).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= 8
+    assert {r["node"]: r["component"] for r in got.collect()} == {k: 0 for k in range(41)} | {k: 100 + k % 3 for k in range(200, 260)} | {k: k for k in (100, 101, 102)}
+
+
 # --- 10, substring dedup
 
 
