@@ -20,6 +20,13 @@ shares at least ceil(t n) with it.  So
    overlap counts shingle by shingle and skipping pairs beyond the size bounds
    or in one component already.
 
+4 and 5 are done twice.  First on what 2 left of the sets, where "links" means
+that a pair shares as many of these as two linked sets must (enough_left());
+clusters grow together by single passages as a corpus grows, but not these.
+Then the components of that are the clusters, and only their classes' whole
+sets are made, with "links" as defined.  Blocks are dealt in passes, so that
+the rows dealt at once stay in proportion to the sets however large a cluster.
+
 Linked copies so cost one product each, not one for each pair, and no pair of
 texts in different components is left out.
 """
@@ -28,6 +35,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,6 +51,9 @@ from .hot import hot_keys, join_totals, salt, tasks
 from .storage import scratch, written
 from .words import distinct, mixed, shingles, slices
 
+#: Of the sets' shingles, one in so many is left beside those that a link may lack.  A pass of blocks deals all rows so often at most, or so many shingles.
+SPARE, FOLD, DEALT = 20, 4, 1 << 24
+
 
 def needed(n: Column, percent: int) -> Column:
     """ceil(percent * n / 100)."""
@@ -135,16 +146,34 @@ def repeated(rows: DataFrame, hot: list[int]) -> DataFrame:
     return dealt.repartition("gram", "group").sortWithinPartitions("gram", "group", "cid").mapInArrow(keep, "gram long, cid long, n long")
 
 
-def block_links(ids: np.ndarray, sets: list[np.ndarray], component: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def enough(n, m, overlap, percent: int, least):
+    """Whether whole sets of ``n`` and ``m`` shingles that share ``overlap`` link; columns or arrays alike."""
+    return 100 * overlap >= percent * (n + m - overlap)
+
+
+def enough_left(n, m, overlap, percent: int, least):
+    """Whether sets of ``n`` and ``m`` shingles may link that share ``overlap`` of the shingles that step 2 left.
+
+    Linked sets share at least percent / (100 + percent) x (n + m).  Of the one
+    whose list ends first, all that is shared is in the other's list too, and
+    what isn't shared is at most the rest; so a list's length less that rest is
+    the bound, here without rounding and less by at most 1.  ``least``: F.least
+    or np.minimum.
+    """
+    rest = lambda x: least(x * 0.0, x / SPARE - x * (percent / 100) - 1.0)
+    return overlap >= least(rest(n), rest(m)) + (n + m) * (percent / (100 + percent))
+
+
+def block_links(ids: np.ndarray, sets: list[np.ndarray], n: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int, links=enough) -> list[tuple[int, int]]:
     """Links between rows marked ``left`` and ``right`` that connect all of these that link, none within a ``component`` or found twice.
 
     The product of one row with all others is accumulated from the columns of
-    its shingles.
+    its shingles.  ``n``: how many the whole sets have.
     """
-    n = np.array([len(s) for s in sets])
+    held_of = np.array([len(s) for s in sets])
     columns, at = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), n)
-    starts = np.concatenate([[0], np.cumsum(n)])
+    owner = np.repeat(np.arange(len(sets)), held_of)
+    starts = np.concatenate([[0], np.cumsum(held_of)])
     order = np.argsort(at, kind="stable")
     held, ends = owner[order], np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(columns)))])
     tops, out = np.unique(component, return_inverse=True)[1], []
@@ -157,29 +186,36 @@ def block_links(ids: np.ndarray, sets: list[np.ndarray], component: np.ndarray,
             continue
         mine = at[starts[row] : starts[row + 1]]
         overlap = np.bincount(np.concatenate([held[ends[c] : ends[c + 1]] for c in mine]), minlength=len(sets))
-        for hit in np.flatnonzero(fits & (100 * overlap >= percent * (n + n[row] - overlap))):
+        for hit in np.flatnonzero(fits & links(n, n[row], overlap, percent, np.minimum)):
             if tops[hit] != tops[row]:
                 tops[tops == tops[hit]] = tops[row]
                 out.append((int(ids[row]), int(ids[hit])))
     return out
 
 
-def residual_links(nodes: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (a, b) between components of a cluster; ``nodes``: node, n, cluster, component.
+def residual_links(nodes: DataFrame, sets: DataFrame, percent: int, block: int, links=enough, most: int | None = None) -> DataFrame:
+    """Links (a, b) between components of a cluster; ``nodes``: node, n, cluster, component, ``sets``: cid, grams (all n of them, or some).
 
     A band of sizes is dealt into parts of at most about ``block`` rows and
-    512 x ``block`` shingles; each pair of parts of a band, or of a band and
-    the next, is a task.
+    ``most`` (512 x ``block``) shingles; each pair of parts of a band, or of a
+    band and the next, is a task.  A row goes to as many tasks as there are
+    parts, so tasks are dealt in passes of at most FOLD times the shingles of
+    all rows (or DEALT), each written before the next.
     """
+    most = most or 512 * block
+    if "held" not in nodes.columns:
+        nodes = nodes.withColumn("held", F.col("n"))
     several = nodes.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("cluster")
     width = math.log(101 / percent)
     rows = nodes.join(several, "cluster").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)))
-    sizes = rows.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("held"))
-    sizes = sizes.withColumn("parts", F.greatest(F.floor((F.col("m") + block - 1) / F.lit(block)), F.floor(F.col("held") / F.lit(512 * block)) + 1)).select("cluster", "band", "parts")
+    sizes = rows.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m"), F.sum("held").alias("held"))
+    sizes = sizes.withColumn("parts", F.greatest(F.floor((F.col("m") + block - 1) / F.lit(block)), F.floor(F.col("held") / F.lit(most)) + 1)).select("cluster", "band", "parts", "held")
     bands = Window.partitionBy("cluster").orderBy("band").rangeBetween(1, 1)
     below = Window.partitionBy("cluster").orderBy("band").rangeBetween(-1, -1)
     sizes = sizes.withColumn("above_parts", F.coalesce(F.max("parts").over(bands), F.lit(0))).withColumn("below_parts", F.coalesce(F.max("parts").over(below), F.lit(0)))
-    rows = rows.join(sizes, ["cluster", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    told = sizes.agg(F.sum("held").alias("held"), F.sum(F.col("held") * (F.col("parts") + F.col("above_parts") + F.col("below_parts"))).alias("dealt")).first()
+    passes = -(-(told["dealt"] or 0) // max(DEALT, FOLD * (told["held"] or 0))) or 1
+    rows = rows.drop("held").join(sizes.drop("held"), ["cluster", "band"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
 
     def upto(n):
         return F.when(n > 0, F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1)).otherwise(F.array().cast("array<bigint>"))
@@ -193,42 +229,67 @@ def residual_links(nodes: DataFrame, sets: DataFrame, percent: int, block: int)
         F.transform(upto(F.col("above_parts")), lambda p: task(band, part, band + 1, p, yes, no)),
         F.transform(upto(F.col("below_parts")), lambda p: task(band - 1, p, band, part, no, yes)),
     )
-    dealt = rows.withColumn("task", F.explode(tasks)).select("cluster", "node", "component", "task.*")
+    dealt = rows.withColumn("task", F.explode(tasks)).select("cluster", "node", "n", "component", "task.*")
+    by = ["cluster", "band", "left", "right_band", "right"]
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
         got = []
         if pdf["component"].nunique() > 1:
-            got = block_links(pdf["node"].to_numpy(), [np.asarray(g) for g in pdf["grams"]], pdf["component"].to_numpy(), pdf["as_left"].to_numpy(bool), pdf["as_right"].to_numpy(bool), percent)
+            got = block_links(pdf["node"].to_numpy(), [np.asarray(g) for g in pdf["grams"]], pdf["n"].to_numpy(), pdf["component"].to_numpy(), pdf["as_left"].to_numpy(bool), pdf["as_right"].to_numpy(bool), percent, links)
         return pd.DataFrame(got, columns=["a", "b"]).astype("int64")
 
-    joined = dealt.join(sets.select(F.col("cid").alias("node"), "grams"), "node")
-    return joined.groupBy("cluster", "band", "left", "right_band", "right").applyInPandas(multiply, "a long, b long")
+    def found(dealt: DataFrame) -> DataFrame:
+        return dealt.join(sets.select(F.col("cid").alias("node"), "grams"), "node").groupBy(*by).applyInPandas(multiply, "a long, b long")
+
+    if passes == 1:
+        return found(dealt)
+    parts = [written(found(dealt.where(F.pmod(F.xxhash64(*by), F.lit(passes)) == k)), "blocks") for k in range(passes)]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def candidates(shared: DataFrame, share, spare: int) -> DataFrame:
-    """Distinct pairs (cid, n, hub) of a class and the smallest one of a column of its prefix; ``shared``: gram, cid, n."""
+def candidates(shared: DataFrame, share) -> tuple[DataFrame, DataFrame]:
+    """What is left of the classes that may link, cid, n and grams, and distinct pairs (cid, n, hub) of a class and the smallest one of a column of its prefix; ``shared``: gram, cid, n."""
     alive = shared.groupBy("cid").agg(F.count(F.lit(1)).alias("held"), F.first("n").alias("n")).where(F.col("held") >= share).select("cid")
     rows = shared.count()
     cells = written(shared.join(alive, "cid", "left_semi"), "cells", rows)
     again = cells.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = join_totals(cells, again, "gram").groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("columns")).where(F.size("columns") >= share)
-    prefix = written(ranked.select("cid", "n", F.explode(F.slice("columns", F.lit(1), (F.size("columns") - share + 1).cast("int"))).alias("c")).select("cid", "n", "c.gram"), "rare", rows)
+    left = written(ranked.select("cid", "n", F.col("columns.gram").alias("grams"), F.slice("columns.gram", F.lit(1), (F.size("columns") - share + 1).cast("int")).alias("prefix")), "left", rows, keep=True)
+    prefix = left.select("cid", "n", F.explode("prefix").alias("gram"))
     hubs = prefix.groupBy("gram").agg(F.min("cid").alias("hub"))
-    return written(join_totals(prefix, hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs", rows, keep=True)
+    return left.drop("prefix"), written(join_totals(prefix, hubs, "gram").where("cid <> hub").select("cid", "n", "hub").distinct(), "pairs", rows, keep=True)
 
 
-def class_links(pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links (a, b) between classes that have the same components as all links; ``pairs`` as from candidates(), ``sets``: cid, n, grams."""
-    rows = pairs.count()
+def hub_links(pairs: DataFrame, sets: DataFrame, percent: int, name: str, rows: int, links=enough) -> DataFrame:
+    """Of ``pairs`` (cid, n, hub; about ``rows``) those that link, a written table; ``sets``: cid, n, grams."""
     hubs = sets.select(F.col("cid").alias("hub"), F.col("n").alias("hub_n"), F.col("grams").alias("hub_grams"))
     sized = pairs.join(hubs.select("hub", "hub_n"), "hub").where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")).select("cid", "n", "hub")
     near = sized.join(sets.select("cid", "grams"), "cid").join(hubs, "hub")
     overlap = F.size(F.array_intersect("grams", "hub_grams"))
-    linked = written(near.where(100 * overlap >= percent * (F.col("n") + F.col("hub_n") - overlap)).select(F.col("cid").alias("a"), F.col("hub").alias("b")), "linked", rows)
-    clusters = components(pairs.select(F.col("cid").alias("a"), F.col("hub").alias("b")), "clusters", rows).withColumnRenamed("component", "cluster")
-    nodes = sets.select(F.col("cid").alias("node"), "n").join(clusters, "node").join(components(linked, "linked", rows), "node", "left")
-    nodes = written(nodes.withColumn("component", F.coalesce("component", "node")), "nodes", rows)
-    return linked.unionByName(residual_links(nodes, sets, percent, block))
+    return written(near.where(links(F.col("n"), F.col("hub_n"), overlap, percent, F.least)).select("cid", "n", "hub"), name, rows)
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("cid").alias("a"), F.col("hub").alias("b"))
+
+
+def _placed(sets: DataFrame, clusters: DataFrame, linked: DataFrame, rows: int) -> DataFrame:
+    """node, n, held, cluster and component (by ``linked``) of the nodes of ``clusters``, a written table."""
+    nodes = sets.select(F.col("cid").alias("node"), "n", F.size("grams").cast("long").alias("held")).join(clusters.withColumnRenamed("component", "cluster"), "node").join(components(linked, "linked", rows), "node", "left")
+    return written(nodes.withColumn("component", F.coalesce("component", "node")), "nodes", rows)
+
+
+def near_links(pairs: DataFrame, left: DataFrame, percent: int, block: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """The ``pairs`` that may link by what is left of their sets, and links (a, b) with the same components as all pairs of classes that may."""
+    close = hub_links(pairs, left, percent, "close", rows, enough_left)
+    nodes = _placed(left, components(_ends(pairs), "clusters", rows), _ends(close), rows)
+    return close, _ends(close).unionByName(residual_links(nodes, left, percent, 8 * block, enough_left, 512 * block))
+
+
+def class_links(close: DataFrame, clusters: DataFrame, sets: DataFrame, percent: int, block: int, rows: int) -> DataFrame:
+    """Links (a, b) between classes that have the same components as all links; ``close``: pairs to look at, ``clusters``: node, component, which no link leaves, ``sets``: cid, n, grams."""
+    linked = _ends(hub_links(close, sets, percent, "linked", rows))
+    return linked.unionByName(residual_links(_placed(sets, clusters, linked, rows), sets, percent, block))
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block: int = 1024, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -247,10 +308,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, block:
 
 
 def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: str, text: str, bits: int = 64) -> DataFrame:
-    spare = 20
     seen = Observation()
     with scratch(docs.sparkSession):  # sets and cells are the largest tables and go before whole sets are made
-        sets = written(shingle_sets(docs, size, doc_id, text, spare, percent).observe(seen, F.count(F.lit(1)).alias("rows")), "sets")
+        sets = written(shingle_sets(docs, size, doc_id, text, SPARE, percent).observe(seen, F.count(F.lit(1)).alias("rows")), "sets")
         n_rows = seen.get["rows"]
         heads = written(sets.drop("grams"), "heads", n_rows, keep=True)
         some = sets.where("n > 0")
@@ -260,11 +320,12 @@ def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: st
         grams = single.select("cid", "n", "row", F.explode("grams").alias("gram"))
         hot = hot_keys(grams.where(F.pmod(F.xxhash64("row"), F.lit(64)) == 0), "gram", tasks(docs))
         shared = written(repeated(grams, hot), "shared")
-        share = F.floor(needed(F.col("n"), percent) / F.lit(spare)) + 1
-        pairs = candidates(shared, share, spare)
-    asked = pairs.select("cid").unionByName(pairs.select(F.col("hub").alias("cid"))).distinct()
+        share = F.floor(needed(F.col("n"), percent) / F.lit(SPARE)) + 1
+        left, pairs = candidates(shared, share)
     n_pairs = pairs.count()
-    asked = written(asked.join(classes.select("cid", "doc_id"), "cid"), "asked", 2 * n_pairs)
+    close, near = near_links(pairs, left, percent, block, n_pairs)
+    clusters = components(near, "near", n_pairs)
+    asked = written(clusters.select(F.col("node").alias("cid")).join(classes.select("cid", "doc_id"), "cid"), "asked", 2 * n_pairs)
     if filtered := bits_for(asked.count()):
         full = shingle_sets(docs, size, doc_id, text, None, percent, bit_table(asked, "doc_id", filtered))
     else:
@@ -272,7 +333,7 @@ def _components(docs: DataFrame, percent: int, size: int, block: int, doc_id: st
         full = shingle_sets(docs.join(ids, F.col(doc_id).eqNullSafe(F.col("__q_id")), "left_semi"), size, doc_id, text, None, percent)
     full = full.where("n > 0").select(cid.alias("cid"), "n", "grams")
     full = written(full.join(asked.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "full")
-    joined = components(class_links(pairs, full, percent, block), rows=2 * n_pairs)
+    joined = components(class_links(close, clusters, full, percent, block, n_pairs), rows=2 * n_pairs)
     roots = joined.join(classes.select(F.col("cid").alias("node"), "doc_id"), "node")
     least = roots.groupBy("component").agg(F.min("doc_id").alias("root"))
     roots = join_totals(roots, least, "component").select(F.col("node").alias("cid"), "root")

@@ -68,6 +68,43 @@ def test_jaccard_chains_and_blocks(spark):
     assert jaccard.jaccard_components(frame.limit(0)).count() == 0
 
 
+def test_passages_in_common_deal_no_whole_sets(spark, monkeypatch):
+    """Texts of three passages, each in two texts: all hang together, none link, and no whole set is made for them; the few that link are found."""
+    made, orig = {}, jaccard.written
+
+    def written(df, name, *rest, **more):
+        out = orig(df, name, *rest, **more)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "written", written)
+    rng = random.Random(9)
+    owners = [k // 2 for k in range(3 * 120)]
+    rng.shuffle(owners)
+    rows = [(k, " ".join(prose(5000 + p, 40) for p in owners[3 * k : 3 * k + 3])) for k in range(120)]
+    copies = [(1000 + k, rows[k][1] + " and one more") for k in range(4)]
+    frame = spark.createDataFrame(rows + copies, "doc_id long, text string")
+    got = Counter(map(tuple, jaccard.jaccard_components(frame, block=4).collect()))
+    assert got == brute_components(rows + copies) and made["pairs"] > 100 and made["full"] <= 16
+
+
+def test_blocks_are_dealt_in_passes(spark, odd, odd_rows, monkeypatch):
+    """A dense cluster without links of its hub's, in blocks of two rows and passes of one fold: each pass is a written table."""
+    made, orig = Counter(), jaccard.written
+
+    def written(df, name, *rest, **more):
+        made[name] += 1
+        return orig(df, name, *rest, **more)
+
+    monkeypatch.setattr(jaccard, "written", written)
+    monkeypatch.setattr(jaccard, "DEALT", 1)
+    monkeypatch.setattr(jaccard, "FOLD", 1)
+    core = prose(77, 60)
+    rows = [(k, f"{core} {prose(6000 + k // 2, 18)}" + " x" * (k % 2)) for k in range(24)] + [r for r in odd_rows if r[0] is not None]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, jaccard.jaccard_components(frame, block=2).collect())) == brute_components(rows) and made["blocks"] > 2
+
+
 def test_structured_words_have_hashes_of_their_own(spark):
     """Words of two letters whose polynomial hashes modulo 2^64 are equal for every odd base."""
     word = "a"
